@@ -145,3 +145,149 @@ FROM reviews r
 JOIN clean c USING (review_id)
 JOIN counts n ON r.reviewer_id = n.reviewer_id AND r."timestamp" = n."timestamp"
 JOIN sims s ON r.reviewer_id = s.reviewer_id"""
+
+
+# --- step 4: sources, preparation, filters, limits, set ops ------------------------
+
+RAW_SELECT = """review_id, reviewer_id, restaurant_id, "timestamp", rating, review_content, friend_count,
+       review_count, useful_count, cool_count, funny_count, restaurant_rating"""
+YN = "CASE WHEN flagged THEN 'Y' WHEN NOT flagged THEN 'N' END"
+SLASH = "'%-m/%-d/%Y'"
+DAY_SQL = "DATE '2024-01-03'"
+
+ORACLES["scan_reviews"] = with_ctes(REVIEWS_CTE) + "SELECT * FROM reviews"
+
+ORACLES["scan_day"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT {RAW_SELECT} FROM reviews WHERE CAST("timestamp" AS DATE) = {DAY_SQL}"""
+
+ORACLES["csv_roundtrip"] = with_ctes(REVIEWS_CTE) + f"SELECT {RAW_SELECT} FROM reviews"
+
+ORACLES["lines_source"] = """
+WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents),
+lines AS (SELECT doc_id, unnest(p) AS value, generate_subscripts(p, 1) AS pos FROM parts)
+SELECT CAST(row_number() OVER (ORDER BY doc_id, pos) - 1 AS BIGINT) AS line_no, value FROM lines"""
+
+ORACLES["bulk_load_day"] = ORACLES["scan_day"]
+
+ORACLES["overwrite_day"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT review_id, reviewer_id, restaurant_id, "timestamp",
+       CAST(CASE WHEN CAST("timestamp" AS DATE) = {DAY_SQL} THEN 0 ELSE rating END AS BIGINT) AS rating,
+       review_content, friend_count, review_count, useful_count, cool_count, funny_count,
+       restaurant_rating, CAST("timestamp" AS DATE) AS dt
+FROM reviews"""
+
+ORACLES["prepare_raw"] = ORACLES["csv_roundtrip"]
+
+ORACLES["prepare_labeled"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT {RAW_SELECT},
+       CAST(length(review_content) AS BIGINT) AS review_length,
+       round(abs(CAST(rating AS DOUBLE) - restaurant_rating) / 4.0, 6) AS rating_deviation,
+       round(CAST(CAST(review_id AS BIGINT) % 4 AS DOUBLE) / 4.0, 6) AS maximum_review_per_user,
+       round(CAST(CAST(review_id AS BIGINT) % 10 AS DOUBLE) / 10.0, 6) AS cos_sim,
+       flagged
+FROM reviews"""
+
+ORACLES["recode_label"] = with_ctes(REVIEWS_CTE) + f"SELECT review_id, {YN} AS flagged FROM reviews"
+
+ORACLES["recode_text_label"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT review_id, coalesce({YN}, '') AS label_text,
+       CASE WHEN coalesce({YN}, '') = 'Y' THEN 'true' ELSE 'false' END AS label
+FROM reviews"""
+
+ORACLES["filter_flagged"] = with_ctes(REVIEWS_CTE) + """
+SELECT review_id, reviewer_id, 'Y' AS flagged FROM reviews WHERE flagged"""
+
+ORACLES["filter_exact_ts"] = with_ctes(REVIEWS_CTE) + """
+SELECT review_id, "timestamp" FROM reviews WHERE "timestamp" = TIMESTAMP '2024-01-02 00:00:00'"""
+
+ORACLES["filter_before"] = with_ctes(REVIEWS_CTE) + """
+SELECT review_id, "timestamp" FROM reviews WHERE "timestamp" < TIMESTAMP '2024-01-04 00:00:00'"""
+
+_ALL13 = ["review_id", "reviewer_id", "restaurant_id", "\"timestamp\"", "rating", "review_content",
+          "friend_count", "review_count", "useful_count", "cool_count", "funny_count",
+          "restaurant_rating", "flagged"]
+
+ORACLES["drop_null_rows"] = with_ctes(REVIEWS_CTE) + "SELECT review_id, flagged FROM reviews WHERE " + \
+    " AND ".join(f"{c} IS NOT NULL" for c in _ALL13)
+
+ORACLES["null_audit"] = with_ctes(REVIEWS_CTE) + "SELECT " + ",\n  ".join(
+    f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS {c.strip(chr(34))}_nulls, "
+    f"CAST(count({c}) AS BIGINT) AS {c.strip(chr(34))}_non_null" for c in _ALL13) + " FROM reviews"
+
+ORACLES["valid_ids"] = with_ctes(REVIEWS_CTE) + f"""
+, messy AS (
+  SELECT CASE CAST(review_id AS BIGINT) % 10 WHEN 0 THEN '   ' WHEN 1 THEN NULL WHEN 2 THEN ''
+              ELSE ' ' || review_id || chr(9) END AS review_id, reviewer_id
+  FROM reviews)
+SELECT regexp_replace(review_id, '^{RE2_WS}|{RE2_WS}$', '', 'g') AS review_id, reviewer_id
+FROM messy WHERE regexp_replace(review_id, '^{RE2_WS}|{RE2_WS}$', '', 'g') <> ''"""
+
+ORACLES["strip_leading_newline"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT review_id, strftime("timestamp", {SLASH}) AS date FROM reviews"""
+
+ORACLES["positional_join"] = f"""
+WITH a AS (SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS line_no,
+                  regexp_replace(text, '[\\r\\n]+', ' ', 'g') AS review FROM documents),
+b AS (SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS line_no,
+             strftime(DATE '2024-01-01' + CAST(doc_id % 7 AS INTEGER), {SLASH}) AS date,
+             CAST(doc_id AS VARCHAR) AS review_id, 'r' || CAST(doc_id % 250 AS VARCHAR) AS reviewer_id,
+             'p' || CAST(doc_id % 20 AS VARCHAR) AS product_id,
+             CASE WHEN quality = 0 THEN 'Y' ELSE 'N' END AS label, CAST(toxic AS VARCHAR) AS a,
+             '0' AS b, '0' AS c, CAST(doc_id % 5 + 1 AS VARCHAR) AS rating FROM labels)
+SELECT coalesce(b.line_no, a.line_no) AS line_no, b.date, b.review_id, b.reviewer_id, b.product_id,
+       b.label, b.a, b.b, b.c, b.rating, a.review
+FROM b FULL OUTER JOIN a ON a.line_no = b.line_no"""
+
+ORACLES["page_frontier"] = """
+SELECT page_id, CAST(j AS BIGINT) AS page_no, url || '?start=' || CAST(j * 20 AS VARCHAR) AS page_url
+FROM pages, range(0, 3) t(j)"""
+
+LINK_TEXT_RE = '<a href="[^"]*">([^<]*)</a>'
+
+ORACLES["chunk_triples"] = f"""
+WITH l AS (SELECT page_id, regexp_extract_all(html, '{LINK_TEXT_RE}', 1) AS t FROM pages)
+SELECT page_id, CAST(c AS BIGINT) AS chunk_no, t[3 * c + 1] AS slot0, t[3 * c + 2] AS slot1, t[3 * c + 3] AS slot2
+FROM l, range(0, CAST(ceil(len(t) / 3.0) AS BIGINT)) r(c)"""
+
+ORACLES["split_parts"] = """
+SELECT page_id, split_part(regexp_extract(html, '<title>([^<]*)</title>', 1), ' ', 1) AS first_word,
+       split_part(url, '/', -1) AS last_path, split_part(url, '=', -1) AS after_eq
+FROM pages"""
+
+ORACLES["count_or_zero"] = """
+WITH l AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type
+                                 ELSE concat_ws(' ', event_type, CAST(CAST(floor(value) AS BIGINT) AS VARCHAR)) END AS label
+           FROM events)
+SELECT event_id, label,
+       CAST(CASE WHEN len(string_split(label, ' ')) > 1 THEN TRY_CAST(string_split(label, ' ')[-1] AS BIGINT)
+                 ELSE 0 END AS BIGINT) AS n
+FROM l"""
+
+ORACLES["surrogate_key"] = with_ctes(REVIEWS_CTE) + """
+SELECT review_id, substr(sha256(concat_ws('~', reviewer_id, restaurant_id, CAST("timestamp" AS VARCHAR),
+                                            review_content)), 1, 22) AS key
+FROM reviews"""
+
+ORACLES["parse_dates"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT review_id, strftime("timestamp", {SLASH}) AS date, "timestamp" AS parsed,
+       CAST(epoch("timestamp") AS BIGINT) AS epoch, strftime("timestamp", '%Y-%m-%d 00:00:00') AS midnight
+FROM reviews"""
+
+ORACLES["partition_id"] = with_ctes(REVIEWS_CTE) + """
+SELECT review_id, strftime("timestamp", '%Y%m%d') AS partition_id FROM reviews"""
+
+ORACLES["count_by_label"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT {YN} AS flagged, count(*) AS n FROM reviews GROUP BY 1"""
+
+ORACLES["distinct_labels"] = with_ctes(REVIEWS_CTE) + f"SELECT DISTINCT {YN} AS flagged FROM reviews"
+
+ORACLES["first_n"] = with_ctes(REVIEWS_CTE) + """
+SELECT review_id, reviewer_id, rating FROM reviews ORDER BY review_id LIMIT 5"""
+
+ORACLES["last_n"] = with_ctes(REVIEWS_CTE) + """
+SELECT review_id, reviewer_id, rating FROM reviews ORDER BY review_id DESC LIMIT 5"""
+
+ORACLES["union_classes"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT review_id, 'N' AS flagged FROM reviews WHERE NOT flagged
+UNION ALL SELECT review_id, 'Y' FROM reviews WHERE flagged
+UNION ALL SELECT review_id, 'Y' FROM reviews WHERE flagged"""

@@ -112,3 +112,289 @@ def q_pair_similarity(spark, sf_dir):
 @register("review_features")
 def q_review_features(spark, sf_dir):
     return round_doubles(feat.review_features(reviews(spark, sf_dir)))
+
+
+# --- step 4: sources, preparation, filters, limits, set ops ------------------------
+
+import datetime as _dt  # noqa: E402
+
+from opinio.functions import dates as dts  # noqa: E402
+from opinio.functions import text as txt  # noqa: E402
+from opinio.operators import prepare as prep  # noqa: E402
+from opinio.operators import summaries as summ  # noqa: E402
+from opinio.schemas import LABELED_COLUMNS, RAW, RAW_COLUMNS  # noqa: E402
+from opinio.session import scratch_path  # noqa: E402
+from opinio.sinks import tables as sinks  # noqa: E402
+from opinio.sources import files as srcf  # noqa: E402
+from opinio.sources.tables import load_table, scan_day  # noqa: E402
+
+DAY = _dt.date(2024, 1, 3)
+
+
+def _raw(spark, sf_dir) -> DataFrame:
+    return reviews(spark, sf_dir).select(*RAW_COLUMNS)
+
+
+def _yn(spark, sf_dir) -> DataFrame:
+    return reviews(spark, sf_dir).withColumn("flagged", prep.recode_label("flagged"))
+
+
+def raw_csv_frame(spark, sf_dir) -> DataFrame:
+    """The raw review source file's layout, derived from the review view."""
+    r = reviews(spark, sf_dir)
+    back = {v: k for k, v in prep.RAW_RENAMES.items()}
+    cols = [F.date_format("timestamp", dts.SLASH_DATE).alias("date") if c == "timestamp"
+            else F.col(c).alias(back[c]) for c in RAW_COLUMNS]
+    return r.select(*cols, (F.col("useful_count") + 1).alias("reviewUsefulCount"))
+
+
+def labeled_csv_frame(spark, sf_dir) -> DataFrame:
+    """The labeled source file's layout (25 columns), derived from the review view."""
+    r = reviews(spark, sf_dir)
+    back = {v: k for k, v in prep.LABELED_RENAMES.items()}
+    rid = F.col("review_id").cast("long")
+    derived = {
+        "maximum_review_per_user": (rid % 4).cast("double") / 4.0,
+        "review_length": F.length("review_content").cast("long"),
+        "rating_deviation": feat.rating_deviation(),
+        "cos_sim": (rid % 10).cast("double") / 10.0,
+    }
+    cols = []
+    for c in LABELED_COLUMNS:
+        name = back.get(c, c)
+        if c == "timestamp":
+            cols.append(F.date_format("timestamp", dts.SLASH_DATE).alias(name))
+        elif c in derived:
+            cols.append(derived[c].alias(name))
+        else:
+            cols.append(F.col(c).alias(name))
+    extra = [F.concat(F.lit(f"{d}-"), F.col("review_id")).alias(d) for d in prep.LABELED_DROPPED]
+    return r.select(*cols, *extra)
+
+
+@register("scan_reviews")
+def q_scan_reviews(spark, sf_dir):
+    return reviews(spark, sf_dir)
+
+
+@register("scan_day")
+def q_scan_day(spark, sf_dir):
+    return scan_day(_raw(spark, sf_dir), DAY)
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "csv_roundtrip")
+    sinks.write_csv(_raw(spark, sf_dir), path)
+    return srcf.read_csv(spark, path, RAW)
+
+
+@register("lines_source")
+def q_lines_source(spark, sf_dir):
+    path = scratch_path(spark, "lines")
+    (load_table(spark, sf_dir, "documents").orderBy("doc_id").select("text")
+     .write.text(path))
+    return srcf.read_lines(spark, path)
+
+
+@register("bulk_load_day")
+def q_bulk_load_day(spark, sf_dir):
+    root = scratch_path(spark, "bulk")
+    (_raw(spark, sf_dir).withColumn("day", dts.partition_id("timestamp"))
+     .write.partitionBy("day").option("header", True).option("escape", '"').csv(root))
+    return srcf.bulk_load_day(spark, root, DAY, RAW, template="{root}/day={day}/*.csv")
+
+
+@register("overwrite_day")
+def q_overwrite_day(spark, sf_dir):
+    loc = scratch_path(spark, "table")
+    name = "reviews_raw_" + loc.rsplit("-", 1)[-1][:12]
+    sinks.create_table(spark, name, RAW, loc)
+    raw = _raw(spark, sf_dir)
+    sinks.overwrite_day(raw, name)
+    redo = scan_day(raw, DAY).withColumn("rating", F.lit(0).cast("long"))
+    sinks.overwrite_day(redo, name)
+    return spark.table(name)
+
+
+@register("to_messages")
+def q_to_messages(spark, sf_dir):
+    return sinks.to_messages(_raw(spark, sf_dir))
+
+
+@register("prepare_raw")
+def q_prepare_raw(spark, sf_dir):
+    return prep.prepare_raw(raw_csv_frame(spark, sf_dir))
+
+
+@register("prepare_labeled")
+def q_prepare_labeled(spark, sf_dir):
+    return round_doubles(prep.prepare_labeled(labeled_csv_frame(spark, sf_dir)))
+
+
+@register("recode_label")
+def q_recode_label(spark, sf_dir):
+    return _yn(spark, sf_dir).select("review_id", "flagged")
+
+
+@register("recode_text_label")
+def q_recode_text_label(spark, sf_dir):
+    y = _yn(spark, sf_dir).select("review_id", F.coalesce("flagged", F.lit("")).alias("label_text"))
+    return y.select("review_id", "label_text", prep.recode_text_label("label_text", "Y").alias("label"))
+
+
+@register("filter_flagged")
+def q_filter_flagged(spark, sf_dir):
+    return prep.filter_value(_yn(spark, sf_dir), "flagged", "Y").select("review_id", "reviewer_id", "flagged")
+
+
+@register("filter_exact_ts")
+def q_filter_exact_ts(spark, sf_dir):
+    return prep.filter_exact_ts(_raw(spark, sf_dir), _dt.datetime(2024, 1, 2)).select("review_id", "timestamp")
+
+
+@register("filter_before")
+def q_filter_before(spark, sf_dir):
+    return prep.filter_before(_raw(spark, sf_dir), "2024-01-04").select("review_id", "timestamp")
+
+
+@register("drop_null_rows")
+def q_drop_null_rows(spark, sf_dir):
+    return prep.drop_null_rows(reviews(spark, sf_dir)).select("review_id", "flagged")
+
+
+@register("null_audit")
+def q_null_audit(spark, sf_dir):
+    return prep.null_audit(reviews(spark, sf_dir))
+
+
+def _blank_ids(spark, sf_dir) -> DataFrame:
+    r = reviews(spark, sf_dir)
+    rid = F.col("review_id")
+    k = rid.cast("long") % 10
+    messy = (F.when(k == 0, F.lit("   ")).when(k == 1, F.lit(None).cast("string"))
+             .when(k == 2, F.lit("")).otherwise(F.concat(F.lit(" "), rid, F.lit("\t"))))
+    return r.select(messy.alias("review_id"), "reviewer_id")
+
+
+@register("valid_ids")
+def q_valid_ids(spark, sf_dir):
+    return prep.valid_ids(_blank_ids(spark, sf_dir))
+
+
+def _newline_dates(spark, sf_dir) -> DataFrame:
+    r = reviews(spark, sf_dir)
+    d = F.date_format("timestamp", dts.SLASH_DATE)
+    return r.select("review_id", F.when(F.col("review_id").cast("long") % 3 == 0,
+                                        F.concat(F.lit("\n"), d)).otherwise(d).alias("date"))
+
+
+@register("strip_leading_newline")
+def q_strip_leading_newline(spark, sf_dir):
+    return _newline_dates(spark, sf_dir).select("review_id", dts.strip_leading_newline("date").alias("date"))
+
+
+@register("positional_join")
+def q_positional_join(spark, sf_dir):
+    a_path, b_path = scratch_path(spark, "lines_a"), scratch_path(spark, "lines_b")
+    docs = load_table(spark, sf_dir, "documents")
+    (docs.orderBy("doc_id").select(F.regexp_replace("text", r"[\r\n]+", " ").alias("value"))
+     .write.text(a_path))
+    lab = load_table(spark, sf_dir, "labels")
+    meta = F.concat_ws(
+        " ",
+        F.date_format(F.date_add(F.lit(_dt.date(2024, 1, 1)), (F.col("doc_id") % 7).cast("int")), dts.SLASH_DATE),
+        F.col("doc_id").cast("string"),
+        F.concat(F.lit("r"), (F.col("doc_id") % 250).cast("string")),
+        F.concat(F.lit("p"), (F.col("doc_id") % 20).cast("string")),
+        F.when(F.col("quality") == 0, "Y").otherwise("N"),
+        F.col("toxic").cast("string"), F.lit("0"), F.lit("0"),
+        (F.col("doc_id") % 5 + 1).cast("string"))
+    lab.orderBy("doc_id").select(meta.alias("value")).write.text(b_path)
+    a = srcf.read_lines(spark, a_path).withColumnRenamed("value", "review")
+    b = srcf.read_lines(spark, b_path).select("line_no", *[
+        F.get(F.split("value", " "), i).alias(n) for i, n in enumerate(
+            ["date", "review_id", "reviewer_id", "product_id", "label", "a", "b", "c", "rating"])])
+    return srcf.positional_join(b, a)
+
+
+@register("page_frontier")
+def q_page_frontier(spark, sf_dir):
+    pages = load_table(spark, sf_dir, "pages").select("page_id", "url")
+    return prep.page_frontier(pages, "url", pages=3).select("page_id", "page_no", "page_url")
+
+
+@register("chunk_triples")
+def q_chunk_triples(spark, sf_dir):
+    from opinio.operators.pages import LINK_TEXT, extract_all
+    pages = load_table(spark, sf_dir, "pages")
+    chunks = pages.select("page_id", F.posexplode(prep.chunk_triples(extract_all("html", LINK_TEXT))).alias("chunk_no", "c"))
+    return chunks.select("page_id", F.col("chunk_no").cast("long").alias("chunk_no"),
+                         *[F.get("c", i).alias(f"slot{i}") for i in range(3)])
+
+
+@register("split_parts")
+def q_split_parts(spark, sf_dir):
+    from opinio.operators.pages import PAGE_RULES
+    pages = load_table(spark, sf_dir, "pages")
+    title = F.regexp_extract("html", PAGE_RULES["title"], 1)
+    return pages.select("page_id", txt.split_first(title, " ").alias("first_word"),
+                        txt.split_last("url", "/").alias("last_path"),
+                        txt.split_last("url", "=").alias("after_eq"))
+
+
+@register("count_or_zero")
+def q_count_or_zero(spark, sf_dir):
+    ev = load_table(spark, sf_dir, "events")
+    label = F.when(F.col("event_id") % 3 == 0, F.col("event_type")).otherwise(
+        F.concat_ws(" ", "event_type", F.floor("value").cast("string")))
+    return ev.select("event_id", label.alias("label")).select(
+        "event_id", "label", txt.count_or_zero("label").alias("n"))
+
+
+@register("surrogate_key")
+def q_surrogate_key(spark, sf_dir):
+    r = _raw(spark, sf_dir)
+    return r.select("review_id", txt.surrogate_key("reviewer_id", "restaurant_id", "timestamp", "review_content")
+                    .alias("key"))
+
+
+@register("parse_dates")
+def q_parse_dates(spark, sf_dir):
+    d = _newline_dates(spark, sf_dir).select("review_id", dts.strip_leading_newline("date").alias("date"))
+    ts = dts.parse_slash_date("date")
+    return d.select("review_id", "date", ts.alias("parsed"),
+                    dts.to_epoch_seconds(ts).alias("epoch"),
+                    dts.epoch_to_midnight_text(dts.to_epoch_seconds(ts)).alias("midnight"))
+
+
+@register("partition_id")
+def q_partition_id(spark, sf_dir):
+    return _raw(spark, sf_dir).select("review_id", dts.partition_id("timestamp").alias("partition_id"))
+
+
+@register("count_by_label")
+def q_count_by_label(spark, sf_dir):
+    return summ.count_by(_yn(spark, sf_dir), "flagged")
+
+
+@register("distinct_labels")
+def q_distinct_labels(spark, sf_dir):
+    return summ.distinct_values(_yn(spark, sf_dir), "flagged")
+
+
+@register("first_n")
+def q_first_n(spark, sf_dir):
+    return summ.first_n(_raw(spark, sf_dir).select("review_id", "reviewer_id", "rating"), 5)
+
+
+@register("last_n")
+def q_last_n(spark, sf_dir):
+    return summ.last_n(_raw(spark, sf_dir).select("review_id", "reviewer_id", "rating"), 5)
+
+
+@register("union_classes")
+def q_union_classes(spark, sf_dir):
+    y = _yn(spark, sf_dir).select("review_id", "flagged")
+    return prep.union_all(prep.filter_value(y, "flagged", "N"), prep.filter_value(y, "flagged", "Y"),
+                          prep.filter_value(y, "flagged", "Y"))
