@@ -291,3 +291,227 @@ ORACLES["union_classes"] = with_ctes(REVIEWS_CTE) + f"""
 SELECT review_id, 'N' AS flagged FROM reviews WHERE NOT flagged
 UNION ALL SELECT review_id, 'Y' FROM reviews WHERE flagged
 UNION ALL SELECT review_id, 'Y' FROM reviews WHERE flagged"""
+
+
+# --- step 7: summaries, terms, sentiment --------------------------------------------
+
+from opinio.functions.text import PUNCTUATION  # noqa: E402
+
+
+def _describe(metric: str, src: str, by: str) -> str:
+    return (f"SELECT {by} AS flagged, count({metric}) AS count, round(avg({metric}), 6) AS mean, "
+            f"round(stddev_samp({metric}), 6) AS std, round(min({metric}), 6) AS min, "
+            f"round(quantile_cont({metric}, 0.25), 6) AS p25, round(quantile_cont({metric}, 0.5), 6) AS p50, "
+            f"round(quantile_cont({metric}, 0.75), 6) AS p75, round(max({metric}), 6) AS max "
+            f"FROM {src} GROUP BY 1")
+
+
+METRIC_CTE = f"""metric AS (
+  SELECT review_id, {YN} AS yn, CAST(length(review_content) AS DOUBLE) AS m FROM reviews
+)"""
+
+ORACLES["describe_metric"] = with_ctes(REVIEWS_CTE, METRIC_CTE) + _describe("m", "metric", "yn")
+
+ORACLES["histogram_metric"] = with_ctes(REVIEWS_CTE, METRIC_CTE) + """
+SELECT yn AS flagged, round(floor(m / 500.0) * 500.0, 6) AS bucket, count(*) AS n
+FROM metric WHERE m IS NOT NULL GROUP BY ALL"""
+
+ORACLES["top_terms"] = with_ctes(REVIEWS_CTE) + f"""
+, t AS (SELECT {YN} AS flagged,
+               unnest(list_filter(regexp_extract_all(lower(review_content), '({RE2_WORD}{{2,}})', 1),
+                                  lambda x: NOT list_contains({STOP_LIST}, x))) AS term
+        FROM reviews),
+c AS (SELECT flagged, term, count(*) AS n FROM t WHERE flagged IN ('Y', 'N') GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY flagged ORDER BY n DESC, term) AS rk FROM c)
+SELECT flagged, term, n FROM r WHERE rk <= 50"""
+
+_PUNCT_CLASS = "[" + "".join("\\" + ch for ch in PUNCTUATION) + "]"
+_PUNCT_SQL = _PUNCT_CLASS.replace("'", "''")
+
+
+def sentiment_tokens_expr(c: str) -> str:
+    """T5 token list (before lemmas and the one-letter filter) in DuckDB SQL."""
+    toks = (f"list_transform(string_split(lower(coalesce({c}, 'None')), ' '), "
+            f"lambda x: regexp_replace(x, '^{_PUNCT_SQL}+|{_PUNCT_SQL}+$', '', 'g'))")
+    toks = f"list_filter({toks}, lambda x: NOT regexp_matches(x, '\\p{{Nd}}'))"
+    toks = f"list_filter({toks}, lambda x: NOT list_contains({STOP_LIST}, x))"
+    return f"list_filter({toks}, lambda x: length(x) > 0)"
+
+
+def values_table(name: str, cols: str, rows, num: bool = False) -> str:
+    def lit(v):
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return f"CAST({v!r} AS DOUBLE)"
+    body = ", ".join("(" + ", ".join(lit(x) for x in r) + ")" for r in rows)
+    return f"{name} AS (SELECT * FROM (VALUES {body}) v({cols}))"
+
+
+def _lemma_cte():
+    from opinio.plans.queries import DEFAULT_LEMMAS
+    return values_table("lm", "form, lemma", sorted(DEFAULT_LEMMAS.items()))
+
+
+def _lexicon_cte():
+    from opinio.operators.sentiment import DEFAULT_LEXICON
+    return values_table("lx", "token, valence", sorted(DEFAULT_LEXICON.items()))
+
+
+ORACLES["clean_for_sentiment"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT review_id, array_to_string(list_filter({sentiment_tokens_expr('review_content')},
+                                              lambda x: length(x) > 1), ' ') AS review_clean
+FROM reviews"""
+
+SENT_TOKENS_CTE = f"""st AS (SELECT review_id, {sentiment_tokens_expr('review_content')} AS toks FROM reviews),
+tk AS (SELECT review_id, unnest(toks) AS token, generate_subscripts(toks, 1) - 1 AS pos FROM st)"""
+
+
+def _lemma_lookup_sql():
+    return with_ctes(REVIEWS_CTE, SENT_TOKENS_CTE, _lemma_cte()) + """
+SELECT tk.review_id, CAST(tk.pos AS BIGINT) AS pos, tk.token, coalesce(lm.lemma, tk.token) AS lemma
+FROM tk LEFT JOIN lm ON lm.form = tk.token"""
+
+
+def _scores_cte():
+    return f"""lt AS (SELECT tk.review_id, coalesce(lm.lemma, tk.token) AS tok FROM tk LEFT JOIN lm ON lm.form = tk.token),
+vv AS (SELECT lt.review_id, coalesce(lx.valence, 0.0) AS v FROM lt LEFT JOIN lx ON lx.token = lt.tok
+       WHERE length(lt.tok) > 1),
+ag AS (SELECT review_id, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS ps,
+              sum(CASE WHEN v < 0 THEN v - 1 ELSE 0 END) AS ns,
+              count(*) FILTER (WHERE v = 0) AS nu, sum(v) AS s
+       FROM vv GROUP BY review_id),
+scores AS (
+  SELECT r.review_id,
+         coalesce(round(abs(ns) / (ps + abs(ns) + nu), 3), 0.0) AS neg,
+         coalesce(round(nu / (ps + abs(ns) + nu), 3), 0.0) AS neu,
+         coalesce(round(ps / (ps + abs(ns) + nu), 3), 0.0) AS pos,
+         coalesce(round(s / sqrt(s * s + 15.0), 4), 0.0) AS compound
+  FROM reviews r LEFT JOIN ag USING (review_id))"""
+
+
+def _sentiment_scores_sql():
+    return with_ctes(REVIEWS_CTE, SENT_TOKENS_CTE, _lemma_cte(), _lexicon_cte(), _scores_cte()) + """
+SELECT review_id, round(neg, 6) AS neg, round(neu, 6) AS neu, round(pos, 6) AS pos,
+       round(compound, 6) AS compound FROM scores"""
+
+
+def _sentiment_by_label_sql():
+    return (with_ctes(REVIEWS_CTE, SENT_TOKENS_CTE, _lemma_cte(), _lexicon_cte(), _scores_cte())
+            + f", sl AS (SELECT s.compound, {YN} AS yn FROM scores s JOIN reviews USING (review_id))\n"
+            + _describe("compound", "sl", "yn"))
+
+
+ORACLES["lemma_lookup"] = _lemma_lookup_sql()
+ORACLES["sentiment_scores"] = _sentiment_scores_sql()
+ORACLES["sentiment_by_label"] = _sentiment_by_label_sql()
+
+
+# --- step 8: model data work ----------------------------------------------------------
+
+RANK = "substr(md5('42:' || review_id), 1, 15)"
+
+ORACLES["under_sample"] = with_ctes(REVIEWS_CTE) + f"""
+, lab AS (SELECT review_id, {YN} AS flagged FROM reviews WHERE flagged IS NOT NULL),
+kk AS (SELECT min(c) AS k FROM (SELECT flagged, count(*) AS c FROM lab GROUP BY 1)),
+r AS (SELECT *, row_number() OVER (PARTITION BY flagged ORDER BY {RANK}, review_id) AS rk FROM lab)
+SELECT review_id, flagged FROM r WHERE rk <= (SELECT k FROM kk)"""
+
+ORACLES["train_test_split"] = with_ctes(REVIEWS_CTE) + f"""
+, lab AS (SELECT review_id FROM reviews WHERE flagged IS NOT NULL),
+r AS (SELECT review_id, row_number() OVER (ORDER BY {RANK}, review_id) AS rk, count(*) OVER () AS n FROM lab)
+SELECT review_id, CASE WHEN rk <= ceil(n * 0.25) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+FEATS_CTE = """feats AS (
+  SELECT r.review_id, r.rating, r.friend_count, r.review_count, r.useful_count, r.cool_count, r.funny_count,
+         CAST(len(string_split(c.review_content, ' ')) AS BIGINT) AS review_length,
+         abs(CAST(r.rating AS DOUBLE) - r.restaurant_rating) / 4.0 AS rating_deviation,
+         CAST(n."count" AS DOUBLE) / (SELECT max("count") FROM counts) AS maximum_review_per_user,
+         s.cos_sim, r.flagged
+  FROM reviews r
+  JOIN clean c USING (review_id)
+  JOIN counts n ON r.reviewer_id = n.reviewer_id AND r."timestamp" = n."timestamp"
+  JOIN sims s ON r.reviewer_id = s.reviewer_id
+)"""
+
+_FEATURES = ["rating", "friend_count", "review_count", "useful_count", "cool_count",
+             "funny_count", "review_length", "rating_deviation", "maximum_review_per_user", "cos_sim"]
+
+ORACLES["gaussian_nb_stats"] = with_ctes(REVIEWS_CTE, COUNTS_CTE, CLEAN_CTE, TOKENS_CTE, FEATS_CTE) + \
+    f"SELECT {YN} AS flagged, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM feats WHERE flagged IS NOT NULL), 6) AS prior, " + \
+    ", ".join(f"round(avg(CAST({f} AS DOUBLE)), 6) AS {f}_mean, round(var_pop(CAST({f} AS DOUBLE)), 6) AS {f}_var"
+              for f in _FEATURES) + \
+    " FROM feats WHERE flagged IS NOT NULL GROUP BY 1"
+
+PRED_CTE = f"""pred AS (
+  SELECT review_id, {YN} AS label, CASE WHEN rating <= 2 THEN 'Y' ELSE 'N' END AS prediction
+  FROM reviews WHERE flagged IS NOT NULL
+)"""
+
+ORACLES["confusion_matrix"] = with_ctes(REVIEWS_CTE, PRED_CTE) + """
+SELECT label, prediction, count(*) AS n FROM pred GROUP BY ALL"""
+
+ORACLES["classification_metrics"] = with_ctes(REVIEWS_CTE, PRED_CTE) + """
+, s AS (SELECT count(*) AS n, count(*) FILTER (WHERE label = prediction) AS correct,
+              count(*) FILTER (WHERE label = 'Y' AND prediction = 'Y') AS tp,
+              count(*) FILTER (WHERE label <> 'Y' AND prediction = 'Y') AS fp,
+              count(*) FILTER (WHERE label = 'Y' AND prediction <> 'Y') AS fn FROM pred)
+SELECT round(CASE WHEN n > 0 THEN correct / n ELSE 0.0 END, 6) AS accuracy,
+       round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END, 6) AS precision,
+       round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END, 6) AS recall,
+       round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END, 6) AS f1,
+       tp, fp, fn, n
+FROM s"""
+
+
+# --- step 9: pages --------------------------------------------------------------------
+
+HREF_RE = '<a href="([^"]*)">'
+
+ORACLES["extract_from_pages"] = """
+SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
+       regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+       regexp_extract(html, 'track\\((\\d+)\\)', 1) AS track_id
+FROM pages"""
+
+ORACLES["page_links"] = f"""
+WITH l AS (SELECT page_id, regexp_extract_all(html, '{HREF_RE}', 1) AS h FROM pages)
+SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS BIGINT) AS slot, unnest(h) AS href FROM l"""
+
+ORACLES["align_repeated_fields"] = f"""
+WITH l AS (SELECT page_id, regexp_extract_all(html, '{HREF_RE}', 1) AS h,
+                  regexp_extract_all(html, '{LINK_TEXT_RE}', 1) AS t,
+                  regexp_extract_all(html, '<p>([^<]*)', 1) AS p FROM pages)
+SELECT page_id, CAST(i AS BIGINT) AS slot, h[i + 1] AS href, t[i + 1] AS link_text, p[i + 1] AS paragraph
+FROM l, range(0, greatest(len(h), len(t), len(p))) r(i)"""
+
+
+# --- step 6: streaming ingest -----------------------------------------------------------
+
+BAD = "event_id % 97 = 0 OR event_id % 83 = 0"
+
+ORACLES["parse_messages"] = f"""
+SELECT CAST(event_id AS VARCHAR) AS review_id,
+       CASE WHEN {BAD} THEN 'invalid' WHEN event_id % 89 = 0 THEN 'flagged' ELSE 'ok' END AS route
+FROM events"""
+
+ORACLES["route_oversize"] = """
+SELECT CAST(doc_id AS VARCHAR) AS review_id,
+       CASE WHEN strlen(CAST(to_json(struct_pack(review_id := CAST(doc_id AS VARCHAR), review_content := text))
+                             AS VARCHAR)) > 1048576 THEN 'oversize' ELSE 'ok' END AS route,
+       CAST(strlen(text) AS BIGINT) AS text_bytes
+FROM documents"""
+
+ORACLES["stream_ingest"] = f"""
+SELECT CAST(event_id AS VARCHAR) AS review_id, 'u' || CAST(user_id AS VARCHAR) AS reviewer_id,
+       event_type AS restaurant_id, date_trunc('second', ts) AS "timestamp",
+       CAST(event_id % 6 AS BIGINT) AS rating, props AS review_content,
+       CAST(user_id % 50 AS BIGINT) AS friend_count, CAST(event_id % 50 AS BIGINT) AS review_count,
+       CAST(event_id % 7 AS BIGINT) AS useful_count, CAST(event_id % 11 AS BIGINT) AS cool_count,
+       CAST(event_id % 13 AS BIGINT) AS funny_count, value AS restaurant_rating, CAST(ts AS DATE) AS dt
+FROM events WHERE NOT ({BAD}) AND event_id % 89 <> 0"""
+
+ORACLES["stream_dead_letter"] = f"""
+SELECT CAST(event_id AS VARCHAR) AS review_id,
+       CASE WHEN {BAD} THEN '[invalid] malformed or mistyped record'
+            ELSE concat_ws(' ', 'flagged by source', event_type) END AS error_message
+FROM events WHERE {BAD} OR event_id % 89 = 0"""

@@ -398,3 +398,249 @@ def q_union_classes(spark, sf_dir):
     y = _yn(spark, sf_dir).select("review_id", "flagged")
     return prep.union_all(prep.filter_value(y, "flagged", "N"), prep.filter_value(y, "flagged", "Y"),
                           prep.filter_value(y, "flagged", "Y"))
+
+
+# --- step 7: summaries, terms, sentiment --------------------------------------------
+
+from opinio.operators import sentiment as sent  # noqa: E402
+
+# A small inflection table for the lemma lookup (form -> lemma).
+DEFAULT_LEMMAS = {
+    "reviews": "review", "restaurants": "restaurant", "dishes": "dish", "meals": "meal",
+    "tables": "table", "loved": "love", "loves": "love", "tasted": "taste", "ordered": "order",
+    "waited": "wait", "servers": "server", "better": "good", "best": "good", "worse": "bad",
+    "worst": "bad", "ate": "eat", "eaten": "eat", "went": "go", "gone": "go", "errors": "error",
+}
+
+
+def lemma_frame(spark) -> DataFrame:
+    return spark.createDataFrame(sorted(DEFAULT_LEMMAS.items()), "form string, lemma string")
+
+
+def _metric_frame(spark, sf_dir) -> DataFrame:
+    return _yn(spark, sf_dir).select("review_id", "flagged",
+                                     F.length("review_content").cast("long").alias("text_chars"))
+
+
+@register("describe_metric")
+def q_describe_metric(spark, sf_dir):
+    return round_doubles(summ.describe(_metric_frame(spark, sf_dir), "text_chars", "flagged"))
+
+
+@register("histogram_metric")
+def q_histogram_metric(spark, sf_dir):
+    return round_doubles(summ.histogram(_metric_frame(spark, sf_dir), "text_chars", 500.0, "flagged"))
+
+
+@register("top_terms")
+def q_top_terms(spark, sf_dir):
+    y = _yn(spark, sf_dir)
+    return summ.top_terms(y, "review_content", "flagged", ["Y", "N"], k=50)
+
+
+@register("clean_for_sentiment")
+def q_clean_for_sentiment(spark, sf_dir):
+    return sent.clean_for_sentiment(reviews(spark, sf_dir))
+
+
+@register("lemma_lookup")
+def q_lemma_lookup(spark, sf_dir):
+    toks = reviews(spark, sf_dir).select(
+        "review_id", F.posexplode(txt.sentiment_tokens("review_content")).alias("pos", "token"))
+    out = sent.lemma_lookup(toks, lemma_frame(spark))
+    return out.select("review_id", F.col("pos").cast("long").alias("pos"), "token", "lemma")
+
+
+def _sentiment(spark, sf_dir) -> DataFrame:
+    clean = sent.clean_for_sentiment(reviews(spark, sf_dir), lemmas=lemma_frame(spark))
+    return sent.sentiment_scores(clean, sent.lexicon_frame(spark))
+
+
+@register("sentiment_scores")
+def q_sentiment_scores(spark, sf_dir):
+    return round_doubles(_sentiment(spark, sf_dir))
+
+
+@register("sentiment_by_label")
+def q_sentiment_by_label(spark, sf_dir):
+    s = _sentiment(spark, sf_dir).join(_yn(spark, sf_dir).select("review_id", "flagged"), "review_id")
+    return round_doubles(summ.describe(s, "compound", "flagged"))
+
+
+# --- step 8: model data work ----------------------------------------------------------
+
+from opinio.operators import model as mdl  # noqa: E402
+from opinio.operators import sampling as smp  # noqa: E402
+
+
+def _labeled_yn(spark, sf_dir) -> DataFrame:
+    return _yn(spark, sf_dir).where(F.col("flagged").isNotNull())
+
+
+def _model_frame(spark, sf_dir) -> DataFrame:
+    """Final-table features of labeled reviews, label as 'Y'/'N'."""
+    f = feat.review_features(reviews(spark, sf_dir), keep=["flagged"])
+    return f.where(F.col("flagged").isNotNull()).withColumn("flagged", prep.recode_label("flagged"))
+
+
+@register("under_sample")
+def q_under_sample(spark, sf_dir):
+    return smp.under_sample(_labeled_yn(spark, sf_dir).select("review_id", "flagged"))
+
+
+@register("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    train, test = smp.train_test_split(_labeled_yn(spark, sf_dir).select("review_id"))
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(test.withColumn("split", F.lit("test"))))
+
+
+@register("gaussian_nb_stats")
+def q_gaussian_nb_stats(spark, sf_dir):
+    return round_doubles(mdl.gaussian_nb_stats(_model_frame(spark, sf_dir)))
+
+
+def _rule_predictions(spark, sf_dir) -> DataFrame:
+    y = _labeled_yn(spark, sf_dir)
+    return y.select("review_id", F.col("flagged").alias("label"),
+                    F.when(F.col("rating") <= 2, "Y").otherwise("N").alias("prediction"))
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return summ.confusion_matrix(_rule_predictions(spark, sf_dir))
+
+
+@register("classification_metrics")
+def q_classification_metrics(spark, sf_dir):
+    return round_doubles(summ.classification_metrics(_rule_predictions(spark, sf_dir)))
+
+
+def _self_train(spark, sf_dir, estimator, holdout=False):
+    data = smp.under_sample(_model_frame(spark, sf_dir))
+    return mdl.self_training(data, estimator, threshold=0.7, iterations=3, holdout=holdout)
+
+
+@register("self_training")
+def q_self_training(spark, sf_dir):
+    res = _self_train(spark, sf_dir, mdl.gaussian_nb(), holdout=True)
+    m = summ.classification_metrics(res.scores)
+    return m.select("*", F.lit(res.rounds).alias("rounds"), F.lit(res.promoted).alias("promoted"))
+
+
+@register("random_forest_scores")
+def q_random_forest_scores(spark, sf_dir):
+    return _self_train(spark, sf_dir, mdl.random_forest(num_trees=20)).scores
+
+
+@register("gaussian_nb_scores")
+def q_gaussian_nb_scores(spark, sf_dir):
+    return _self_train(spark, sf_dir, mdl.gaussian_nb()).scores
+
+
+# --- step 9: pages --------------------------------------------------------------------
+
+from opinio.operators import pages as pg  # noqa: E402
+
+ALIGN_FIELDS = {"href": pg.LINK_HREF, "link_text": pg.LINK_TEXT, "paragraph": r"<p>([^<]*)"}
+
+
+@register("extract_from_pages")
+def q_extract_from_pages(spark, sf_dir):
+    return pg.page_scalars(load_table(spark, sf_dir, "pages"))
+
+
+@register("page_links")
+def q_page_links(spark, sf_dir):
+    out = pg.repeated_elements(load_table(spark, sf_dir, "pages"), pg.LINK_HREF, name="href")
+    return out.withColumn("slot", F.col("slot").cast("long"))
+
+
+@register("align_repeated_fields")
+def q_align_repeated_fields(spark, sf_dir):
+    out = pg.align_fields(load_table(spark, sf_dir, "pages"), ALIGN_FIELDS)
+    return out.withColumn("slot", F.col("slot").cast("long"))
+
+
+# --- step 6: streaming ingest -----------------------------------------------------------
+
+from opinio.schemas import ERROR  # noqa: E402
+from opinio.streaming import ingest  # noqa: E402
+
+
+def event_messages(spark, sf_dir) -> DataFrame:
+    """Review messages derived from ``events`` (one JSON text per event).
+
+    Fixed rules: ``event_id % 97 == 0`` truncated JSON, ``% 83 == 0`` a rating
+    of the wrong type, ``% 89 == 0`` carries an ``error_message``.
+    """
+    ev = load_table(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    rec = F.struct(
+        eid.cast("string").alias("review_id"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("reviewer_id"),
+        F.col("event_type").alias("restaurant_id"),
+        F.unix_timestamp(F.col("ts").cast("timestamp")).alias("timestamp"),
+        (eid % 6).alias("rating"),
+        F.col("props").alias("review_content"),
+        (F.col("user_id") % 50).alias("friend_count"),
+        (eid % 50).alias("review_count"),
+        (eid % 7).alias("useful_count"),
+        (eid % 11).alias("cool_count"),
+        (eid % 13).alias("funny_count"),
+        F.col("value").alias("restaurant_rating"),
+        F.when(eid % 89 == 0, F.concat_ws(" ", F.lit("flagged by source"), F.col("event_type")))
+         .alias("error_message"))
+    base = ev.select(eid, F.to_json(rec).alias("js"))
+    js = F.col("js")
+    js = F.when(eid % 83 == 0, F.regexp_replace(js, r'"rating":-?\d+', '"rating":"five"')).otherwise(js)
+    js = F.when(eid % 97 == 0, F.expr("substring(js, 1, length(js) - 1)")).otherwise(js)
+    return base.select(js.alias("value"))
+
+
+def _routed_events(spark, sf_dir) -> DataFrame:
+    return ingest.route_messages(ingest.parse_messages(event_messages(spark, sf_dir)))
+
+
+@register("parse_messages")
+def q_parse_messages(spark, sf_dir):
+    r = _routed_events(spark, sf_dir)
+    rid = F.when(F.col("route") == "invalid", ingest.raw_review_id()).otherwise(
+        F.col("msg").getField("review_id"))
+    return r.select(rid.alias("review_id"), "route")
+
+
+@register("route_oversize")
+def q_route_oversize(spark, sf_dir):
+    d = load_table(spark, sf_dir, "documents")
+    msgs = d.select(F.to_json(F.struct(F.col("doc_id").cast("string").alias("review_id"),
+                                       F.col("text").alias("review_content"))).alias("value"),
+                    F.octet_length("text").cast("long").alias("text_bytes"))
+    routed = ingest.route_messages(ingest.parse_messages(msgs.select("value")))
+    ids = routed.select(F.col("msg").getField("review_id").alias("review_id"), "route")
+    sizes = d.select(F.col("doc_id").cast("string").alias("review_id"),
+                     F.octet_length("text").cast("long").alias("text_bytes"))
+    return ids.join(sizes, "review_id")
+
+
+def _run_stream(spark, sf_dir):
+    src = scratch_path(spark, "stream_src")
+    event_messages(spark, sf_dir).write.text(src)
+    table, errors = scratch_path(spark, "stream_table"), scratch_path(spark, "stream_errors")
+    q = ingest.start_ingest(spark, src, table, errors, scratch_path(spark, "stream_ckpt"),
+                            max_files_per_trigger=4)
+    q.awaitTermination()
+    return table, errors
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    table, _ = _run_stream(spark, sf_dir)
+    from opinio.schemas import RAW as _RAW
+    return ingest.read_sink(spark, table, _RAW)
+
+
+@register("stream_dead_letter")
+def q_stream_dead_letter(spark, sf_dir):
+    _, errors = _run_stream(spark, sf_dir)
+    return ingest.read_sink(spark, errors, ERROR).select("review_id", "error_message")

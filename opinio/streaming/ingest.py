@@ -56,6 +56,12 @@ def route_messages(parsed: DataFrame, max_bytes: int = MAX_ROW_BYTES) -> DataFra
     return parsed.withColumn("size_bytes", size.cast("long")).withColumn("route", route)
 
 
+def raw_review_id(raw: str = "raw") -> Column:
+    """Best-effort id of a record that did not parse: the ``review_id`` string
+    value found in the text, else null."""
+    return F.nullif(F.regexp_extract(F.col(raw), r'"review_id"\s*:\s*"([^"]*)"', 1), F.lit(""))
+
+
 def table_rows(routed: DataFrame) -> DataFrame:
     """Rows of the ``ok`` route in the raw table layout (timestamp from epoch seconds)."""
     m = F.col("msg")
@@ -76,8 +82,7 @@ def dead_letters(routed: DataFrame, now: Column | None = None) -> DataFrame:
     message = (F.when(F.col("route") == "invalid", F.lit(INVALID_MESSAGE))
                .when(F.col("route") == "oversize", F.lit(OVERSIZE_MESSAGE))
                .otherwise(m.getField("error_message")))
-    rid = F.when(F.col("route") == "invalid", F.get_json_object("raw", "$.review_id")) \
-        .otherwise(m.getField("review_id"))
+    rid = F.when(F.col("route") == "invalid", raw_review_id()).otherwise(m.getField("review_id"))
     return routed.where(F.col("route") != "ok").select(
         (now if now is not None else F.current_timestamp()).alias("timestamp"),
         rid.alias("review_id"), snippet.alias("review_snippet"), message.alias("error_message"))
