@@ -81,7 +81,7 @@ def self_training(df: DataFrame, estimator, threshold: float = 0.8, iterations:
     ``holdout=True`` scores only test rows that were never promoted.
     """
     checkpoint_root(df.sparkSession)
-    data = assemble(df, label)
+    data = assemble(df, label).checkpoint()
     train, test = train_test_split(data, "review_id", test_size, seed)
     train = train.select("review_id", "features", "label").checkpoint()
     pool = test.select("review_id", "features").checkpoint()

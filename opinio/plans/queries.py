@@ -517,7 +517,9 @@ def q_classification_metrics(spark, sf_dir):
 
 
 def _self_train(spark, sf_dir, estimator, holdout=False):
-    data = smp.under_sample(_model_frame(spark, sf_dir))
+    from opinio.session import checkpoint_root
+    checkpoint_root(spark)
+    data = smp.under_sample(_model_frame(spark, sf_dir).checkpoint())
     return mdl.self_training(data, estimator, threshold=0.7, iterations=3, holdout=holdout)
 
 

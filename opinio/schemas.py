@@ -109,10 +109,10 @@ SCHEMAS = {"raw": RAW, "final": FINAL, "labeled": LABELED, "error": ERROR}
 
 def struct_from_json_schema(spec) -> T.StructType:
     """Build a ``StructType`` from a JSON schema file path, JSON text or list."""
-    if isinstance(spec, (str, Path)) and Path(str(spec)).exists():
-        spec = json.loads(Path(spec).read_text())
-    elif isinstance(spec, str):
+    if isinstance(spec, str) and spec.lstrip().startswith("["):
         spec = json.loads(spec)
+    elif isinstance(spec, (str, Path)):
+        spec = json.loads(Path(spec).read_text())
     fields = []
     for f in spec:
         typ = f["type"].upper()
