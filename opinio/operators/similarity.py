@@ -25,14 +25,17 @@ the exact maximum is found in two passes instead:
    dot product below ``t``). With ``t = L <= max`` the candidate pairs
    therefore contain the maximising pair; candidates are verified exactly.
 
-No group, pair list or vector is collected to the driver or to one task:
-every step is a join or aggregation keyed on (group, token) or
-(group, document), which AQE splits when skewed.
+Vectors are kept one row per document (sorted entries plus a token->weight
+map), so verifying a pair is one hash-based map merge, not a token-level
+join. No group, pair list or vector is collected to the driver or to one
+task: every step is a join or aggregation keyed on (group, token),
+(group, key) or (group, document), which partial aggregation and AQE's
+skew handling split when a group is hot.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinio.functions.text import tfidf_tokens
@@ -40,21 +43,32 @@ from opinio.functions.text import tfidf_tokens
 _EPS = 1e-9
 
 
+def materialise(df: DataFrame, name: str = "vectors") -> DataFrame:
+    """Write ``df`` as parquet under ``spark.checkpoint.dir`` and read it back.
+
+    Cuts lineage like ``checkpoint()``, survives executor loss, and later
+    readers prune columns (most consumers need only ids and keys).
+    """
+    from opinio.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def term_frequencies(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
-    """(group, id, token, tf) for documents with a non-null group."""
+    """(group, id, token, tf) for documents with a non-null group.
+
+    Tokens of one document sit in one task, so partial aggregation collapses
+    repeats before the shuffle.
+    """
     return (docs.where(F.col(group).isNotNull())
             .select(group, id_col, F.explode(tfidf_tokens(text)).alias("token"))
             .groupBy(group, id_col, "token")
             .agg(F.count(F.lit(1)).alias("tf")))
 
 
-def tfidf_weights(docs: DataFrame, group: str = "reviewer_id", id_col: str = "review_id",
-                  text: str = "review_content") -> DataFrame:
-    """``(group, id, token, tf, df, weight)``, weight L2-normalised per document.
-
-    ``docs`` holds cleaned text; every document of a group counts in ``n``,
-    also those without any token.
-    """
+def raw_weights(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
+    """(group, id, token, tf, df, raw) with ``raw = tf * idf`` (not yet normalised)."""
     base = docs.where(F.col(group).isNotNull())
     n_docs = base.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
     tf = term_frequencies(base, group, id_col, text)
@@ -62,103 +76,142 @@ def tfidf_weights(docs: DataFrame, group: str = "reviewer_id", id_col: str = "re
            .join(n_docs, group)
            .withColumn("idf", F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
            .drop("n_docs"))
-    raw = tf.join(idf, [group, "token"]).withColumn("raw", F.col("tf") * F.col("idf"))
+    return (tf.join(idf, [group, "token"])
+            .select(group, id_col, "token", "tf", "df", (F.col("tf") * F.col("idf")).alias("raw")))
+
+
+def doc_vectors(docs: DataFrame, group: str = "reviewer_id", id_col: str = "review_id",
+                text: str = "review_content") -> DataFrame:
+    """One row per document with a non-empty vector.
+
+    ``entries``: array of (df, token, w, tf) sorted by (df, token) — the
+    prefix order; ``vec``: map token -> w (L2-normalised); ``vh``: hash of
+    the term-frequency vector; ``top``: the highest-weighted token.
+    The grouping is per document, so its size is bounded by one text.
+    """
+    raw = raw_weights(docs, group, id_col, text)
+    per = (raw.groupBy(group, id_col)
+           .agg(F.array_sort(F.collect_list(F.struct("df", "token", "raw", "tf"))).alias("e"),
+                F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("nrm")))
+    entries = F.transform("e", lambda x: F.struct(
+        x.getField("df").alias("df"), x.getField("token").alias("token"),
+        (x.getField("raw") / F.col("nrm")).alias("w"), x.getField("tf").alias("tf")))
+    out = per.select(group, id_col, entries.alias("entries"))
+    return out.select(
+        group, id_col, "entries",
+        F.map_from_arrays(F.col("entries.token"), F.col("entries.w")).alias("vec"),
+        F.sha2(F.array_join(F.transform("entries", lambda x: F.concat_ws(
+            ":", x.getField("token"), x.getField("tf").cast("string"))), ","), 256).alias("vh"),
+        F.array_max(F.transform("entries", lambda x: F.struct(
+            x.getField("w").alias("w"), x.getField("token").alias("token")))).getField("token").alias("top"))
+
+
+def tfidf_weights(docs: DataFrame, group: str = "reviewer_id", id_col: str = "review_id",
+                  text: str = "review_content") -> DataFrame:
+    """``(group, id, token, tf, df, weight)``, weight L2-normalised per document.
+
+    ``docs`` holds cleaned text; every document of a group counts in ``n``,
+    also those without any token. The norm is a window over one document.
+    """
+    raw = raw_weights(docs, group, id_col, text)
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(group, id_col)))
-    return raw.select(group, id_col, "token", "tf", "df",
-                      (F.col("raw") / norm).alias("weight"))
+    return raw.select(group, id_col, "token", "tf", "df", (F.col("raw") / norm).alias("weight"))
+
+
+def dot(va, vb) -> Column:
+    """Sparse dot product of two token->weight maps (hash-joined keys, O(n+m))."""
+    prod = F.map_zip_with(va, vb, lambda k, x, y: F.coalesce(x * y, F.lit(0.0)))
+    return F.aggregate(F.map_values(prod), F.lit(0.0), lambda acc, v: acc + v)
 
 
 def verify_pairs(pairs: DataFrame, vecs: DataFrame, group: str, id_col: str) -> DataFrame:
-    """Exact cosine of candidate pairs ``(group, a, b)``.
+    """Exact cosine of candidate pairs ``(group, a, b)`` from document vectors."""
+    da = vecs.select(group, F.col(id_col).alias("a"), F.col("vec").alias("va"))
+    db = vecs.select(group, F.col(id_col).alias("b"), F.col("vec").alias("vb"))
+    return (pairs.join(da, [group, "a"]).join(db, [group, "b"])
+            .select(group, "a", "b", dot("va", "vb").alias("cosine")))
+
+
+def lower_bound(vecs: DataFrame, group: str, id_col: str) -> DataFrame:
+    """Pass 1: ``(group, lb)`` from at most two verified pairs per key group.
 
-    Each pair is expanded by the tokens of ``a`` and matched with ``b`` on
-    (group, b, token); pairs without a shared token get no row (cosine 0).
+    For every group of identical term vectors and every group of documents
+    sharing a top token, the documents with the smallest and largest id are
+    paired. ``min_by``/``max_by`` carry their vectors through the
+    aggregation (partial aggregation first), so no join is needed.
     """
-    va = vecs.select(F.col(group), F.col(id_col).alias("a"), "token", F.col("weight").alias("wa"))
-    vb = vecs.select(F.col(group), F.col(id_col).alias("b"), "token", F.col("weight").alias("wb"))
-    return (pairs.join(va, [group, "a"])
-            .join(vb, [group, "b", "token"])
-            .groupBy(group, "a", "b")
-            .agg(F.sum(F.col("wa") * F.col("wb")).alias("cosine")))
-
-
-def _orient(pairs: DataFrame, group: str) -> DataFrame:
-    return (pairs.where(F.col("a") != F.col("b"))
-            .select(group, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct())
-
-
-def lower_bound_pairs(vecs: DataFrame, group: str, id_col: str) -> DataFrame:
-    """Pass 1 candidates: at most two pairs per identical-vector / top-token group."""
-    per_doc = (vecs.groupBy(group, id_col)
-               .agg(F.sha2(F.array_join(F.array_sort(F.collect_list(
-                    F.concat_ws(":", "token", F.col("tf").cast("string")))), ","), 256).alias("vh"),
-                    F.max(F.struct(F.col("weight"), F.col("token"))).getField("token").alias("top")))
     out = None
     for key in ("vh", "top"):
-        p = (per_doc.groupBy(group, key)
-             .agg(F.min(id_col).alias("a"), F.max(id_col).alias("b"))
-             .select(group, "a", "b"))
+        p = (vecs.groupBy(group, key)
+             .agg(F.min(id_col).alias("a"), F.max(id_col).alias("b"),
+                  F.min_by("vec", id_col).alias("va"), F.max_by("vec", id_col).alias("vb"))
+             .where(F.col("a") < F.col("b"))
+             .select(group, dot("va", "vb").alias("cosine")))
         out = p if out is None else out.unionByName(p)
-    return _orient(out, group)
+    return out.groupBy(group).agg(F.max("cosine").alias("lb"))
 
 
 def prefix_tokens(vecs: DataFrame, bound: DataFrame, group: str, id_col: str) -> DataFrame:
-    """Tokens inside each document's prefix for its group's threshold.
+    """``(group, id, token)`` for tokens inside each document's prefix at its
+    group's threshold ``t``.
 
-    Order: ``df`` ascending then token; a token is kept when the norm of the
-    document's weights from it to the end is ``>= t``. Tokens with
+    Entries are in (df, token) order. Walking from the end, the trailing
+    entries whose inclusive squared norm stays below ``t^2`` form the suffix;
+    the rest is the prefix. One O(n) ``aggregate`` per document. Tokens with
     ``df = 1`` cannot be shared and are dropped after the prefix is fixed.
     """
-    w = (Window.partitionBy(group, id_col)
-         .orderBy(F.col("df").desc(), F.col("token").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    tail = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(w))
+    rev = F.reverse(F.col("entries"))
+    init = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+
+    def step(acc, x):
+        s2 = acc.getField("s") + x.getField("w") * x.getField("w")
+        stop = acc.getField("done") | (s2 >= F.col("t") * F.col("t"))
+        return F.struct(F.when(stop, acc.getField("s")).otherwise(s2).alias("s"),
+                        F.when(stop, acc.getField("n")).otherwise(acc.getField("n") + 1).alias("n"),
+                        stop.alias("done"))
+
+    suffix = F.aggregate(rev, init, step).getField("n")
+    keep = F.slice(F.col("entries"), 1, F.greatest(F.size("entries") - suffix, F.lit(0)))
+    toks = F.filter(keep, lambda x: x.getField("df") >= 2)
     return (vecs.join(bound, group)
-            .withColumn("tail", tail)
-            .where((F.col("df") >= 2) & (F.col("tail") >= F.col("t")))
-            .select(group, id_col, "token"))
+            .select(group, id_col, F.explode(F.transform(toks, lambda x: x.getField("token"))).alias("token")))
+
+
+def candidate_pairs(pref: DataFrame, group: str, id_col: str) -> DataFrame:
+    a = pref.select(group, "token", F.col(id_col).alias("a"))
+    b = pref.select(group, "token", F.col(id_col).alias("b"))
+    return (a.join(b, [group, "token"]).where(F.col("a") < F.col("b"))
+            .select(group, "a", "b").distinct())
 
 
 def max_cosine(vecs: DataFrame, group: str = "reviewer_id", id_col: str = "review_id") -> DataFrame:
     """``(group, cos_sim)`` for every group present in ``vecs``.
 
-    Exact maximum pairwise cosine (see module notes); capped at 1 like a
-    clipped cosine distance.
+    ``vecs`` are :func:`doc_vectors`. Exact maximum pairwise cosine (see
+    module notes); capped at 1 like a clipped cosine distance.
     """
     groups = vecs.select(group).distinct()
-    pass1 = verify_pairs(lower_bound_pairs(vecs, group, id_col), vecs, group, id_col)
-    lower = pass1.groupBy(group).agg(F.max("cosine").alias("lb"))
-    # Groups already at 1 are final; others get threshold t = lb - eps.
+    lower = lower_bound(vecs, group, id_col)
+    # Groups already at 1 are final; the others get threshold t = lb - eps.
     open_groups = (groups.join(lower, group, "left")
                    .select(group, F.coalesce("lb", F.lit(0.0)).alias("lb"))
                    .where(F.col("lb") < F.lit(1.0 - _EPS))
-                   .select(group, (F.col("lb") - F.lit(_EPS)).alias("t")))
-    pref = prefix_tokens(vecs, open_groups, group, id_col)
-    a = pref.select(group, "token", F.col(id_col).alias("a"))
-    b = pref.select(group, "token", F.col(id_col).alias("b"))
-    cand = (a.join(b, [group, "token"]).where(F.col("a") < F.col("b"))
-            .select(group, "a", "b").distinct())
-    pass2 = verify_pairs(cand, vecs, group, id_col)
-    best = (pass1.unionByName(pass2).groupBy(group)
-            .agg(F.max("cosine").alias("m")))
-    return (groups.join(best, group, "left")
-            .select(group, F.least(F.coalesce("m", F.lit(0.0)), F.lit(1.0)).alias("cos_sim")))
+                   .select(group, F.greatest(F.col("lb") - F.lit(_EPS), F.lit(0.0)).alias("t")))
+    cand = candidate_pairs(prefix_tokens(vecs, open_groups, group, id_col), group, id_col)
+    pass2 = verify_pairs(cand, vecs, group, id_col).groupBy(group).agg(F.max("cosine").alias("m2"))
+    return (groups.join(lower, group, "left").join(pass2, group, "left")
+            .select(group, F.least(F.coalesce(F.greatest("lb", "m2"), F.lit(0.0)), F.lit(1.0)).alias("cos_sim")))
 
 
 def similarity_pairs(vecs: DataFrame, threshold: float, group: str = "reviewer_id",
                      id_col: str = "review_id") -> DataFrame:
     """J6 as a similarity join: pairs of one group with cosine ``>= threshold``.
 
-    Uses the same prefix filter with a fixed threshold, so only pairs that
-    can reach it are generated.
+    ``vecs`` are :func:`doc_vectors`. The prefix filter at the fixed
+    threshold generates only pairs that can reach it.
     """
     groups = vecs.select(group).distinct().withColumn("t", F.lit(float(threshold) - _EPS))
-    pref = prefix_tokens(vecs, groups, group, id_col)
-    a = pref.select(group, "token", F.col(id_col).alias("a"))
-    b = pref.select(group, "token", F.col(id_col).alias("b"))
-    cand = (a.join(b, [group, "token"]).where(F.col("a") < F.col("b"))
-            .select(group, "a", "b").distinct())
+    cand = candidate_pairs(prefix_tokens(vecs, groups, group, id_col), group, id_col)
     return (verify_pairs(cand, vecs, group, id_col)
             .where(F.col("cosine") >= F.lit(float(threshold) - _EPS))
             .select(group, F.col("a").alias(f"{id_col}_a"), F.col("b").alias(f"{id_col}_b"),
@@ -169,10 +222,12 @@ def reviewer_similarity(clean: DataFrame, group: str = "reviewer_id", id_col: st
                         text: str = "review_content") -> DataFrame:
     """X1 + X2 over cleaned reviews: ``(group, cos_sim)`` for every non-null group.
 
-    Groups whose documents have no token at all still get a row (0).
+    The document vectors feed several aggregations and joins, so they are
+    materialised once in the shared checkpoint folder. Groups whose
+    documents have no token at all still get a row (0).
     """
     base = clean.where(F.col(group).isNotNull())
-    vecs = tfidf_weights(base, group, id_col, text)
+    vecs = materialise(doc_vectors(base, group, id_col, text))
     sims = max_cosine(vecs, group, id_col)
     return (base.select(group).distinct()
             .join(sims, group, "left")

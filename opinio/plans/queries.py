@@ -105,7 +105,7 @@ def q_max_cosine(spark, sf_dir):
 
 @register("pair_similarity")
 def q_pair_similarity(spark, sf_dir):
-    vecs = sim.tfidf_weights(_clean(spark, sf_dir))
+    vecs = sim.materialise(sim.doc_vectors(_clean(spark, sf_dir)))
     return round_doubles(sim.similarity_pairs(vecs, 0.5))
 
 
