@@ -70,7 +70,7 @@ def test_matches_brute_force_on_documents(spark):
 def test_similarity_pairs_threshold(spark):
     rows = [("g", "1", "aa bb cc"), ("g", "2", "aa bb cc"), ("g", "3", "aa zz yy"), ("g", "4", "qq rr")]
     df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
-    vecs = sim.tfidf_weights(df)
+    vecs = sim.doc_vectors(df)
     pairs = {(p.review_id_a, p.review_id_b) for p in sim.similarity_pairs(vecs, 0.9).collect()}
     assert pairs == {("1", "2")}
 
