@@ -515,3 +515,22 @@ SELECT CAST(event_id AS VARCHAR) AS review_id,
        CASE WHEN {BAD} THEN '[invalid] malformed or mistyped record'
             ELSE concat_ws(' ', 'flagged by source', event_type) END AS error_message
 FROM events WHERE {BAD} OR event_id % 89 = 0"""
+
+
+# --- the daily job end to end ------------------------------------------------------------
+
+_DAY_REVIEWS = REVIEWS_CTE.replace("reviews AS (", "reviews_all AS (", 1) + f""",
+reviews AS (SELECT * FROM reviews_all WHERE CAST("timestamp" AS DATE) = {DAY_SQL})"""
+
+ORACLES["daily_features"] = with_ctes(_DAY_REVIEWS, COUNTS_CTE, CLEAN_CTE, TOKENS_CTE) + f"""
+SELECT r.review_id, r.reviewer_id, r.restaurant_id, r."timestamp", r.rating,
+       c.review_content, r.friend_count, r.review_count, r.useful_count, r.cool_count,
+       r.funny_count, r.restaurant_rating,
+       CAST(len(string_split(c.review_content, ' ')) AS BIGINT) AS review_length,
+       round(abs(CAST(r.rating AS DOUBLE) - r.restaurant_rating) / 4.0, 6) AS rating_deviation,
+       round(CAST(n."count" AS DOUBLE) / (SELECT max("count") FROM counts), 6) AS maximum_review_per_user,
+       round(s.cos_sim, 6) AS cos_sim, CAST(r."timestamp" AS DATE) AS dt
+FROM reviews r
+JOIN clean c USING (review_id)
+JOIN counts n ON r.reviewer_id = n.reviewer_id AND r."timestamp" = n."timestamp"
+JOIN sims s ON r.reviewer_id = s.reviewer_id"""

@@ -646,3 +646,20 @@ def q_stream_ingest(spark, sf_dir):
 def q_stream_dead_letter(spark, sf_dir):
     _, errors = _run_stream(spark, sf_dir)
     return ingest.read_sink(spark, errors, ERROR).select("review_id", "error_message")
+
+
+# --- the daily job end to end ------------------------------------------------------------
+
+from opinio.plans import daily  # noqa: E402
+from opinio.schemas import FINAL  # noqa: E402
+
+
+@register("daily_features")
+def q_daily_features(spark, sf_dir):
+    """S2 -> features within one day -> K2 into a day-partitioned final table."""
+    src = scratch_path(spark, "raw_table")
+    _raw(spark, sf_dir).withColumn("dt", F.to_date("timestamp")).write.partitionBy("dt").parquet(src)
+    loc = scratch_path(spark, "final_table")
+    name = "reviews_final_" + loc.rsplit("-", 1)[-1][:12]
+    sinks.create_table(spark, name, FINAL, loc)
+    return round_doubles(daily.run(spark, src, name, DAY))
