@@ -534,3 +534,12 @@ FROM reviews r
 JOIN clean c USING (review_id)
 JOIN counts n ON r.reviewer_id = n.reviewer_id AND r."timestamp" = n."timestamp"
 JOIN sims s ON r.reviewer_id = s.reviewer_id"""
+
+ORACLES["join_left_similarity"] = with_ctes(REVIEWS_CTE, CLEAN_CTE, TOKENS_CTE) + """
+SELECT r.review_id, r.reviewer_id, round(s.cos_sim, 6) AS cos_sim
+FROM reviews r LEFT JOIN sims s ON r.reviewer_id = s.reviewer_id
+WHERE s.cos_sim IS NOT NULL AND r.review_id IS NOT NULL AND r.reviewer_id IS NOT NULL
+  AND r.restaurant_id IS NOT NULL AND r."timestamp" IS NOT NULL AND r.rating IS NOT NULL
+  AND r.review_content IS NOT NULL AND r.friend_count IS NOT NULL AND r.review_count IS NOT NULL
+  AND r.useful_count IS NOT NULL AND r.cool_count IS NOT NULL AND r.funny_count IS NOT NULL
+  AND r.restaurant_rating IS NOT NULL"""

@@ -663,3 +663,13 @@ def q_daily_features(spark, sf_dir):
     name = "reviews_final_" + loc.rsplit("-", 1)[-1][:12]
     sinks.create_table(spark, name, FINAL, loc)
     return round_doubles(daily.run(spark, src, name, DAY))
+
+
+@register("join_left_similarity")
+def q_join_left_similarity(spark, sf_dir):
+    """Reviews left-joined to the reviewer similarity, then rows with any null dropped."""
+    r = _raw(spark, sf_dir)
+    clean = r.select("reviewer_id", "review_id", clean_content("review_content").alias("review_content"))
+    sims = sim.reviewer_similarity(clean)
+    out = r.join(sims, "reviewer_id", "left")
+    return round_doubles(prep.drop_null_rows(out).select("review_id", "reviewer_id", "cos_sim"))
