@@ -40,3 +40,27 @@ def test_file_count_and_messages(spark, tmp_path):
     body = json.loads(msg.value)
     assert body["timestamp"] == int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp())
     assert msg.key == body["review_id"]
+
+
+def test_overwrite_table_replaces_all(spark, tmp_path):
+    path = str(tmp_path / "whole")
+    sinks.overwrite_table(_rows(spark, [1, 2], 1), path, files=2)
+    sinks.overwrite_table(_rows(spark, [3], 4), path)
+    got = {(r.timestamp.day, r.rating) for r in spark.read.parquet(path).collect()}
+    assert got == {(3, 4)}
+
+
+def test_daily_job_rewrites_only_its_day(spark, tmp_path):
+    from opinio.plans import daily
+    from opinio.schemas import FINAL
+    src = str(tmp_path / "raw")
+    raw = _rows(spark, [1, 2, 3], 2)
+    raw.withColumn("dt", F.to_date("timestamp")).write.partitionBy("dt").parquet(src)
+    sinks.create_table(spark, "t_final", FINAL, str(tmp_path / "t_final"))
+    for d in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        daily.run(spark, src, "t_final", d)
+    before = {r.review_id: r.maximum_review_per_user for r in spark.table("t_final").collect()}
+    out = daily.run(spark, src, "t_final", "2024-01-02").collect()
+    assert {r.review_id for r in out} == {"2-0", "2-1"}
+    after = {r.review_id: r.maximum_review_per_user for r in spark.table("t_final").collect()}
+    assert after == before and len(after) == 6
