@@ -37,7 +37,7 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def _clean(spark, sf_dir) -> DataFrame:
-    r = reviews(spark, sf_dir).where(F.col("reviewer_id").isNotNull())
+    r = reviews(spark, sf_dir, with_label=False).where(F.col("reviewer_id").isNotNull())
     return r.select("review_id", "reviewer_id", "timestamp",
                     clean_content("review_content").alias("review_content"))
 
@@ -46,30 +46,30 @@ def _clean(spark, sf_dir) -> DataFrame:
 
 @register("max_reviews_norm")
 def q_max_reviews_norm(spark, sf_dir):
-    counts = feat.normalised_counts(feat.review_counts(reviews(spark, sf_dir)))
+    counts = feat.normalised_counts(feat.review_counts(reviews(spark, sf_dir, with_label=False)))
     return round_doubles(counts.select("reviewer_id", F.col("count_key").alias("timestamp"),
                                        "count", "maximum_review_per_user"))
 
 
 @register("review_count_per_day")
 def q_review_count_per_day(spark, sf_dir):
-    return feat.review_counts(reviews(spark, sf_dir), grain="day")
+    return feat.review_counts(reviews(spark, sf_dir, with_label=False), grain="day")
 
 
 @register("max_review_count")
 def q_max_review_count(spark, sf_dir):
-    return feat.max_review_count(feat.review_counts(reviews(spark, sf_dir)))
+    return feat.max_review_count(feat.review_counts(reviews(spark, sf_dir, with_label=False)))
 
 
 @register("join_review_count")
 def q_join_review_count(spark, sf_dir):
-    r = reviews(spark, sf_dir).select("review_id", "reviewer_id", "timestamp")
+    r = reviews(spark, sf_dir, with_label=False).select("review_id", "reviewer_id", "timestamp")
     return feat.join_review_count(r)
 
 
 @register("rating_deviation")
 def q_rating_deviation(spark, sf_dir):
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir, with_label=False)
     return round_doubles(r.select("review_id", "rating", "restaurant_rating",
                                   feat.rating_deviation().alias("rating_deviation")))
 
@@ -78,7 +78,7 @@ def q_rating_deviation(spark, sf_dir):
 
 @register("clean_content")
 def q_clean_content(spark, sf_dir):
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir, with_label=False)
     return r.select("review_id", clean_content("review_content").alias("review_content"))
 
 
@@ -111,7 +111,7 @@ def q_pair_similarity(spark, sf_dir):
 
 @register("review_features")
 def q_review_features(spark, sf_dir):
-    return round_doubles(feat.review_features(reviews(spark, sf_dir)))
+    return round_doubles(feat.review_features(reviews(spark, sf_dir, with_label=False)))
 
 
 # --- step 4: sources, preparation, filters, limits, set ops ------------------------
@@ -132,7 +132,7 @@ DAY = _dt.date(2024, 1, 3)
 
 
 def _raw(spark, sf_dir) -> DataFrame:
-    return reviews(spark, sf_dir).select(*RAW_COLUMNS)
+    return reviews(spark, sf_dir, with_label=False).select(*RAW_COLUMNS)
 
 
 def _yn(spark, sf_dir) -> DataFrame:
@@ -141,7 +141,7 @@ def _yn(spark, sf_dir) -> DataFrame:
 
 def raw_csv_frame(spark, sf_dir) -> DataFrame:
     """The raw review source file's layout, derived from the review view."""
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir, with_label=False)
     back = {v: k for k, v in prep.RAW_RENAMES.items()}
     cols = [F.date_format("timestamp", dts.SLASH_DATE).alias("date") if c == "timestamp"
             else F.col(c).alias(back[c]) for c in RAW_COLUMNS]
@@ -269,7 +269,7 @@ def q_null_audit(spark, sf_dir):
 
 
 def _blank_ids(spark, sf_dir) -> DataFrame:
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir, with_label=False)
     rid = F.col("review_id")
     k = rid.cast("long") % 10
     messy = (F.when(k == 0, F.lit("   ")).when(k == 1, F.lit(None).cast("string"))
@@ -283,7 +283,7 @@ def q_valid_ids(spark, sf_dir):
 
 
 def _newline_dates(spark, sf_dir) -> DataFrame:
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir, with_label=False)
     d = F.date_format("timestamp", dts.SLASH_DATE)
     return r.select("review_id", F.when(F.col("review_id").cast("long") % 3 == 0,
                                         F.concat(F.lit("\n"), d)).otherwise(d).alias("date"))
@@ -440,19 +440,19 @@ def q_top_terms(spark, sf_dir):
 
 @register("clean_for_sentiment")
 def q_clean_for_sentiment(spark, sf_dir):
-    return sent.clean_for_sentiment(reviews(spark, sf_dir))
+    return sent.clean_for_sentiment(reviews(spark, sf_dir, with_label=False))
 
 
 @register("lemma_lookup")
 def q_lemma_lookup(spark, sf_dir):
-    toks = reviews(spark, sf_dir).select(
+    toks = reviews(spark, sf_dir, with_label=False).select(
         "review_id", F.posexplode(txt.sentiment_tokens("review_content")).alias("pos", "token"))
     out = sent.lemma_lookup(toks, lemma_frame(spark))
     return out.select("review_id", F.col("pos").cast("long").alias("pos"), "token", "lemma")
 
 
 def _sentiment(spark, sf_dir) -> DataFrame:
-    clean = sent.clean_for_sentiment(reviews(spark, sf_dir), lemmas=lemma_frame(spark))
+    clean = sent.clean_for_sentiment(reviews(spark, sf_dir, with_label=False), lemmas=lemma_frame(spark))
     return sent.sentiment_scores(clean, sent.lexicon_frame(spark))
 
 
