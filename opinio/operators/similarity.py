@@ -84,10 +84,12 @@ def doc_vectors(docs: DataFrame, group: str = "reviewer_id", id_col: str = "revi
                 text: str = "review_content") -> DataFrame:
     """One row per document with a non-empty vector.
 
-    ``entries``: array of (df, token, w, tf) sorted by (df, token) — the
-    prefix order; ``vec``: map token -> w (L2-normalised); ``vh``: hash of
-    the term-frequency vector; ``top``: the highest-weighted token.
-    The grouping is per document, so its size is bounded by one text.
+    ``entries``: array of (df, token, w) sorted by (df, token) — the prefix
+    order, ``w`` L2-normalised; ``vh``: hash of the term-frequency vector;
+    ``top``: the highest-weighted token. Each token is stored once; the
+    token->weight map used for dot products is rebuilt on read
+    (:func:`weight_map`). The grouping is per document, so its size is
+    bounded by one text.
     """
     raw = raw_weights(docs, group, id_col, text)
     per = (raw.groupBy(group, id_col)
@@ -95,15 +97,18 @@ def doc_vectors(docs: DataFrame, group: str = "reviewer_id", id_col: str = "revi
                 F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("nrm")))
     entries = F.transform("e", lambda x: F.struct(
         x.getField("df").alias("df"), x.getField("token").alias("token"),
-        (x.getField("raw") / F.col("nrm")).alias("w"), x.getField("tf").alias("tf")))
-    out = per.select(group, id_col, entries.alias("entries"))
-    return out.select(
-        group, id_col, "entries",
-        F.map_from_arrays(F.col("entries.token"), F.col("entries.w")).alias("vec"),
-        F.sha2(F.array_join(F.transform("entries", lambda x: F.concat_ws(
-            ":", x.getField("token"), x.getField("tf").cast("string"))), ","), 256).alias("vh"),
-        F.array_max(F.transform("entries", lambda x: F.struct(
-            x.getField("w").alias("w"), x.getField("token").alias("token")))).getField("token").alias("top"))
+        (x.getField("raw") / F.col("nrm")).alias("w")))
+    vh = F.sha2(F.array_join(F.transform("e", lambda x: F.concat_ws(
+        ":", x.getField("token"), x.getField("tf").cast("string"))), ","), 256)
+    top = F.array_max(F.transform("e", lambda x: F.struct(
+        x.getField("raw").alias("w"), x.getField("token").alias("token")))).getField("token")
+    return per.select(group, id_col, entries.alias("entries"), vh.alias("vh"), top.alias("top"))
+
+
+def weight_map(entries="entries") -> Column:
+    """token -> weight map of a document's entries."""
+    e = F.col(entries) if isinstance(entries, str) else entries
+    return F.map_from_arrays(e.getField("token"), e.getField("w"))
 
 
 def tfidf_weights(docs: DataFrame, group: str = "reviewer_id", id_col: str = "review_id",
@@ -126,8 +131,8 @@ def dot(va, vb) -> Column:
 
 def verify_pairs(pairs: DataFrame, vecs: DataFrame, group: str, id_col: str) -> DataFrame:
     """Exact cosine of candidate pairs ``(group, a, b)`` from document vectors."""
-    da = vecs.select(group, F.col(id_col).alias("a"), F.col("vec").alias("va"))
-    db = vecs.select(group, F.col(id_col).alias("b"), F.col("vec").alias("vb"))
+    da = vecs.select(group, F.col(id_col).alias("a"), weight_map().alias("va"))
+    db = vecs.select(group, F.col(id_col).alias("b"), weight_map().alias("vb"))
     return (pairs.join(da, [group, "a"]).join(db, [group, "b"])
             .select(group, "a", "b", dot("va", "vb").alias("cosine")))
 
@@ -144,9 +149,9 @@ def lower_bound(vecs: DataFrame, group: str, id_col: str) -> DataFrame:
     for key in ("vh", "top"):
         p = (vecs.groupBy(group, key)
              .agg(F.min(id_col).alias("a"), F.max(id_col).alias("b"),
-                  F.min_by("vec", id_col).alias("va"), F.max_by("vec", id_col).alias("vb"))
+                  F.min_by("entries", id_col).alias("ea"), F.max_by("entries", id_col).alias("eb"))
              .where(F.col("a") < F.col("b"))
-             .select(group, dot("va", "vb").alias("cosine")))
+             .select(group, dot(weight_map("ea"), weight_map("eb")).alias("cosine")))
         out = p if out is None else out.unionByName(p)
     return out.groupBy(group).agg(F.max("cosine").alias("lb"))
 
