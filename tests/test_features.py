@@ -62,3 +62,8 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.columns == FINAL_COLUMNS and df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_feature_plan_has_no_cross_join(spark):
+    plan = feat.review_features(reviews(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
