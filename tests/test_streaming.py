@@ -61,3 +61,17 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     ingest.write_batch(raw, 7, table, errors, max_bytes=1024)  # replay of the same batch id
     assert ingest.read_sink(spark, table, RAW).count() == 1
     assert ingest.read_sink(spark, errors, ERROR).count() == 4
+
+
+def test_crash_between_the_two_writes_then_replay(spark, tmp_path):
+    import pytest
+    raw = spark.createDataFrame([(m,) for m in messages()], "value string")
+    table, errors = str(tmp_path / "t"), str(tmp_path / "e")
+    blocker = tmp_path / "blocked"
+    blocker.write_text("a file where the dead-letter folder should be")
+    with pytest.raises(Exception):
+        ingest.write_batch(raw, 3, table, str(blocker / "e"), max_bytes=1024)  # table written, errors fail
+    assert ingest.read_sink(spark, table, RAW).count() == 1
+    ingest.write_batch(raw, 3, table, errors, max_bytes=1024)                  # the replay after restart
+    assert ingest.read_sink(spark, table, RAW).count() == 1
+    assert ingest.read_sink(spark, errors, ERROR).count() == 4
