@@ -82,8 +82,13 @@ def sentiment_scores(clean: DataFrame, lexicon: DataFrame, id_col: str = "review
                      text: str = "review_clean", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``(id, neg, neu, pos, compound)`` per review (zeros for empty text)."""
     toks = clean.select(id_col, F.explode(F.filter(F.split(text, " "), lambda x: x != "")).alias("token"))
+    return _score(toks, clean, lexicon, id_col, broadcast_rows)
+
+
+def _score(tokens: DataFrame, docs: DataFrame, lexicon: DataFrame, id_col: str,
+           broadcast_rows: int) -> DataFrame:
     v = F.coalesce(F.col("valence"), F.lit(0.0))
-    scored = _small_join(toks, lexicon.select("token", "valence"), "token", "left", broadcast_rows)
+    scored = _small_join(tokens, lexicon.select("token", "valence"), "token", "left", broadcast_rows)
     agg = scored.groupBy(id_col).agg(
         F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("ps"),
         F.sum(F.when(v < 0, v - 1).otherwise(0.0)).alias("ns"),
@@ -97,5 +102,24 @@ def sentiment_scores(clean: DataFrame, lexicon: DataFrame, id_col: str = "review
         F.round(F.col("ps") / total, 3).alias("pos"),
         F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + F.lit(15.0)), 4).alias("compound"))
     zero = F.lit(0.0)
-    return (clean.select(id_col).join(out, id_col, "left")
+    return (docs.select(id_col).join(out, id_col, "left")
             .select(id_col, *[F.coalesce(c, zero).alias(c) for c in ("neg", "neu", "pos", "compound")]))
+
+
+def text_sentiment(df: DataFrame, lexicon: DataFrame, text: str = "review_content",
+                   id_col: str = "review_id", lemmas: DataFrame | None = None,
+                   stop_words: Iterable[str] | None = None,
+                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """T5 + T6 + E1 in one pass over token rows.
+
+    Same scores as ``sentiment_scores(clean_for_sentiment(...))``: the score
+    does not depend on token order, so the cleaned string is never
+    re-assembled (no per-review regroup shuffle).
+    """
+    toks = df.select(id_col, F.explode(sentiment_tokens(text, stop_words)).alias("form"))
+    if lemmas is not None:
+        toks = (_small_join(toks, lemmas.select("form", "lemma"), "form", "left", broadcast_rows)
+                .select(id_col, F.coalesce("lemma", "form").alias("token")))
+    else:
+        toks = toks.select(id_col, F.col("form").alias("token"))
+    return _score(toks.where(F.length("token") > 1), df, lexicon, id_col, broadcast_rows)

@@ -452,8 +452,8 @@ def q_lemma_lookup(spark, sf_dir):
 
 
 def _sentiment(spark, sf_dir) -> DataFrame:
-    clean = sent.clean_for_sentiment(reviews(spark, sf_dir, with_label=False), lemmas=lemma_frame(spark))
-    return sent.sentiment_scores(clean, sent.lexicon_frame(spark))
+    return sent.text_sentiment(reviews(spark, sf_dir, with_label=False), sent.lexicon_frame(spark),
+                               lemmas=lemma_frame(spark))
 
 
 @register("sentiment_scores")

@@ -30,3 +30,14 @@ def test_align_fields_pads_missing(spark):
     df = spark.createDataFrame([(1, html)], "page_id long, html string")
     rows = pg.align_fields(df, {"href": pg.LINK_HREF, "text": pg.LINK_TEXT, "p": r"<p>([^<]*)"}).orderBy("slot").collect()
     assert [(r.href, r.text, r.p) for r in rows] == [("/a", "A", "one"), ("/b", "B", None)]
+
+
+def test_one_pass_matches_two_step(spark):
+    df = spark.createDataFrame([("1", "Good food, BAD service! loved it"), ("2", None), ("3", "x 9 y")],
+                               "review_id string, review_content string")
+    lem = spark.createDataFrame([("loved", "love")], "form string, lemma string")
+    lex = sent.lexicon_frame(spark, {"good": 2.0, "bad": -1.0, "love": 3.0})
+    two = {r.review_id: tuple(r)[1:] for r in
+           sent.sentiment_scores(sent.clean_for_sentiment(df, lemmas=lem), lex).collect()}
+    one = {r.review_id: tuple(r)[1:] for r in sent.text_sentiment(df, lex, lemmas=lem).collect()}
+    assert one == two
