@@ -56,15 +56,26 @@ def materialise(df: DataFrame, name: str = "vectors") -> DataFrame:
 
 
 def term_frequencies(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
-    """(group, id, token, tf) for documents with a non-null group.
+    """(group, id, token, tf) for documents with a non-null group — without a shuffle.
 
-    Tokens of one document sit in one task, so partial aggregation collapses
-    repeats before the shuffle.
+    A document's tokens are already in one row: they are sorted into a
+    column, run starts are found by comparing neighbours, and each run's
+    length is the distance to the next start. The sorted array is a
+    materialised column, so the lambdas read it by index (O(1)) instead of
+    re-evaluating the sort.
     """
-    return (docs.where(F.col(group).isNotNull())
-            .select(group, id_col, F.explode(tfidf_tokens(text)).alias("token"))
-            .groupBy(group, id_col, "token")
-            .agg(F.count(F.lit(1)).alias("tf")))
+    s = (docs.where(F.col(group).isNotNull())
+         .select(group, id_col, F.array_sort(tfidf_tokens(text)).alias("_s")))
+    starts = F.filter(
+        F.transform("_s", lambda x, k: F.when((k == 0) | (x != F.get(F.col("_s"), k - 1)), k)
+                    .otherwise(F.lit(-1))),
+        lambda k: k >= 0)
+    s = s.select(group, id_col, "_s", starts.alias("_st"))
+    runs = F.transform("_st", lambda st, j: F.struct(
+        F.get(F.col("_s"), st).alias("token"),
+        (F.coalesce(F.get(F.col("_st"), j + 1), F.size("_s")) - st).cast("long").alias("tf")))
+    return (s.select(group, id_col, F.explode(runs).alias("x"))
+            .select(group, id_col, F.col("x.token").alias("token"), F.col("x.tf").alias("tf")))
 
 
 def raw_weights(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
