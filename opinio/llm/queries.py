@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinio.llm.bpe import bpe
 from opinio.llm.common import read
+from opinio.llm.token_files import read_tokens, write_tokens
+from opinio.session import scratch_path
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,8 +21,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                public_tokenizers.PATTERN, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, from the files read back."""
+    path = scratch_path(spark, "token_files")
+    write_tokens(read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_tokens(spark, path, outputs=("ids_crc32",))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op6_token_files": op6_token_files,
 }
 
 ORACLES: dict[str, str] = {}
