@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opinio.llm.bpe import bpe
 from opinio.llm.common import read
+from opinio.llm.exact_dedup import exact_dedup
+from opinio.llm.secrets import RULES, joined, scan_secrets
 from opinio.llm.token_files import read_tokens, write_tokens
 from opinio.session import scratch_path
 
@@ -21,6 +24,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                public_tokenizers.PATTERN, outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: counts and digest of the base kinds, all spans."""
+    found = scan_secrets(read(spark, sf_dir, "documents"))
+    base = [r.kind for r in RULES if r.base]
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+    own = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select("doc_id", *counts, F.sha2(joined(own), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum, from the files read back."""
     path = scratch_path(spark, "token_files")
@@ -28,9 +41,27 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, outputs=("ids_crc32",))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the row that stays for its text."""
+    return exact_dedup(read(spark, sf_dir, "documents")).drop("n_chars")
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_secrets": op3_secrets,
     "op6_token_files": op6_token_files,
+    "op8_exact_dedup": op8_exact_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS n,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS norm
+            FROM documents),
+        k AS (
+            SELECT doc_id, sha256(norm) AS text_sha256, count(*) OVER (PARTITION BY norm) AS group_size,
+                   first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id
+            FROM d)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k""",
+}
