@@ -35,21 +35,24 @@ from opinio.llm.common import text_of
 @dataclass(frozen=True)
 class Rule:
     """A kind of secret: matches of ``pattern`` whose ``group`` has at least
-    ``least`` characters. ``base`` rules are counted on their own."""
+    ``least`` characters. ``base`` rules are counted on their own. ``same``
+    gives the same spans with the length built in; it exists where a match
+    that is too short holds no other start of a longer one."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
     base: bool = False
+    same: str | None = None
 
 
 #: The rules, in the order in which kinds are listed.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
          group=2, least=6, base=True),
-    Rule("access", "AKIA[A-Z0-9]+", least=20, base=True),
-    Rule("hex", "[0-9a-f]+", least=24, base=True),
+    Rule("access", "AKIA[A-Z0-9]+", least=20, base=True, same="AKIA[A-Z0-9]{16,}"),
+    Rule("hex", "[0-9a-f]+", least=24, base=True, same="[0-9a-f]{24,}"),
     Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("github", "gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", least=16),
@@ -136,9 +139,10 @@ def _indexed(rules: tuple[Rule, ...]) -> dict[str, Query]:
 
 def postings(keyed: DataFrame, trigrams: list[str]) -> DataFrame:
     """The inverted index of the given trigrams: (``trigram``, ``key``)."""
-    low = keyed.select("key", F.lower("text").alias("_low"))
-    found = [F.when(F.contains("_low", F.lit(t)), F.lit(t)) for t in trigrams]
-    return low.select("key", F.explode(F.array_compact(F.array(*found))).alias("trigram"))
+    # Inside transform() the lowered text is bound once, not once a trigram.
+    found = F.transform(F.array(F.lower("text")), lambda low: F.array_compact(
+        F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in trigrams])))
+    return keyed.select("key", F.explode(F.flatten(found)).alias("trigram"))
 
 
 def candidates(keyed: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -165,35 +169,24 @@ def candidates(keyed: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def spans(text: Column, rule: Rule, number: int) -> Column:
     """Spans of one rule, leftmost and non-overlapping, as an array of
     (start, kind's number, end, kind)."""
-    pattern = F.lit(rule.pattern)
-    gaps = F.transform(F.split(text, rule.pattern, -1), lambda x: F.length(x))
-    sizes = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda x: F.length(x))
-    judged = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda x: F.length(x))
+    pattern = rule.same or rule.pattern
+    gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
+    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.length(x))
+    judged = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)), lambda x: F.length(x))
     none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(acc: Column, m: Column) -> Column:
-        begin = acc["at"] + m["gap"]
-        end = begin + m["size"]
+        begin = acc["at"] + m["0"]
+        end = begin + m["1"]
         one = F.array(F.struct(begin.alias("start"), F.lit(number).alias("number"), end.alias("end"),
                                F.lit(rule.kind).alias("kind")))
         return F.struct(end.alias("at"),
-                        F.when(m["judged"] >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
-
-    matches = F.transform(F.sequence(F.lit(0), F.size(sizes) - 1),
-                          lambda i: F.struct(F.get(gaps, i).alias("gap"), F.get(sizes, i).alias("size"),
-                                             F.get(judged, i).alias("judged")))
-    found = F.aggregate(matches, start, step, lambda acc: acc["out"])
-    # Cheap test first: most texts have no match that is long enough.
-    enough = text.rlike(rule.pattern if rule.group or not rule.pattern.endswith("]+")
-                        else f"{rule.pattern[:-1]}{{{_run(rule)},}}")
-    return F.when(enough, found).otherwise(none)
-
-
-def _run(rule: Rule) -> int:
-    """Least length of the last run in a rule that ends in one, as far as known."""
-    low, high = sre.parse(rule.pattern[:-1]).getwidth()
-    return max(1, rule.least - low + 1) if low == high else 1
+                        F.when(m["2"] >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+
+    # The last gap has no match after it: its sizes are null and add no span.
+    found = F.aggregate(F.arrays_zip(gaps, sizes, judged), F.struct(F.lit(0).alias("at"), none.alias("out")),
+                        step, lambda acc: acc["out"])
+    return F.when(text.rlike(pattern), found).otherwise(none)
 
 
 def joined(found: Column) -> Column:
