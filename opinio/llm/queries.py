@@ -15,6 +15,7 @@ from opinio.llm.common import read
 from opinio.llm.exact_dedup import exact_dedup
 from opinio.llm.secrets import RULES, joined, scan_secrets
 from opinio.llm.token_files import read_tokens, write_tokens
+from opinio.llm.url_rules import judge_urls
 from opinio.session import scratch_path
 
 
@@ -36,6 +37,22 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+#: (host, path, verdict); a rule holds for the host and all its subdomains.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host and path with the rule that decides its url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(read(spark, sf_dir, "pages"), rules)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum, from the files read back."""
     path = scratch_path(spark, "token_files")
@@ -51,11 +68,34 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
+    "op4_url_rules": op4_url_rules,
     "op6_token_files": op6_token_files,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_url_rules": r"""
+        WITH u AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages),
+        k AS (
+            SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        c AS (
+            SELECT page_id, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host
+            FROM k),
+        j AS (
+            SELECT page_id, host, path, CASE
+                WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%'
+                    THEN 'www.example.com/en/'
+                WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
+            FROM c)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+        FROM j""",
     "op8_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
