@@ -16,6 +16,7 @@ from opinio.llm.exact_dedup import exact_dedup
 from opinio.llm.secrets import RULES, joined, scan_secrets
 from opinio.llm.token_files import read_tokens, write_tokens
 from opinio.llm.url_rules import judge_urls
+from opinio.llm.warc import read_warc, with_revisits, write_warc
 from opinio.session import scratch_path
 
 
@@ -65,12 +66,40 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def archived_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The records of an archive of pages, read back.
+
+    Responses are judged by their payloads; of revisits only the headers are
+    read (both predicates reach the data source).
+    """
+    page = F.regexp_extract("record_id", "^<urn:page:(-?[0-9]+)>$", 1)
+    target = F.regexp_extract("refers_to", "^<urn:page:(-?[0-9]+)>$", 1)
+    none = F.lit(None).cast("long")
+    responses = read_warc(spark, path).where("record_type = 'response'").select(
+        F.nullif(page, F.lit("")).cast("long").alias("page_id"), F.length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"), "record_type", none.alias("refers_to"))
+    revisits = read_warc(spark, path, payload=False).where("record_type = 'revisit'").select(
+        F.nullif(page, F.lit("")).cast("long").alias("page_id"),
+        F.col("headers")["x-payload-length"].cast("long").alias("payload_bytes"),
+        F.regexp_replace("payload_digest", "^sha256:", "").alias("payload_digest"), "record_type",
+        F.nullif(target, F.lit("")).cast("long").alias("refers_to"))
+    return responses.unionByName(revisits)
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    path = scratch_path(spark, "warc")
+    write_warc(with_revisits(read(spark, sf_dir, "pages")), path)
+    return archived_pages(spark, path)
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
     "op4_url_rules": op4_url_rules,
     "op6_token_files": op6_token_files,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -106,4 +135,11 @@ ORACLES: dict[str, str] = {
                    first_value(doc_id) OVER (PARTITION BY norm ORDER BY n DESC, doc_id) AS keep_id
             FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k""",
+    "op10_warc": r"""
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+        SELECT page_id, n AS payload_bytes, payload_digest,
+               CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+        FROM f""",
 }
