@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from opinio.llm.bpe import bpe
 from opinio.llm.common import read
 from opinio.llm.exact_dedup import exact_dedup
+from opinio.llm.html_extract import extract_text
 from opinio.llm.secrets import RULES, joined, scan_secrets
 from opinio.llm.token_files import read_tokens, write_tokens
 from opinio.llm.url_rules import judge_urls
@@ -20,6 +21,11 @@ from opinio.llm.warc import read_warc, with_revisits, write_warc
 from opinio.session import scratch_path
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text and its length."""
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document's ids and decoded bytes."""
     return bpe(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -94,6 +100,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
     "op4_url_rules": op4_url_rules,
