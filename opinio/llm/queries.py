@@ -14,6 +14,7 @@ from opinio.llm.bpe import bpe
 from opinio.llm.common import read
 from opinio.llm.exact_dedup import exact_dedup
 from opinio.llm.html_extract import extract_text
+from opinio.llm.quality import sample_by_importance
 from opinio.llm.secrets import RULES, joined, scan_secrets
 from opinio.llm.token_files import read_tokens, write_tokens
 from opinio.llm.url_rules import judge_urls
@@ -72,6 +73,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read(spark, sf_dir, "documents")).drop("n_chars")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's importance weight, sampling key, and whether it is kept."""
+    return sample_by_importance(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))[2]
+
+
 def archived_pages(spark: SparkSession, path: str) -> DataFrame:
     """The records of an archive of pages, read back.
 
@@ -106,6 +112,7 @@ QUERIES = {
     "op4_url_rules": op4_url_rules,
     "op6_token_files": op6_token_files,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_quality": op9_quality,
     "op10_warc": op10_warc,
 }
 
