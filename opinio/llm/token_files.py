@@ -25,6 +25,7 @@ import hashlib
 import posixpath
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +39,12 @@ from opinio.llm.bpe import by_size
 from opinio.llm.common import arrow_map, text_of
 
 #: Entries that one worker's memo of words may hold, and the longest word kept.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 700_000
 MEMO_WORD = 48
 
+#: ASCII marks that the tokenizer separates from a letter before them.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 
 class WordEncoder:
     """A tokenizer of the ``tokenizers`` library with a memo of its words.
@@ -55,6 +59,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(config)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = np.dtype(f"<u{id_bytes}")
+        self.code = "H" if id_bytes == 2 else "I"
         self.memo: dict[str, bytes] = {}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
@@ -62,15 +67,30 @@ class WordEncoder:
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
         found = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*found).difference(memo))
-        for word, enc in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            memo[word] = np.array(enc.ids, self.kind).tobytes()
+        new = set().union(*found).difference(memo)
+        made = {word: self._parts(word) for word in new}
+        parts = list({p for pair in made.values() for p in pair}.difference(memo))
+        ids = {p: array(self.code, enc.ids).tobytes()
+               for p, enc in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False))}
+        for word, (stem, tail) in made.items():
+            memo[word] = (ids.get(stem) or memo.get(stem, b"")) + (ids.get(tail) or memo.get(tail, b""))
+        memo.update(ids)
         out = [b"".join(map(memo.__getitem__, words)) for words in found]
-        for word in new:
+        for word in new.union(parts):
             if len(word) > MEMO_WORD:
                 del memo[word]
         return out
 
+    @staticmethod
+    def _parts(word: str) -> tuple[str, str]:
+        """Two parts whose ids follow one another as the word's ids do: the
+        tokenizer separates a (Latin-1) letter from a mark after it, but for
+        "'", and lowers ASCII letters."""
+        stem = word.rstrip(MARKS)
+        if len(stem) == len(word) or not stem or not stem[-1].isalpha() or stem[-1] > "\xff":
+            return word.lower() if word.isascii() else word, ""
+        return stem.lower() if stem.isascii() else stem, word[len(stem):]
+
 
 _ENCODERS: dict[str, WordEncoder] = {}  # per Python worker
 
@@ -150,7 +170,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
         offset = 0
         for batch in batches:
             if writer is None and batch.num_rows:
-                sink = system.open_output_stream(posixpath.join(folder, name))
+                sink = system.open_output_stream(posixpath.join(folder, name), compression=None)
                 writer = SequenceWriter(sink, seq_len, rows, encoder.kind)
             offsets, counts = [], []
             for texts in by_size(batch.column(1).to_pylist()):
