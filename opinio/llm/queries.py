@@ -14,6 +14,7 @@ from opinio.llm.bpe import bpe
 from opinio.llm.common import read
 from opinio.llm.exact_dedup import exact_dedup
 from opinio.llm.html_extract import extract_text
+from opinio.llm.jaccard_tree import jaccard_components
 from opinio.llm.quality import sample_by_importance
 from opinio.llm.secrets import RULES, joined, scan_secrets
 from opinio.llm.token_files import read_tokens, write_tokens
@@ -68,6 +69,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, outputs=("ids_crc32",))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shingle count and near-duplicate component."""
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays for its text."""
     return exact_dedup(read(spark, sf_dir, "documents")).drop("n_chars")
@@ -111,6 +117,7 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_url_rules": op4_url_rules,
     "op6_token_files": op6_token_files,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
