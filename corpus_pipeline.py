@@ -7,6 +7,30 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinio.llm.bpe import bpe
 from opinio.llm.common import materialise, read
+from opinio.llm.decontaminate import drop_contaminated
+from opinio.llm.exact_dedup import drop_copies
+from opinio.llm.jaccard_tree import keep_one
+from opinio.llm.quality import keep_good
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality sample keeps."""
+    return keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text."""
+    return drop_copies(docs)
+
+
+def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark passage."""
+    return drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,6 +40,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality),
+    ("exact_dedup", exact_dedup),
+    ("ngram_jaccard", ngram_jaccard),
+    ("decontaminate", decontaminate),
     ("byte_bpe", encode),
 ]
 

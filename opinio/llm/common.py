@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,3 +43,26 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     """``mapInArrow`` with small batches."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return df.mapInArrow(fn, schema)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """A hash that names a row by its id and text (equal rows share it)."""
+    return F.xxhash64(F.col(id_col), text_of(text_col))
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose key is in ``keys``
+    (``key``); of rows that are equal, one."""
+    key, n = unused(docs, "__key"), unused(docs, "__n")
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
+    stay = keyed.join(keys.select(F.col("key").alias(key)), key, "left_semi")
+    first = Window.partitionBy(key).orderBy(key)
+    return stay.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns)

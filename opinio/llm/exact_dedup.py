@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import materialise, text_of
+from opinio.llm.common import keep_rows, materialise, row_key, text_of
 
 #: Chunk lengths in characters, and what may end a chunk between them.
 MIN, MAX = 512, 8192
@@ -47,13 +47,15 @@ def chunks(text: Column, least: int = MIN, most: int = MAX) -> Column:
 
 
 def recipes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``row_id``, id, code points, text digest, chunk
+    """One row per document: ``row_id``, ``key``, id, code points, text digest, chunk
     identifiers ``cids`` and chunk digests ``shas``; written to the shared
     folder."""
     rows = (docs.select(F.col(id_col), text_of(text_col).alias("_text"))
-            .select(id_col, F.length("_text").cast("long").alias("n_chars"), normalised(F.col("_text")).alias("_norm"))
-            .select(id_col, "n_chars", F.sha2("_norm", 256).alias("text_sha256"), chunks(F.col("_norm")).alias("_chunks"))
-            .select(F.monotonically_increasing_id().alias("row_id"), id_col, "n_chars", "text_sha256",
+            .select(F.col(id_col).alias("id"), row_key(id_col, "_text").alias("key"),
+                    F.length("_text").cast("long").alias("n_chars"), normalised(F.col("_text")).alias("_norm"))
+            .select("id", "key", "n_chars", F.sha2("_norm", 256).alias("text_sha256"),
+                    chunks(F.col("_norm")).alias("_chunks"))
+            .select(F.monotonically_increasing_id().alias("row_id"), "id", "key", "n_chars", "text_sha256",
                     F.transform("_chunks", lambda c: F.xxhash64(c)).alias("cids"),
                     F.transform("_chunks", lambda c: F.unhex(F.sha2(c, 256))).alias("shas")))
     return materialise(rows, "recipes")
@@ -79,14 +81,27 @@ def verified(rows: DataFrame) -> DataFrame:
     return rows.withColumn("recipe", F.struct(F.col("cids").alias("ids"), fixes.alias("digests")))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ``keep_id``, ``group_size``, ``kept``,
-    ``text_sha256``, ``n_chars``."""
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``id``, ``key``, ``keep_id``, ``group_size``,
+    ``kept``, ``text_sha256``, ``n_chars``."""
     rows = verified(recipes(docs, id_col, text_col))
-    best = F.struct((-F.col("n_chars")).alias("a"), F.col(id_col).isNull().alias("b"), F.col(id_col).alias("id"),
+    best = F.struct((-F.col("n_chars")).alias("a"), F.col("id").isNull().alias("b"), F.col("id").alias("id"),
                     F.col("row_id").alias("row"))
-    groups = rows.groupBy("recipe").agg(F.min(best).alias("_best"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.withColumnRenamed("recipe", "_recipe")
+    groups = rows.groupBy("recipe").agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    # Written, so that the join reads it by a shuffle of its own and can split a hot recipe.
+    groups = materialise(groups.select(F.col("recipe").alias("_recipe"), "best", "group_size"), "groups")
     return (rows.join(groups, F.col("recipe") == F.col("_recipe"))
-            .select(id_col, F.col("_best.id").alias("keep_id"), "group_size",
-                    (F.col("_best.row") == F.col("row_id")).alias("kept"), "text_sha256", "n_chars"))
+            .select("id", "key", F.col("best.id").alias("keep_id"), "group_size",
+                    (F.col("best.row") == F.col("row_id")).alias("kept"), "text_sha256", "n_chars"))
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, ``keep_id``, ``group_size``, ``kept``,
+    ``text_sha256``, ``n_chars``."""
+    return judged(docs, id_col, text_col).select(F.col("id").alias(id_col), "keep_id", "group_size", "kept",
+                                                 "text_sha256", "n_chars")
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The row of each text that stays, with all its columns."""
+    return keep_rows(docs, judged(docs, id_col, text_col).where("kept"), id_col, text_col)

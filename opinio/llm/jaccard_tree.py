@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import arrow_map, materialise, text_of
+from opinio.llm.common import arrow_map, keep_rows, materialise, row_key, text_of
 from opinio.llm.components import connected_components
 from opinio.llm.shingles import set_id, shingle_sets
 
@@ -94,7 +94,7 @@ def set_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                                               pa.array(some, pa.int32())], names)
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("_text"))
-    rows = rows.select("id", F.xxhash64("id", "_text").alias("key"), "_text")
+    rows = rows.select("id", row_key("id", "_text").alias("key"), "_text")
     return materialise(arrow_map(rows, run, f"id {kind}, key bigint, sid bigint, n bigint, bucket int"), "sets")
 
 
@@ -394,10 +394,10 @@ def _large_block_links(docs: DataFrame, large: DataFrame, text_col: str) -> Data
     return edges.unionByName(block_links(docs, both, text_col))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ``n_shingles``, ``component_id`` (the least id
-    reachable by links)."""
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), text_of(text_col)))
+def judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: ``id``, ``key``, ``n``, and ``least``, the id and key
+    of its component's first document (null where it has no words)."""
+    keyed = docs.select(F.col(text_col), row_key(id_col, text_col).alias("__key"))
     table = set_table(docs, id_col, text_col)
     rows = table.where("bucket is null").select("id", "key", "sid", "n")
     coarse = connected_components(coarse_edges(docs, bucket_counts(table), text_col), "coarse")
@@ -414,9 +414,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         edges = edges.unionByName(_large_block_links(keyed, large, text_col))
     classes = connected_components(edges, "links")
     named = rows.join(classes, F.col("sid") == F.col("node"), "left").withColumn("class", F.coalesce("component", "sid"))
-    named = materialise(named.select("id", "n", "class"), "classes")
-    least = materialise(named.where("n > 0").groupBy(F.col("class").alias("_class")).agg(F.min("id").alias("least")),
-                        "names")
+    named = materialise(named.select("id", "key", "n", "class"), "classes")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+    least = materialise(named.where("n > 0").groupBy(F.col("class").alias("_class")).agg(first.alias("least")), "names")
     return (named.join(least, (F.col("class") == F.col("_class")) & (F.col("n") > 0), "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id")))
+            .select("id", "key", "n", "least"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, ``n_shingles``, ``component_id`` (the least id
+    reachable by links)."""
+    return judged(docs, id_col, text_col).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("least.id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The first document of each component, with all its columns."""
+    stay = judged(docs, id_col, text_col).where((F.col("n") == 0) | (F.col("key") == F.col("least.key")))
+    return keep_rows(docs, stay, id_col, text_col)

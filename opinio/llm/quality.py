@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from opinio.llm.common import arrow_map, materialise, text_of
+from opinio.llm.common import arrow_map, materialise, row_key, text_of, unused
 
 BUCKETS = 1 << 14
 #: Labelled rows that the target model is fitted on, at most.
@@ -120,8 +120,8 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
     """``docs`` with each row's log importance weight and Gumbel key."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     # Noise follows the row, so a repeated task draws the same.
-    rows = docs.withColumn("__text", text_of(text_col)).withColumn(
-        "__noise", F.xxhash64(F.col(id_col), F.col("__text"), F.lit(seed)))
+    rows = docs.withColumns({unused(docs, "__text"): text_of(text_col),
+                             unused(docs, "__noise"): F.xxhash64(row_key(id_col, text_col), F.lit(seed))})
     schema = StructType([*docs.schema.fields, StructField(weight_name, DoubleType()), StructField(key_name, DoubleType())])
     names = schema.names
 
@@ -183,5 +183,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     weights, least, _ = sample_by_importance(docs, labels, id_col, text_col, good)
     if least is None:
         return docs.limit(0)
-    drawn = score(docs, weights, id_col, text_col, "__weight", "__key")
-    return drawn.where(F.col("__key") >= F.lit(least)).drop("__weight", "__key")
+    weight, key = unused(docs, "__weight"), unused(docs, "__key")
+    drawn = score(docs, weights, id_col, text_col, weight, key)
+    return drawn.where(F.col(key) >= F.lit(least)).drop(weight, key)

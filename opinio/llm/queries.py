@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from opinio.llm.bpe import bpe
 from opinio.llm.common import read
+from opinio.llm.decontaminate import find_contamination
 from opinio.llm.exact_dedup import exact_dedup
 from opinio.llm.html_extract import extract_text
 from opinio.llm.jaccard_tree import jaccard_components
@@ -62,6 +63,11 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item whose passage it holds, also edited."""
+    return find_contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum, from the files read back."""
     path = scratch_path(spark, "token_files")
@@ -116,6 +122,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_secrets": op3_secrets,
     "op4_url_rules": op4_url_rules,
+    "op5_decontaminate": op5_decontaminate,
     "op6_token_files": op6_token_files,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
