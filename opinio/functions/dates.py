@@ -16,8 +16,9 @@ def _col(c) -> Column:
 
 
 def parse_slash_date(c) -> Column:
-    """``M/d/yyyy`` (one- or two-digit month/day) -> timestamp at midnight."""
-    return F.to_timestamp(_col(c), SLASH_DATE)
+    """``M/d/yyyy`` (one- or two-digit month/day) -> timestamp at midnight;
+    null where the text is no such date."""
+    return F.try_to_timestamp(_col(c), F.lit(SLASH_DATE))
 
 
 def to_epoch_seconds(ts) -> Column:

@@ -1,7 +1,7 @@
 """Per-review features of the final table.
 
 ``review_features`` is the daily feature job's plan as one declarative
-DataFrame: clean text, length, rating deviation, reviews-per-day ratio and
+DataFrame over cleaned reviews, written once: length, rating deviation, reviews-per-day ratio and
 the reviewer's highest text similarity. The wide review rows are shuffled
 once: the per-(reviewer, day) counts and the per-reviewer similarity are
 joined together first (both are small, one row per key), then joined to the
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinio.functions.text import clean_content, content_length
-from opinio.operators.similarity import reviewer_similarity
+from opinio.operators.similarity import materialise, reviewer_similarity
 from opinio.schemas import FINAL_COLUMNS
 
 
@@ -90,6 +90,7 @@ def review_features(df: DataFrame, stop_words: Iterable[str] | None = None,
     """
     base = (df.where(F.col("reviewer_id").isNotNull() & F.col("timestamp").isNotNull())
             .withColumn("review_content", clean_content("review_content", stop_words)))
+    base = materialise(base, "clean")  # cleaned once, read by the counts, the vectors and the output
     counts = normalised_counts(review_counts(base, grain=grain))
     sims = reviewer_similarity(base.select("reviewer_id", "review_id", "review_content"))
     per_key = counts.join(sims, "reviewer_id", "inner")

@@ -30,13 +30,24 @@ LABELS = ["N", "Y"]  # index 0 / 1
 
 
 def assemble(df: DataFrame, label: str = "flagged") -> DataFrame:
-    """M2: features vector + numeric label (Y -> 1.0, N -> 0.0)."""
-    va = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
-    out = va.transform(df.select("review_id", *FEATURES, label)
-                       .na.fill(0.0, subset=FEATURES))
+    """M2: features vector + numeric label (Y -> 1.0, N -> 0.0).
+
+    Nulls stay nulls: a row that lacks a feature has no vector and is left out
+    (:func:`incomplete` gives those rows), never scored as if it were 0.
+    """
+    va = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="error")
+    out = va.transform(df.select("review_id", *FEATURES, label).na.drop("any", subset=FEATURES))
     return out.withColumn("label", F.when(F.col(label) == "Y", 1.0).otherwise(0.0))
 
 
+def incomplete(df: DataFrame) -> DataFrame:
+    """The rows that lack a feature."""
+    lacks = F.lit(False)
+    for c in FEATURES:
+        lacks = lacks | F.col(c).isNull()
+    return df.where(lacks)
+
+
 def random_forest(num_trees: int = 500, max_depth: int = 14, seed: int = 42):
     """M5: entropy forest, sqrt feature subsets."""
     return RandomForestClassifier(impurity="entropy", maxDepth=max_depth, numTrees=num_trees,
@@ -72,40 +83,31 @@ def _predicted(df: DataFrame) -> DataFrame:
 
 
 def self_training(df: DataFrame, estimator, threshold: float = 0.8, iterations: int = 40,
-                  test_size: float = 0.25, seed: int = 42, holdout: bool = False,
-                  label: str = "flagged") -> SelfTrainingResult:
+                  test_size: float = 0.25, seed: int = 42, label: str = "flagged") -> SelfTrainingResult:
     """M4: fit, move confident pool rows (any class probability > threshold) into
     training with their predicted label, repeat until the pool is empty or the
-    round cap; then score the original test rows with the last model.
-
-    ``holdout=True`` scores only test rows that were never promoted.
+    round cap; then score all original test rows with the last model.
     """
     checkpoint_root(df.sparkSession)
     data = assemble(df, label).checkpoint()
     train, test = train_test_split(data, "review_id", test_size, seed)
     train = train.select("review_id", "features", "label").checkpoint()
     pool = test.select("review_id", "features").checkpoint()
-    promoted_ids = None
     model, rounds, promoted = None, 0, 0
     while rounds < iterations:
         rounds += 1
         model = estimator.fit(train)
-        scored = _predicted(model.transform(pool))
-        confident = scored.where(F.col("p_max") > F.lit(threshold)).select(
-            "review_id", "features", F.col("prediction").alias("label")).checkpoint()
+        scored = _predicted(model.transform(pool)).select(
+            "review_id", "features", F.col("prediction").alias("label"), "p_max").checkpoint()
+        confident = scored.where(F.col("p_max") > F.lit(threshold)).drop("p_max")
         n_conf = confident.count()
         promoted += n_conf
         if n_conf:
             train = train.unionByName(confident).checkpoint()
-            ids = confident.select("review_id")
-            promoted_ids = ids if promoted_ids is None else promoted_ids.unionByName(ids)
-            pool = pool.join(ids, "review_id", "left_anti").checkpoint()
+            pool = scored.where(F.col("p_max") <= F.lit(threshold)).select("review_id", "features")
         if pool.isEmpty():
             break
-    final = test
-    if holdout and promoted_ids is not None:
-        final = test.join(promoted_ids, "review_id", "left_anti")
-    scores = _predicted(model.transform(final)).select(
+    scores = _predicted(model.transform(test)).select(
         "review_id",
         F.when(F.col("label") == 1.0, "Y").otherwise("N").alias("label"),
         F.col("pred_label").alias("prediction"),

@@ -131,7 +131,7 @@ def valid_ids(df: DataFrame, col: str = "review_id") -> DataFrame:
 
 def page_frontier(df: DataFrame, url: str = "url", pages: int = 1, step: int = 20) -> DataFrame:
     """Every URL paired with its ``pages`` listing offsets (``?start=step*j``)."""
-    j = F.explode(F.sequence(F.lit(0), F.lit(pages - 1))).alias("page_no")
+    j = F.explode(F.array(*[F.lit(n) for n in range(pages)]).cast("array<int>")).alias("page_no")
     return (df.select("*", j)
             .withColumn("page_no", F.col("page_no").cast("long"))
             .withColumn("offset", F.col("page_no") * F.lit(step).cast("long"))

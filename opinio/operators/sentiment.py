@@ -1,9 +1,8 @@
 """Sentiment summaries (T5, T6, E1, E2) as joins against lookup tables.
 
 The lemma table ``(form, lemma)`` and the valence lexicon ``(token,
-valence)`` are caller-supplied DataFrames. They are broadcast only after
-their row count is checked against ``broadcast_rows``; larger tables are
-joined by shuffle.
+valence)`` are caller-supplied DataFrames; Spark picks the join by their
+measured size in bytes (``spark.sql.autoBroadcastJoinThreshold``, AQE).
 
 Scores follow the lexicon-sum rule: per review, positive valences add
 ``v + 1``, negative add ``v - 1``, words without a valence count as neutral;
@@ -32,23 +31,14 @@ DEFAULT_LEXICON = {
     "slow": -0.9, "cold": -0.3, "secret": -0.2, "problem": -1.7, "sad": -2.1,
 }
 
-BROADCAST_ROWS = 2_000_000
-
 
 def lexicon_frame(spark: SparkSession, lexicon: dict | None = None) -> DataFrame:
     items = sorted((lexicon or DEFAULT_LEXICON).items())
     return spark.createDataFrame(items, "token string, valence double")
 
 
-def _small_join(big: DataFrame, small: DataFrame, on, how: str, broadcast_rows: int) -> DataFrame:
-    if small.count() <= broadcast_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
-
-
 def clean_for_sentiment(df: DataFrame, text: str = "review_content", id_col: str = "review_id",
-                        lemmas: DataFrame | None = None, stop_words: Iterable[str] | None = None,
-                        broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                        lemmas: DataFrame | None = None, stop_words: Iterable[str] | None = None) -> DataFrame:
     """T5 (+T6): ``(id, review_clean)``.
 
     Without a lemma table this is one projection. With one, tokens are
@@ -60,7 +50,7 @@ def clean_for_sentiment(df: DataFrame, text: str = "review_content", id_col: str
         kept = F.filter(toks, lambda x: F.length(x) > 1)
         return df.select(id_col, F.array_join(kept, " ").alias("review_clean"))
     exploded = df.select(id_col, F.posexplode(toks).alias("pos", "form"))
-    mapped = (_small_join(exploded, lemmas.select("form", "lemma"), "form", "left", broadcast_rows)
+    mapped = (exploded.join(lemmas.select("form", "lemma"), "form", "left")
               .select(id_col, "pos", F.coalesce("lemma", "form").alias("tok"))
               .where(F.length("tok") > 1))
     per = (mapped.groupBy(id_col)
@@ -70,56 +60,52 @@ def clean_for_sentiment(df: DataFrame, text: str = "review_content", id_col: str
             .select(id_col, F.coalesce("review_clean", F.lit("")).alias("review_clean")))
 
 
-def lemma_lookup(tokens: DataFrame, lemmas: DataFrame, token: str = "token",
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def lemma_lookup(tokens: DataFrame, lemmas: DataFrame, token: str = "token") -> DataFrame:
     """Each token with its lemma (itself when the table has none)."""
-    j = _small_join(tokens, lemmas.select(F.col("form").alias(token), "lemma"), token, "left",
-                    broadcast_rows)
+    j = tokens.join(lemmas.select(F.col("form").alias(token), "lemma"), token, "left")
     return j.withColumn("lemma", F.coalesce("lemma", token))
 
 
 def sentiment_scores(clean: DataFrame, lexicon: DataFrame, id_col: str = "review_id",
-                     text: str = "review_clean", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                     text: str = "review_clean") -> DataFrame:
     """``(id, neg, neu, pos, compound)`` per review (zeros for empty text)."""
-    toks = clean.select(id_col, F.explode(F.filter(F.split(text, " "), lambda x: x != "")).alias("token"))
-    return _score(toks, clean, lexicon, id_col, broadcast_rows)
+    toks = F.filter(F.split(text, " "), lambda x: x != "")
+    return _score(clean.select(id_col, F.explode_outer(toks).alias("token")), lexicon, id_col)
 
 
-def _score(tokens: DataFrame, docs: DataFrame, lexicon: DataFrame, id_col: str,
-           broadcast_rows: int) -> DataFrame:
+def _score(tokens: DataFrame, lexicon: DataFrame, id_col: str) -> DataFrame:
+    """Scores of (id, token) rows; a review without tokens has one with a null token."""
     v = F.coalesce(F.col("valence"), F.lit(0.0))
-    scored = _small_join(tokens, lexicon.select("token", "valence"), "token", "left", broadcast_rows)
+    scored = tokens.join(lexicon.select("token", "valence"), "token", "left")
     agg = scored.groupBy(id_col).agg(
         F.sum(F.when(v > 0, v + 1).otherwise(0.0)).alias("ps"),
         F.sum(F.when(v < 0, v - 1).otherwise(0.0)).alias("ns"),
-        F.count_if(v == 0).alias("nu"),
+        F.count_if((v == 0) & F.col("token").isNotNull()).alias("nu"),
         F.sum(v).alias("s"))
-    total = F.col("ps") + F.abs(F.col("ns")) + F.col("nu")
-    out = agg.select(
+    total = F.nullif(F.col("ps") + F.abs(F.col("ns")) + F.col("nu"), F.lit(0.0))
+    zero = F.lit(0.0)
+    return agg.select(
         id_col,
-        F.round(F.abs(F.col("ns")) / total, 3).alias("neg"),
-        F.round(F.col("nu") / total, 3).alias("neu"),
-        F.round(F.col("ps") / total, 3).alias("pos"),
+        F.coalesce(F.round(F.abs(F.col("ns")) / total, 3), zero).alias("neg"),
+        F.coalesce(F.round(F.col("nu") / total, 3), zero).alias("neu"),
+        F.coalesce(F.round(F.col("ps") / total, 3), zero).alias("pos"),
         F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + F.lit(15.0)), 4).alias("compound"))
-    zero = F.lit(0.0)
-    return (docs.select(id_col).join(out, id_col, "left")
-            .select(id_col, *[F.coalesce(c, zero).alias(c) for c in ("neg", "neu", "pos", "compound")]))
 
 
 def text_sentiment(df: DataFrame, lexicon: DataFrame, text: str = "review_content",
                    id_col: str = "review_id", lemmas: DataFrame | None = None,
-                   stop_words: Iterable[str] | None = None,
-                   broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                   stop_words: Iterable[str] | None = None) -> DataFrame:
     """T5 + T6 + E1 in one pass over token rows.
 
     Same scores as ``sentiment_scores(clean_for_sentiment(...))``: the score
     does not depend on token order, so the cleaned string is never
-    re-assembled (no per-review regroup shuffle).
+    re-assembled. Reviews without tokens stay as one row with a null token, so
+    the texts are read once and no join brings them back.
     """
-    toks = df.select(id_col, F.explode(sentiment_tokens(text, stop_words)).alias("form"))
+    toks = df.select(id_col, F.explode_outer(sentiment_tokens(text, stop_words)).alias("form"))
+    token = F.col("form")
     if lemmas is not None:
-        toks = (_small_join(toks, lemmas.select("form", "lemma"), "form", "left", broadcast_rows)
-                .select(id_col, F.coalesce("lemma", "form").alias("token")))
-    else:
-        toks = toks.select(id_col, F.col("form").alias("token"))
-    return _score(toks.where(F.length("token") > 1), df, lexicon, id_col, broadcast_rows)
+        toks = toks.join(lemmas.select("form", "lemma"), "form", "left")
+        token = F.coalesce("lemma", "form")
+    # Tokens of one character count for nothing, but keep their review's row.
+    return _score(toks.select(id_col, F.when(F.length(token) > 1, token).alias("token")), lexicon, id_col)

@@ -7,30 +7,33 @@ the group's documents, L2-normalised rows. It is a long table
 per-group matrix in memory.
 
 X2 is the maximum cosine over pairs of distinct documents of a group
-(0 for a single document or when no pair shares a token). Enumerating
-every pair that shares a token is quadratic in the size of a group, so
-the exact maximum is found in two passes instead:
-
-1. *Lower bound.* A few candidate pairs per group come from aggregations
-   only (no pair enumeration): the smallest and largest document id of
-   every group of identical term vectors, and of every group of documents
-   sharing the same top-weighted token. Their exact cosines give a
-   verified lower bound ``L`` per group; identical vectors give ``L = 1``,
-   which ends the group.
-2. *Exact pass with prefix filtering.* Tokens of each document are put in
-   one order per group (rarest first). For threshold ``t``, a token is in
-   the document's prefix when the norm of the document's weights from that
-   token onward is still ``>= t``. Any pair with cosine ``>= t`` shares a
-   prefix token (all shared tokens outside both prefixes would bound the
-   dot product below ``t``). With ``t = L <= max`` the candidate pairs
-   therefore contain the maximising pair; candidates are verified exactly.
-
-Vectors are kept one row per document (sorted entries plus a token->weight
-map), so verifying a pair is one hash-based map merge, not a token-level
-join. No group, pair list or vector is collected to the driver or to one
-task: every step is a join or aggregation keyed on (group, token),
-(group, key) or (group, document), which partial aggregation and AQE's
-skew handling split when a group is hot.
+(0 for a single document or when no pair shares a token). Only tokens that
+at least two documents of the group hold enter a dot product, so documents
+fall into classes of equal shared sub-vectors (same shared tokens and
+frequencies):
+
+1. *Within a class* the dot product of any two members is the class's squared
+   sub-vector norm S, so the maximum is S / (n1 n2) for the two smallest
+   document norms: a rank limit and one aggregate, no pairs. Copies and
+   template texts that differ in words of their own are one class.
+2. *Between classes* only each class's smallest-norm document can win, so
+   one representative per class goes on. Each is paired with the strongest
+   other representative on its own top token; these pairs (one per
+   representative) are verified and give a lower bound per group, which is 0
+   only if nothing is shared.
+3. *Exact pass with prefix filtering* over the representatives. Tokens of each
+   document are put in one order per group (rarest first). For threshold
+   ``t``, a token is in the document's prefix when the norm of the document's
+   weights from that token onward is still ``>= t``. Any pair with cosine
+   ``>= t`` shares a prefix token, so with ``t`` = the bound the candidate
+   pairs contain the maximising pair; candidates are verified exactly. How
+   many there are depends on how far the bound prunes; groups of many classes
+   that are all alike but never equal remain costly.
+
+Texts are cleaned and cut into tokens once: term frequencies are written per
+document and read for the document frequencies and for the weights. Vectors
+are kept one row per document, so verifying a pair is one hash-based map merge.
+No group, pair list or vector is collected to the driver or to one task.
 """
 
 from __future__ import annotations
@@ -55,8 +58,9 @@ def materialise(df: DataFrame, name: str = "vectors") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def term_frequencies(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
-    """(group, id, token, tf) for documents with a non-null group — without a shuffle.
+def term_documents(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
+    """(group, id, ``terms``: array of (token, tf)) for documents with a non-null
+    group — without a shuffle, also for documents without tokens.
 
     A document's tokens are already in one row: they are sorted into a
     column, run starts are found by comparing neighbours, and each run's
@@ -74,15 +78,14 @@ def term_frequencies(docs: DataFrame, group: str, id_col: str, text: str) -> Dat
     runs = F.transform("_st", lambda st, j: F.struct(
         F.get(F.col("_s"), st).alias("token"),
         (F.coalesce(F.get(F.col("_st"), j + 1), F.size("_s")) - st).cast("long").alias("tf")))
-    return (s.select(group, id_col, F.explode(runs).alias("x"))
-            .select(group, id_col, F.col("x.token").alias("token"), F.col("x.tf").alias("tf")))
+    return s.select(group, id_col, runs.alias("terms"))
 
 
 def raw_weights(docs: DataFrame, group: str, id_col: str, text: str) -> DataFrame:
     """(group, id, token, tf, df, raw) with ``raw = tf * idf`` (not yet normalised)."""
-    base = docs.where(F.col(group).isNotNull())
-    n_docs = base.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
-    tf = term_frequencies(base, group, id_col, text)
+    terms = materialise(term_documents(docs, group, id_col, text), "terms")
+    n_docs = terms.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
+    tf = terms.select(group, id_col, F.explode("terms").alias("x")).select(group, id_col, "x.token", "x.tf")
     idf = (tf.groupBy(group, "token").agg(F.count(F.lit(1)).alias("df"))
            .join(n_docs, group)
            .withColumn("idf", F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0))
@@ -93,27 +96,28 @@ def raw_weights(docs: DataFrame, group: str, id_col: str, text: str) -> DataFram
 
 def doc_vectors(docs: DataFrame, group: str = "reviewer_id", id_col: str = "review_id",
                 text: str = "review_content") -> DataFrame:
-    """One row per document with a non-empty vector.
-
-    ``entries``: array of (df, token, w) sorted by (df, token) — the prefix
-    order, ``w`` L2-normalised; ``vh``: hash of the term-frequency vector;
-    ``top``: the highest-weighted token. Each token is stored once; the
-    token->weight map used for dot products is rebuilt on read
-    (:func:`weight_map`). The grouping is per document, so its size is
-    bounded by one text.
+    """One row per document with at least one token.
+
+    ``entries``: array of (df, token, w) of the shared tokens (``df >= 2``),
+    sorted by (df, token) — the prefix order, ``w`` L2-normalised over all
+    tokens; ``norm``: the norm of all raw weights; ``shared``: the squared norm
+    of the shared ones; ``class``: hash of the shared term frequencies;
+    ``whole``: no token is the document's own. The grouping is per document,
+    so its size is bounded by one text.
     """
     raw = raw_weights(docs, group, id_col, text)
+    is_shared = F.col("df") >= 2
+    square = F.col("raw") * F.col("raw")
     per = (raw.groupBy(group, id_col)
-           .agg(F.array_sort(F.collect_list(F.struct("df", "token", "raw", "tf"))).alias("e"),
-                F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("nrm")))
+           .agg(F.array_sort(F.collect_list(F.when(is_shared, F.struct("df", "token", "raw", "tf")))).alias("e"),
+                F.sqrt(F.sum(square)).alias("norm"), F.sum(F.when(is_shared, square).otherwise(0.0)).alias("shared"),
+                F.min(is_shared).alias("whole")))
     entries = F.transform("e", lambda x: F.struct(
         x.getField("df").alias("df"), x.getField("token").alias("token"),
-        (x.getField("raw") / F.col("nrm")).alias("w")))
-    vh = F.sha2(F.array_join(F.transform("e", lambda x: F.concat_ws(
+        (x.getField("raw") / F.col("norm")).alias("w")))
+    key = F.sha2(F.array_join(F.transform("e", lambda x: F.concat_ws(
         ":", x.getField("token"), x.getField("tf").cast("string"))), ","), 256)
-    top = F.array_max(F.transform("e", lambda x: F.struct(
-        x.getField("raw").alias("w"), x.getField("token").alias("token")))).getField("token")
-    return per.select(group, id_col, entries.alias("entries"), vh.alias("vh"), top.alias("top"))
+    return per.select(group, id_col, entries.alias("entries"), "norm", "shared", key.alias("class"), "whole")
 
 
 def weight_map(entries="entries") -> Column:
@@ -148,23 +152,35 @@ def verify_pairs(pairs: DataFrame, vecs: DataFrame, group: str, id_col: str) ->
             .select(group, "a", "b", dot("va", "vb").alias("cosine")))
 
 
-def lower_bound(vecs: DataFrame, group: str, id_col: str) -> DataFrame:
-    """Pass 1: ``(group, lb)`` from at most two verified pairs per key group.
+def class_heads(vecs: DataFrame, group: str, id_col: str) -> DataFrame:
+    """The two smallest-norm documents of each class, numbered by ``place``.
 
-    For every group of identical term vectors and every group of documents
-    sharing a top token, the documents with the smallest and largest id are
-    paired. ``min_by``/``max_by`` carry their vectors through the
-    aggregation (partial aggregation first), so no join is needed.
+    A rank limit: every task keeps two rows of a class before the shuffle.
     """
-    out = None
-    for key in ("vh", "top"):
-        p = (vecs.groupBy(group, key)
-             .agg(F.min(id_col).alias("a"), F.max(id_col).alias("b"),
-                  F.min_by("entries", id_col).alias("ea"), F.max_by("entries", id_col).alias("eb"))
-             .where(F.col("a") < F.col("b"))
-             .select(group, dot(weight_map("ea"), weight_map("eb")).alias("cosine")))
-        out = p if out is None else out.unionByName(p)
-    return out.groupBy(group).agg(F.max("cosine").alias("lb"))
+    order = Window.partitionBy(group, "class").orderBy("norm", id_col)
+    return (vecs.where(F.size("entries") > 0).withColumn("place", F.row_number().over(order))
+            .where(F.col("place") <= 2))
+
+
+def within_classes(heads: DataFrame, group: str) -> DataFrame:
+    """``(group, lb)``: the exact maximum over pairs of one class."""
+    two = heads.groupBy(group, "class").agg(F.max("shared").alias("s"), F.min("norm").alias("n1"),
+                                            F.max("norm").alias("n2"), F.count(F.lit(1)).alias("n"))
+    return two.where("n = 2").groupBy(group).agg(F.max(F.col("s") / (F.col("n1") * F.col("n2"))).alias("lb"))
+
+
+def bound_pairs(reps: DataFrame, group: str, id_col: str) -> DataFrame:
+    """``(group, a, b)``: each representative and the strongest other one on its
+    top token — one pair per representative at most."""
+    tokens = reps.select(group, id_col, F.explode("entries").alias("x")).select(group, id_col, "x.token", "x.w")
+    order = Window.partitionBy(group, "token").orderBy(F.col("w").desc(), id_col)
+    strong = (tokens.withColumn("place", F.row_number().over(order)).where(F.col("place") <= 2)
+              .select(group, "token", F.col(id_col).alias("b"), "place"))
+    top = F.array_max(F.transform("entries", lambda x: F.struct(
+        x.getField("w").alias("w"), x.getField("token").alias("token")))).getField("token")
+    own = reps.select(group, F.col(id_col).alias("a"), top.alias("token"))
+    found = own.join(strong, [group, "token"]).where(F.col("a") != F.col("b"))
+    return found.groupBy(group, "a").agg(F.min_by("b", "place").alias("b"))
 
 
 def prefix_tokens(vecs: DataFrame, bound: DataFrame, group: str, id_col: str) -> DataFrame:
@@ -173,8 +189,7 @@ def prefix_tokens(vecs: DataFrame, bound: DataFrame, group: str, id_col: str) ->
 
     Entries are in (df, token) order. Walking from the end, the trailing
     entries whose inclusive squared norm stays below ``t^2`` form the suffix;
-    the rest is the prefix. One O(n) ``aggregate`` per document. Tokens with
-    ``df = 1`` cannot be shared and are dropped after the prefix is fixed.
+    the rest is the prefix. One O(n) ``aggregate`` per document.
     """
     rev = F.reverse(F.col("entries"))
     init = F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n"), F.lit(False).alias("done"))
@@ -188,9 +203,8 @@ def prefix_tokens(vecs: DataFrame, bound: DataFrame, group: str, id_col: str) ->
 
     suffix = F.aggregate(rev, init, step).getField("n")
     keep = F.slice(F.col("entries"), 1, F.greatest(F.size("entries") - suffix, F.lit(0)))
-    toks = F.filter(keep, lambda x: x.getField("df") >= 2)
     return (vecs.join(bound, group)
-            .select(group, id_col, F.explode(F.transform(toks, lambda x: x.getField("token"))).alias("token")))
+            .select(group, id_col, F.explode(F.transform(keep, lambda x: x.getField("token"))).alias("token")))
 
 
 def candidate_pairs(pref: DataFrame, group: str, id_col: str) -> DataFrame:
@@ -207,28 +221,44 @@ def max_cosine(vecs: DataFrame, group: str = "reviewer_id", id_col: str = "revie
     module notes); capped at 1 like a clipped cosine distance.
     """
     groups = vecs.select(group).distinct()
-    lower = lower_bound(vecs, group, id_col)
-    # Groups already at 1 are final; the others get threshold t = lb - eps.
-    open_groups = (groups.join(lower, group, "left")
-                   .select(group, F.coalesce("lb", F.lit(0.0)).alias("lb"))
-                   .where(F.col("lb") < F.lit(1.0 - _EPS))
-                   .select(group, F.greatest(F.col("lb") - F.lit(_EPS), F.lit(0.0)).alias("t")))
-    cand = candidate_pairs(prefix_tokens(vecs, open_groups, group, id_col), group, id_col)
-    pass2 = verify_pairs(cand, vecs, group, id_col).groupBy(group).agg(F.max("cosine").alias("m2"))
-    return (groups.join(lower, group, "left").join(pass2, group, "left")
+    heads = materialise(class_heads(vecs, group, id_col), "heads")
+    reps = heads.where("place = 1")
+    between = verify_pairs(bound_pairs(reps, group, id_col), reps, group, id_col).groupBy(group).agg(
+        F.max("cosine").alias("lb"))
+    lower = materialise(within_classes(heads, group).unionByName(between).groupBy(group).agg(F.max("lb").alias("lb")),
+                        "bounds")
+    # Groups at 1 are final; the others get threshold t = lb - eps. Without a bound nothing is shared.
+    open_groups = lower.where(F.col("lb") < F.lit(1.0 - _EPS)).select(
+        group, F.greatest(F.col("lb") - F.lit(_EPS), F.lit(0.0)).alias("t"))
+    cand = candidate_pairs(prefix_tokens(reps, open_groups, group, id_col), group, id_col)
+    exact = verify_pairs(cand, reps, group, id_col).groupBy(group).agg(F.max("cosine").alias("m2"))
+    return (groups.join(lower, group, "left").join(exact, group, "left")
             .select(group, F.least(F.coalesce(F.greatest("lb", "m2"), F.lit(0.0)), F.lit(1.0)).alias("cos_sim")))
 
 
+def copy_classes(vecs: DataFrame, group: str = "reviewer_id", id_col: str = "review_id") -> DataFrame:
+    """Membership ``(group, id, class_id)``: documents of one group with equal term
+    vectors share a class, named by its least id."""
+    own = vecs.where(~F.col("whole")).select(group, id_col, F.col(id_col).alias("class_id"))
+    same = vecs.where("whole")
+    least = same.groupBy(group, "class").agg(F.min(id_col).alias("class_id"))
+    return own.unionByName(same.join(least, [group, "class"]).select(group, id_col, "class_id"))
+
+
 def similarity_pairs(vecs: DataFrame, threshold: float, group: str = "reviewer_id",
                      id_col: str = "review_id") -> DataFrame:
-    """J6 as a similarity join: pairs of one group with cosine ``>= threshold``.
+    """J6 as a similarity join: pairs of copy classes of one group with cosine
+    ``>= threshold``, by their least ids.
 
-    ``vecs`` are :func:`doc_vectors`. The prefix filter at the fixed
+    ``vecs`` are :func:`doc_vectors`; copies are not expanded into pairs
+    (:func:`copy_classes` has the members). The prefix filter at the fixed
     threshold generates only pairs that can reach it.
     """
-    groups = vecs.select(group).distinct().withColumn("t", F.lit(float(threshold) - _EPS))
-    cand = candidate_pairs(prefix_tokens(vecs, groups, group, id_col), group, id_col)
-    return (verify_pairs(cand, vecs, group, id_col)
+    shown = copy_classes(vecs, group, id_col).where(F.col(id_col) == F.col("class_id")).select(group, id_col)
+    reps = materialise(vecs.join(shown, [group, id_col], "left_semi"), "pairs")
+    groups = reps.select(group).distinct().withColumn("t", F.lit(float(threshold) - _EPS))
+    cand = candidate_pairs(prefix_tokens(reps, groups, group, id_col), group, id_col)
+    return (verify_pairs(cand, reps, group, id_col)
             .where(F.col("cosine") >= F.lit(float(threshold) - _EPS))
             .select(group, F.col("a").alias(f"{id_col}_a"), F.col("b").alias(f"{id_col}_b"),
                     F.least("cosine", F.lit(1.0)).alias("cosine")))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinio.functions.text import default_stop_words, word_runs
+from opinio.operators.similarity import materialise
 
 
 def count_by(df: DataFrame, *cols: str) -> DataFrame:
@@ -22,16 +23,63 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
+def exact_quantiles(df: DataFrame, metric: str, by: tuple[str, ...], shares: dict[str, float]) -> DataFrame:
+    """Exact quantiles (linear between neighbours) per group, one column per share.
+
+    Values are counted, range-partitioned by (group, value) and numbered by a
+    running sum within each partition plus the counts of the partitions before
+    it, so no group is gathered in one buffer or task.
+    """
+    v = F.col(metric).cast("double")
+    counts = df.where(v.isNotNull()).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    placed = materialise(counts.repartitionByRange(*[F.col(c) for c in by], F.col("_v"))
+                         .withColumn("_part", F.spark_partition_id()), "quantiles")
+    parts = placed.groupBy("_part", *by).agg(F.sum("_n").alias("_size"))
+    # One row per partition and group.
+    own = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    before = own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", *by, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_base"),
+                         F.sum("_size").over(own).alias("_total"))
+    names = ["_part", *by]
+    parts = parts.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(names)], "_base", "_total")
+    match = F.lit(True)
+    for i, c in enumerate(names):
+        match = match & F.col(c).eqNullSafe(F.col(f"_{i}"))
+    run = Window.partitionBy(*names).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    rows = placed.join(parts, match)
+    rows = rows.withColumn("_end", F.col("_base") + F.sum("_n").over(run)).withColumn("_start", F.col("_end") - F.col("_n"))
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= position) & (position < F.col("_end")), F.col("_v")))
+
+    found = []
+    for name, share in shares.items():
+        position = (F.col("_total") - 1) * F.lit(share)
+        found += [at(F.floor(position)).alias(f"{name}_low"), at(F.ceil(position)).alias(f"{name}_high"),
+                  F.max(position - F.floor(position)).alias(f"{name}_part")]
+    agg = rows.groupBy(*by).agg(*found)
+    return agg.select(*by, *[(F.col(f"{n}_low") + (F.col(f"{n}_high") - F.col(f"{n}_low")) * F.col(f"{n}_part")).alias(n)
+                             for n in shares])
+
+
 def describe(df: DataFrame, metric: str, *by: str) -> DataFrame:
-    """Count, mean, sample std, min, linear quartiles, max (per group)."""
+    """Count, mean, sample std, min, linear quartiles, max (per group).
+
+    The input is read twice; a costly one is best written first.
+    """
     m = F.col(metric).cast("double")
-    aggs = [
-        F.count(m).alias("count"), F.avg(m).alias("mean"), F.stddev_samp(m).alias("std"),
-        F.min(m).alias("min"), F.percentile(m, 0.25).alias("p25"),
-        F.percentile(m, 0.5).alias("p50"), F.percentile(m, 0.75).alias("p75"),
-        F.max(m).alias("max"),
-    ]
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    aggs = [F.count(m).alias("count"), F.avg(m).alias("mean"), F.stddev_samp(m).alias("std"),
+            F.min(m).alias("min"), F.max(m).alias("max")]
+    base = df.groupBy(*by).agg(*aggs)
+    quartiles = exact_quantiles(df, metric, by, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    if not by:  # one row each
+        base, quartiles, by = base.withColumn("_one", F.lit(1)), quartiles.withColumn("_one", F.lit(1)), ("_one",)
+    quartiles = quartiles.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(by)], "p25", "p50", "p75")
+    match = F.lit(True)
+    for i, c in enumerate(by):
+        match = match & F.col(c).eqNullSafe(F.col(f"_{i}"))
+    return base.join(quartiles, match, "left").select(
+        *[c for c in by if c != "_one"], "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def histogram(df: DataFrame, metric: str, width: float, *by: str) -> DataFrame:
@@ -54,16 +102,12 @@ def top_terms(df: DataFrame, text: str, class_col: str, classes: Iterable, k: in
               stop_words: Iterable[str] | None = None) -> DataFrame:
     """The ``k`` most frequent terms of each class (ties by term).
 
-    Counting is one aggregation; each class's top-k is a TakeOrderedAndProject
-    (per-partition top-k, then a k-row merge), so no class is sorted in one task.
+    One scan and one count for all classes; each task keeps at most ``k`` terms
+    of a class before the shuffle (a rank limit on the window).
     """
-    counts = term_counts(df, text, [class_col], stop_words)
-    out = None
-    for c in classes:
-        top = (counts.where(F.col(class_col) == F.lit(c))
-               .orderBy(F.col("n").desc(), F.col("term")).limit(k))
-        out = top if out is None else out.unionByName(top)
-    return out
+    counts = term_counts(df.where(F.col(class_col).isin(list(classes))), text, [class_col], stop_words)
+    order = Window.partitionBy(class_col).orderBy(F.col("n").desc(), F.col("term"))
+    return counts.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k).drop("_place")
 
 
 def first_n(df: DataFrame, n: int, order: str = "review_id") -> DataFrame:

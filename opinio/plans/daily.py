@@ -16,6 +16,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from opinio.operators.features import review_features
+from opinio.session import scratch_scope
 from opinio.sinks.tables import overwrite_day
 from opinio.sources.tables import batch_date, scan_day
 
@@ -31,8 +32,8 @@ def run(spark: SparkSession, source: str, target: str, day=None, files: int | No
     d = batch_date(day)
     is_path = "/" in source or "://" in source
     raw = spark.read.parquet(source) if is_path else spark.table(source)
-    out = daily_features(raw, d)
-    overwrite_day(out, target, files=files)
+    with scratch_scope():  # the document vectors go when the day is written
+        overwrite_day(daily_features(raw, d), target, files=files, day=d)
     return scan_day(spark.table(target), d)
 
 

@@ -129,9 +129,22 @@ SELECT reviewer_id, review_id, token, tf, df, round(weight, 6) AS weight FROM ve
 ORACLES["max_cosine"] = with_ctes(REVIEWS_CTE, CLEAN_CTE, TOKENS_CTE) + """
 SELECT reviewer_id, round(cos_sim, 6) AS cos_sim FROM sims"""
 
-ORACLES["pair_similarity"] = with_ctes(REVIEWS_CTE, CLEAN_CTE, TOKENS_CTE) + """
-SELECT reviewer_id, a_id AS review_id_a, b_id AS review_id_b, round(least(cosine, 1.0), 6) AS cosine
-FROM pairs WHERE cosine >= 0.5 - 1e-9"""
+COPIES_CTE = """ texts AS (
+  SELECT reviewer_id, review_id, string_agg(token || ':' || tf, ',' ORDER BY token) AS terms FROM tf GROUP BY ALL
+),
+copies AS (
+  SELECT reviewer_id, review_id, min(review_id) OVER (PARTITION BY reviewer_id, terms) AS class_id FROM texts
+)"""
+
+ORACLES["pair_similarity"] = with_ctes(REVIEWS_CTE, CLEAN_CTE, TOKENS_CTE, COPIES_CTE) + """
+SELECT p.reviewer_id, a_id AS review_id_a, b_id AS review_id_b, round(least(cosine, 1.0), 6) AS cosine
+FROM pairs p
+JOIN copies a ON a.reviewer_id = p.reviewer_id AND a.review_id = a_id AND a.class_id = a_id
+JOIN copies b ON b.reviewer_id = p.reviewer_id AND b.review_id = b_id AND b.class_id = b_id
+WHERE cosine >= 0.5 - 1e-9"""
+
+ORACLES["pair_similarity_members"] = with_ctes(REVIEWS_CTE, CLEAN_CTE, TOKENS_CTE, COPIES_CTE) + """
+SELECT reviewer_id, review_id, class_id FROM copies"""
 
 ORACLES["review_features"] = with_ctes(REVIEWS_CTE, COUNTS_CTE, CLEAN_CTE, TOKENS_CTE) + """
 SELECT r.review_id, r.reviewer_id, r.restaurant_id, r."timestamp", r.rating,
@@ -168,6 +181,12 @@ lines AS (SELECT doc_id, unnest(p) AS value, generate_subscripts(p, 1) AS pos FR
 SELECT CAST(row_number() OVER (ORDER BY doc_id, pos) - 1 AS BIGINT) AS line_no, value FROM lines"""
 
 ORACLES["bulk_load_day"] = ORACLES["scan_day"]
+ORACLES["bulk_load_table"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT {RAW_SELECT}, CAST("timestamp" AS DATE) AS dt FROM reviews
+WHERE CAST("timestamp" AS DATE) BETWEEN {DAY_SQL} AND {DAY_SQL} + 2"""
+ORACLES["messages_roundtrip"] = with_ctes(REVIEWS_CTE) + f"""
+SELECT review_id AS key, * REPLACE (CAST(epoch("timestamp") AS BIGINT) AS "timestamp")
+FROM (SELECT {RAW_SELECT} FROM reviews)"""
 
 ORACLES["overwrite_day"] = with_ctes(REVIEWS_CTE) + f"""
 SELECT review_id, reviewer_id, restaurant_id, "timestamp",
@@ -403,6 +422,8 @@ def _sentiment_by_label_sql():
 
 ORACLES["lemma_lookup"] = _lemma_lookup_sql()
 ORACLES["sentiment_scores"] = _sentiment_scores_sql()
+ORACLES["sentiment_columns"] = with_ctes(REVIEWS_CTE, f"scores AS ({_sentiment_scores_sql()})") + """
+SELECT review_id, reviewer_id, rating, neg, neu, pos, compound FROM reviews JOIN scores USING (review_id)"""
 ORACLES["sentiment_by_label"] = _sentiment_by_label_sql()
 
 
@@ -473,6 +494,12 @@ SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
        regexp_extract(html, 'track\\((\\d+)\\)', 1) AS track_id
 FROM pages"""
 
+ORACLES["pages_one_day"] = """
+SELECT page_id, TIMESTAMP '2024-01-03' AS "timestamp", regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
+       regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+       regexp_extract(html, 'track\\((\\d+)\\)', 1) AS track_id
+FROM pages WHERE page_id % 7 = 2 AND regexp_extract(html, '<html lang="([^"]*)"', 1) IN ('en', 'de', 'fr', 'es')"""
+
 ORACLES["page_links"] = f"""
 WITH l AS (SELECT page_id, regexp_extract_all(html, '{HREF_RE}', 1) AS h FROM pages)
 SELECT page_id, CAST(generate_subscripts(h, 1) - 1 AS BIGINT) AS slot, unnest(h) AS href FROM l"""
@@ -497,7 +524,7 @@ FROM events"""
 ORACLES["route_oversize"] = """
 SELECT CAST(doc_id AS VARCHAR) AS review_id,
        CASE WHEN strlen(CAST(to_json(struct_pack(review_id := CAST(doc_id AS VARCHAR), review_content := text))
-                             AS VARCHAR)) > 1048576 THEN 'oversize' ELSE 'ok' END AS route,
+                             AS VARCHAR)) > 2048 THEN 'oversize' ELSE 'ok' END AS route,
        CAST(strlen(text) AS BIGINT) AS text_bytes
 FROM documents"""
 
@@ -513,7 +540,11 @@ FROM events WHERE NOT ({BAD}) AND event_id % 89 <> 0"""
 ORACLES["stream_dead_letter"] = f"""
 SELECT CAST(event_id AS VARCHAR) AS review_id,
        CASE WHEN {BAD} THEN '[invalid] malformed or mistyped record'
-            ELSE concat_ws(' ', 'flagged by source', event_type) END AS error_message
+            ELSE concat_ws(' ', 'flagged by source', event_type) END AS error_message,
+       TIMESTAMP '2024-06-01 12:00:00' AS "timestamp",
+       CASE WHEN event_id % 83 = 0 AND event_id % 97 <> 0 THEN '"five"' ELSE CAST(event_id % 6 AS VARCHAR) END AS rating,
+       'u' || CAST(user_id AS VARCHAR) AS reviewer_id,
+       event_id % 89 = 0 AND ({BAD}) AS repeats_message
 FROM events WHERE {BAD} OR event_id % 89 = 0"""
 
 

@@ -109,6 +109,12 @@ def q_pair_similarity(spark, sf_dir):
     return round_doubles(sim.similarity_pairs(vecs, 0.5))
 
 
+@register("pair_similarity_members")
+def q_pair_similarity_members(spark, sf_dir):
+    """The members of the copy classes that ``pair_similarity`` pairs."""
+    return sim.copy_classes(sim.materialise(sim.doc_vectors(_clean(spark, sf_dir))))
+
+
 @register("review_features")
 def q_review_features(spark, sf_dir):
     return round_doubles(feat.review_features(reviews(spark, sf_dir, with_label=False)))
@@ -186,7 +192,7 @@ def q_scan_day(spark, sf_dir):
 def q_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv_roundtrip")
     sinks.write_csv(_raw(spark, sf_dir), path)
-    return srcf.read_csv(spark, path, RAW)
+    return srcf.read_csv(spark, path, RAW, multiline=True)
 
 
 @register("lines_source")
@@ -202,7 +208,19 @@ def q_bulk_load_day(spark, sf_dir):
     root = scratch_path(spark, "bulk")
     (_raw(spark, sf_dir).withColumn("day", dts.partition_id("timestamp"))
      .write.partitionBy("day").option("header", True).option("escape", '"').csv(root))
-    return srcf.bulk_load_day(spark, root, DAY, RAW, template="{root}/day={day}/*.csv")
+    return srcf.bulk_load_day(spark, root, DAY, RAW, template="{root}/day={day}/*.csv", multiline=True)
+
+
+@register("bulk_load_table")
+def q_bulk_load_table(spark, sf_dir):
+    """S6 write half: one dated folder replaces the table, the next two are appended."""
+    root, table = scratch_path(spark, "bulk"), scratch_path(spark, "bulk_table")
+    (_raw(spark, sf_dir).withColumn("day", dts.partition_id("timestamp"))
+     .write.partitionBy("day").option("header", True).option("escape", '"').csv(root))
+    days = [DAY + _dt.timedelta(days=n) for n in (-1, 0, 1, 2)]
+    for day, mode in zip(days, ("append", "replace", "append", "append")):
+        srcf.load_table_from_day(spark, root, day, table, RAW, mode, template="{root}/day={day}/*.csv", multiline=True)
+    return spark.read.parquet(table)
 
 
 @register("overwrite_day")
@@ -222,6 +240,14 @@ def q_to_messages(spark, sf_dir):
     return sinks.to_messages(_raw(spark, sf_dir))
 
 
+@register("messages_roundtrip")
+def q_messages_roundtrip(spark, sf_dir):
+    """K8/JS2 checked by parsing the messages back into the raw columns."""
+    from opinio.schemas import MESSAGE
+    m = sinks.to_messages(_raw(spark, sf_dir)).select("key", F.from_json("value", MESSAGE).alias("m"))
+    return m.select("key", *[F.col("m").getField(c).alias(c) for c in RAW_COLUMNS])
+
+
 @register("prepare_raw")
 def q_prepare_raw(spark, sf_dir):
     return prep.prepare_raw(raw_csv_frame(spark, sf_dir))
@@ -328,7 +354,8 @@ def q_page_frontier(spark, sf_dir):
 def q_chunk_triples(spark, sf_dir):
     from opinio.operators.pages import LINK_TEXT, extract_all
     pages = load_table(spark, sf_dir, "pages")
-    chunks = pages.select("page_id", F.posexplode(prep.chunk_triples(extract_all("html", LINK_TEXT))).alias("chunk_no", "c"))
+    links = pages.select("page_id", extract_all("html", LINK_TEXT).alias("links"))  # matched once, then cut
+    chunks = links.select("page_id", F.posexplode(prep.chunk_triples("links")).alias("chunk_no", "c"))
     return chunks.select("page_id", F.col("chunk_no").cast("long").alias("chunk_no"),
                          *[F.get("c", i).alias(f"slot{i}") for i in range(3)])
 
@@ -418,8 +445,8 @@ def lemma_frame(spark) -> DataFrame:
 
 
 def _metric_frame(spark, sf_dir) -> DataFrame:
-    return _yn(spark, sf_dir).select("review_id", "flagged",
-                                     F.length("review_content").cast("long").alias("text_chars"))
+    m = _yn(spark, sf_dir).select("review_id", "flagged", F.length("review_content").cast("long").alias("text_chars"))
+    return sim.materialise(m, "metric")  # read by the summary and by its quantiles
 
 
 @register("describe_metric")
@@ -461,10 +488,17 @@ def q_sentiment_scores(spark, sf_dir):
     return round_doubles(_sentiment(spark, sf_dir))
 
 
+@register("sentiment_columns")
+def q_sentiment_columns(spark, sf_dir):
+    """The four scores as columns beside the review's own."""
+    own = _raw(spark, sf_dir).select("review_id", "reviewer_id", "rating")
+    return round_doubles(own.join(_sentiment(spark, sf_dir), "review_id", "left"))
+
+
 @register("sentiment_by_label")
 def q_sentiment_by_label(spark, sf_dir):
     s = _sentiment(spark, sf_dir).join(_yn(spark, sf_dir).select("review_id", "flagged"), "review_id")
-    return round_doubles(summ.describe(s, "compound", "flagged"))
+    return round_doubles(summ.describe(sim.materialise(s, "metric"), "compound", "flagged"))
 
 
 # --- step 8: model data work ----------------------------------------------------------
@@ -516,23 +550,23 @@ def q_classification_metrics(spark, sf_dir):
     return round_doubles(summ.classification_metrics(_rule_predictions(spark, sf_dir)))
 
 
-def _self_train(spark, sf_dir, estimator, holdout=False):
+def _self_train(spark, sf_dir, estimator):
     from opinio.session import checkpoint_root
     checkpoint_root(spark)
     data = smp.under_sample(_model_frame(spark, sf_dir).checkpoint())
-    return mdl.self_training(data, estimator, threshold=0.7, iterations=3, holdout=holdout)
+    return mdl.self_training(data, estimator, threshold=0.7, iterations=3)
 
 
 @register("self_training")
 def q_self_training(spark, sf_dir):
-    res = _self_train(spark, sf_dir, mdl.gaussian_nb(), holdout=True)
+    res = _self_train(spark, sf_dir, mdl.gaussian_nb())
     m = summ.classification_metrics(res.scores)
     return m.select("*", F.lit(res.rounds).alias("rounds"), F.lit(res.promoted).alias("promoted"))
 
 
 @register("random_forest_scores")
 def q_random_forest_scores(spark, sf_dir):
-    return _self_train(spark, sf_dir, mdl.random_forest(num_trees=20)).scores
+    return _self_train(spark, sf_dir, mdl.random_forest()).scores
 
 
 @register("gaussian_nb_scores")
@@ -564,6 +598,16 @@ def q_align_repeated_fields(spark, sf_dir):
     return out.withColumn("slot", F.col("slot").cast("long"))
 
 
+@register("pages_one_day")
+def q_pages_one_day(spark, sf_dir):
+    """The rows of several page sets, unioned and cut to one exact day."""
+    pages = load_table(spark, sf_dir, "pages").withColumn("timestamp", F.to_timestamp(
+        F.date_add(F.lit(_dt.date(2024, 1, 1)), (F.col("page_id") % 7).cast("int"))))
+    rows = pg.page_scalars(pages, keep=("page_id", "timestamp"))
+    sets = [rows.where(F.col("lang") == lang) for lang in ("en", "de", "fr", "es")]
+    return prep.filter_exact_ts(prep.union_all(*sets), _dt.datetime(2024, 1, 3))
+
+
 # --- step 6: streaming ingest -----------------------------------------------------------
 
 from opinio.schemas import ERROR  # noqa: E402
@@ -612,25 +656,32 @@ def q_parse_messages(spark, sf_dir):
     return r.select(rid.alias("review_id"), "route")
 
 
+OVERSIZE_LIMIT = 2048  # puts documents on both sides
+
+
 @register("route_oversize")
 def q_route_oversize(spark, sf_dir):
     d = load_table(spark, sf_dir, "documents")
     msgs = d.select(F.to_json(F.struct(F.col("doc_id").cast("string").alias("review_id"),
                                        F.col("text").alias("review_content"))).alias("value"),
                     F.octet_length("text").cast("long").alias("text_bytes"))
-    routed = ingest.route_messages(ingest.parse_messages(msgs.select("value")))
+    routed = ingest.route_messages(ingest.parse_messages(msgs.select("value")), max_bytes=OVERSIZE_LIMIT)
     ids = routed.select(F.col("msg").getField("review_id").alias("review_id"), "route")
     sizes = d.select(F.col("doc_id").cast("string").alias("review_id"),
                      F.octet_length("text").cast("long").alias("text_bytes"))
     return ids.join(sizes, "review_id")
 
 
+STREAM_NOW = _dt.datetime(2024, 6, 1, 12)
+
+
 def _run_stream(spark, sf_dir):
     src = scratch_path(spark, "stream_src")
     event_messages(spark, sf_dir).write.text(src)
     table, errors = scratch_path(spark, "stream_table"), scratch_path(spark, "stream_errors")
+    ingest.create_sinks(spark, table, errors)
     q = ingest.start_ingest(spark, src, table, errors, scratch_path(spark, "stream_ckpt"),
-                            max_files_per_trigger=4)
+                            max_files_per_trigger=4, now=F.lit(STREAM_NOW))
     q.awaitTermination()
     return table, errors
 
@@ -645,7 +696,11 @@ def q_stream_ingest(spark, sf_dir):
 @register("stream_dead_letter")
 def q_stream_dead_letter(spark, sf_dir):
     _, errors = _run_stream(spark, sf_dir)
-    return ingest.read_sink(spark, errors, ERROR).select("review_id", "error_message")
+    rows = ingest.read_sink(spark, errors, ERROR, day=False)
+    field = F.regexp_extract("review_snippet", r'"rating":("?[a-z0-9]+"?)', 1)
+    reviewer = F.regexp_extract("review_snippet", r'"reviewer_id":"([^"]*)"', 1)
+    return rows.select("timestamp", "review_id", "error_message", field.alias("rating"), reviewer.alias("reviewer_id"),
+                       F.contains("review_snippet", F.lit("error_message")).alias("repeats_message"))
 
 
 # --- the daily job end to end ------------------------------------------------------------

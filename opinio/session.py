@@ -7,13 +7,13 @@ The engine relies on three session properties:
 * AQE on, with skew-join splitting — hot reviewers / days are split at
   runtime instead of landing in one task.
 * ``spark.checkpoint.dir`` — the cluster's shared folder. Lineage cuts and
-  derived files go there; a local temp folder is used only when the
-  session has none (tests, laptops).
+  derived files go there; a local temp folder is used only in local mode
+  when the session has none (tests, laptops).
 """
 
 from __future__ import annotations
 
-import os
+import contextlib
 import tempfile
 import uuid
 
@@ -58,24 +58,45 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (tests) a private temp folder is made
-    and registered, so later ``DataFrame.checkpoint()`` calls also work.
+    On a cluster it must be set: a machine's own temp folder is not seen by
+    the other executors, so there is no fallback. In local mode (tests,
+    laptops) a private temp folder is made and registered where none is set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="opinio-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    if "://" not in root:
-        os.makedirs(root, exist_ok=True)
-    return f"{root.rstrip('/')}/opinio/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/opinio/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope():
+    """Delete the scratch folders that were made inside, on leaving.
+
+    For jobs that write their result elsewhere (the daily job): DataFrames
+    built inside must not be used afterwards.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        from pyarrow import fs
+        for path in _scopes.pop():
+            system, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+            if system.get_file_info(folder).type == fs.FileType.Directory:
+                system.delete_dir(folder)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinio.schemas import RAW_COLUMNS, struct_from_json_schema
+from opinio.sources.tables import _as_date
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -18,18 +21,11 @@ def create_table(spark: SparkSession, name: str, schema, location: str,
     """K1: day-partitioned parquet table from a ``StructType`` or JSON schema spec."""
     if not isinstance(schema, T.StructType):
         schema = struct_from_json_schema(schema)
-    _mkdirs(spark, location)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}, `{partition_col}` date) "
         f"USING parquet PARTITIONED BY (`{partition_col}`) LOCATION '{location}'")
 
 
-def _mkdirs(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
-
-
 def with_day(df: DataFrame, ts_col: str = "timestamp", partition_col: str = "dt") -> DataFrame:
     """Derive the day-partition column from the row timestamp (UTC)."""
     return df.withColumn(partition_col, F.to_date(F.col(ts_col)))
@@ -48,13 +44,30 @@ def balanced(df: DataFrame, *cols: str, files: int | None = None) -> DataFrame:
 
 
 def overwrite_day(df: DataFrame, table: str, ts_col: str = "timestamp",
-                  partition_col: str = "dt", files: int | None = None) -> None:
-    """K2: replace only the day partitions present in ``df``; the table must exist."""
+                  partition_col: str = "dt", files: int | None = None, day=None) -> None:
+    """K2: replace day partitions of a table, which must exist.
+
+    With ``day``: that day is replaced, also by nothing where ``df`` is empty,
+    and a row of another day fails the write. Without: the days that ``df``
+    holds are replaced.
+    """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         raise ValueError(f"table {table} does not exist (create it first)")
     cols = [f.name for f in spark.table(table).schema.fields]
     out = with_day(df, ts_col, partition_col).select(*cols)
+    if day is not None:
+        d = _as_date(day)
+        own = F.col(partition_col) == F.lit(d)
+        other = F.raise_error(F.lit(f"a row is not of {d}")).cast("boolean")
+        out = out.where(F.when(own, F.lit(True)).otherwise(other)).drop(partition_col)
+        view = f"day_{uuid.uuid4().hex}"
+        balanced(out, files=files).createOrReplaceTempView(view)
+        try:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{partition_col}` = DATE '{d}') SELECT * FROM {view}")
+        finally:
+            spark.catalog.dropTempView(view)
+        return
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key, "static")
     spark.conf.set(key, "dynamic")

@@ -9,12 +9,12 @@ from pyspark.sql import types as T
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             multiline: bool = True) -> DataFrame:
+             multiline: bool = False) -> DataFrame:
     """S3: CSV with a header row and an explicit schema.
 
-    Quoted fields may span lines (review texts do), so ``multiLine`` is on by
-    default; each file is then read by one task, which stays bounded as long
-    as files are (Spark writes one file per task).
+    ``multiline`` must be set by the caller where quoted fields span lines
+    (review texts do): each file is then one task, so files must be bounded
+    (Spark's own writes are: one file per task). Without it large files split.
     """
     r = (spark.read.option("header", True).option("multiLine", multiline)
          .option("escape", '"').option("mode", "PERMISSIVE"))
@@ -54,10 +54,24 @@ def positional_join(left: DataFrame, right: DataFrame, position: str = "line_no"
 
 
 def bulk_load_day(spark: SparkSession, root: str, day, schema: T.StructType | None = None,
-                  template: str = "{root}/{day}/*.csv") -> DataFrame:
+                  template: str = "{root}/{day}/*.csv", multiline: bool = False) -> DataFrame:
     """Read the CSV files of one dated folder (``root/yyyymmdd/*.csv``; header skipped)."""
     import datetime as _dt
     if isinstance(day, (_dt.date, _dt.datetime)):
         day = day.strftime("%Y%m%d")
     day = str(day).replace("-", "")
-    return read_csv(spark, template.format(root=root.rstrip("/"), day=day), schema)
+    return read_csv(spark, template.format(root=root.rstrip("/"), day=day), schema, multiline)
+
+
+def load_table_from_day(spark: SparkSession, root: str, day, table_path: str, schema: T.StructType, mode: str = "append",
+                        ts_col: str = "timestamp", **options) -> None:
+    """Load one dated folder into a day-partitioned table.
+
+    ``append`` adds the rows; ``replace`` makes them the whole table.
+    """
+    if mode not in ("append", "replace"):
+        raise ValueError("mode must be 'append' or 'replace'")
+    rows = bulk_load_day(spark, root, day, schema, **options)
+    (rows.withColumn("dt", F.to_date(ts_col)).hint("rebalance", "dt").write
+     .mode("append" if mode == "append" else "overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("dt").parquet(table_path))

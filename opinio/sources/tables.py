@@ -16,32 +16,15 @@ TABLES = (
 )
 
 
-# Tables whose rows carry whole texts: per-row regex work dominates, so the
-# scan's split count must not cap the parallelism.
-TEXT_TABLES = ("documents", "pages", "conversations")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Parallelism guard for CPU-heavy per-row work.
-
-    When the scan yields fewer splits than the cluster has cores (a few large
-    files, one row group each), rows are dealt round-robin over all cores.
-    On a large input (thousands of splits) the condition is false and the
-    plan is unchanged — no extra shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def load_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
     """Full scan of one parquet table (pruning/pushdown left to Catalyst).
 
-    Text tables pass through :func:`spread`.
+    ``partitions`` (off by default) deals the rows anew over that many tasks;
+    a caller may ask for it where a table is a few large row groups and
+    per-row work dominates.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    return df.repartition(partitions) if partitions else df
 
 
 def reviews(spark: SparkSession, sf_dir: str, with_label: bool = True) -> DataFrame:

@@ -2,23 +2,27 @@
 
 One projection parses and routes every message (S5, JS1, JS3, JS4, ST1-ST5):
 
-* ``invalid``  — not JSON, or a value that does not fit the schema
-  (dead-lettered before the write instead of failing the insert);
-* ``oversize`` — serialised record larger than ``max_bytes`` (1 MiB),
+* ``invalid``  — not JSON, a value that does not fit the schema, a key that
+  the schema does not have, or a timestamp outside the years 1 to 9999: what
+  the sink could not take is dead-lettered before the write;
+* ``oversize`` — message as received larger than ``max_bytes`` (1 MiB),
   message "row size exceeded 1MB", ``payload`` removed from the snippet;
 * ``flagged``  — the record carries ``error_message``; it becomes the
   dead letter's message and is removed from the snippet;
 * ``ok``       — written to the review table.
 
-``foreachBatch`` writes both tables (K6, K7). Every write goes to
-partitions keyed by the micro-batch id with dynamic partition overwrite,
-so a replayed batch (after a crash between or during the writes) replaces
-exactly its own files: the sinks are idempotent and the checkpoint makes
-the stream exactly-once end to end (ST6).
+``foreachBatch`` writes both tables (K6, K7), which must exist. Every write
+goes to partitions that follow from the batch alone (its id; for reviews also
+the day of their own timestamp), never from the clock, with dynamic partition
+overwrite. A replayed batch (after a crash between or during the writes, also
+on another day) replaces exactly its own files, so each message ends up in one
+of the tables once (ST6); only a dead letter's wall-clock time may change.
+Small batches make small files: :func:`compact_table` rewrites a sink by day.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +32,9 @@ from opinio.schemas import MESSAGE, RAW_COLUMNS
 MAX_ROW_BYTES = 1024 * 1024  # fixed value: the sink's 1 MiB row limit
 OVERSIZE_MESSAGE = "row size exceeded 1MB"
 INVALID_MESSAGE = "[invalid] malformed or mistyped record"
+UNKNOWN_MESSAGE = "[invalid] field not in the table"
+RANGE_MESSAGE = "[invalid] timestamp out of range"
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799  # years 1 to 9999
 
 _CORRUPT = "_corrupt_record"
 _PARSE_SCHEMA = T.StructType(MESSAGE.fields + [T.StructField(_CORRUPT, T.StringType())])
@@ -46,14 +53,21 @@ def _record(fields=None) -> Column:
 
 
 def route_messages(parsed: DataFrame, max_bytes: int = MAX_ROW_BYTES) -> DataFrame:
-    """ST1/ST2/JS3/JS4: add ``route``, ``size_bytes`` to parsed messages."""
-    corrupt = F.col("msg").isNull() | F.col("msg").getField(_CORRUPT).isNotNull()
-    size = F.when(corrupt, F.octet_length("raw")).otherwise(F.octet_length(F.to_json(_record())))
-    route = (F.when(corrupt, F.lit("invalid"))
-             .when(size > F.lit(max_bytes), F.lit("oversize"))
-             .when(F.col("msg").getField("error_message").isNotNull(), F.lit("flagged"))
+    """ST1/ST2/JS3/JS4: add ``route``, ``size_bytes`` and, where invalid, ``fault``."""
+    m = F.col("msg")
+    known = F.array(*[F.lit(f.name) for f in MESSAGE.fields])
+    fault = (F.when(m.isNull() | m.getField(_CORRUPT).isNotNull(), F.lit(INVALID_MESSAGE))
+             .when(F.size(F.array_except(F.json_object_keys("raw"), known)) > 0, F.lit(UNKNOWN_MESSAGE))
+             .when(~F.coalesce(m.getField("timestamp").between(FIRST_SECOND, LAST_SECOND), F.lit(True)),
+                   F.lit(RANGE_MESSAGE)))
+    broken = F.col("fault") == F.lit(INVALID_MESSAGE)
+    route = (F.when(broken, F.lit("invalid"))
+             .when(F.col("size_bytes") > F.lit(max_bytes), F.lit("oversize"))
+             .when(F.col("fault").isNotNull(), F.lit("invalid"))
+             .when(m.getField("error_message").isNotNull(), F.lit("flagged"))
              .otherwise(F.lit("ok")))
-    return parsed.withColumn("size_bytes", size.cast("long")).withColumn("route", route)
+    return (parsed.withColumn("size_bytes", F.octet_length("raw").cast("long")).withColumn("fault", fault)
+            .withColumn("route", route))
 
 
 def raw_review_id(raw: str = "raw") -> Column:
@@ -79,7 +93,7 @@ def dead_letters(routed: DataFrame, now: Column | None = None) -> DataFrame:
     snippet = (F.when(F.col("route") == "invalid", F.col("raw"))
                .when(F.col("route") == "oversize", F.to_json(_record(no_payload)))
                .otherwise(F.to_json(_record(no_error))))
-    message = (F.when(F.col("route") == "invalid", F.lit(INVALID_MESSAGE))
+    message = (F.when(F.col("route") == "invalid", F.col("fault"))
                .when(F.col("route") == "oversize", F.lit(OVERSIZE_MESSAGE))
                .otherwise(m.getField("error_message")))
     rid = F.when(F.col("route") == "invalid", raw_review_id()).otherwise(m.getField("review_id"))
@@ -95,26 +109,43 @@ def write_batch(batch: DataFrame, batch_id: int, table_path: str, error_path: st
     try:
         bid = F.lit(int(batch_id)).cast("long").alias("batch_id")
         ok = table_rows(routed)
-        (ok.select("*", F.to_date("timestamp").alias("dt"), bid)
+        (ok.select("*", F.to_date("timestamp").alias("dt"), bid).hint("rebalance", "dt")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("dt", "batch_id").parquet(table_path))
-        bad = dead_letters(routed, now)
-        (bad.select("*", F.to_date("timestamp").alias("dt"), bid)
+        (dead_letters(routed, now).select("*", bid).hint("rebalance")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("dt", "batch_id").parquet(error_path))
+         .partitionBy("batch_id").parquet(error_path))
     finally:
         routed.unpersist()
 
 
-def start_ingest(spark: SparkSession, source_path: str, table_path: str, error_path: str,
+def create_sinks(spark: SparkSession, *paths: str) -> None:
+    """Make empty sink folders for :func:`start_ingest`."""
+    for path in paths:
+        spark.createDataFrame([], "batch_id long, dt date").write.mode("ignore").partitionBy("batch_id").parquet(path)
+
+
+def _must_exist(spark: SparkSession, path: str) -> None:
+    try:
+        spark.read.schema("value string").text(path)
+    except AnalysisException as e:
+        raise ValueError(f"sink {path} does not exist (create it first)") from e
+
+
+def start_ingest(spark: SparkSession, source: str | DataFrame, table_path: str, error_path: str,
                  checkpoint: str, max_bytes: int = MAX_ROW_BYTES, available_now: bool = True,
                  max_files_per_trigger: int | None = None, now: Column | None = None):
-    """JSON-lines folder as a stream (a message-bus source works the same:
-    its ``value`` column is the message text). Returns the StreamingQuery."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(source_path)
+    """Ingest a folder of JSON lines, or any streaming DataFrame with a text
+    column ``value`` (a message bus). Both sinks must exist. Returns the StreamingQuery."""
+    for path in (table_path, error_path):
+        _must_exist(spark, path)
+    if isinstance(source, DataFrame):
+        stream = source.select(F.col("value").cast("string").alias("value"))
+    else:
+        reader = spark.readStream.format("text")
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        stream = reader.load(source)
     writer = (stream.writeStream
               .foreachBatch(lambda df, bid: write_batch(df, bid, table_path, error_path, max_bytes, now))
               .option("checkpointLocation", checkpoint))
@@ -122,8 +153,18 @@ def start_ingest(spark: SparkSession, source_path: str, table_path: str, error_p
     return writer.start()
 
 
-def read_sink(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read a sink folder back without the bookkeeping ``batch_id`` column."""
-    full = T.StructType(schema.fields + [T.StructField("dt", T.DateType()),
-                                         T.StructField("batch_id", T.LongType())])
+def read_sink(spark: SparkSession, path: str, schema: T.StructType, day: bool = True) -> DataFrame:
+    """Read a sink folder back without the bookkeeping ``batch_id`` column.
+
+    ``day``: whether the sink is partitioned by day (reviews are, dead letters not).
+    """
+    more = [T.StructField("dt", T.DateType())] if day else []
+    full = T.StructType([*schema.fields, *more, T.StructField("batch_id", T.LongType())])
     return spark.read.schema(full).parquet(path).drop("batch_id")
+
+
+def compact_table(spark: SparkSession, path: str, target: str, schema: T.StructType) -> None:
+    """Rewrite a review sink as a table partitioned by day alone, with files of
+    balanced size, in a folder of its own."""
+    (read_sink(spark, path, schema).hint("rebalance", "dt").write.mode("overwrite")
+     .partitionBy("dt").parquet(target))

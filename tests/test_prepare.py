@@ -60,3 +60,18 @@ def test_page_frontier(spark):
     df = spark.createDataFrame([("http://x/biz/a",)], "url string")
     got = [r.page_url for r in prep.page_frontier(df, pages=2).orderBy("page_no").collect()]
     assert got == ["http://x/biz/a?start=0", "http://x/biz/a?start=20"]
+
+
+def test_no_pages_bad_dates_and_defaults(spark):
+    import datetime as dt
+
+    from opinio.functions import dates
+    from opinio.operators import summaries
+    from opinio.sources.tables import batch_date
+    df = spark.createDataFrame([("u", "1/2/2024"), ("v", "not a date"), ("w", None)], "url string, d string")
+    assert prep.page_frontier(df, pages=0).count() == 0
+    assert [r.page_url for r in prep.page_frontier(df.limit(1), pages=2).collect()] == ["u?start=0", "u?start=20"]
+    assert [r.t for r in df.select(dates.parse_slash_date("d").alias("t")).collect()] == [dt.datetime(2024, 1, 2), None, None]
+    assert batch_date() == dt.datetime.now(dt.timezone.utc).date()
+    assert [r.url for r in summaries.first_n(df, 2, "url").collect()] == ["u", "v"]
+    assert [r.url for r in summaries.last_n(df, 2, "url").collect()] == ["w", "v"]

@@ -12,13 +12,25 @@ def test_under_sample_exact(spark):
 
 
 def test_selection_narrowing_matches_sort(spark):
-    df = spark.range(20000).select(F.col("id").cast("string").alias("review_id"))
-    ranked = df.withColumn("_rank", smp.hash_rank("review_id"))
-    for k in (1, 777, 19999):
-        cut = smp.rank_cutoff(ranked, "_rank", "review_id", k, buckets=16, direct=100)
-        want = ranked.orderBy("_rank", "review_id").limit(k).collect()[-1]
-        assert cut == (want["_rank"], want["review_id"])
-    assert smp.take_lowest(df, "review_id", 777).count() == 777
+    df = spark.range(3000).select(F.col("id").cast("string").alias("review_id"))
+    order = [r.review_id for r in df.orderBy(smp.hash_rank("review_id"), "review_id").collect()]
+    for k in (0, 1, 777, 3000):
+        got = {r.review_id for r in smp.take_lowest(df, "review_id", k, buckets=64).collect()}
+        assert got == set(order[:k])
+
+
+def test_null_and_repeated_ids(spark):
+    ids = ["a"] * 5 + [None] * 4 + ["b", "c", "d"]
+    df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "review_id string, n int").repartition(3)
+    for k in (1, 3, 6, 11):
+        assert smp.take_lowest(df, "review_id", k, buckets=8).count() == k
+    train, test = smp.train_test_split(df)
+    got = [r.n for r in train.collect()] + [r.n for r in test.collect()]
+    assert sorted(got) == list(range(12)) and test.count() == 3
+    assert smp.train_test_split(df.limit(0))[1].count() == 0
+    labelled = df.withColumn("flagged", F.when(F.col("n") < 4, "Y").when(F.col("n") < 11, "N"))
+    counts = dict(smp.under_sample(labelled).groupBy("flagged").count().collect())
+    assert counts == {"Y": 4, "N": 4}
 
 
 def test_split_disjoint_complete(spark):
@@ -42,6 +54,28 @@ def test_describe_quartiles(spark):
     assert (r["count"], r.mean, r.min, r.p25, r.p50, r.p75, r.max) == (4, 2.5, 1.0, 1.75, 2.5, 3.25, 4.0)
 
 
+def test_describe_matches_the_built_in(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, 1.0, 2.5, rnd.random() * 9])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "c string, m double").repartition(5)
+    for by in ((), ("c",)):
+        got = {(r.c if by else 0): (r.p25, r.p50, r.p75, r["count"]) for r in summ.describe(df, "m", *by).collect()}
+        want = df.groupBy(*by).agg(*[F.percentile("m", q) for q in (0.25, 0.5, 0.75)], F.count("m")).collect()
+        assert len(got) == len(want)
+        for r in want:
+            assert all(abs(x - y) < 1e-9 for x, y in zip(got[r.c if by else 0], tuple(r)[-4:]))
+    assert "percentile" not in summ.describe(df, "m", "c")._jdf.queryExecution().toString()
+
+
+def test_rows_without_a_feature_are_left_out(spark):
+    from opinio.operators import model as mdl
+    cols = ["review_id string", *[f"{c} double" for c in mdl.FEATURES], "flagged string"]
+    df = spark.createDataFrame([("a", *[1.0] * 10, "Y"), ("b", None, *[1.0] * 9, "N")], ", ".join(cols))
+    assert [r.review_id for r in mdl.assemble(df).collect()] == ["a"]
+    assert [r.review_id for r in mdl.incomplete(df).collect()] == ["b"]
+
+
 def test_self_training_loop_ends(spark):
     from opinio.operators import model as mdl
     rows = []

@@ -72,7 +72,8 @@ def test_similarity_pairs_threshold(spark):
     df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
     vecs = sim.doc_vectors(df)
     pairs = {(p.review_id_a, p.review_id_b) for p in sim.similarity_pairs(vecs, 0.9).collect()}
-    assert pairs == {("1", "2")}
+    assert pairs == set()  # "1" and "2" are copies: members of one class, not a pair
+    assert {(r.review_id, r.class_id) for r in sim.copy_classes(vecs).collect()} >= {("1", "1"), ("2", "1")}
 
 
 WORDS = st.sampled_from(["aa", "bb", "cc", "dd", "ee", "ff", "gg", "x"])
@@ -89,3 +90,51 @@ def test_property_exact_and_bounded(spark, docs):
     for g, v in want.items():
         assert 0.0 <= got[g] <= 1.0
         assert got[g] == pytest.approx(v, abs=1e-9)
+
+
+def test_template_reviews_stay_linear(spark):
+    """One reviewer's template texts, each with a word of its own, make no pairs."""
+    template = " ".join(f"word{i}" for i in range(30))
+    rows = [("u", f"{i:05d}", f"{template} own{i} " + "more " * (i % 7)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
+    vecs = sim.materialise(sim.doc_vectors(df))
+    heads = sim.class_heads(vecs, "reviewer_id", "review_id")
+    reps = heads.where("place = 1")
+    assert reps.count() == 7  # one for each count of the word "more"
+    assert sim.bound_pairs(reps, "reviewer_id", "review_id").count() <= 7
+    zero = spark.createDataFrame([("u", 0.0)], "reviewer_id string, t double")
+    assert sim.candidate_pairs(sim.prefix_tokens(reps, zero, "reviewer_id", "review_id"),
+                               "reviewer_id", "review_id").count() <= 21
+    got = sim.max_cosine(vecs).first().cos_sim
+    from collections import Counter
+    import math
+    few = rows[:14]  # the classes repeat, so the first of each with its twin show the maximum
+    terms = [Counter(t.split()) for _, _, t in few]
+    n, df_ = 2000, Counter()
+    for _, _, t in rows:
+        df_.update(set(t.split()))
+    w = [{t: c * (math.log((1 + n) / (1 + df_[t])) + 1) for t, c in d.items()} for d in terms]
+    norm = [math.sqrt(sum(x * x for x in d.values())) for d in w]
+    best = max(sum(x * w[j].get(t, 0) for t, x in w[i].items()) / (norm[i] * norm[j])
+               for i in range(14) for j in range(i))
+    assert abs(got - best) < 1e-9
+
+
+def test_copies_are_members_not_pairs(spark):
+    rows = [("u", f"{i:03d}", "alpha beta gamma") for i in range(50)] + [("u", "900", "alpha beta delta")]
+    df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
+    vecs = sim.materialise(sim.doc_vectors(df))
+    assert [(r.review_id_a, r.review_id_b) for r in sim.similarity_pairs(vecs, 0.1).collect()] == [("000", "900")]
+    members = {r.review_id: r.class_id for r in sim.copy_classes(vecs).collect()}
+    assert members == {**{f"{i:03d}": "000" for i in range(50)}, "900": "900"}
+
+
+def test_texts_are_read_once(spark):
+    from opinio.operators.features import review_features
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    from opinio.sources.tables import reviews
+    for out in (sim.tfidf_weights(df.selectExpr("source AS reviewer_id", "doc_id AS review_id", "text AS review_content")),
+                review_features(reviews(spark, "/root/testdata/sf0.001", with_label=False))):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "documents.parquet" not in out._jdf.queryExecution().executedPlan().toString()
+        assert "text#" not in plan

@@ -64,3 +64,64 @@ def test_daily_job_rewrites_only_its_day(spark, tmp_path):
     assert {r.review_id for r in out} == {"2-0", "2-1"}
     after = {r.review_id: r.maximum_review_per_user for r in spark.table("t_final").collect()}
     assert after == before and len(after) == 6
+
+
+def test_one_day_overwrite_also_by_nothing(spark, tmp_path):
+    import pytest
+    sinks.create_table(spark, "t_one", RAW, str(tmp_path / "t_one"))
+    sinks.overwrite_day(_rows(spark, [1, 2], 1), "t_one")
+    with pytest.raises(Exception):
+        sinks.overwrite_day(_rows(spark, [1, 2], 5), "t_one", day="2024-01-02")
+    sinks.overwrite_day(_rows(spark, [2], 5), "t_one", day="2024-01-02")
+    assert {(r.dt.day, r.rating) for r in spark.table("t_one").collect()} == {(1, 1), (2, 5)}
+    sinks.overwrite_day(_rows(spark, [2], 5).limit(0), "t_one", day="2024-01-02")
+    assert {r.dt.day for r in spark.table("t_one").collect()} == {1}
+
+
+def test_daily_job_of_an_emptied_day(spark, tmp_path):
+    import glob
+
+    from opinio.plans import daily
+    from opinio.schemas import FINAL
+    from opinio.session import checkpoint_root
+    src, empty = str(tmp_path / "raw"), str(tmp_path / "empty")
+    _rows(spark, [1, 2], 2).withColumn("dt", F.to_date("timestamp")).write.partitionBy("dt").parquet(src)
+    _rows(spark, [1], 2).withColumn("dt", F.to_date("timestamp")).write.partitionBy("dt").parquet(empty)
+    sinks.create_table(spark, "t_emptied", FINAL, str(tmp_path / "t_emptied"))
+    folder = checkpoint_root(spark).removeprefix("file://") + "/opinio/*"
+    before = set(glob.glob(folder))
+    assert daily.run(spark, src, "t_emptied", "2024-01-02").count() == 2
+    assert daily.run(spark, empty, "t_emptied", "2024-01-02").count() == 0
+    assert set(glob.glob(folder)) == before  # no scratch is left
+
+
+def test_load_dated_folders(spark, tmp_path):
+    from opinio.sources.files import load_table_from_day
+    root, table = str(tmp_path / "in"), str(tmp_path / "t")
+    for d in (1, 2):
+        _rows(spark, [d], d).write.option("header", True).csv(f"{root}/2024010{d}")
+    for day, mode, n in (("2024-01-01", "append", 2), ("2024-01-02", "append", 4), ("2024-01-02", "replace", 2)):
+        load_table_from_day(spark, root, day, table, RAW, mode)
+        assert spark.read.parquet(table).count() == n
+
+
+def test_scratch_needs_a_shared_folder(monkeypatch):
+    import pytest
+
+    from opinio import session
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Spark:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        session.checkpoint_root(Spark())

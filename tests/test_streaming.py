@@ -45,11 +45,12 @@ def test_stream_restart_adds_nothing(spark, tmp_path):
     (src / "a.json").write_text("\n".join(messages()[:3]) + "\n")
     (src / "b.json").write_text("\n".join(messages()[3:] + [_good(5), _good(6)]) + "\n")
     table, errors, ck = str(tmp_path / "t"), str(tmp_path / "e"), str(tmp_path / "ck")
+    ingest.create_sinks(spark, table, errors)
     for _ in range(2):  # second run restarts from the checkpoint with no new input
         q = ingest.start_ingest(spark, str(src), table, errors, ck, max_bytes=1024, max_files_per_trigger=1)
         q.awaitTermination()
     t = ingest.read_sink(spark, table, RAW)
-    e = ingest.read_sink(spark, errors, ERROR)
+    e = ingest.read_sink(spark, errors, ERROR, day=False)
     assert sorted(r.review_id for r in t.collect()) == ["r4", "r5", "r6"]
     assert e.count() == 4
 
@@ -60,7 +61,7 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     ingest.write_batch(raw, 7, table, errors, max_bytes=1024)
     ingest.write_batch(raw, 7, table, errors, max_bytes=1024)  # replay of the same batch id
     assert ingest.read_sink(spark, table, RAW).count() == 1
-    assert ingest.read_sink(spark, errors, ERROR).count() == 4
+    assert ingest.read_sink(spark, errors, ERROR, day=False).count() == 4
 
 
 def test_crash_between_the_two_writes_then_replay(spark, tmp_path):
@@ -74,4 +75,43 @@ def test_crash_between_the_two_writes_then_replay(spark, tmp_path):
     assert ingest.read_sink(spark, table, RAW).count() == 1
     ingest.write_batch(raw, 3, table, errors, max_bytes=1024)                  # the replay after restart
     assert ingest.read_sink(spark, table, RAW).count() == 1
-    assert ingest.read_sink(spark, errors, ERROR).count() == 4
+    assert ingest.read_sink(spark, errors, ERROR, day=False).count() == 4
+
+
+def test_what_the_table_cannot_take_is_dead_lettered(spark, tmp_path):
+    rows = [_good(1, timestamp=9223372036854775807), _good(2, timestamp=-(10**15)), _good(3, surprise=1),
+            _good(4, surprise="x" * 5000), _good(5, timestamp=None), _good(6)]
+    raw = spark.createDataFrame([(m,) for m in rows], "value string")
+    routed = ingest.route_messages(ingest.parse_messages(raw), max_bytes=1024)
+    assert [r.route for r in routed.collect()] == ["invalid", "invalid", "invalid", "oversize", "ok", "ok"]
+    table, errors = str(tmp_path / "t"), str(tmp_path / "e")
+    ingest.write_batch(raw, 1, table, errors, max_bytes=1024)
+    assert {r.review_id for r in ingest.read_sink(spark, table, RAW).collect()} == {"r5", "r6"}
+    got = {r.review_id: r.error_message for r in ingest.read_sink(spark, errors, ERROR, day=False).collect()}
+    assert got == {"r1": ingest.RANGE_MESSAGE, "r2": ingest.RANGE_MESSAGE, "r3": ingest.UNKNOWN_MESSAGE,
+                   "r4": ingest.OVERSIZE_MESSAGE}
+
+
+def test_replay_past_midnight_replaces_dead_letters(spark, tmp_path):
+    import datetime as dt
+    raw = spark.createDataFrame([(m,) for m in messages()], "value string")
+    table, errors = str(tmp_path / "t"), str(tmp_path / "e")
+    for now in (dt.datetime(2024, 1, 1, 23, 59), dt.datetime(2024, 1, 2, 0, 1)):
+        ingest.write_batch(raw, 4, table, errors, max_bytes=1024, now=F.lit(now))
+    assert ingest.read_sink(spark, errors, ERROR, day=False).count() == 4
+
+
+def test_sinks_must_exist_and_any_stream_will_do(spark, tmp_path):
+    import pytest
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a.json").write_text("\n".join(messages()) + "\n")
+    table, errors, ck = str(tmp_path / "t"), str(tmp_path / "e"), str(tmp_path / "ck")
+    stream = spark.readStream.format("text").load(str(src))
+    with pytest.raises(ValueError):
+        ingest.start_ingest(spark, stream, table, errors, ck)
+    ingest.create_sinks(spark, table, errors)
+    ingest.start_ingest(spark, stream, table, errors, ck, max_bytes=1024).awaitTermination()
+    assert ingest.read_sink(spark, table, RAW).count() == 1
+    ingest.compact_table(spark, table, str(tmp_path / "c"), RAW)
+    assert [r.review_id for r in spark.read.parquet(str(tmp_path / "c")).collect()] == ["r4"]
