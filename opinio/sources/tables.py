@@ -16,14 +16,22 @@ TABLES = (
 )
 
 
+#: Tables of whole texts, and the session setting that deals their rows anew.
+TEXT_TABLES = ("documents", "pages", "conversations")
+SCAN_PARTITIONS = "opinio.scan.partitions"
+
+
 def load_table(spark: SparkSession, sf_dir: str, name: str, partitions: int | None = None) -> DataFrame:
     """Full scan of one parquet table (pruning/pushdown left to Catalyst).
 
-    ``partitions`` (off by default) deals the rows anew over that many tasks;
-    a caller may ask for it where a table is a few large row groups and
-    per-row work dominates.
+    By default the scan's own splits are used, whatever the size of the table or
+    the cluster. A caller whose text tables are a few large row groups may ask
+    for their rows to be dealt over ``partitions`` tasks, here or for a whole
+    session by the setting ``opinio.scan.partitions``.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if partitions is None and name in TEXT_TABLES:
+        partitions = int(spark.conf.get(SCAN_PARTITIONS, "0"))
     return df.repartition(partitions) if partitions else df
 
 
