@@ -1,5 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
+First each task replaces its own edges by stars around the least node of what
+they connect, twice with a shuffle between; small components are mostly whole
+after that, and the rounds that follow are few.
 Each step is an aggregation and a join on node ids, so no component is ever
 gathered in one task; edges are written to the shared folder after each round.
 The number of rounds grows with the logarithm of the graph's diameter.
@@ -7,10 +10,43 @@ The number of rounds grows with the logarithm of the graph's diameter.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import materialise
+from opinio.llm.common import arrow_map, materialise
+
+#: Edges that a task contracts at a time.
+CONTRACT = 1 << 20
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars around the least nodes of what a task's edges connect."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    def stars() -> pa.RecordBatch:
+        pairs = [(x, r) for x in root if (r := find(x)) != x]
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    seen = 0
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            u, v = find(u), find(v)
+            if u != v:
+                root[max(u, v)] = min(u, v)
+        seen += batch.num_rows
+        if seen >= CONTRACT:
+            yield stars()
+            root.clear()
+            seen = 0
+    yield stars()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,7 +76,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     The component is its least node; nodes that are linked with nothing but
     themselves are not in the result.
     """
-    edges = materialise(edges.select("u", "v").where("u <> v").distinct(), name)
+    edges = arrow_map(edges.select("u", "v").where("u <> v"), _stars, "u bigint, v bigint")
+    edges = materialise(arrow_map(edges.repartition("v"), _stars, "u bigint, v bigint"), name)
     seen = _print(edges)
     while seen[0]:
         edges = materialise(_small_star(_large_star(edges)), name)

@@ -5,10 +5,11 @@ similarity of at least 0.8; the result is each document's component. Nothing
 is sampled: every link between different sets is found, except that links
 inside what is already one component are not looked at.
 
-1. Equal sets are one set, named by a digest; counts of shingle hash buckets
-   over all documents give a global order of shingles, rarest first.
+1. Equal sets are one set, named by a digest. All shingles of all documents
+   are counted in ``2^28`` hash buckets; one alone in its bucket is certain to
+   be held by one set only. In the global order of shingles those come first.
 2. Two sets that link share one of the first ``n - ceil(0.8 n) + 1`` shingles
-   of each in that order. Sets that share such a shingle and are near in size
+   of each in that order, and not one that is alone. Sets that share such a shingle and are near in size
    are put in one coarse block. Each task first combines its own rows of a
    shingle to one row for each run of sizes, so a shingle that a third of the
    sets hold costs a few rows a task.
@@ -17,8 +18,10 @@ inside what is already one component are not looked at.
    root prunes node pairs whose largest possible overlap is too small, and node
    pairs that are one component already. What reaches the leaves is compared
    shingle by shingle.
-4. A block of more than ``SETS`` sets (or ``TOKENS`` shingles) is cut into
-   parts in order of size. Parts are joined within; then one set of each
+4. In a corpus of far more shingles than buckets few are known to be alone, and
+   unlike sets may be chained to a large block. Blocks of more than ``SETS`` sets (or ``TOKENS`` shingles) are formed
+   anew with an exact count of their shingles. One that is still as large is
+   cut into parts in order of size. Parts are joined within; then one set of each
    component and part stands for it in further rounds; at last pairs of parts
    that are not yet one component and overlap in size are joined in full, so
    the cuts lose no link.
@@ -45,8 +48,8 @@ from opinio.llm.shingles import set_id, shingle_sets
 
 #: Link when PART * intersection >= SHARE * union.
 SHARE, PART = 80, 100
-#: Buckets of the shingle counts that order the shingles.
-BUCKETS = 1 << 17
+#: Buckets of the shingle counts: slices of 2^16, a bit for each on the driver (32 MB).
+SLICES = 1 << 12
 #: Prefix rows that a task combines at a time.
 COMBINE = 1 << 21
 #: Sets and shingles of the largest block that one tree is built on.
@@ -68,55 +71,90 @@ def _near(small, large):
 # Tables of all documents
 
 def set_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row per document (``bucket`` null): id, row key, set id, size; and
-    rows of shingle counts (``bucket``, ``n``). Written once."""
+    """A row per document (``slice`` null): id, row key, set id, size; and rows of
+    the buckets that sets hold (``slice``, ``buckets``). Written once."""
     kind = docs.schema[id_col].dataType.simpleString()
+    names = ["id", "key", "sid", "n", "slice", "buckets"]
+
+    def held(found: list[np.ndarray], ids: pa.DataType) -> pa.RecordBatch:
+        bucket = np.sort(_bucket(np.concatenate(found)))
+        cut = np.searchsorted(bucket >> np.uint64(16), np.arange(SLICES + 1, dtype=np.uint64))
+        low = (bucket & np.uint64(0xFFFF)).astype("<u2")
+        some = np.flatnonzero(np.diff(cut))
+        none = pa.nulls(len(some), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(len(some), ids), none, none, none, pa.array(some, pa.int32()),
+             pa.array([low[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(BUCKETS, np.int64)
-        names = ["id", "key", "sid", "n", "bucket"]
-        empty = None
+        waiting, size, seen, ids = [], 0, set(), None
         for batch in batches:
             sids, sizes = [], []
+            ids = batch.schema.field(0).type
             for found in shingle_sets(batch.column(2).to_pylist()):
-                counts += np.bincount(_bucket(found), minlength=BUCKETS) if len(found) > 1000 else 0
-                if len(found) <= 1000:
-                    np.add.at(counts, _bucket(found), 1)
                 sids.append(set_id(found))
                 sizes.append(len(found))
-            empty = batch.column(0).slice(0, 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sids, pa.int64()),
-                                              pa.array(sizes, pa.int64()), pa.nulls(len(sids), pa.int32())], names)
-        some = np.flatnonzero(counts)
-        if len(some):
-            none = pa.nulls(len(some), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), empty.type), none, none, pa.array(counts[some]),
-                                              pa.array(some, pa.int32())], names)
+                if sids[-1] not in seen:  # of this run of rows
+                    seen.add(sids[-1])
+                    waiting.append(found)
+                    size += len(found)
+            n = len(sids)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+            if size >= COMBINE:
+                yield held(waiting, ids)
+                waiting, size, seen = [], 0, set()
+        if size:
+            yield held(waiting, ids)
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("_text"))
     rows = rows.select("id", row_key("id", "_text").alias("key"), "_text")
-    return materialise(arrow_map(rows, run, f"id {kind}, key bigint, sid bigint, n bigint, bucket int"), "sets")
+    return materialise(arrow_map(rows, run, f"id {kind}, key bigint, sid bigint, n bigint, slice int, buckets binary"),
+                       "sets")
 
 
 def _bucket(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+    return found >> np.uint64(64 - 16 - SLICES.bit_length() + 1)
 
 
-def bucket_counts(table: DataFrame) -> np.ndarray:
-    """Shingle counts by bucket (a fixed number of them) on the driver."""
-    out = np.zeros(BUCKETS, np.int64)
-    rows = table.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    out[rows["bucket"].to_numpy(np.int64)] = rows["n"]
-    return out
+def shared_buckets(table: DataFrame) -> np.ndarray:
+    """A bit for each bucket: whether more than one shingle occurrence is in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts = None, np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            done = []
+            for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if k != now:
+                    if now is not None:
+                        done.append((now, np.packbits(counts > 1).tobytes()))
+                    now, counts = k, np.zeros(1 << 16, np.int64)
+                counts += np.bincount(np.frombuffer(raw, "<u2"), minlength=1 << 16)
+            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int32()),
+                                              pa.array([d[1] for d in done], pa.binary())], ["slice", "bits"])
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()),
+                                              pa.array([np.packbits(counts > 1).tobytes()], pa.binary())], ["slice", "bits"])
+
+    rows = table.where("slice is not null").select("slice", "buckets")
+    bits = arrow_map(rows.repartition("slice").sortWithinPartitions("slice"), run, "slice int, bits binary")
+    out = np.zeros((SLICES, 1 << 13), np.uint8)
+    for r in bits.collect():
+        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
 
 
 # Coarse blocks
 
-def _prefix(found: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles in the global order; with those equal to the last."""
-    need = len(found) - _needed(len(found)) + 1
-    rank = np.minimum(counts[_bucket(found)], (1 << 24) - 1).astype(np.uint64) << np.uint64(40) | found >> np.uint64(24)
-    return found[rank <= np.partition(rank, need - 1)[need - 1]]
+def _prefix(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Those of the first shingles in the global order (alone ones, then by hash)
+    that other sets may hold."""
+    bucket = _bucket(found)
+    shared = (bits[bucket >> np.uint64(3)] >> (np.uint64(7) - (bucket & np.uint64(7))).astype(np.uint8)) & 1
+    other = found[shared.astype(bool)]
+    alone = len(found) - len(other)
+    return other[:max(0, len(found) - _needed(len(found)) + 1 - alone)]
 
 
 def _runs_of(token: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -129,10 +167,15 @@ def _runs_of(token: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
     return start
 
 
-def coarse_edges(docs: DataFrame, counts: np.ndarray, text_col: str) -> DataFrame:
-    """Edges (``u``, ``v``) of set ids that leave linked sets connected."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
-    schema = "token bigint, low int, high int, sid bigint, other bigint"
+#: A run of sizes (``low`` to ``high``) that sets of a shingle have, one of them
+#: (``sid``) for all; or, with ``other``, two sets of a run that a task has seen.
+PREFIX_SCHEMA = "token bigint, low int, high int, sid bigint, other bigint"
+
+
+def prefix_rows(docs: DataFrame, bits: np.ndarray, text_col: str) -> DataFrame:
+    """The runs of every shingle that is among a set's first, combined per task."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    schema = PREFIX_SCHEMA
     names = ["token", "low", "high", "sid", "other"]
 
     def combined(tokens: list, sizes: list, sids: list) -> pa.RecordBatch:
@@ -169,6 +212,13 @@ def coarse_edges(docs: DataFrame, counts: np.ndarray, text_col: str) -> DataFram
         if held:
             yield combined(tokens, sizes, sids)
 
+    return arrow_map(docs.select(text_of(text_col).alias("_text")), prefixes, schema)
+
+
+def link_runs(rows: DataFrame) -> DataFrame:
+    """Edges (``u``, ``v``) that connect the sets of each run of a shingle: rows of
+    one shingle whose sizes follow one another without a gap."""
+
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = reach = head = None  # of the run that the last batch ended in
         for batch in batches:
@@ -192,10 +242,66 @@ def coarse_edges(docs: DataFrame, counts: np.ndarray, text_col: str) -> DataFram
             differ = heads != sid
             yield pa.RecordBatch.from_arrays([pa.array(heads[differ]), pa.array(sid[differ])], ["u", "v"])
 
-    rows = arrow_map(docs.select(text_of(text_col).alias("_text")), prefixes, schema)
     return arrow_map(rows.repartition("token").sortWithinPartitions("token", "low"), link, "u bigint, v bigint")
 
 
+def refined(texts: DataFrame, members: DataFrame, text_col: str) -> DataFrame:
+    """Finer blocks for the sets of large ones: ``members`` with a new ``coarse``.
+
+    Among these sets shingles are counted exactly. Those that one set holds
+    come first in the order and link nothing, so only sets of which at least
+    four fifths are shared stay in a block; the others leave.
+    """
+    own = members.select("key", "sid").join(texts, F.col("key") == F.col("__key")).select("sid", text_of(text_col).alias("t"))
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sids = batch.column(0).to_numpy()
+            for at in range(0, len(sids), 64):
+                sets = list(shingle_sets(batch.column(1).slice(at, 64).to_pylist()))
+                some = sids[at:at + 64]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(some, [len(x) for x in sets])), pa.array(np.concatenate(sets).view(np.int64))],
+                    ["sid", "token"])
+
+    rows = arrow_map(own.dropDuplicates(["sid"]), shingles, "sid bigint, token bigint")
+    held = rows.groupBy(F.col("token").alias("_token")).agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = (rows.join(held, F.col("token") == F.col("_token")).select("sid", "token", "df")
+              .join(members.select(F.col("sid").alias("_sid"), "n"), F.col("sid") == F.col("_sid")))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come by set, rarest first; a set may go on in the next batch.
+        held: list[np.ndarray] = []
+        for batch in batches:
+            sid, token, n = (batch.column(i).to_numpy() for i in range(3))
+            cut = np.flatnonzero(np.diff(sid)) + 1
+            parts = [np.stack(x) for x in zip(np.split(sid, cut), np.split(token, cut), np.split(n, cut))]
+            if held and len(parts) and parts[0][0, 0] == held[0][0, 0]:
+                held.append(parts.pop(0))
+            if parts:
+                yield first([np.concatenate(held, axis=1), *parts[:-1]] if held else parts[:-1])
+                held = [parts[-1]]
+        if held:
+            yield first([np.concatenate(held, axis=1)])
+
+    def first(sets: list[np.ndarray]) -> pa.RecordBatch:
+        keep = []
+        for rows in sets:
+            n = int(rows[2, 0])
+            alone = n - rows.shape[1]  # shingles of this set only; they are first
+            keep.append(rows[:, :max(0, n - _needed(n) + 1 - alone)])
+        sid, token, n = np.concatenate(keep, axis=1) if keep else np.empty((3, 0), np.int64)
+        size = pa.array(n.astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(token), size, size, pa.array(sid), pa.nulls(len(sid), pa.int64())],
+                                          ["token", "low", "high", "sid", "other"])
+
+    ordered = (shared.select("sid", "token", "n", "df").repartition("sid").sortWithinPartitions("sid", "df", "token")
+               .select("sid", "token", "n"))
+    edges = link_runs(arrow_map(ordered, prefixes, PREFIX_SCHEMA))
+    finer = connected_components(edges, "finer").select(F.col("node").alias("_sid"), F.col("component").alias("coarse"))
+    return members.drop("coarse").join(finer, F.col("sid") == F.col("_sid")).select("coarse", "sid", "key", "n")
+
+
 # Signature trees
 
 class SignatureTree:
@@ -299,8 +405,8 @@ def links(sets: list[np.ndarray], classes: list[int]) -> list[tuple[int, int]]:
 def block_links(docs: DataFrame, members: DataFrame, text_col: str) -> DataFrame:
     """Links (``u``, ``v``) found within each block.
 
-    ``members``: ``key`` (of the document that shows the set), ``sid``,
-    ``block``, ``class``. One document is read per set and block.
+    ``docs``: texts and their row key (``__key``). ``members``: ``key`` (of the
+    document that shows the set), ``sid``, ``block``, ``class``.
     """
     texts = docs.select(text_of(text_col).alias("_text"), F.col("__key").alias("_key"))
     rows = (members.join(texts, F.col("key") == F.col("_key")).select("block", "sid", "class", "_text")
@@ -394,24 +500,40 @@ def _large_block_links(docs: DataFrame, large: DataFrame, text_col: str) -> Data
     return edges.unionByName(block_links(docs, both, text_col))
 
 
+def _sized(members: DataFrame) -> DataFrame:
+    """``members`` with ``fits``: whether the block is small enough for one tree."""
+    sizes = members.groupBy(F.col("coarse").alias("_coarse")).agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
+    fits = (F.col("sets") <= SETS) & (F.col("tokens") <= TOKENS)
+    return materialise(members.join(sizes, F.col("coarse") == F.col("_coarse")).withColumn("fits", fits)
+                       .where("sets > 1"), "sized")
+
+
+def _as_blocks(sized: DataFrame) -> DataFrame:
+    return sized.where("fits").select("key", "sid", F.col("coarse").alias("block"), F.col("sid").alias("class"))
+
+
 def judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document: ``id``, ``key``, ``n``, and ``least``, the id and key
     of its component's first document (null where it has no words)."""
     keyed = docs.select(F.col(text_col), row_key(id_col, text_col).alias("__key"))
     table = set_table(docs, id_col, text_col)
-    rows = table.where("bucket is null").select("id", "key", "sid", "n")
-    coarse = connected_components(coarse_edges(docs, bucket_counts(table), text_col), "coarse")
+    rows = table.where("slice is null").select("id", "key", "sid", "n")
+    coarse = connected_components(link_runs(prefix_rows(docs, shared_buckets(table), text_col)), "coarse")
     shown = rows.groupBy("sid").agg(F.min("key").alias("key"), F.first("n").alias("n"))
     members = materialise(coarse.withColumnRenamed("component", "coarse").join(shown, F.col("node") == F.col("sid"))
                           .select("coarse", "sid", "key", "n"), "members")
-    sizes = members.groupBy(F.col("coarse").alias("_coarse")).agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
-    fits = (F.col("sets") <= SETS) & (F.col("tokens") <= TOKENS)
-    sized = materialise(members.join(sizes, F.col("coarse") == F.col("_coarse")).withColumn("fits", fits), "sized")
-    small = sized.where("fits").select("key", "sid", F.col("coarse").alias("block"), F.col("sid").alias("class"))
-    edges = block_links(keyed, small, text_col)
+    # The only shuffle of texts; what is read again and again is the members' alone.
+    texts = materialise(keyed.join(members.select(F.col("key").alias("_key")), F.col("__key") == F.col("_key"),
+                                   "left_semi"), "texts")
+    sized = _sized(members)
+    edges = block_links(texts, _as_blocks(sized), text_col)
     large = sized.where("not fits")
     if large.limit(1).count():
-        edges = edges.unionByName(_large_block_links(keyed, large, text_col))
+        sized = _sized(refined(texts, large.select("coarse", "sid", "key", "n"), text_col))
+        edges = edges.unionByName(block_links(texts, _as_blocks(sized), text_col))
+        large = sized.where("not fits")
+        if large.limit(1).count():
+            edges = edges.unionByName(_large_block_links(texts, large, text_col))
     classes = connected_components(edges, "links")
     named = rows.join(classes, F.col("sid") == F.col("node"), "left").withColumn("class", F.coalesce("component", "sid"))
     named = materialise(named.select("id", "key", "n", "class"), "classes")
