@@ -1,17 +1,23 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. The n-grams (three words) of all benchmark items are counted over all
-   documents, by number of documents.
-2. Seeds are chosen per item: every n-gram that is rare in the corpus (in at
-   most ``RARE`` of the documents), and of the frequent ones those that are
-   the rarest of two neighbours. So four words in a row that an edited copy
-   leaves alone always hold a seed, also where the corpus is full of copies.
-3. A document's seeds name the items and the diagonals to look at. The window
-   around a run of near diagonals is dropped if too few of its words occur in
-   the item; else item and window are aligned word by word (Smith-Waterman:
-   match +1, mismatch and gap -1/2). The similarity is the best local score
-   divided by the item's words; from ``LEAST`` on the document is contaminated.
-   Items of fewer than ``SHORT`` words must be found whole.
+"""Benchmark decontamination: seeds of word pairs, then Smith-Waterman alignment.
+
+The similarity of a document and an item is the best local alignment score of
+their words (match +1, mismatch and gap -1/2), divided by the item's words;
+from ``LEAST`` on the document is contaminated. Items of fewer than ``SHORT``
+words must be found whole.
+
+1. Two matched words that follow each other in an alignment with at most one
+   edit between them are at most ``REACH`` = 2 places apart in both texts: a
+   pair. A wider gap holds two edits, which cost a whole match. So an alignment
+   of score s has at least s - 1 pairs, each with another first place in the
+   item: every one of at least ``LEAST`` is known by its number of pairs,
+   whatever words are replaced, inserted or left out.
+2. The pairs of all items are counted over all documents, by number of
+   documents. Places of an item whose pairs are frequent are left out of the
+   seeds, most frequent first, as long as two of the needed pairs are certain
+   to remain; the number needed falls by one for each.
+3. A document's seeds name the items and windows that hold as many as needed.
+   A window that holds too few of the item's words is dropped; else item and
+   window are aligned word by word.
 
 Items are a query set, taken in blocks of bounded size against all documents,
 so memory is bounded whatever the size of the benchmark. Both passes are plain
@@ -39,9 +45,9 @@ from pyspark.sql import functions as F
 
 from opinio.llm.common import arrow_map, text_of, unused
 
-#: Words in a seed.
-GRAM = 3
-#: Largest share of documents that a rare n-gram occurs in.
+#: Most places between the two words of a pair.
+REACH = 2
+#: Largest share of documents that a rare place's pairs occur in.
 RARE = 0.001
 #: Least similarity of a contaminated document; items shorter than SHORT words must match whole.
 LEAST = 0.5
@@ -49,6 +55,8 @@ SHORT = 8
 MISMATCH = GAP = 0.5
 #: Item words in a block.
 BLOCK_WORDS = 500_000
+#: Spreads keys over the table of possible ones.
+SPREAD, MASK = np.int64(-7046029254386353131), np.int64((1 << 63) - 1)
 
 _words = re.compile(r"\w+").findall
 
@@ -75,7 +83,7 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int]:
 
 
 class Block:
-    """A block of items: vocabulary, n-grams and, once chosen, seeds."""
+    """A block of items: vocabulary, word pairs and, once chosen, seeds."""
 
     def __init__(self, items: list[tuple[object, list[str]]]):
         self.names = [i for i, _ in items]
@@ -83,22 +91,30 @@ class Block:
         self.items = [np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)
                       for _, words in items]
         self.size = len(self.vocabulary) + 1  # the last number is any other word
-        #: Items shorter than an n-gram, by their first word, which is their seed.
-        self.short: dict[int, list[int]] = {}
+        self.least = np.array([len(x) if len(x) < SHORT else LEAST * len(x) for x in self.items], float)
+        #: Most words of a document that an alignment can span, by item.
+        self.span = np.array([len(x) + len(x) // 4 + 2 for x in self.items], np.int64)
+        #: Items of one word, by that word, which is their seed.
+        self.single: dict[int, list[int]] = {}
         for number, ids in enumerate(self.items):
-            if len(ids) < GRAM:
-                self.short.setdefault(int(ids[0]), []).append(number)
-        found = [self._keys(ids) for ids in self.items]
-        self.grams = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-        self.places: dict[int, list[tuple[int, int]]] = {}
-        self.seeds = np.empty(0, np.int64)
-
-    def _keys(self, ids: np.ndarray) -> np.ndarray:
-        """Keys of the n-grams of a word list."""
-        out = np.zeros(max(0, len(ids) - GRAM + 1), np.int64)
-        for k in range(GRAM):
-            out = out * self.size + ids[k:k + len(out)]
-        return out
+            if len(ids) == 1:
+                self.single.setdefault(int(ids[0]), []).append(number)
+        found = [k for ids in self.items for k in self._keys(ids)]
+        self._look_for(np.unique(np.concatenate(found)) if found else np.empty(0, np.int64))
+
+    def _keys(self, ids: np.ndarray) -> list[np.ndarray]:
+        """Keys of the pairs of a word and the one or two places after it, by place of the first."""
+        return [ids[:-d] * self.size + ids[d:] for d in range(1, REACH + 1)]
+
+    def _look_for(self, keys: np.ndarray) -> None:
+        """Set the sorted keys that ``_find`` finds, and a table that rules out most others."""
+        self.keys = keys
+        self.shift = 63 - max(10, int(len(keys) * 16).bit_length())
+        self.maybe = np.zeros(1 << 63 - self.shift, bool)
+        self.maybe[self._slots(keys)] = True
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * SPREAD & MASK) >> self.shift
 
     def numbers(self, text: str) -> np.ndarray:
         """A document's words as numbers of the vocabulary."""
@@ -106,77 +122,101 @@ class Block:
         words = words_of(text)
         return np.fromiter((get(w, other) for w in words), np.int64, len(words))
 
-    def _find(self, ids: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a document of the given n-grams, and their indexes."""
-        if len(ids) < GRAM or not len(keys):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        some = self._keys(ids)
-        # N-grams that begin with another word are the most; they are no keys.
-        at = np.flatnonzero(ids[:len(some)] < self.size - 1)
-        i = np.minimum(np.searchsorted(keys, some[at]), len(keys) - 1)
-        hit = keys[i] == some[at]
-        return at[hit], i[hit]
-
-    def grams_in(self, ids: np.ndarray) -> np.ndarray:
-        """Indexes of the distinct n-grams of items that a document holds."""
-        return np.unique(self._find(ids, self.grams)[1])
+    def _find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in a document of the pairs looked for, and their indexes."""
+        places, indexes = [], []
+        at = np.flatnonzero(ids < self.size - 1)
+        known = ids[at]
+        # Words at most REACH places apart are at most REACH known words apart.
+        for d in range(1, REACH + 1):
+            near = np.flatnonzero(at[d:] - at[:-d] <= REACH)
+            keys = known[near] * self.size + known[near + d]
+            some = np.flatnonzero(self.maybe[self._slots(keys)])
+            keys = keys[some]
+            i = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            hit = self.keys[i] == keys
+            places.append(at[near[some[hit]]])
+            indexes.append(i[hit])
+        return np.concatenate(places), np.concatenate(indexes)
+
+    def pairs_in(self, ids: np.ndarray) -> np.ndarray:
+        """Indexes of the distinct pairs of items that a document holds."""
+        return np.unique(self._find(ids)[1])
 
     def choose(self, counts: np.ndarray, documents: int) -> None:
-        """Choose the seeds by the number of documents that hold each n-gram."""
+        """Choose the seeds by the number of documents that hold each pair."""
+        self.need = np.ones(len(self.items), np.int64)
+        keys, numbers = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for number, ids in enumerate(self.items):
-            keys = self._keys(ids)
-            if not len(keys):
+            if len(ids) < 2:
                 continue
-            df = counts[np.searchsorted(self.grams, keys)]
-            seed = df <= RARE * documents
-            if len(df) > 1:
-                first = df[:-1] <= df[1:]
-                seed[:-1] |= first
-                seed[1:] |= ~first
+            own = self._keys(ids)
+            df = np.zeros(len(ids) - 1, np.int64)
+            for k in own:
+                df[:len(k)] += counts[np.searchsorted(self.keys, k)]
+            close = math.ceil(self.least[number]) - 1
+            order = np.argsort(-df, kind="stable")[:max(0, close - 2)]
+            out = order[df[order] > RARE * documents]
+            stay = np.ones(len(df), bool)
+            stay[out] = False
+            self.need[number] = close - len(out)
+            mine = np.unique(np.concatenate([k[stay[:len(k)]] for k in own]))
+            keys.append(mine)
+            numbers.append(np.full(len(mine), number, np.int64))
+        key, number = np.concatenate(keys), np.concatenate(numbers)
+        order = np.argsort(key, kind="stable")
+        #: Items of each seed: those at start .. start + many of ``who``.
+        seeds, self.start, self.many = np.unique(key[order], return_index=True, return_counts=True)
+        self.who = number[order]
+        self._look_for(seeds)
+
+    def _candidates(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
+        """Items and windows that hold as many seeds as an alignment has at least."""
+        at, which = self._find(ids)
+        if not len(at):
+            return []
+        many = self.many[which]
+        ends = np.cumsum(many)
+        who = self.who[np.repeat(self.start[which] - ends + many, many) + np.arange(ends[-1])]
+        item, place = np.divmod(np.unique(who * len(ids) + np.repeat(at, many)), len(ids))
+        last = np.arange(len(item)) + self.need[item] - 1
+        first = np.flatnonzero(last < len(item))
+        last = last[first]
+        good = (item[last] == item[first]) & (place[last] - place[first] < self.span[item[first]])
+        first, last = first[good], last[good]
+        item, span = item[first], self.span[item[first]]
+        low = np.maximum(place[last] - span + 1, 0).tolist()
+        high = np.minimum(place[first] + span, len(ids)).tolist()
+        out: list[tuple[int, int, int]] = []
+        for number, start, end in zip(item.tolist(), low, high):
+            if out and out[-1][0] == number and start <= out[-1][2]:
+                start = min(out[-1][1], start)
+                out[-1] = number, start, max(out[-1][2], end)
             else:
-                seed[:] = True
-            for at in np.flatnonzero(seed).tolist():
-                self.places.setdefault(int(keys[at]), []).append((number, at))
-        self.seeds = np.array(sorted(self.places), np.int64)
+                out.append((number, start, end))
+        return out
 
     def matches(self, text: str) -> list[tuple[object, float, int, int]]:
         """Contaminating items of a text: item, similarity, window (words)."""
         ids = self.numbers(text)
-        at, which = self._find(ids, self.seeds)
-        lines: dict[int, list[int]] = {}
-        for word, numbers in self.short.items():
-            for number in numbers if (ids == word).any() else ():
-                lines[number] = np.flatnonzero(ids == word).tolist()
-        for place, seed in zip(at.tolist(), self.seeds[which].tolist()):
-            for number, spot in self.places[seed]:
-                lines.setdefault(number, []).append(place - spot)
-        out = []
-        for number, diagonals in lines.items():
-            item = self.items[number]
-            n = len(item)
-            slack = n // 4 + 2
-            least = n if n < SHORT else LEAST * n
-            known = np.zeros(self.size, bool)
-            known[item] = True
-            diagonals.sort()
-            best: tuple[float, int, int] | None = None
-            k = 0
-            while k < len(diagonals):
-                first = k
-                while k + 1 < len(diagonals) and diagonals[k + 1] - diagonals[k] <= slack:
-                    k += 1
-                low = max(0, diagonals[first] - slack)
-                high = min(len(ids), diagonals[k] + n + slack)
-                k += 1
-                window = ids[low:high]
-                if known[window].sum() < least:
-                    continue
-                score, end = align(item, window)
-                if score >= least and (best is None or score > best[0]):
-                    best = score, low, low + end
-            if best is not None:
-                out.append((self.names[number], best[0] / n, best[1], best[2]))
-        return out
+        best: dict[int, tuple[float, int, int]] = {}
+        for word, numbers in self.single.items():
+            places = np.flatnonzero(ids == word)
+            for number in numbers if len(places) else ():
+                best[number] = 1.0, int(places[0]), int(places[0]) + 1
+        for number, low, high in self._candidates(ids):
+            item, window, least = self.items[number], ids[low:high], self.least[number]
+            words, counts = np.unique(item, return_counts=True)
+            i = np.minimum(np.searchsorted(words, window), len(words) - 1)
+            held = np.bincount(i[words[i] == window], minlength=len(words))
+            if np.minimum(held, counts).sum() < least:
+                continue
+            score, end = align(item, window)
+            if score >= least and (number not in best or score > best[number][0]):
+                _, length = align(item[::-1], window[:end][::-1])
+                best[number] = score, low + end - length, low + end
+        return [(self.names[number], score / len(self.items[number]), start, end)
+                for number, (score, start, end) in best.items()]
 
 
 def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[object, list[str]]]]:
@@ -198,26 +238,24 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[t
 def seeded(docs: DataFrame, items: list[tuple[object, list[str]]], text_col: str) -> Block:
     """A block with its seeds chosen by counts over all documents."""
     block = Block(items)
-    if len(block.vocabulary) >= 1 << 20:
-        raise ValueError("a block has too many different words; lower BLOCK_WORDS")
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        counts, documents = np.zeros(len(own.grams), np.int64), 0
+        counts, documents = np.zeros(len(own.keys), np.int64), 0
         for batch in batches:
             for text in batch.column(0):
-                counts[own.grams_in(own.numbers(text.as_py()))] += 1
+                counts[own.pairs_in(own.numbers(text.as_py()))] += 1
             documents += batch.num_rows
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1), pa.int64()),
-                                          pa.array(np.append(counts[some], documents), pa.int64())], ["gram", "n"])
+                                          pa.array(np.append(counts[some], documents), pa.int64())], ["pair", "n"])
 
-    rows = (arrow_map(docs.select(text_of(text_col).alias("_text")), run, "gram bigint, n bigint")
-            .groupBy("gram").agg(F.sum("n").alias("n")).collect())
-    counts = np.zeros(len(block.grams) + 1, np.int64)
-    for gram, n in rows:
-        counts[gram] = n
+    rows = (arrow_map(docs.select(text_of(text_col).alias("_text")), run, "pair bigint, n bigint")
+            .groupBy("pair").agg(F.sum("n").alias("n")).collect())
+    counts = np.zeros(len(block.keys) + 1, np.int64)
+    for pair, n in rows:
+        counts[pair] = n
     block.choose(counts[:-1], int(counts[-1]))
     return block
 

@@ -79,3 +79,28 @@ def test_empty_tables(spark):
     assert dc.find_contamination(docs.limit(0), full).count() == 0
     more = spark.createDataFrame([("x", "z A, b c d e f g h i J")], "doc_id string, text string")
     assert [tuple(r)[:3] for r in dc.find_contamination(more, full).collect()] == [("x", "q", 1.0)]
+
+
+def found_in(text, item, others=()):
+    """Matches of one item in a text, with seeds chosen by a small corpus."""
+    block = dc.Block([("q", dc.words_of(item))])
+    counts = np.zeros(len(block.keys), np.int64)
+    corpus = [text, *others]
+    for t in corpus:
+        counts[block.pairs_in(block.numbers(t))] += 1
+    block.choose(counts, len(corpus))
+    return block.matches(text)
+
+
+def test_copies_without_three_words_in_a_row():
+    words = [f"w{i}" for i in range(30)]
+    replaced = [f"x{i}" if i % 3 == 2 else w for i, w in enumerate(words)]
+    inserted = [y for i, w in enumerate(words) for y in ([w, f"x{i}"] if i % 2 else [w])]
+    around = [f"y{i}" for i in range(50)]
+    for copy in (replaced, inserted):
+        share = brute_align(words, copy) / 30
+        assert share >= dc.LEAST
+        for others in ((), [" ".join(words)] * 50):  # also where all pairs are frequent
+            got = found_in(" ".join(around + copy + around), " ".join(words), others)
+            assert [(name, round(s, 9)) for name, s, _, _ in got] == [("q", round(share, 9))]
+            assert 50 <= got[0][2] < got[0][3] <= 50 + len(copy)
