@@ -15,8 +15,9 @@ words must be found whole.
    documents. Places of an item whose pairs are frequent are left out of the
    seeds, most frequent first, as long as two of the needed pairs are certain
    to remain; the number needed falls by one for each.
-3. A document's seeds name the items and windows that hold as many as needed.
-   A window that holds too few of the item's words is dropped; else item and
+3. A document's seeds name the items and windows that hold as many as needed,
+   wide enough for all insertions that can pay (an item's words again, at
+   ``LEAST`` = 1/2); windows that overlap are one. A window that holds too few of the item's words is dropped; else item and
    window are aligned word by word.
 
 Items are a query set, taken in blocks of bounded size against all documents,
@@ -92,8 +93,8 @@ class Block:
                       for _, words in items]
         self.size = len(self.vocabulary) + 1  # the last number is any other word
         self.least = np.array([len(x) if len(x) < SHORT else LEAST * len(x) for x in self.items], float)
-        #: Most words of a document that an alignment can span, by item.
-        self.span = np.array([len(x) + len(x) // 4 + 2 for x in self.items], np.int64)
+        #: Most words of a document that an alignment can span, by item: its own and insertions as long as they can pay.
+        self.span = np.array([len(x) + int((len(x) - s) / GAP) for x, s in zip(self.items, self.least)], np.int64)
         #: Items of one word, by that word, which is their seed.
         self.single: dict[int, list[int]] = {}
         for number, ids in enumerate(self.items):

@@ -104,3 +104,36 @@ def test_copies_without_three_words_in_a_row():
             got = found_in(" ".join(around + copy + around), " ".join(words), others)
             assert [(name, round(s, 9)) for name, s, _, _ in got] == [("q", round(share, 9))]
             assert 50 <= got[0][2] < got[0][3] <= 50 + len(copy)
+
+
+def test_copies_in_parts():
+    words = [f"w{i}" for i in range(30)]
+    for gaps in ((12, 12), (30, 0), (0, 30), (15, 15), (16, 15)):
+        copy = words[:10] + ["x"] * gaps[0] + words[10:20] + ["y"] * gaps[1] + words[20:]
+        share = brute_align(words, copy) / 30
+        text = ["z"] * 40 + copy + ["z"] * 40
+        got = found_in(" ".join(text), " ".join(words))
+        assert [m[1] for m in got] == ([share] if share >= dc.LEAST else [])
+        assert all(brute_align(words, text[first:end]) / 30 == share for _, _, first, end in got)
+
+
+def test_every_pair_from_least_on():
+    rnd = random.Random(8)
+    found = 0
+    for k in range(400):
+        lexicon = [f"w{i}" for i in range(rnd.choice([6, 20, 100]))]
+        item = [rnd.choice(lexicon) for _ in range(rnd.randint(8, 40))]
+        edits, copy = rnd.random() * 0.9, []
+        for w in item:
+            kind = rnd.random() >= edits or rnd.randrange(4)
+            copy += ([rnd.choice(lexicon)], [w], [], [w, "new"], [w] + ["new"] * rnd.randint(1, 20))[
+                1 if kind is True else (0, 2, 3, 4)[kind]]
+        text = [rnd.choice(lexicon) for _ in range(rnd.randint(0, 60))]
+        cut = rnd.randint(0, len(text))
+        text[cut:cut] = copy
+        share = brute_align(item, text) / len(item)
+        others = [" ".join(item)] * 3 if k % 2 else [" ".join(text)] * 3
+        got = found_in(" ".join(text), " ".join(item), others)
+        assert [m[1] for m in got] == ([share] if share >= dc.LEAST else [])
+        found += len(got)
+    assert 50 < found < 350
