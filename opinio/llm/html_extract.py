@@ -3,7 +3,10 @@
 A page becomes a tree (tolerant of missing end tags). Parts that are never
 article text are left out: scripts, styles, forms, menus, headers, footers,
 sidebars, notices, adverts, reader comments, by element, role, or class and
-id words. Each paragraph earns points for its length and commas and passes
+id words. Words of layout, topic or status (``no-sidebar``, ``category-social``,
+``comments-open``) leave nothing out, and no words do so to ``article`` and
+``main``, to a container of article words unless one stands alone (``sidebar``),
+or to what holds most of the page's points where no article is beside it. Each paragraph earns points for its length and commas and passes
 them to its ancestors (the parent in full, the grandparent half, further ones
 less); a container's score is discounted by its link density. The best
 container (raised to the ``article`` element around it) and those of its
@@ -59,6 +62,13 @@ NEVER = re.compile(_EDGE + r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banne
 #: The same, unless the element also has a word of article parts.
 SELDOM = re.compile(_EDGE + r"(?:header|head|notice|alert|side|tags|search|print|hidden|skip|toc|foot|meta)(?=$|[\s_-])")
 ARTICLE = re.compile(r"article|body|content|entry|main|post|story|text|column|page")
+#: Those that name an article's container, not a layout.
+STRONG = re.compile(r"article|body|content|entry|main|post|story")
+#: First and last parts of words that tell of a layout, topic or status.
+ABOUT = frozenset("no not non has have with without category cat tag topic layout template format".split())
+STATE = frozenset("open opened closed enabled disabled on off".split())
+#: Least share of the points that an article beside a part has for the part's words to count.
+BESIDE_SHARE = 0.1
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -69,17 +79,38 @@ HEAD_END = re.compile(r"</head(?![a-zA-Z0-9])[^>]*>|<body(?![a-zA-Z0-9])", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "items", "words", "score", "chars", "linked", "links", "out")
+    __slots__ = ("tag", "parent", "items", "words", "score", "chars", "linked", "links", "out", "named")
 
-    def __init__(self, tag: str, parent: Node | None, words: str = "", out: bool = False):
-        self.tag, self.parent, self.words, self.out = tag, parent, words, out
+    def __init__(self, tag: str, parent: Node | None, words: str = "", out: bool = False, named: bool = False):
+        self.tag, self.parent, self.words = tag, parent, words
+        self.out, self.named = out or named, named and not out  # named: left out by its words alone
         self.items: list[Node | str] = []
         self.score = 0.0
         self.chars = self.linked = self.links = 0  # of the subtree: characters, those in links, links
 
 
+def _named(tag: str, text: str) -> bool:
+    """Whether an element's class and id words leave it out."""
+    if tag in ("article", "main", "body") or not (NEVER.search(text) or SELDOM.search(text)):
+        return False
+    words, never, strong = [], False, False
+    for word in text.split():
+        parts = word.replace("_", "-").split("-")
+        if len(parts) > 1 and (parts[0] in ABOUT or parts[-1] in STATE):
+            continue
+        words.append(word)
+        if m := NEVER.search(word):
+            if m[0] == word:
+                return True
+            never = True
+        elif STRONG.search(word) and not SELDOM.search(word):
+            strong = True
+    text = " ".join(words)
+    return never and not (strong and tag in CONTAINERS) or bool(SELDOM.search(text)) and not ARTICLE.search(text)
+
+
 def _attributes(raw: str) -> tuple[str, bool]:
-    """Class and id words, and whether the element is left out by them."""
+    """Class and id words, and whether the element is left out by its role or style."""
     words, out = [], False
     for m in ATTRIBUTE.finditer(raw):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
@@ -93,9 +124,7 @@ def _attributes(raw: str) -> tuple[str, bool]:
             out |= value == "true"
         else:
             out |= "display:none" in value.replace(" ", "")
-    text = " ".join(words)
-    out |= bool(text) and bool(NEVER.search(text) or SELDOM.search(text) and not ARTICLE.search(text))
-    return text, out
+    return " ".join(words), out
 
 
 def parse(html: str) -> tuple[Node, list[Node]]:
@@ -168,7 +197,7 @@ def parse(html: str) -> tuple[Node, list[Node]]:
         raw = m[3] if m[2] else m[6]
         words, out = _attributes(raw) if raw else ("", False)
         out = tag in LEFT_OUT or out and tag != "body"
-        child = Node(tag, node, words, out)
+        child = Node(tag, node, words, out, bool(words) and _named(tag, words))
         node.items.append(child)
         node = child
         open_tags[tag] = open_tags.get(tag, 0) + 1
@@ -239,23 +268,74 @@ def _own_text(node: Node) -> str:
     return "".join(out)
 
 
-def _score(closed: list[Node]) -> list[Node]:
-    """Pass the paragraphs' points to their ancestors; the containers with points."""
+def _hidden(closed: list[Node], named: bool) -> set[int]:
+    """Elements in parts left out; with ``named``, also in those left out by words alone."""
     hidden: set[int] = set()
     for node in reversed(closed):  # parents first
-        if node.out or node.parent is not None and id(node.parent) in hidden:
+        if node.out and (named or not node.named) or node.parent is not None and id(node.parent) in hidden:
             hidden.add(id(node))
+    return hidden
+
+
+def _readmit(closed: list[Node], points: dict[int, float]) -> None:
+    """Parts left out by words alone that hold most of the points come back,
+    unless an article that is not left out holds some."""
+    total = sum(points.values())
+    held: dict[int, float] = {}  # points of the subtree
+    seen: dict[int, float] = {}  # those not left out
+    top: dict[int, float] = {}  # most seen by an article's container of the subtree
+
+    def article(node: Node) -> bool:
+        return node.tag in ("article", "main") or node.tag in CONTAINERS and bool(STRONG.search(node.words))
+
+    for node in closed:
+        own = points.get(id(node), 0.0)
+        held[id(node)] = held.get(id(node), 0.0) + own
+        seen[id(node)] = seen.get(id(node), 0.0) + own
+        if seen[id(node)] > top.get(id(node), 0.0) and article(node):
+            top[id(node)] = seen[id(node)]
+        if (up := node.parent) is not None and held[id(node)]:
+            held[id(up)] = held.get(id(up), 0.0) + held[id(node)]
+            if not node.out:
+                seen[id(up)] = seen.get(id(up), 0.0) + seen[id(node)]
+                top[id(up)] = max(top.get(id(up), 0.0), top.get(id(node), 0.0))
+    most = top.get(id(closed[-1]), 0.0)
+    for node in reversed(closed):
+        if not node.named or held[id(node)] <= total / 2 or most >= BESIDE_SHARE * total or _inside(node.parent):
+            continue
+        node.out = node.named = False
+        most = max(most, top.get(id(node), 0.0))
+        up = node.parent
+        while up is not None:
+            up.chars += node.chars
+            up.linked += node.chars if node.tag == "a" else node.linked
+            up.links += node.links + (node.tag == "a")
+            seen[id(up)] += seen[id(node)]
+            if article(up):
+                most = max(most, seen[id(up)])
+            up = up.parent
+
+
+def _score(closed: list[Node]) -> list[Node]:
+    """Pass the paragraphs' points to their ancestors; the containers with points."""
+    hidden = _hidden(closed, False)
+    points: dict[int, float] = {}
     for node in closed:
         if node.tag not in SCORED and not (node.tag in ("div", "section", "article", "body") and any(
                 isinstance(x, str) and not x.isspace() and x for x in node.items)) or id(node) in hidden:
             continue
         text = _own_text(node).strip()
-        if len(text) < 25:
+        if len(text) >= 25:
+            points[id(node)] = 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) / 100, 3.0)
+    if any(node.named for node in closed):
+        _readmit(closed, points)
+        hidden = _hidden(closed, True)
+    for node in closed:
+        if id(node) not in points or id(node) in hidden:
             continue
-        points = 1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) / 100, 3.0)
         up, level = (node.parent if node.tag in SCORED else node), 0
         while up is not None and level < 5:
-            up.score += points / (1, 2, 6, 9, 12)[level]
+            up.score += points[id(node)] / (1, 2, 6, 9, 12)[level]
             up, level = up.parent, level + 1
     found = []
     for node in closed:

@@ -63,3 +63,26 @@ def test_table(spark):
     got = sorted(map(str, (tuple(r) for r in extract_text(df).collect())))
     assert got == sorted(map(str, [(1, "u", "é😀", 2), (1, "u", "", 0), (None, None, "", 0)]))
     assert extract_text(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("words", ["content no-sidebar", "content has-sidebar", "main-content with-sidebar",
+                                   "post hentry category-social", "article comments-open", "content sidebar-right",
+                                   "post_body menu_closed", "social", "overflow-hidden", "wide-banner-layout"])
+@pytest.mark.parametrize("tag", ["div", "article", "main", "section"])
+def test_layout_topic_and_status_words(tag, words):
+    para = " ".join(PARA.split())
+    html = page(f"<div class='sidebar'><p>{PARA}</p></div><{tag} class='{words}'><p>{PARA}</p><p>{PARA}</p>"
+                f"<div class='related-posts'><p>Other things, to read, on this site</p></div></{tag}>")
+    assert main_text(html) == f"{para}\n{para}"
+
+
+def test_parts_that_words_leave_out():
+    para = " ".join(PARA.split())
+    more = f"<p>{PARA}</p>" * 5
+    for words in ("sidebar", "comments", "comment-list", "related-posts", "share-buttons text-center", "post-footer",
+                  "widget widget_text", "sidebar content", "cookie-notice"):
+        part = f"<div class='{words}'>{more}</div>"
+        assert main_text(page(f"<article><p>{PARA}</p>{part}</article>")) == para
+        assert main_text(page(f"<div id='content'><p>{PARA}</p></div>{part}")) == para
+        assert main_text(page(f"<div class='x'><div id='content'><p>{PARA}</p>{part}</div></div>")) == para
+        assert main_text(page(f"<div class='social'><div class='post'><p>{PARA}</p>{part}</div></div>")) == para
