@@ -9,9 +9,11 @@ id words. Words of layout, topic or status (``no-sidebar``, ``category-social``,
 or to what holds most of the page's points where no article is beside it. Each paragraph earns points for its length and commas and passes
 them to its ancestors (the parent in full, the grandparent half, further ones
 less); a container's score is discounted by its link density. The best
-container (raised to the ``article`` element around it) and those of its
-siblings that score well or read like text are kept, and their blocks are
-joined in page order.
+container (raised to the ``article`` element around it, and as long as its
+parent adds nothing but the kinds below) and those of its siblings that score
+well or read like text are kept, with headings, ``pre``, figures, quotes, lists
+and tables beside it that are not mostly links; their blocks are joined in page
+order.
 
 Character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by one newline; nothing else is cut. All
@@ -50,6 +52,9 @@ OWN = {"article": 25, "main": 10, "div": 5, "section": 5, "td": 3, "pre": 3, "bl
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
           "option": ({"option"}, {"select"})}
+#: Kept beside the best container whatever they score, unless they are mostly links; headings in any case.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+BESIDE = frozenset("pre figure blockquote ul ol dl table details".split())
 #: Deeper elements are not nested any further; their text is kept.
 DEPTH = 256
 
@@ -348,6 +353,27 @@ def _score(closed: list[Node]) -> list[Node]:
     return found
 
 
+def _beside(node: Node | str) -> bool:
+    """Whether a node beside the best container is kept whatever it scores: of the
+    kinds that articles are made of, or a box of nothing else."""
+    todo = [node]
+    while todo:
+        item = todo.pop()
+        if isinstance(item, str):
+            if item and not item.isspace():
+                return False
+        elif item.out or _is_menu(item):
+            return False
+        elif item.tag in BESIDE:
+            if 2 * item.linked > item.chars:
+                return False
+        elif item.tag in ("div", "section"):
+            todo.extend(item.items)
+        elif item.tag not in HEADINGS and item.tag not in ("hr", "br"):
+            return False
+    return True
+
+
 def main_text(html: str | None) -> str:
     """The main text of one page."""
     if not html:
@@ -365,6 +391,9 @@ def main_text(html: str | None) -> str:
     if best.parent is None or best.tag == "body":
         return "\n".join(text_of_node(best))
     least = max(10.0, 0.2 * best.score)
+    while best.parent.tag in CONTAINERS and best.parent.tag != "body" and all(
+            x is best or (x.isspace() or not x if isinstance(x, str) else _beside(x)) for x in best.parent.items):
+        best = best.parent
     scored = {id(n) for n in found}
     out: list[str] = []
     for item in best.parent.items:
@@ -374,6 +403,8 @@ def main_text(html: str | None) -> str:
             continue
         elif id(item) in scored and item.score + (best.words != "" and item.words == best.words) * least >= least:
             out += text_of_node(item)
+        elif _beside(item):
+            out += text_of_node(item)
         elif item.tag == "p":
             share = item.linked / max(1, item.chars)
             blocks = text_of_node(item)

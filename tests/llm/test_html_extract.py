@@ -86,3 +86,20 @@ def test_parts_that_words_leave_out():
         assert main_text(page(f"<div id='content'><p>{PARA}</p></div>{part}")) == para
         assert main_text(page(f"<div class='x'><div id='content'><p>{PARA}</p>{part}</div></div>")) == para
         assert main_text(page(f"<div class='social'><div class='post'><p>{PARA}</p>{part}</div></div>")) == para
+
+
+def test_headings_code_lists_and_tables_beside_the_container():
+    para = " ".join(PARA.split())
+    entry = f"<div class='entry-content'><p>{PARA}</p><p>{PARA}</p></div>"
+    links = "".join(f"<li><a href=/{i}>Story {i}</a></li>" for i in range(9))
+    lost = "<div class='sidebar'><p>no</p></div><div>plain</div>"
+    for body, before, after in [
+        (f"<h1>T</h1>{entry}<pre>code</pre>", "T\n", "\ncode"),
+        (f"<div class='hd'><h1><a href=x>T</a></h1></div><div>{entry}</div><ul><li>one<li>two</ul>", "T\n", "\none\ntwo"),
+        (f"<figure><img src=x><figcaption>cap</figcaption></figure>{entry}<table><tr><td>a<td>b</table>", "cap\n", "\na\nb"),
+        (f"<h2>T</h2><div><h3>U</h3>{entry}</div><ul>{links}</ul><ol><li><a href=x>only a link</a></ol>", "T\nU\n", ""),
+    ]:
+        text = f"{before}{para}\n{para}{after}"
+        for html in (f"<div class='post'>{body}</div>", f"<div class='post'>{body}{lost}</div>", body, body + lost,
+                     f"<div><div class='post'>{body}</div></div>{lost}"):
+            assert main_text(page(html)) == text, html
