@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -60,9 +60,8 @@ def row_key(id_col: str, text_col: str) -> Column:
 
 def keep_rows(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose key is in ``keys``
-    (``key``); of rows that are equal, one."""
-    key, n = unused(docs, "__key"), unused(docs, "__n")
-    keyed = docs.withColumn(key, row_key(id_col, text_col))
-    stay = keyed.join(keys.select(F.col("key").alias(key)), key, "left_semi")
-    first = Window.partitionBy(key).orderBy(key)
-    return stay.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns)
+    (``key``); of rows that are equal, one. Each task leaves one row of a key
+    before the shuffle, so a much repeated row is no large group after it."""
+    key = unused(docs, "__key")
+    keyed = docs.withColumn(key, row_key(id_col, text_col)).dropDuplicates([key])
+    return keyed.join(keys.select(F.col("key").alias(key)), key, "left_semi").select(*docs.columns)
