@@ -51,13 +51,17 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins what it separates, so the
     ids of a text are those of its parts between ASCII blanks and newlines.
+    With ``plain``, the strings of added tokens in a text are ordinary text;
+    without, they are their ids, as the library has it. They hold no blanks.
     """
 
-    def __init__(self, config: str, id_bytes: int):
+    def __init__(self, config: str, id_bytes: int, plain: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(config)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [] if plain else [t.content.lower() for t in added]
         self.kind = np.dtype(f"<u{id_bytes}")
         self.code = "H" if id_bytes == 2 else "I"
         self.memo: dict[str, bytes] = {}
@@ -81,11 +85,12 @@ class WordEncoder:
                 del memo[word]
         return out
 
-    @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
+    def _parts(self, word: str) -> tuple[str, str]:
         """Two parts whose ids follow one another as the word's ids do: the
         tokenizer separates a (Latin-1) letter from a mark after it, but for
         "'", and lowers ASCII letters."""
+        if self.added and any(t in word.lower() for t in self.added):
+            return word, ""
         stem = word.rstrip(MARKS)
         if len(stem) == len(word) or not stem or not stem[-1].isalpha() or stem[-1] > "\xff":
             return word.lower() if word.isascii() else word, ""
@@ -101,7 +106,7 @@ def _encoder(key: str, config, id_bytes: int) -> WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task its one core
         _ENCODERS.clear()
-        _ENCODERS[key] = WordEncoder(config.value, id_bytes)
+        _ENCODERS[key] = WordEncoder(config.value, id_bytes, plain=False)
     return _ENCODERS[key]
 
 

@@ -73,3 +73,18 @@ def test_empty_table(spark):
     path = scratch_path(spark, "t")
     write_tokens(spark.createDataFrame([], "doc_id long, text string"), path, PATH, end_id=1)
     assert read_tokens(spark, path).count() == 0
+
+
+def test_added_tokens_as_the_unaltered_library_has_them(spark):
+    unaltered = Tokenizer.from_file(PATH)
+    rnd = random.Random(5)
+    some = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "a", "Bé", " ", "\n", "!", "'S", "1"]
+    texts = ["a <|endoftext|> b", "a<|endoftext|>,", "", "x<|startoftext|><|endoftext|>!!"]
+    texts += ["".join(rnd.choice(some) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    path = scratch_path(spark, "t")
+    write_tokens(df, path, PATH, end_id=1)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in read_tokens(spark, path).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == [*unaltered.encode(t, add_special_tokens=False).ids, 1], t
+    assert len(got[0]) == 4
