@@ -604,7 +604,9 @@ def q_pages_one_day(spark, sf_dir):
     pages = load_table(spark, sf_dir, "pages").withColumn("timestamp", F.to_timestamp(
         F.date_add(F.lit(_dt.date(2024, 1, 1)), (F.col("page_id") % 7).cast("int"))))
     rows = pg.page_scalars(pages, keep=("page_id", "timestamp"))
-    sets = [rows.where(F.col("lang") == lang) for lang in ("en", "de", "fr", "es")]
+    langs = ("en", "de", "fr", "es")
+    sets = [rows.where(F.col("lang") == lang) for lang in langs]
+    sets.append(rows.where(~F.coalesce(F.col("lang").isin(*langs), F.lit(False))))  # any other, and none
     return prep.filter_exact_ts(prep.union_all(*sets), _dt.datetime(2024, 1, 3))
 
 

@@ -41,3 +41,13 @@ def test_one_pass_matches_two_step(spark):
            sent.sentiment_scores(sent.clean_for_sentiment(df, lemmas=lem), lex).collect()}
     one = {r.review_id: tuple(r)[1:] for r in sent.text_sentiment(df, lex, lemmas=lem).collect()}
     assert one == two
+
+
+def test_pages_one_day_covers_every_page(spark, tmp_path):
+    from opinio.plans.queries import q_pages_one_day
+
+    html = ['<html lang="en">', '<html lang="it">', "<p>no language</p>", None, '<html lang="fr">']
+    rows = [(2 + 7 * i, "u", h) for i, h in enumerate(html)] + [(3, "u", html[0])]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [r.page_id for r in q_pages_one_day(spark, str(tmp_path)).collect()]
+    assert sorted(got) == [2, 9, 16, 23, 30]
