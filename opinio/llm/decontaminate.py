@@ -25,7 +25,8 @@ so memory is bounded whatever the size of the benchmark. Both passes are plain
 scans of the documents: no text is shuffled.
 
 Words are runs of word characters, in lower case; punctuation, case and white
-space make no difference.
+space make no difference. In scripts that set no spaces between words (Chinese,
+Japanese, Thai, Lao, Khmer, Burmese, Tibetan) every character is a word.
 
 Defined results: null texts, on either side, and items without words match
 nothing; repeated items give a row each; repeated documents give a row each;
@@ -59,11 +60,18 @@ BLOCK_WORDS = 500_000
 #: Spreads keys over the table of possible ones.
 SPREAD, MASK = np.int64(-7046029254386353131), np.int64((1 << 63) - 1)
 
+#: Characters of scripts that set no spaces between words.
+UNSPACED = ("\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+            "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
+
 _words = re.compile(r"\w+").findall
+_unspaced = re.compile(f"[{UNSPACED}]").search
+_words_and_characters = re.compile(rf"(?=\w)[{UNSPACED}]|[^\W{UNSPACED}]+").findall
 
 
 def words_of(text: str | None) -> list[str]:
-    return _words((text or "").lower())
+    text = (text or "").lower()
+    return (_words if text.isascii() or not _unspaced(text) else _words_and_characters)(text)
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[float, int]:

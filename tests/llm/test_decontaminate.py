@@ -137,3 +137,11 @@ def test_every_pair_from_least_on():
         assert [m[1] for m in got] == ([share] if share >= dc.LEAST else [])
         found += len(got)
     assert 50 < found < 350
+
+
+def test_scripts_without_spaces():
+    assert dc.words_of("Abc,東京 タワーx1 กข。é") == ["abc", "東", "京", "タ", "ワ", "ー", "x1", "ก", "ข", "é"]
+    item = "東京で一番高い建物の名前は何ですか"
+    (_, share, first, end), = found_in(f"昨日{item}と聞かれました", item)
+    assert (share, first, end) == (1.0, 2, 2 + len(item))
+    assert found_in("昨日東京で一番低い建物の名前は何でしょうかと聞かれました", item)
