@@ -16,6 +16,7 @@ from opinio.llm.decontaminate import find_contamination
 from opinio.llm.exact_dedup import exact_dedup
 from opinio.llm.html_extract import extract_text
 from opinio.llm.jaccard_tree import jaccard_components
+from opinio.llm.merkle import manifest
 from opinio.llm.quality import sample_by_importance
 from opinio.llm.secrets import RULES, joined, scan_secrets
 from opinio.llm.token_files import read_tokens, write_tokens
@@ -117,6 +118,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(spark, path)
 
 
+ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, root and proof; the root that its
+    (for a fifth of them tampered) row leads to, and whether it is the root."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    text = F.when(tampered, F.translate("text", ASCII_UPPER, ASCII_LOWER)).otherwise(F.col("text"))
+    rows = manifest(read(spark, sf_dir, "documents"), claims={"text": text},
+                    outputs=("leaf", "subroot", "root", "proof_digest", "folded_root"))
+    names = {"proof_digest": "proof_sha256"}
+    return rows.select("doc_id", *(F.lower(F.hex(c)).alias(names.get(c, c)) for c in rows.columns[1:]),
+                       (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_byte_bpe": op2_byte_bpe,
@@ -128,6 +144,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
@@ -170,4 +187,61 @@ ORACLES: dict[str, str] = {
                CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
         FROM f""",
+    "op13_merkle": r"""
+        WITH RECURSIVE base AS (
+            SELECT doc_id, source, text,
+                   concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'),
+                             coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+                             coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+                   xor(list_reduce(
+                       list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                                    lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                       lambda c, e: CASE WHEN xor(c, e) & 1 = 1 THEN xor(xor(c, e) >> 1, 3988292384)
+                                         ELSE xor(c, e) >> 1 END), 4294967295) % 5 = 0 AS bent
+            FROM documents),
+        leaves AS (
+            SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+                   sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(strlen(text) || ':' || CASE WHEN bent THEN
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-'))
+                       AS claim
+            FROM base),
+        up AS (
+            SELECT source, 0 AS lvl, pos AS idx, leaf AS h, count(*) OVER (PARTITION BY source) AS n FROM leaves
+            UNION ALL
+            SELECT source, lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), max((n + 15) // 16)
+            FROM up WHERE n > 1 GROUP BY source, lvl, idx // 16),
+        subroots AS (
+            SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM up WHERE n = 1),
+        top AS (
+            SELECT 100 AS lvl, pos AS idx, h, count(*) OVER () AS n FROM subroots
+            UNION ALL
+            SELECT lvl + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), max((n + 15) // 16)
+            FROM top WHERE n > 1 GROUP BY lvl, idx // 16),
+        runs AS (
+            SELECT source, lvl, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM up WHERE n > 1 GROUP BY ALL),
+        top_runs AS (SELECT lvl, idx // 16 AS run, list(h ORDER BY idx) AS hs FROM top WHERE n > 1 GROUP BY ALL),
+        steps AS (
+            SELECT l.doc_id, r.lvl, (l.pos // (16 ** r.lvl)::BIGINT % 16) + 1 AS place, r.hs
+            FROM leaves l JOIN runs r ON l.source IS NOT DISTINCT FROM r.source
+                 AND l.pos // (16 ** (r.lvl + 1))::BIGINT = r.run
+            UNION ALL
+            SELECT l.doc_id, r.lvl, (s.pos // (16 ** (r.lvl - 100))::BIGINT % 16) + 1, r.hs
+            FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+                 JOIN top_runs r ON s.pos // (16 ** (r.lvl - 99))::BIGINT = r.run),
+        path AS (
+            SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY lvl) AS step,
+                   array_to_string(hs[1:place - 1], '') AS l, array_to_string(hs[place + 1:len(hs)], '') AS r
+            FROM steps),
+        proofs AS (SELECT doc_id, max(step) AS last, string_agg(l || r, '' ORDER BY step) AS p FROM path GROUP BY doc_id),
+        folded AS (
+            SELECT doc_id, 0 AS step, claim AS node FROM leaves
+            UNION ALL
+            SELECT f.doc_id, p.step, sha256(p.l || f.node || p.r)
+            FROM folded f JOIN path p ON p.doc_id = f.doc_id AND p.step = f.step + 1)
+        SELECT l.doc_id, l.leaf, s.h AS subroot, t.h AS root, sha256(coalesce(p.p, '')) AS proof_sha256,
+               f.node AS folded_root, f.node = t.h AS verified
+        FROM leaves l JOIN subroots s ON l.source IS NOT DISTINCT FROM s.source
+             JOIN top t ON t.n = 1 LEFT JOIN proofs p USING (doc_id)
+             JOIN folded f ON f.doc_id = l.doc_id AND f.step = coalesce(p.last, 0)""",
 }
