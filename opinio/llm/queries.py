@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from opinio.llm.bpe import bpe
 from opinio.llm.common import read
+from opinio.llm.cross_tokens import align
 from opinio.llm.decontaminate import find_contamination
 from opinio.llm.exact_dedup import exact_dedup
 from opinio.llm.html_extract import extract_text
@@ -118,6 +119,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(spark, path)
 
 
+def op11_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens, groups and links in two tokenizers, by corpus-wide counts."""
+    rows, _ = align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                    public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return rows.withColumn("groups_sha256", digest).drop("groups")
+
+
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -144,6 +153,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
+    "op11_cross_tokens": op11_cross_tokens,
     "op13_merkle": op13_merkle,
 }
 
