@@ -17,6 +17,7 @@ from opinio.llm.decontaminate import find_contamination
 from opinio.llm.exact_dedup import exact_dedup
 from opinio.llm.html_extract import extract_text
 from opinio.llm.jaccard_tree import jaccard_components
+from opinio.llm.language_id import predict, train
 from opinio.llm.merkle import manifest
 from opinio.llm.quality import sample_by_importance
 from opinio.llm.secrets import RULES, joined, scan_secrets
@@ -127,6 +128,14 @@ def op11_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("groups_sha256", digest).drop("groups")
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by its text, learned from those not held out."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    languages = train(docs.where(~held_out))
+    return predict(docs.select("doc_id", held_out.alias("held_out"), "text"), languages).drop("text")
+
+
 ASCII_UPPER, ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -154,6 +163,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_warc": op10_warc,
     "op11_cross_tokens": op11_cross_tokens,
+    "op12_language_id": op12_language_id,
     "op13_merkle": op13_merkle,
 }
 
