@@ -1,6 +1,8 @@
 import math
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 from hypothesis import given, settings
@@ -103,7 +105,7 @@ def test_template_reviews_stay_linear(spark):
     assert reps.count() == 7  # one for each count of the word "more"
     assert sim.bound_pairs(reps, "reviewer_id", "review_id").count() <= 7
     zero = spark.createDataFrame([("u", 0.0)], "reviewer_id string, t double")
-    assert sim.candidate_pairs(sim.prefix_tokens(reps, zero, "reviewer_id", "review_id"),
+    assert sim.candidate_pairs(sim.postings(reps, zero, "reviewer_id", "review_id"),
                                "reviewer_id", "review_id").count() <= 21
     got = sim.max_cosine(vecs).first().cos_sim
     from collections import Counter
@@ -120,6 +122,84 @@ def test_template_reviews_stay_linear(spark):
     assert abs(got - best) < 1e-9
 
 
+def edited_templates(n, seed=3):
+    """Texts of one template, each with some words replaced by rarer ones."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        words = [f"word{k}" for k in range(60)]
+        for _ in range(rnd.randint(4, 12)):
+            words[rnd.randrange(60)] = f"other{rnd.randrange(300)}"
+        rows.append(("u", f"{i:05d}", " ".join(words)))
+    return rows
+
+
+def test_alike_reviews_verify_few_pairs(spark, monkeypatch):
+    """2,000 near-alike, never equal reviews of one reviewer: under a tenth of the pairs is verified."""
+    rows = edited_templates(2000)
+    df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
+    vecs = sim.materialise(sim.doc_vectors(df))
+    assert vecs.select("class").distinct().count() == 2000
+    verified = []
+
+    def counted(pairs, *rest):
+        pairs = sim.materialise(pairs, "counted")
+        verified.append(pairs.count())
+        return real(pairs, *rest)
+
+    real = sim.verify_pairs
+    monkeypatch.setattr(sim, "verify_pairs", counted)
+    got = sim.max_cosine(vecs).first().cos_sim
+    assert sum(verified) < 0.1 * 2000 * 1999 / 2
+    assert got == pytest.approx(dense_max_cosine(rows), abs=1e-9)
+
+
+def dense_max_cosine(rows):
+    texts = [Counter(t.split()) for _, _, t in rows]
+    n, df = len(texts), Counter(w for t in texts for w in t)
+    at = {w: k for k, w in enumerate(df)}
+    m = np.zeros((n, len(at)))
+    for i, t in enumerate(texts):
+        for w, c in t.items():
+            m[i, at[w]] = c * (math.log((1 + n) / (1 + df[w])) + 1)
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    cos = m @ m.T
+    np.fill_diagonal(cos, 0)
+    return min(cos.max(), 1.0)
+
+
+def test_residuals_are_suffix_norms(spark):
+    rnd = random.Random(8)
+    for n in (0, 1, 63, 64, 65, 300):
+        w = [rnd.random() / 20 for _ in range(n)]
+        df = spark.createDataFrame([([(1, f"t{i}", x) for i, x in enumerate(w)],)],
+                                   "entries array<struct<df:int,token:string,w:double>>")
+        got = df.select(sim.residuals().alias("r")).where("size(entries) > 0").first()
+        for k, x in enumerate(got.r if got else []):
+            rest = math.sqrt(sum(v * v for v in w[k + 1:]))
+            assert (x.token, x.w) == (f"t{k}", w[k])
+            assert rest <= x.rest <= rest + 2e-6
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.5, 0.8, 0.95])
+def test_no_pair_above_the_threshold_is_given_up(spark, threshold):
+    rnd = random.Random(9)
+    rows = [("gh"[i % 2], f"{i:03d}", " ".join(rnd.choice("abcdefghijklmnop") * 2 for _ in range(rnd.randint(1, 12))))
+            for i in range(90)]
+    df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
+    vecs = sim.materialise(sim.doc_vectors(df))
+    full = {(r.reviewer_id, r.review_id): {e.token: e.w for e in r.entries} for r in vecs.collect()}
+    bound = spark.createDataFrame([("g", threshold), ("h", threshold)], "reviewer_id string, t double")
+    cand = {(r.a, r.b): r for r in sim.candidate_pairs(sim.postings(vecs, bound, "reviewer_id", "review_id"),
+                                                       "reviewer_id", "review_id").collect()}
+    for (g, a), va in full.items():
+        for (h, b), vb in full.items():
+            if g == h and a < b:
+                cos = sum(w * vb.get(t, 0) for t, w in va.items())
+                assert cos < threshold or (a, b) in cand
+                assert (a, b) not in cand or cand[a, b].part - 1e-9 <= cos <= cand[a, b].most + 1e-9
+
+
 def test_copies_are_members_not_pairs(spark):
     rows = [("u", f"{i:03d}", "alpha beta gamma") for i in range(50)] + [("u", "900", "alpha beta delta")]
     df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
