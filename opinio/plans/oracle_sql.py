@@ -182,8 +182,7 @@ SELECT CAST(row_number() OVER (ORDER BY doc_id, pos) - 1 AS BIGINT) AS line_no,
 
 ORACLES["bulk_load_day"] = ORACLES["scan_day"]
 ORACLES["bulk_load_table"] = with_ctes(REVIEWS_CTE) + f"""
-SELECT {RAW_SELECT}, CAST("timestamp" AS DATE) AS dt FROM reviews
-WHERE CAST("timestamp" AS DATE) BETWEEN {DAY_SQL} AND {DAY_SQL} + 2"""
+SELECT {RAW_SELECT}, CAST("timestamp" AS DATE) AS dt FROM reviews"""
 ORACLES["messages_roundtrip"] = with_ctes(REVIEWS_CTE) + f"""
 SELECT review_id AS key, * REPLACE (CAST(epoch("timestamp") AS BIGINT) AS "timestamp")
 FROM (SELECT {RAW_SELECT} FROM reviews)"""
@@ -498,7 +497,30 @@ ORACLES["pages_one_day"] = """
 SELECT page_id, TIMESTAMP '2024-01-03' AS "timestamp", regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
        regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
        regexp_extract(html, 'track\\((\\d+)\\)', 1) AS track_id
-FROM pages WHERE page_id % 7 = 2 AND regexp_extract(html, '<html lang="([^"]*)"', 1) IN ('en', 'de', 'fr', 'es')"""
+FROM pages WHERE page_id % 7 = 2"""
+
+# Paragraphs run to the next one, their end tag or the end of the article.
+ORACLES["card_fields"] = """
+WITH s AS (SELECT page_id, string_split(html, '<p>') AS parts FROM pages),
+p AS (SELECT page_id, unnest(range(len(parts) - 1)) AS slot, unnest(parts[2:]) AS part FROM s),
+c AS (SELECT page_id, slot, regexp_extract(part, '^(.*?)(</p>|</article>|$)', 1, 's') AS body FROM p),
+t AS (SELECT *, trim(regexp_replace(regexp_replace(body, '<[^>]*>', '', 'g'), '\s+', ' ', 'g')) AS txt FROM c)
+SELECT page_id, slot, nullif(regexp_extract(txt, '^([^ &]+)', 1), '') AS first_word,
+       nullif(regexp_extract(body, '<b>\s*([^ &<]+)', 1), '') AS bold
+FROM t"""
+
+ORACLES["link_cards"] = """
+WITH s AS (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS items FROM pages),
+c AS (SELECT page_id, unnest(range(len(items))) AS slot, unnest(items) AS item FROM s)
+SELECT page_id, slot, nullif(regexp_extract(item, '<a href="(/[^"]*)"', 1), '') AS href,
+       nullif(regexp_extract(item, '<a [^>]*>\s*([^ &<]+)', 1), '') AS link_text
+FROM c"""
+
+ORACLES["page_header_fields"] = """
+SELECT page_id, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang,
+       regexp_extract_all(html, '<a href="([^"]*)"', 1)[2] AS second_link,
+       nullif(regexp_extract(html, '<div class="ad">\s*([^ &<]+)', 1), '') AS ad_word
+FROM pages"""
 
 ORACLES["page_links"] = f"""
 WITH l AS (SELECT page_id, regexp_extract_all(html, '{HREF_RE}', 1) AS h FROM pages)

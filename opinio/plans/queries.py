@@ -213,12 +213,12 @@ def q_bulk_load_day(spark, sf_dir):
 
 @register("bulk_load_table")
 def q_bulk_load_table(spark, sf_dir):
-    """S6 write half: one dated folder replaces the table, the next two are appended."""
+    """S6 write half: the first dated folder is loaded, then replaces the table; all others are appended."""
     root, table = scratch_path(spark, "bulk"), scratch_path(spark, "bulk_table")
     (_raw(spark, sf_dir).withColumn("day", dts.partition_id("timestamp"))
      .write.partitionBy("day").option("header", True).option("escape", '"').csv(root))
-    days = [DAY + _dt.timedelta(days=n) for n in (-1, 0, 1, 2)]
-    for day, mode in zip(days, ("append", "replace", "append", "append")):
+    days = [_dt.date(2024, 1, 1) + _dt.timedelta(days=n) for n in range(7)]
+    for day, mode in zip([days[0], *days], ("append", "replace", *["append"] * 6)):
         srcf.load_table_from_day(spark, root, day, table, RAW, mode, template="{root}/day={day}/*.csv", multiline=True)
     return spark.read.parquet(table)
 
@@ -576,6 +576,7 @@ def q_gaussian_nb_scores(spark, sf_dir):
 
 # --- step 9: pages --------------------------------------------------------------------
 
+from opinio.operators import nodes as nd  # noqa: E402
 from opinio.operators import pages as pg  # noqa: E402
 
 ALIGN_FIELDS = {"href": pg.LINK_HREF, "link_text": pg.LINK_TEXT, "paragraph": r"<p>([^<]*)"}
@@ -598,15 +599,50 @@ def q_align_repeated_fields(spark, sf_dir):
     return out.withColumn("slot", F.col("slot").cast("long"))
 
 
+PARAGRAPH = nd.Selector("p")
+PARAGRAPH_FIELDS = {
+    "first_word": nd.Field(PARAGRAPH, pattern="^([^ &]+)"),
+    "bold": nd.Field(nd.Selector("b"), pattern="^([^ &]+)"),   # most paragraphs have none
+}
+LINK_FIELDS = {"href": nd.Field(nd.Selector("a", attrs={"href": "^/"}), attr="href"),
+               "link_text": nd.Field(nd.Selector("a"), pattern="^([^ &]+)")}
+
+
+@register("card_fields")
+def q_card_fields(spark, sf_dir):
+    """W3 by structure: the fields of each paragraph, null where it has none."""
+    return nd.card_fields(load_table(spark, sf_dir, "pages"), PARAGRAPH, PARAGRAPH_FIELDS)
+
+
+@register("link_cards")
+def q_link_cards(spark, sf_dir):
+    """W2 by structure: the link of each list item."""
+    return nd.card_fields(load_table(spark, sf_dir, "pages"), nd.Selector("li"), LINK_FIELDS)
+
+
+@register("page_header_fields")
+def q_page_header_fields(spark, sf_dir):
+    """W1 by structure: fields of the whole page, of attributes and of the n-th element."""
+    return nd.page_fields(load_table(spark, sf_dir, "pages"), {
+        "lang": nd.Field(nd.Selector("html"), attr="lang"),
+        "second_link": nd.Field(nd.Selector("a"), attr="href", nth=1),
+        "ad_word": nd.Field(nd.Selector("div", classes=("ad",)), pattern="^([^ &]+)")})
+
+
 @register("pages_one_day")
 def q_pages_one_day(spark, sf_dir):
-    """The rows of several page sets, unioned and cut to one exact day."""
+    """The rows of several page sets, unioned and cut to one exact day.
+
+    The sets are the tables of the days on which the pages were stored.
+    """
     pages = load_table(spark, sf_dir, "pages").withColumn("timestamp", F.to_timestamp(
         F.date_add(F.lit(_dt.date(2024, 1, 1)), (F.col("page_id") % 7).cast("int"))))
-    rows = pg.page_scalars(pages, keep=("page_id", "timestamp"))
-    langs = ("en", "de", "fr", "es")
-    sets = [rows.where(F.col("lang") == lang) for lang in langs]
-    sets.append(rows.where(~F.coalesce(F.col("lang").isin(*langs), F.lit(False))))  # any other, and none
+    root = scratch_path(spark, "page_sets")
+    pg.page_scalars(pages, keep=("page_id", "timestamp")).withColumn(
+        "part", F.dayofmonth("timestamp") % 3).write.partitionBy("part").parquet(root)
+    names = "page_id bigint, timestamp timestamp, lang string, title string, track_id string, part int"
+    stored = spark.read.schema(names).parquet(root)
+    sets = [stored.where(F.col("part") == k).drop("part") for k in range(3)]
     return prep.filter_exact_ts(prep.union_all(*sets), _dt.datetime(2024, 1, 3))
 
 
