@@ -500,7 +500,7 @@ SELECT page_id, TIMESTAMP '2024-01-03' AS "timestamp", regexp_extract(html, '<ht
 FROM pages WHERE page_id % 7 = 2"""
 
 # Paragraphs run to the next one, their end tag or the end of the article.
-ORACLES["card_fields"] = """
+ORACLES["card_fields"] = r"""
 WITH s AS (SELECT page_id, string_split(html, '<p>') AS parts FROM pages),
 p AS (SELECT page_id, unnest(range(len(parts) - 1)) AS slot, unnest(parts[2:]) AS part FROM s),
 c AS (SELECT page_id, slot, regexp_extract(part, '^(.*?)(</p>|</article>|$)', 1, 's') AS body FROM p),
@@ -509,14 +509,14 @@ SELECT page_id, slot, nullif(regexp_extract(txt, '^([^ &]+)', 1), '') AS first_w
        nullif(regexp_extract(body, '<b>\s*([^ &<]+)', 1), '') AS bold
 FROM t"""
 
-ORACLES["link_cards"] = """
+ORACLES["link_cards"] = r"""
 WITH s AS (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS items FROM pages),
 c AS (SELECT page_id, unnest(range(len(items))) AS slot, unnest(items) AS item FROM s)
 SELECT page_id, slot, nullif(regexp_extract(item, '<a href="(/[^"]*)"', 1), '') AS href,
        nullif(regexp_extract(item, '<a [^>]*>\s*([^ &<]+)', 1), '') AS link_text
 FROM c"""
 
-ORACLES["page_header_fields"] = """
+ORACLES["page_header_fields"] = r"""
 SELECT page_id, nullif(regexp_extract(html, '<html lang="([^"]*)"', 1), '') AS lang,
        regexp_extract_all(html, '<a href="([^"]*)"', 1)[2] AS second_link,
        nullif(regexp_extract(html, '<div class="ad">\s*([^ &<]+)', 1), '') AS ad_word
@@ -570,6 +570,10 @@ SELECT CAST(event_id AS VARCHAR) AS review_id,
 FROM events WHERE {BAD} OR event_id % 89 = 0"""
 
 
+ORACLES["stream_from_log"] = ORACLES["stream_ingest"]
+ORACLES["stream_from_log_letters"] = ORACLES["stream_dead_letter"]
+
+
 # --- the daily job end to end ------------------------------------------------------------
 
 _DAY_REVIEWS = REVIEWS_CTE.replace("reviews AS (", "reviews_all AS (", 1) + f""",

@@ -649,6 +649,8 @@ def q_pages_one_day(spark, sf_dir):
 # --- step 6: streaming ingest -----------------------------------------------------------
 
 from opinio.schemas import ERROR  # noqa: E402
+from opinio.sinks import committed  # noqa: E402
+from opinio.sources import folder_log  # noqa: E402
 from opinio.streaming import ingest  # noqa: E402
 
 
@@ -741,6 +743,43 @@ def q_stream_dead_letter(spark, sf_dir):
                        F.contains("review_snippet", F.lit("error_message")).alias("repeats_message"))
 
 
+def _run_log(spark, sf_dir) -> str:
+    """The messages as a log of four partitions, streamed into a committed sink."""
+    log, sink = scratch_path(spark, "log"), scratch_path(spark, "log_sink")
+    messages = event_messages(spark, sf_dir)
+    (messages.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4))).hint("rebalance", "part")
+     .write.partitionBy("part").text(log))
+    committed.create_sink(sink)
+    stream = folder_log.stream_log(spark, log, progress=f"{scratch_path(spark, 'log_progress')}/offset",
+                                   max_bytes=LOG_BATCH_BYTES)
+    ingest.drain(ingest.start_committed(stream, sink, scratch_path(spark, "log_ckpt"), now=F.lit(STREAM_NOW),
+                                        available_now=False))
+    return sink
+
+
+#: Bytes that a batch of the log admits.
+LOG_BATCH_BYTES = 64 << 20
+
+
+@register("stream_from_log")
+def q_stream_from_log(spark, sf_dir):
+    """S5 by offsets, K6: the table of a committed sink, its small files packed by day."""
+    from opinio.schemas import RAW as _RAW
+    sink = _run_log(spark, sf_dir)
+    committed.compact(spark, sink)
+    return committed.read_committed(spark, sink, committed.TABLE, _RAW).withColumn("dt", F.to_date("timestamp"))
+
+
+@register("stream_from_log_letters")
+def q_stream_from_log_letters(spark, sf_dir):
+    """K7: the dead letters that the same manifests name."""
+    rows = committed.read_committed(spark, _run_log(spark, sf_dir), committed.LETTERS, ERROR)
+    field = F.regexp_extract("review_snippet", r'"rating":("?[a-z0-9]+"?)', 1)
+    reviewer = F.regexp_extract("review_snippet", r'"reviewer_id":"([^"]*)"', 1)
+    return rows.select("timestamp", "review_id", "error_message", field.alias("rating"), reviewer.alias("reviewer_id"),
+                       F.contains("review_snippet", F.lit("error_message")).alias("repeats_message"))
+
+
 # --- the daily job end to end ------------------------------------------------------------
 
 from opinio.plans import daily  # noqa: E402

@@ -22,12 +22,15 @@ Small batches make small files: :func:`compact_table` rewrites a sink by day.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opinio.schemas import MESSAGE, RAW_COLUMNS
+from opinio.schemas import ERROR, MESSAGE, RAW, RAW_COLUMNS
+from opinio.sinks.committed import LETTERS, PAUSE, RETRIES, TABLE, FileInserter, Inserter, committed_sink
 
 MAX_ROW_BYTES = 1024 * 1024  # fixed value: the sink's 1 MiB row limit
 OVERSIZE_MESSAGE = "row size exceeded 1MB"
@@ -40,11 +43,12 @@ _CORRUPT = "_corrupt_record"
 _PARSE_SCHEMA = T.StructType(MESSAGE.fields + [T.StructField(_CORRUPT, T.StringType())])
 
 
-def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
-    """JS1: ``value`` (JSON text) -> ``msg`` struct; bad records keep their text."""
+def parse_messages(raw: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """JS1: ``value`` (JSON text) -> ``msg`` struct; bad records keep their text.
+    ``keep`` names columns that stay beside them."""
     parsed = F.from_json(F.col(value), _PARSE_SCHEMA,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return raw.select(F.col(value).alias("raw"), parsed.alias("msg"))
+    return raw.select(F.col(value).alias("raw"), parsed.alias("msg"), *keep)
 
 
 def _record(fields=None) -> Column:
@@ -76,16 +80,20 @@ def raw_review_id(raw: str = "raw") -> Column:
     return F.nullif(F.regexp_extract(F.col(raw), r'"review_id"\s*:\s*"([^"]*)"', 1), F.lit(""))
 
 
-def table_rows(routed: DataFrame) -> DataFrame:
-    """Rows of the ``ok`` route in the raw table layout (timestamp from epoch seconds)."""
+def table_columns() -> list[Column]:
+    """A message in the raw table layout (timestamp from epoch seconds)."""
     m = F.col("msg")
-    cols = [F.timestamp_seconds(m.getField("timestamp")).alias("timestamp") if c == "timestamp"
+    return [F.timestamp_seconds(m.getField("timestamp")).alias("timestamp") if c == "timestamp"
             else m.getField(c).alias(c) for c in RAW_COLUMNS]
-    return routed.where(F.col("route") == "ok").select(*cols)
 
 
-def dead_letters(routed: DataFrame, now: Column | None = None) -> DataFrame:
-    """ST3/ST4: dead-letter rows ``(timestamp, review_id, review_snippet, error_message)``."""
+def table_rows(routed: DataFrame) -> DataFrame:
+    """Rows of the ``ok`` route in the raw table layout."""
+    return routed.where(F.col("route") == "ok").select(*table_columns())
+
+
+def letter_columns(now: Column | None = None) -> list[Column]:
+    """A message that is not ``ok`` as a dead letter."""
     names = [f.name for f in MESSAGE.fields]
     no_payload = [n for n in names if n != "payload"]
     no_error = [n for n in names if n != "error_message"]
@@ -97,9 +105,13 @@ def dead_letters(routed: DataFrame, now: Column | None = None) -> DataFrame:
                .when(F.col("route") == "oversize", F.lit(OVERSIZE_MESSAGE))
                .otherwise(m.getField("error_message")))
     rid = F.when(F.col("route") == "invalid", raw_review_id()).otherwise(m.getField("review_id"))
-    return routed.where(F.col("route") != "ok").select(
-        (now if now is not None else F.current_timestamp()).alias("timestamp"),
-        rid.alias("review_id"), snippet.alias("review_snippet"), message.alias("error_message"))
+    return [(now if now is not None else F.current_timestamp()).alias("timestamp"),
+            rid.alias("review_id"), snippet.alias("review_snippet"), message.alias("error_message")]
+
+
+def dead_letters(routed: DataFrame, now: Column | None = None) -> DataFrame:
+    """ST3/ST4: dead-letter rows ``(timestamp, review_id, review_snippet, error_message)``."""
+    return routed.where(F.col("route") != "ok").select(*letter_columns(now))
 
 
 def write_batch(batch: DataFrame, batch_id: int, table_path: str, error_path: str,
@@ -153,6 +165,47 @@ def start_ingest(spark: SparkSession, source: str | DataFrame, table_path: str,
     return writer.start()
 
 
+def sink_rows(routed: DataFrame, insert_id: Column, now: Column | None = None) -> DataFrame:
+    """Routed messages as the rows of a committed sink (``kind``, ``insert_id``
+    and a struct for the table or for the dead letters). No shuffle.
+
+    ``insert_id`` is an expression over the columns beside ``raw`` and ``msg``."""
+    ok = F.col("route") == "ok"
+    return routed.select(F.when(ok, TABLE).otherwise(LETTERS).alias("kind"), insert_id.alias("insert_id"),
+                         F.when(ok, F.struct(*table_columns())).alias(TABLE),
+                         F.when(~ok, F.struct(*letter_columns(now))).alias(LETTERS))
+
+
+def start_committed(stream: DataFrame, path: str, checkpoint: str, insert_id: Column | None = None,
+                    inserter: Inserter | None = None, max_bytes: int = MAX_ROW_BYTES, now: Column | None = None,
+                    available_now: bool = True, retries: int = RETRIES, pause: float = PAUSE):
+    """S5, K6, K7, ST5, ST6: ingest a stream with a text column ``value`` into a
+    committed sink (see ``opinio.sinks.committed``), which must exist.
+
+    ``insert_id`` names a message in every replay alike (its place in the log,
+    where the stream has it). Returns the StreamingQuery.
+    """
+    spark = stream.sparkSession
+    place = F.concat_ws(":", "partition", "segment", "position") if "position" in stream.columns else F.lit(None)
+    insert_id = place.cast("string") if insert_id is None else insert_id
+    named = stream.select(F.col("value").cast("string").alias("value"), insert_id.alias("_id"))
+    routed = route_messages(parse_messages(named, keep=("_id",)), max_bytes)
+    source = committed_sink(path, inserter or FileInserter(path, {TABLE: RAW, LETTERS: ERROR}), checkpoint, retries, pause)
+    spark.dataSource.register(source)
+    writer = (sink_rows(routed, F.col("_id"), now).writeStream.format(source.name())
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="0 seconds")
+    return writer.start()
+
+
+def drain(query) -> None:
+    """Wait until a started query has taken all that its source has, then stop it."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def read_sink(spark: SparkSession, path: str, schema: T.StructType, day: bool = True) -> DataFrame:
     """Read a sink folder back without the bookkeeping ``batch_id`` column.
 
