@@ -181,6 +181,7 @@ lines AS (SELECT doc_id, unnest(p) AS value, generate_subscripts(p, 1) AS pos FR
 SELECT CAST(row_number() OVER (ORDER BY doc_id, pos) - 1 AS BIGINT) AS line_no, value FROM lines"""
 
 ORACLES["bulk_load_day"] = ORACLES["scan_day"]
+ORACLES["quoted_csv_roundtrip"] = ORACLES["csv_roundtrip"]
 ORACLES["bulk_load_table"] = with_ctes(REVIEWS_CTE) + f"""
 SELECT {RAW_SELECT}, CAST("timestamp" AS DATE) AS dt FROM reviews"""
 ORACLES["messages_roundtrip"] = with_ctes(REVIEWS_CTE) + f"""

@@ -132,6 +132,7 @@ from opinio.schemas import LABELED_COLUMNS, RAW, RAW_COLUMNS  # noqa: E402
 from opinio.session import scratch_path  # noqa: E402
 from opinio.sinks import tables as sinks  # noqa: E402
 from opinio.sources import files as srcf  # noqa: E402
+from opinio.sources import quoted_csv  # noqa: E402
 from opinio.sources.tables import load_table, scan_day  # noqa: E402
 
 DAY = _dt.date(2024, 1, 3)
@@ -195,6 +196,14 @@ def q_csv_roundtrip(spark, sf_dir):
     return srcf.read_csv(spark, path, RAW, multiline=True)
 
 
+@register("quoted_csv_roundtrip")
+def q_quoted_csv_roundtrip(spark, sf_dir):
+    """S3: line breaks in quoted fields, each file read by many tasks."""
+    path = scratch_path(spark, "csv_quoted")
+    sinks.write_csv(_raw(spark, sf_dir), path)
+    return quoted_csv.read_quoted_csv(spark, path, RAW)
+
+
 @register("lines_source")
 def q_lines_source(spark, sf_dir):
     path = scratch_path(spark, "lines")
@@ -213,13 +222,15 @@ def q_bulk_load_day(spark, sf_dir):
 
 @register("bulk_load_table")
 def q_bulk_load_table(spark, sf_dir):
-    """S6 write half: the first dated folder is loaded, then replaces the table; all others are appended."""
+    """S6 write half: the first dated folder is loaded, then replaces the table; all others are appended.
+
+    The folders' files are read in byte ranges."""
     root, table = scratch_path(spark, "bulk"), scratch_path(spark, "bulk_table")
     (_raw(spark, sf_dir).withColumn("day", dts.partition_id("timestamp"))
      .write.partitionBy("day").option("header", True).option("escape", '"').csv(root))
     days = [_dt.date(2024, 1, 1) + _dt.timedelta(days=n) for n in range(7)]
     for day, mode in zip([days[0], *days], ("append", "replace", *["append"] * 6)):
-        srcf.load_table_from_day(spark, root, day, table, RAW, mode, template="{root}/day={day}/*.csv", multiline=True)
+        srcf.load_table_from_day(spark, root, day, table, RAW, mode, template="{root}/day={day}/*.csv", multiline=True, split_bytes=quoted_csv.SPLIT_BYTES)
     return spark.read.parquet(table)
 
 

@@ -7,15 +7,22 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opinio.sources.quoted_csv import read_quoted_csv
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             multiline: bool = False) -> DataFrame:
+             multiline: bool = False, split_bytes: int | None = None) -> DataFrame:
     """S3: CSV with a header row and an explicit schema.
 
     ``multiline`` must be set by the caller where quoted fields span lines
-    (review texts do): each file is then one task, so files must be bounded
-    (Spark's own writes are: one file per task). Without it large files split.
+    (review texts do): each file is then one task, unless ``split_bytes`` has
+    it read in ranges of that size (which needs a schema, and a store that
+    ``pyarrow.fs`` opens). Without ``multiline`` large files split as they are.
     """
+    if multiline and split_bytes is not None:
+        if schema is None:
+            raise ValueError("split_bytes needs a schema")
+        return read_quoted_csv(spark, path, schema, split_bytes)
     r = (spark.read.option("header", True).option("multiLine", multiline)
          .option("escape", '"').option("mode", "PERMISSIVE"))
     if schema is not None:
@@ -54,13 +61,14 @@ def positional_join(left: DataFrame, right: DataFrame, position: str = "line_no"
 
 
 def bulk_load_day(spark: SparkSession, root: str, day, schema: T.StructType | None = None,
-                  template: str = "{root}/{day}/*.csv", multiline: bool = False) -> DataFrame:
+                  template: str = "{root}/{day}/*.csv", multiline: bool = False,
+                  split_bytes: int | None = None) -> DataFrame:
     """Read the CSV files of one dated folder (``root/yyyymmdd/*.csv``; header skipped)."""
     import datetime as _dt
     if isinstance(day, (_dt.date, _dt.datetime)):
         day = day.strftime("%Y%m%d")
     day = str(day).replace("-", "")
-    return read_csv(spark, template.format(root=root.rstrip("/"), day=day), schema, multiline)
+    return read_csv(spark, template.format(root=root.rstrip("/"), day=day), schema, multiline, split_bytes)
 
 
 def load_table_from_day(spark: SparkSession, root: str, day, table_path: str, schema: T.StructType, mode: str = "append",
