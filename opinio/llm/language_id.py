@@ -39,11 +39,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from opinio.llm.bpe import by_size
 from opinio.llm.common import arrow_map, materialise, text_of, unused
 
 #: Longest n-gram.
@@ -54,7 +54,9 @@ LEAST, SHARE = 2e-5, 0.15
 #: 1 / LEAST n-grams a language, a slice is at most a quarter full.
 ROWS, HASHES = 1 << 19, 3
 #: Distinct words that a task counts, or a worker remembers, at a time.
-HELD = 200_000
+HELD = 300_000
+#: Words whose n-grams are laid out at a time.
+STEP = 20_000
 #: Longest word; a longer run of letters (scripts without spaces) is cut into several.
 WORD = 64
 UNKNOWN = "und"
@@ -73,10 +75,34 @@ def grams_of(word: str) -> list[str]:
     return [w[i:i + n] for n in range(1, min(GRAM, len(w)) + 1) for i in range(len(w) - n + 1) if w[i:i + n] != " "]
 
 
-def gram_hash(gram: str) -> int:
-    """64 bits of an n-gram, signed as Spark's long."""
-    h = xxhash.xxh3_64_intdigest(gram.encode())
-    return h - (1 << 64) if h >= 1 << 63 else h
+def gram_hashes(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes (signed, as Spark's long) of the n-grams of many words, and
+    the place of the word that each is of, in its order.
+
+    All words lie on one line of code points; the windows of each length are
+    hashed side by side, by the hash of the window that is one shorter.
+    """
+    codes = np.frombuffer("".join([f" {w} " for w in words]).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    word = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))  # characters up to the word's last blank
+    h = np.zeros(len(codes), np.uint64)
+    out, places = [], []
+    for n in range(1, GRAM + 1):
+        h = h[:len(codes) - n + 1] * np.uint64(0x100000001B3) + codes[n - 1:] + np.uint64(n)
+        own = left[:len(h)] >= n
+        if n == 1:
+            own &= codes != 32
+        x = h[own]
+        x = (x ^ x >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        out.append(x ^ x >> np.uint64(32))
+        places.append(word[:len(h)][own])
+        if len(h) == 1:
+            break
+    place = np.concatenate(places)
+    order = np.argsort(place, kind="stable")
+    return np.concatenate(out)[order].view(np.int64), place[order]
 
 
 def filter_rows(hashes: np.ndarray) -> np.ndarray:
@@ -100,31 +126,51 @@ class LanguageFilter:
                            for k in range(n)], np.float64)
         #: Chance that a strange n-gram has a language's bit.
         self.false = (filled / ROWS) ** HASHES if n else np.zeros(0)
-        self.memo: dict[str, np.ndarray] = {}
+        self.memo: dict[str, int] = {}           # a word's row in ``known``
+        self.known = np.zeros((0, n + 1), np.int32)
 
     def masks(self, hashes: np.ndarray) -> np.ndarray:
         """Bits of the languages that contain each n-gram."""
         return np.bitwise_and.reduce(self.table[filter_rows(hashes)], axis=0)
 
-    def counts(self, word: str) -> np.ndarray:
-        """Number of a word's n-grams, then of those in each language."""
-        grams = grams_of(word)
-        masks = self.masks(np.array([gram_hash(g) for g in grams], np.int64))
-        bits = [np.count_nonzero(masks[:, k >> 6] >> np.uint64(k & 63) & np.uint64(1)) for k in range(len(self.langs))]
-        return np.array([len(grams), *bits], np.float64)
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        words = Counter(words_of(text or ""))
-        if not words or not self.langs:
+    def counts(self, words: Sequence[str]) -> np.ndarray:
+        """Per word: its n-grams, then those of them in each language."""
+        hashes, place = gram_hashes(words)
+        masks = self.masks(hashes)
+        bits = [np.bincount(place[(masks[:, k >> 6] >> np.uint64(k & 63) & np.uint64(1)).astype(bool)], minlength=len(words))
+                for k in range(len(self.langs))]
+        return np.stack([np.bincount(place, minlength=len(words)), *bits], axis=1).astype(np.int32)
+
+    def _learn(self, new: Sequence[str]) -> None:
+        """Remember words that the memo lacks."""
+        if not len(new):
+            return
+        made = [self.counts(new[s:s + STEP]) for s in range(0, len(new), STEP)]
+        self.memo.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+        self.known = np.concatenate([self.known, *made])
+
+    def predict(self, texts: Sequence[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text."""
+        if not self.langs:
+            return [(UNKNOWN, 0.0)] * len(texts)
+        out: list[tuple[str, float]] = []
+        for run in by_size([t or "" for t in texts]):
+            words = [words_of(t) for t in run]
+            if len(self.memo) > HELD:
+                self.memo.clear()
+                self.known = self.known[:0]
+            self._learn(sorted(set().union(*words).difference(self.memo)))
+            for own in words:
+                rows = np.fromiter(map(self.memo.__getitem__, own), np.int64, len(own))
+                total = np.zeros(1 + len(self.langs))
+                for r in range(0, len(rows), STEP):
+                    total += self.known[rows[r:r + STEP]].sum(axis=0)
+                out.append(self._decide(total))
+        return out
+
+    def _decide(self, total: np.ndarray) -> tuple[str, float]:
+        if not total[0]:
             return UNKNOWN, 0.0
-        if len(self.memo) > HELD:
-            self.memo.clear()
-        total = np.zeros(1 + len(self.langs))
-        for word, n in words.items():
-            found = self.memo.get(word)
-            if found is None:
-                found = self.memo[word] = self.counts(word)
-            total += n * found
         share = (total[1:] / total[0] - self.false) / np.maximum(1 - self.false, 1e-9)
         best = int(share.argmax())
         if share[best] <= 0:
@@ -147,20 +193,14 @@ def count_grams(docs: DataFrame, langs: Sequence[str], text_col: str, lang_col:
         yield from given(held)
 
     def given(held: dict[int, Counter]) -> Iterator[pa.RecordBatch]:
-        for lang, words in held.items():
-            grams: Counter = Counter()
-            for word, n in words.items():
-                for g in grams_of(word):
-                    grams[g] += n
-                if len(grams) > HELD:
-                    yield rows(lang, grams)
-                    grams = Counter()
-            yield rows(lang, grams)
-
-    def rows(lang: int, grams: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(grams), pa.int32()), pa.array([gram_hash(g) for g in grams], pa.int64()),
-             pa.array(list(grams.values()), pa.int64())], ["lang", "gram", "n"])
+        for lang, counted in held.items():
+            words, times = list(counted), np.fromiter(counted.values(), np.int64, len(counted))
+            for s in range(0, len(words), STEP):
+                hashes, place = gram_hashes(words[s:s + STEP])
+                grams, back = np.unique(hashes, return_inverse=True)
+                n = np.bincount(back, weights=times[s:s + STEP][place], minlength=len(grams)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), lang, np.int32)), pa.array(grams),
+                                                  pa.array(n)], ["lang", "gram", "n"])
 
     known = docs.where(F.col(lang_col).isNotNull()).select(lang_col, text_of(text_col).alias("text"))
     return (arrow_map(known, run, "lang int, gram bigint, n bigint")
@@ -205,7 +245,7 @@ def predict(docs: DataFrame, languages: LanguageFilter, text_col: str = "text",
         model = LanguageFilter(*shared.value)
         for batch in batches:
             *columns, texts = batch.columns
-            found = [model.predict(t.as_py()) for t in texts]
+            found = model.predict(texts.to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array([x for x, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())],
                 schema.names)

@@ -44,6 +44,25 @@ def brute_sets(rows):
     return {g: {x for x, v in r.items() if v >= li.SHARE * max(r.values())} for g, r in rates.items()}, sorted(counts)
 
 
+def gram_hash(gram):
+    """The hash of one n-gram, by plain integers."""
+    h = 0
+    for n, c in enumerate(gram, 1):
+        h = (h * 0x100000001B3 + ord(c) + n) % (1 << 64)
+    h = (h ^ h >> 32) * 0x9E3779B97F4A7C15 % (1 << 64)
+    h = (h ^ h >> 29) * 0xBF58476D1CE4E5B9 % (1 << 64)
+    h ^= h >> 32
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
+def test_hashes_match_plain_integers():
+    words = ["a", "ab", "wort", "語", "straße", "x" * 64, "abcdefgh"]
+    hashes, place = li.gram_hashes(words)
+    for k, w in enumerate(words):
+        assert sorted(hashes[place == k].tolist()) == sorted(map(gram_hash, li.grams_of(w)))
+    assert li.gram_hashes(["z"])[0].tolist() == [gram_hash(g) for g in ["z", " z", "z ", " z "]]
+
+
 def test_grams():
     assert li.grams_of("ab") == ["a", "b", " a", "ab", "b ", " ab", "ab ", " ab "]
     assert li.words_of("Ein-Wort 12 x1y É") == ["ein", "wort", "x", "y", "é"]
@@ -57,14 +76,14 @@ def test_filter_holds_the_languages_of_each_gram(spark):
     sets, langs = brute_sets(rows)
     assert model.langs == langs and langs[model.common] == Counter(r[2] for r in rows).most_common(1)[0][0]
     grams = sorted(sets)
-    masks = model.masks(np.array([li.gram_hash(g) for g in grams], np.int64))[:, 0]
+    masks = model.masks(np.array([gram_hash(g) for g in grams], np.int64))[:, 0]
     extra = 0
     for g, m in zip(grams, masks.tolist()):
         found = {x for k, x in enumerate(langs) if m >> k & 1}
         assert sets[g] <= found
         extra += len(found - sets[g])
     assert extra <= 3 + 2 * model.false.sum() * len(grams)  # only as many false ones as the fill says
-    filled = [len({r for g in grams if x in sets[g] for r in li.filter_rows(np.array([li.gram_hash(g)]))[:, 0].tolist()})
+    filled = [len({r for g in grams if x in sets[g] for r in li.filter_rows(np.array([gram_hash(g)]))[:, 0].tolist()})
               for x in langs]
     assert np.allclose(model.false, (np.array(filled) / li.ROWS) ** li.HASHES)
 
@@ -77,13 +96,13 @@ def test_prediction_matches_exact_sets(spark, monkeypatch):
     for _, text, lang in corpus(60):
         grams = [g for w in li.words_of(text) for g in li.grams_of(w)]
         share = [sum(x in sets.get(g, ()) for g in grams) / len(grams) for x in langs]
-        got, score = model.predict(text)
+        [(got, score)] = model.predict([text])
         assert got == langs[int(np.argmax(share))] and math.isclose(score, max(share), abs_tol=0.02)
     # A filter that is nearly full is put right by the correction.
     full = li.LanguageFilter(["x", "y"], model.table.copy())
     full.table[np.random.default_rng(0).random(li.ROWS) < 0.9] |= np.uint64(1)
     full = li.LanguageFilter(["x", "y"], full.table)
-    assert full.false[0] > 0.5 and full.predict("qqq www zzz")[1] < 0.35
+    assert full.false[0] > 0.5 and full.predict(["qqq www zzz"])[0][1] < 0.35
 
 
 def test_edge_texts(spark):
@@ -101,6 +120,17 @@ def test_edge_texts(spark):
     assert all(0 <= s <= 1 for _, s in by.values())
 
 
+def test_a_full_memo_changes_nothing(spark, monkeypatch):
+    rows = corpus()
+    model = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    want = model.predict([t for _, t, _ in rows])
+    monkeypatch.setattr(li, "HELD", 7)
+    monkeypatch.setattr(li, "STEP", 3)
+    model.memo.clear()
+    model.known = model.known[:0]
+    assert model.predict([t for _, t, _ in rows]) == want
+
+
 def test_nothing_learned(spark):
     docs = spark.createDataFrame([(1, "a b", None)], "doc_id long, text string, lang string")
     model = li.train(docs)
@@ -109,7 +139,7 @@ def test_nothing_learned(spark):
     assert li.train(docs.limit(0)).langs == []
     # A language without any word is learned but never the best.
     some = spark.createDataFrame([(1, "a b", "aa"), (2, "12", "bb"), (3, None, "cc")], "doc_id long, text string, lang string")
-    assert li.train(some).predict("a b")[0] == "aa"
+    assert li.train(some).predict(["a b"])[0][0] == "aa"
 
 
 @pytest.mark.parametrize("n", [70, 130])
@@ -117,7 +147,7 @@ def test_many_languages(spark, n):
     rows = [(i, " ".join(f"{chr(0x4E00 + i)}{chr(0x5E00 + j)}" for j in range(30)), f"l{i:03}") for i in range(n)]
     model = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert model.table.shape[1] == -(-n // 64)
-    assert [model.predict(t)[0] for _, t, _ in rows] == model.langs
+    assert [x for x, _ in model.predict([t for _, t, _ in rows])] == model.langs
 
 
 def test_held_out_accuracy(spark):
