@@ -427,6 +427,54 @@ SELECT review_id, reviewer_id, rating, neg, neu, pos, compound FROM reviews JOIN
 ORACLES["sentiment_by_label"] = _sentiment_by_label_sql()
 
 
+SHIFT_CTE = f"""wd AS (SELECT review_id, {YN} AS yn, regexp_extract_all(coalesce(review_content, ''), '([A-Za-zÀ-ɏ]+)', 1) AS ws
+       FROM reviews),
+wp AS (SELECT review_id, yn, unnest(ws) AS token, generate_subscripts(ws, 1) AS pos FROM wd),
+wc AS (SELECT lower(token) AS token, count(*) FILTER (WHERE yn = 'N') AS g, count(*) FILTER (WHERE yn = 'Y') AS b
+       FROM wp WHERE yn IN ('N', 'Y') GROUP BY 1),
+wn AS (SELECT greatest(sum(g), 1) AS g, greatest(sum(b), 1) AS b FROM wc),
+lex AS (SELECT token, 4.0::DOUBLE * ((wc.g / wn.g::DOUBLE - wc.b / wn.b::DOUBLE) / (wc.g / wn.g::DOUBLE + wc.b / wn.b::DOUBLE))
+               AS valence
+        FROM wc, wn WHERE wc.g + wc.b >= 20),
+lexicon AS (SELECT * FROM lex WHERE valence <> 0)"""
+
+ORACLES["learned_lexicon"] = with_ctes(REVIEWS_CTE, SHIFT_CTE) + """
+SELECT token, round(valence, 6) AS valence FROM lexicon"""
+
+
+def _shift_steps() -> str:
+    """Three nested steps: word, place back, damping."""
+    sql = "SELECT *, valence + CASE WHEN loud THEN 0.733::DOUBLE ELSE 0.0::DOUBLE END * sign(valence) AS v0 FROM ln"
+    for k, damping in ((1, "1.0"), (2, "0.95"), (3, "0.9")):
+        sql = f"""SELECT *, (v{k - 1} + CASE WHEN f{k} THEN
+                coalesce((s{k} + CASE WHEN l{k} THEN 0.733::DOUBLE ELSE 0.0::DOUBLE END) * sign(v{k - 1}), 0.0::DOUBLE)
+                ELSE 0.0::DOUBLE END * {damping}::DOUBLE)
+            * CASE WHEN f{k} AND coalesce(n{k}, false) THEN (-0.74)::DOUBLE ELSE 1.0::DOUBLE END AS v{k} FROM ({sql})"""
+    return sql
+
+
+_LAGS = ", ".join(f"lag(shift, {k}) OVER w AS s{k}, lag(loud, {k}) OVER w AS l{k}, lag(negates, {k}) OVER w AS n{k}, "
+                  f"coalesce(lag(valence, {k}) OVER w, 0) = 0 AS f{k}" for k in (1, 2, 3))
+
+ORACLES["sentiment_shifted"] = with_ctes(REVIEWS_CTE, SHIFT_CTE) + f"""
+, mk AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS rank FROM (
+        SELECT lower(token) AS token, count(*) AS n FROM wp WHERE length(token) <= 3 GROUP BY 1)),
+mods AS (SELECT * FROM mk WHERE rank <= 18),
+tok AS (SELECT wp.review_id, wp.pos, x.valence, CASE WHEN rank <= 6 THEN 0.293::DOUBLE WHEN rank <= 12 THEN (-0.293)::DOUBLE END AS shift,
+               coalesce(rank > 12, false) AS negates, upper(wp.token) = wp.token AND lower(wp.token) <> wp.token AS up
+        FROM wp LEFT JOIN mods m ON m.token = lower(wp.token)
+             LEFT JOIN lexicon x ON x.token = lower(wp.token) AND m.token IS NULL),
+mx AS (SELECT *, up AND bool_or(up) OVER (PARTITION BY review_id) AND NOT bool_and(up) OVER (PARTITION BY review_id) AS loud
+       FROM tok),
+ln AS (SELECT *, {_LAGS} FROM mx WINDOW w AS (PARTITION BY review_id ORDER BY pos)),
+vs AS (SELECT review_id, CASE WHEN coalesce(valence, 0) = 0 THEN 0.0::DOUBLE ELSE v3 END AS v FROM ({_shift_steps()})),
+ag AS (SELECT review_id, sum(CASE WHEN v > 0 THEN v + 1 ELSE 0 END) AS ps, sum(CASE WHEN v < 0 THEN 1 - v ELSE 0 END) AS ns,
+              count(*) FILTER (WHERE v = 0) AS nu, sum(v) AS s FROM vs GROUP BY 1)
+SELECT r.review_id, round(coalesce(ns / (ps + ns + nu), 0.0), 6) AS neg, round(coalesce(nu / (ps + ns + nu), 0.0), 6) AS neu,
+       round(coalesce(ps / (ps + ns + nu), 0.0), 6) AS pos, round(coalesce(s / sqrt(s * s + 15.0), 0.0), 6) AS compound
+FROM reviews r LEFT JOIN ag USING (review_id)"""
+
+
 # --- step 8: model data work ----------------------------------------------------------
 
 RANK = "substr(md5('42:' || review_id), 1, 15)"

@@ -440,7 +440,10 @@ def q_union_classes(spark, sf_dir):
 
 # --- step 7: summaries, terms, sentiment --------------------------------------------
 
+from pyspark.sql import Window  # noqa: E402
+
 from opinio.operators import sentiment as sent  # noqa: E402
+from opinio.operators import valence as val  # noqa: E402
 
 # A small inflection table for the lemma lookup (form -> lemma).
 DEFAULT_LEMMAS = {
@@ -512,6 +515,34 @@ def q_sentiment_by_label(spark, sf_dir):
     return round_doubles(summ.describe(sim.materialise(s, "metric"), "compound", "flagged"))
 
 
+def _modifiers(spark, sf_dir) -> DataFrame:
+    """The 18 most frequent words of up to three letters, by rank: boosters, dampers, negations."""
+    found = reviews(spark, sf_dir, with_label=False).select(F.explode(val.words("review_content")).alias("token"))
+    counts = (found.where(F.length("token") <= 3).groupBy(F.lower("token").alias("token"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    top = counts.orderBy(F.col("n").desc(), "token").limit(18)   # the report is the feature: a few marker words
+    return sim.materialise(top.withColumn("rank", F.row_number().over(Window.orderBy(F.col("n").desc(), "token"))),
+                           "modifiers")
+
+
+@register("learned_lexicon")
+def q_learned_lexicon(spark, sf_dir):
+    """Valences of words from the labelled reviews."""
+    return round_doubles(val.class_lexicon(_labeled_yn(spark, sf_dir), "flagged", "N", "Y"))
+
+
+@register("sentiment_shifted")
+def q_sentiment_shifted(spark, sf_dir):
+    """E1 with negation, boosters and capitals; all tables from the data's own words."""
+    marks = _modifiers(spark, sf_dir)
+    lexicon = val.class_lexicon(_labeled_yn(spark, sf_dir), "flagged", "N", "Y")
+    lexicon = sim.materialise(lexicon.join(marks, "token", "left_anti"), "lexicon")
+    shift = F.when(F.col("rank") <= 6, 0.293).otherwise(-0.293)
+    return round_doubles(val.shifted_sentiment(
+        reviews(spark, sf_dir, with_label=False), lexicon, marks.where("rank <= 12").select("token", shift.alias("shift")),
+        marks.where("rank > 12").select("token")))
+
+
 # --- step 8: model data work ----------------------------------------------------------
 
 from opinio.operators import model as mdl  # noqa: E402
