@@ -9,6 +9,8 @@ recomputation of the current round.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinio.operators.sampling import train_test_split
+from opinio.operators.similarity import materialise
 from opinio.session import checkpoint_root
 
 # The numeric model inputs left after dropping ids, time,
@@ -113,3 +116,116 @@ def self_training(df: DataFrame, estimator, threshold: float = 0.8, iterations:
         F.col("pred_label").alias("prediction"),
         F.col("p_max").alias("probability"))
     return SelfTrainingResult(model, scores, rounds, promoted)
+
+
+# --- Gaussian naive Bayes by mergeable moments ---------------------------------------
+
+#: Share of the largest feature variance that is added to every variance.
+VARIANCE_FLOOR = 1e-9
+
+
+@dataclass
+class Moments:
+    """Per class: rows, and each feature's mean and summed squared deviation.
+
+    Two sets of rows have the moments of their union without another look at
+    the rows (:meth:`merged`).
+    """
+
+    n: list[float]                 # by class
+    mean: list[list[float]]        # by class and feature
+    dev: list[list[float]]
+
+    def merged(self, other: Moments) -> Moments:
+        n, mean, dev = [], [], []
+        for c in range(len(self.n)):
+            a, b = self.n[c], other.n[c]
+            both = a + b
+            n.append(both)
+            shift = [y - x for x, y in zip(self.mean[c], other.mean[c])]
+            mean.append([x + d * b / both if both else 0.0 for x, d in zip(self.mean[c], shift)])
+            dev.append([p + q + (d * d * a * b / both if both else 0.0)
+                        for p, q, d in zip(self.dev[c], other.dev[c], shift)])
+        return Moments(n, mean, dev)
+
+    def variances(self) -> list[list[float]]:
+        """Population variances by class and feature, lifted by a share of the largest variance of all rows."""
+        whole = Moments([self.n[0]], [self.mean[0]], [self.dev[0]])
+        for c in range(1, len(self.n)):
+            whole = whole.merged(Moments([self.n[c]], [self.mean[c]], [self.dev[c]]))
+        lift = VARIANCE_FLOOR * max((d / whole.n[0] for d in whole.dev[0]), default=0.0) if whole.n[0] else 0.0
+        return [[d / n + lift if n else 0.0 for d in row] for n, row in zip(self.n, self.dev)]
+
+
+def class_moments(df: DataFrame, label: str = "label", features: Sequence[str] = FEATURES) -> Moments:
+    """Moments of rows without nulls, by label 0 and 1: one aggregate, one row per class."""
+    aggs = [F.count(F.lit(1)).cast("double").alias("n")]
+    for k, f in enumerate(features):
+        aggs += [F.avg(f).alias(f"m{k}"), F.var_pop(f).alias(f"v{k}")]
+    found = {int(r[0]): r for r in df.groupBy(F.col(label).cast("int")).agg(*aggs).collect()}
+    out = Moments([], [], [])
+    for c in range(len(LABELS)):
+        r = found.get(c)
+        out.n.append(r.n if r else 0.0)
+        out.mean.append([r[f"m{k}"] if r else 0.0 for k in range(len(features))])
+        out.dev.append([r[f"v{k}"] * r.n if r else 0.0 for k in range(len(features))])
+    return out
+
+
+def nb_scores(df: DataFrame, moments: Moments, features: Sequence[str] = FEATURES) -> DataFrame:
+    """``df`` with ``prediction`` (the first class of the highest probability)
+    and ``probability`` (that one), as expressions. A class without rows is never predicted."""
+    total, joints = sum(moments.n), []
+    for n, mean, var in zip(moments.n, moments.mean, moments.variances()):
+        joint = F.lit(math.log(n / total) if n else -math.inf)
+        for f, m, v in zip(features, mean, var):
+            if n and v:
+                d = F.col(f).cast("double") - F.lit(m)
+                joint = joint - d * d / F.lit(2 * v) - F.lit(0.5 * math.log(2 * math.pi * v))
+        joints.append(joint)
+    rows = df.withColumn("_joint", F.array(*joints)).withColumn("_top", F.array_max("_joint"))
+    odds = F.aggregate(F.transform("_joint", lambda x: F.exp(x - F.col("_top"))), F.lit(0.0), lambda acc, x: acc + x)
+    return (rows.withColumn("prediction", F.array_position("_joint", F.col("_top")).cast("double") - 1.0)
+            .withColumn("probability", 1.0 / odds).drop("_joint", "_top"))
+
+
+@dataclass
+class MomentTrainingResult:
+    moments: Moments
+    scores: DataFrame          # original test rows: review_id, label, prediction, probability
+    rounds: int
+    promoted: list[int]        # rows by round
+
+
+def self_training_nb(df: DataFrame, threshold: float = 0.8, iterations: int = 40, test_size: float = 0.25,
+                     seed: int = 42, label: str = "flagged", features: Sequence[str] = FEATURES) -> MomentTrainingResult:
+    """M4 with M6 and no refits: the loop of :func:`self_training` for Gaussian
+    naive Bayes.
+
+    The training rows are aggregated once. A round scores the pool by
+    expressions, writes what it finds, and adds the moments of the promoted
+    rows to the model's, so its work is that of the pool, not of the training
+    set, and only moments reach the driver.
+    """
+    data = (df.select("review_id", *features, label).na.drop("any", subset=list(features))
+            .withColumn("label", F.when(F.col(label) == "Y", 1.0).otherwise(0.0)).drop(label))
+    train, test = train_test_split(materialise(data, "nb_rows"), "review_id", test_size, seed)
+    moments = class_moments(train, features=features)
+    test = materialise(test, "nb_test")
+    pool, promoted = test.drop("label"), []
+    used = moments
+    while len(promoted) < iterations:
+        used = moments
+        scored = materialise(nb_scores(pool, moments, features), "nb_pool")
+        sure = F.col("probability") > F.lit(threshold)
+        new = class_moments(scored.where(sure), "prediction", features)
+        promoted.append(int(sum(new.n)))
+        if promoted[-1]:
+            moments = moments.merged(new)
+        # Rows without a probability (no training rows at all) stay in the pool.
+        pool = scored.where(~F.coalesce(sure, F.lit(False))).drop("prediction", "probability")
+        if not promoted[-1] or pool.isEmpty():
+            break
+    name = lambda c: F.when(F.col(c) == 1.0, LABELS[1]).otherwise(LABELS[0]).alias(c)
+    scores = nb_scores(test, used, features).select("review_id", name("label"), name("prediction"), "probability")
+    return MomentTrainingResult(used, scores, len(promoted), promoted)

@@ -532,6 +532,29 @@ SELECT round(CASE WHEN n > 0 THEN correct / n ELSE 0.0 END, 6) AS accuracy,
 FROM s"""
 
 
+def _nb_cte() -> str:
+    """Gaussian naive Bayes of all labelled rows, scored on them."""
+    k = range(len(_FEATURES))
+    stats = ", ".join(f"avg(x{i}) AS m{i}, var_pop(x{i}) AS v{i}" for i in k)
+    lift = "1e-9 * greatest(" + ", ".join(f"var_pop(x{i})" for i in k) + ")"
+    joint = " ".join(f"- (x{i} - m{i}) * (x{i} - m{i}) / (2 * (v{i} + lift)) - 0.5 * ln(2 * pi() * (v{i} + lift))" for i in k)
+    columns = ", ".join(f"CAST({f} AS DOUBLE) AS x{i}" for i, f in enumerate(_FEATURES))
+    return f"""x AS (SELECT review_id, {YN} AS label, {columns} FROM feats WHERE flagged IS NOT NULL),
+st AS (SELECT label AS c, count(*) / (SELECT count(*) FROM x)::DOUBLE AS prior, {stats} FROM x GROUP BY 1),
+lf AS (SELECT {lift} AS lift FROM x),
+jt AS (SELECT review_id, label, c, ln(prior) {joint} AS j FROM x, st, lf),
+mj AS (SELECT *, max(j) OVER (PARTITION BY review_id) AS top FROM jt),
+pred AS (SELECT review_id, label, min(CASE WHEN j = top THEN c END) AS prediction,
+                1.0 / sum(exp(j - top)) AS probability FROM mj GROUP BY 1, 2)"""
+
+
+ORACLES["nb_scores"] = with_ctes(REVIEWS_CTE, COUNTS_CTE, CLEAN_CTE, TOKENS_CTE, FEATS_CTE, _nb_cte()) + """
+SELECT review_id, label, prediction, round(probability, 6) AS probability FROM pred"""
+
+ORACLES["nb_metrics"] = with_ctes(REVIEWS_CTE, COUNTS_CTE, CLEAN_CTE, TOKENS_CTE, FEATS_CTE, _nb_cte()) + \
+    ORACLES["classification_metrics"][ORACLES["classification_metrics"].index("\n, s AS ("):]
+
+
 # --- step 9: pages --------------------------------------------------------------------
 
 HREF_RE = '<a href="([^"]*)">'

@@ -616,6 +616,31 @@ def q_gaussian_nb_scores(spark, sf_dir):
     return _self_train(spark, sf_dir, mdl.gaussian_nb()).scores
 
 
+@register("self_training_nb")
+def q_self_training_nb(spark, sf_dir):
+    """M4 with M6 by merged moments: the last model's scores of the test rows."""
+    return mdl.self_training_nb(smp.under_sample(sim.materialise(_model_frame(spark, sf_dir), "model")), threshold=0.7).scores
+
+
+def _nb_scores(spark, sf_dir) -> DataFrame:
+    rows = sim.materialise(_model_frame(spark, sf_dir).withColumn("y", (F.col("flagged") == "Y").cast("double")), "model")
+    scored = mdl.nb_scores(rows, mdl.class_moments(rows, "y"))
+    return scored.select("review_id", F.col("flagged").alias("label"),
+                         F.when(F.col("prediction") == 1.0, "Y").otherwise("N").alias("prediction"), "probability")
+
+
+@register("nb_scores")
+def q_nb_scores(spark, sf_dir):
+    """M6: class and probability of every labelled review by the model of all of them."""
+    return round_doubles(_nb_scores(spark, sf_dir))
+
+
+@register("nb_metrics")
+def q_nb_metrics(spark, sf_dir):
+    """M7 on a model's output."""
+    return round_doubles(summ.classification_metrics(_nb_scores(spark, sf_dir)))
+
+
 # --- step 9: pages --------------------------------------------------------------------
 
 from opinio.operators import nodes as nd  # noqa: E402
