@@ -427,6 +427,38 @@ SELECT review_id, reviewer_id, rating, neg, neu, pos, compound FROM reviews JOIN
 ORACLES["sentiment_by_label"] = _sentiment_by_label_sql()
 
 
+def _lemma_by_tag_sql() -> str:
+    """Candidates of three steps by a table of the detachment rules."""
+    from opinio.operators.lemmas import RULES
+
+    rules = ", ".join(f"('{tag}', {i}, '{end}', '{new}')" for tag, own in RULES.items() for i, (end, new) in enumerate(own, 1))
+
+    def applied(source: str, step: int) -> str:
+        cand = "left(c.cand, length(c.cand) - length(r.ending)) || r.repl"
+        return f"""SELECT c.form, c.tag, {step} AS step, c.place * 100 + r.ord AS place, {cand} AS cand
+FROM {source} c JOIN rules r ON r.tag = c.tag AND c.cand LIKE '%' || r.ending WHERE {cand} <> ''"""
+
+    return with_ctes(REVIEWS_CTE, SENT_TOKENS_CTE, _lemma_cte()) + f"""
+, rules AS (SELECT * FROM (VALUES {rules}) v(tag, ord, ending, repl)),
+tg AS (SELECT *, CASE WHEN regexp_matches(token, '(ed|ing)$') THEN 'v' WHEN regexp_matches(token, '(er|est)$') THEN 'a'
+                      WHEN regexp_matches(token, 'ly$') THEN 'r' ELSE 'n' END AS tag FROM tk),
+vocab AS (SELECT token FROM tk GROUP BY 1 HAVING count(*) >= 3),
+f0 AS (SELECT DISTINCT token AS form, tag, 1 AS step, 0 AS place, token AS cand FROM tg),
+ruled AS (SELECT * FROM f0 WHERE NOT (tag = 'n' AND form IN (SELECT form FROM lm))),
+s1 AS ({applied('ruled', 1)}),
+s2 AS ({applied('s1', 2)}),
+s3 AS ({applied('s2', 3)}),
+ex AS (SELECT f0.form, 'n', 1, 1, lm.lemma FROM f0 JOIN lm ON lm.form = f0.form WHERE f0.tag = 'n'),
+every AS (SELECT * FROM f0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3
+          UNION ALL SELECT * FROM ex),
+best AS (SELECT form, tag, arg_min(cand, [step, length(cand), place]) AS lemma
+         FROM every WHERE cand IN (SELECT token FROM vocab) GROUP BY 1, 2)
+SELECT tg.review_id, CAST(tg.pos AS BIGINT) AS pos, tg.token, tg.tag, coalesce(best.lemma, tg.token) AS lemma
+FROM tg LEFT JOIN best ON best.form = tg.token AND best.tag = tg.tag"""
+
+
+ORACLES["lemma_by_tag"] = _lemma_by_tag_sql()
+
 SHIFT_CTE = f"""wd AS (SELECT review_id, {YN} AS yn, regexp_extract_all(coalesce(review_content, ''), '([A-Za-zÀ-ɏ]+)', 1) AS ws
        FROM reviews),
 wp AS (SELECT review_id, yn, unnest(ws) AS token, generate_subscripts(ws, 1) AS pos FROM wd),

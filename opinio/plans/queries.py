@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -442,6 +442,7 @@ def q_union_classes(spark, sf_dir):
 
 from pyspark.sql import Window  # noqa: E402
 
+from opinio.operators import lemmas as lem  # noqa: E402
 from opinio.operators import sentiment as sent  # noqa: E402
 from opinio.operators import valence as val  # noqa: E402
 
@@ -486,12 +487,49 @@ def q_clean_for_sentiment(spark, sf_dir):
 
 @register("lemma_lookup")
 def q_lemma_lookup(spark, sf_dir):
-    toks = reviews(spark, sf_dir, with_label=False).select(
-        "review_id", F.posexplode(txt.sentiment_tokens("review_content")).alias("pos", "token"))
-    out = sent.lemma_lookup(toks, lemma_frame(spark))
+    out = sent.lemma_lookup(_review_tokens(spark, sf_dir), lemma_frame(spark))
     return out.select("review_id", F.col("pos").cast("long").alias("pos"), "token", "lemma")
 
 
+def _review_tokens(spark, sf_dir) -> DataFrame:
+    return reviews(spark, sf_dir, with_label=False).select(
+        "review_id", F.posexplode(txt.sentiment_tokens("review_content")).alias("pos", "token"))
+
+
+def _ends(*endings: str) -> Column:
+    return F.col("token").rlike("(" + "|".join(endings) + ")$")
+
+
+@register("lemma_by_tag")
+def q_lemma_by_tag(spark, sf_dir):
+    """The lemma of each word under the tag that its ending says; the
+    vocabulary is the reviews' own: words seen three times or more."""
+    toks = sim.materialise(_review_tokens(spark, sf_dir).withColumn(
+        "tag", F.when(_ends("ed", "ing"), "v").when(_ends("er", "est"), "a").when(_ends("ly"), "r").otherwise("n")), "tokens")
+    seen = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    vocabulary = seen.select(F.col("token").alias("lemma"), F.explode(F.array(*map(F.lit, lem.RULES))).alias("tag"))
+    exceptions = lemma_frame(spark).withColumn("tag", F.lit("n"))
+    out = lem.lemmatise(toks, vocabulary, exceptions)
+    return out.select("review_id", F.col("pos").cast("long").alias("pos"), "token", "tag", "lemma")
+
+
+#: Scores of a tag after another one.
+TAG_FOLLOWS = {("a", "n"): 1.0, ("n", "v"): 0.5, ("v", "n"): 0.4, ("r", "v"): 0.8, ("v", "r"): 0.3, ("r", "a"): 0.6, ("n", "n"): 0.1}
+
+
+@register("pos_tags")
+def q_pos_tags(spark, sf_dir):
+    """The best tag sequence of each review; a word's scores follow from its ending and its frequency."""
+    toks = sim.materialise(_review_tokens(spark, sf_dir), "tokens")
+    counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    by_tag = {"n": F.least(F.log10("n") / 4, F.lit(1.0)), "v": F.when(_ends("ed", "ing", "s"), 1.0).otherwise(0.2),
+              "a": F.when(_ends("er", "est", "al", "ous"), 1.1).otherwise(0.1), "r": F.when(_ends("ly"), 2.0).otherwise(0.0)}
+    rows = F.array(*[F.struct(F.lit(t).alias("tag"), s.cast("double").alias("score")) for t, s in by_tag.items()])
+    scores = counts.select("token", F.explode(rows).alias("x")).select("token", "x.*")
+    out = lem.tag_words(toks, scores, TAG_FOLLOWS, list(by_tag), start={"n": 0.2})
+    return out.select("review_id", F.col("pos").cast("long").alias("pos"), "token", "tag")
+
+
 def _sentiment(spark, sf_dir) -> DataFrame:
     return sent.text_sentiment(reviews(spark, sf_dir, with_label=False), sent.lexicon_frame(spark),
                                lemmas=lemma_frame(spark))
