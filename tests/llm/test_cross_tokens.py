@@ -1,3 +1,4 @@
+import json
 import random
 
 import numpy as np
@@ -115,6 +116,24 @@ def test_small_bounds(libraries, monkeypatch, tmp_path):
     assert (index.counts(asked) == want).all() and len(index.kept) <= ct.SLABS
 
 
+def test_ranked_ids_are_the_library_s(libraries):
+    pair = ct.Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    assert pair.ranked is not None
+    rnd = random.Random(6)
+    texts = [" " + t for t in TEXTS if t] + ["".join(rnd.choice("ab eth'\n\t 1é日😀<|>") for _ in range(80)) for _ in range(3000)]
+    got = list(pair._a_ids(texts))
+    assert got == [e.ids for e in libraries[0].encode_batch(texts, add_special_tokens=False)]
+    pair.ranked = None
+    assert list(pair._a_ids(texts)) == got
+
+
+def test_other_vocabularies_are_not_ranked():
+    assert ct.byte_ranks(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()) is None
+    config = json.loads(open(A, encoding="utf-8").read())
+    config["model"]["merges"] = config["model"]["merges"][::-1]
+    assert ct.byte_ranks(json.dumps(config)) is None
+
+
 def test_hash_is_minimal_and_perfect():
     rnd = np.random.default_rng(1)
     for n in (0, 1, 2, 63, 1000, 70_000):
