@@ -6,11 +6,12 @@ sidebars, notices, adverts, reader comments, by element, role, or class and
 id words. Words of layout, topic or status (``no-sidebar``, ``category-social``,
 ``comments-open``) leave nothing out, and no words do so to ``article`` and
 ``main``, to a container of article words unless one stands alone (``sidebar``),
-or to what holds most of the page's points where no article is beside it. Each paragraph earns points for its length and commas and passes
+or to what holds most of the page's points where no article is beside it; the
+same goes for a form, and an article's own header and lists of links are kept. Each paragraph earns points for its length and commas and passes
 them to its ancestors (the parent in full, the grandparent half, further ones
 less); a container's score is discounted by its link density. The best
-container (raised to the ``article`` element around it, and as long as its
-parent adds nothing but the kinds below) and those of its siblings that score
+container (raised to the ``article`` element around it, or to the one of several
+like sections that it is in, and as long as its parent adds nothing but the kinds below) and those of its siblings that score
 well or read like text are kept, with headings, ``pre``, figures, quotes, lists
 and tables beside it that are not mostly links; their blocks are joined in page
 order.
@@ -42,6 +43,8 @@ table tbody td tfoot th thead tr ul caption""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math object canvas audio video textarea title head".split())
 LEFT_OUT = frozenset("nav header footer aside form button select dialog menu search".split())
+#: Of those, the ones that come back if they hold most of the page's points (a page that is one form).
+SOFT = frozenset("form header".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 SCORED = frozenset("p pre td blockquote li dd".split())
 CONTAINERS = frozenset("article main section div body td blockquote center table tbody tr ul ol dl".split())
@@ -201,8 +204,9 @@ def parse(html: str) -> tuple[Node, list[Node]]:
             continue
         raw = m[3] if m[2] else m[6]
         words, out = _attributes(raw) if raw else ("", False)
-        out = tag in LEFT_OUT or out and tag != "body"
-        child = Node(tag, node, words, out, bool(words) and _named(tag, words))
+        soft = tag in SOFT and not open_tags.get("article")  # an article's header is its own, a form in it is not
+        out = tag in LEFT_OUT and not soft and not (tag == "header" and open_tags.get("article")) or out and tag != "body"
+        child = Node(tag, node, words, out, soft or bool(words) and _named(tag, words))
         node.items.append(child)
         node = child
         open_tags[tag] = open_tags.get(tag, 0) + 1
@@ -222,7 +226,9 @@ def _is_menu(node: Node) -> bool:
 
 
 def _blocks(node: Node) -> Iterator[str]:
-    """Texts of the blocks under a node, in page order."""
+    """Decoded texts of the blocks under a node, in page order. Lists of links
+    are left out, but for those of an article (its sources, say)."""
+    whole = node.tag == "article"
     run: list[str] = []
     todo: list[Node | str | None] = [node]
     while todo:
@@ -232,10 +238,11 @@ def _blocks(node: Node) -> Iterator[str]:
                 yield "".join(run)
                 run = []
         elif isinstance(item, str):
-            run.append(item)
+            # Each text by itself: a reference does not go on behind a tag.
+            run.append(unescape(item) if "&" in item else item)
         elif item.tag == "br":
             run.append(" ")
-        elif not item.out and (item is node or not _is_menu(item)):
+        elif not item.out and (item is node or whole or not _is_menu(item)):
             edge = item.tag in BLOCKS
             if edge:
                 todo.append(None)
@@ -247,8 +254,8 @@ def _blocks(node: Node) -> Iterator[str]:
 
 
 def text_of_node(node: Node) -> list[str]:
-    """Decoded, trimmed, non-empty blocks."""
-    return [t for raw in _blocks(node) if (t := " ".join((unescape(raw) if "&" in raw else raw).split()))]
+    """Trimmed, non-empty blocks."""
+    return [t for raw in _blocks(node) if (t := " ".join(raw.split()))]
 
 
 def _inside(node: Node) -> bool:
@@ -321,8 +328,9 @@ def _readmit(closed: list[Node], points: dict[int, float]) -> None:
             up = up.parent
 
 
-def _score(closed: list[Node]) -> list[Node]:
-    """Pass the paragraphs' points to their ancestors; the containers with points."""
+def _score(closed: list[Node]) -> tuple[list[Node], dict[int, float]]:
+    """Pass the paragraphs' points to their ancestors; the containers with
+    points, and the points in each element's subtree."""
     hidden = _hidden(closed, False)
     points: dict[int, float] = {}
     for node in closed:
@@ -350,7 +358,27 @@ def _score(closed: list[Node]) -> list[Node]:
                 weight += 25 * bool(ARTICLE.search(node.words))
             node.score = (node.score + weight) * (1 - node.linked / max(1, node.chars))
             found.append(node)
-    return found
+    held: dict[int, float] = {}
+    for node in closed:
+        if own := held.get(id(node), 0.0) + (points.get(id(node), 0.0) if id(node) not in hidden else 0.0):
+            held[id(node)] = own
+            if node.parent is not None:
+                held[id(node.parent)] = held.get(id(node.parent), 0.0) + own
+    return found, held
+
+
+def _section(best: Node, held: dict[int, float]) -> Node:
+    """The ancestor of the best container that is one of several like sections:
+    elements of one kind under one parent, of which the others together hold
+    at least half as many points."""
+    node = best
+    while (up := node.parent) is not None:
+        others = sum(held.get(id(x), 0.0) for x in up.items
+                     if isinstance(x, Node) and x is not node and x.tag == node.tag and not x.out)
+        if node.tag in CONTAINERS and node.tag != "body" and 2 * others >= held.get(id(node), 0.0) > 0:
+            best = node
+        node = up
+    return best
 
 
 def _beside(node: Node | str) -> bool:
@@ -379,7 +407,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     root, closed = parse(html)
-    found = _score(closed)
+    found, held = _score(closed)
     best = max(found, key=lambda n: n.score, default=None)
     if best is None or best.score <= 0:
         return "\n".join(text_of_node(root))
@@ -391,6 +419,8 @@ def main_text(html: str | None) -> str:
     if best.parent is None or best.tag == "body":
         return "\n".join(text_of_node(best))
     least = max(10.0, 0.2 * best.score)
+    if best.tag != "article":
+        best = _section(best, held)
     while best.parent.tag in CONTAINERS and best.parent.tag != "body" and all(
             x is best or (x.isspace() or not x if isinstance(x, str) else _beside(x)) for x in best.parent.items):
         best = best.parent

@@ -44,6 +44,43 @@ def test_siblings_and_link_lists():
     assert main_text(html) == "\n".join([para] * 3)
 
 
+def test_a_page_that_is_one_form():
+    para = " ".join(PARA.split())
+    body = f"<div class='x'><h1>T</h1><p>{PARA}</p><p>{PARA}</p></div><input><select><option>no</select>"
+    assert main_text(page(f"<form id='aspnetForm' action='x'>{body}</form>")) == f"T\n{para}\n{para}"
+    login = f"<form><p>Your name, your password, and so on, please, or go away. {PARA}</p></form>"
+    assert main_text(page(f"{login}<article><p>{PARA}</p><p>{PARA}</p></article>")) == f"{para}\n{para}"
+    assert main_text(page(f"<div>{login}</div><div><p>{PARA}</p><p>{PARA}</p></div>")) == f"{para}\n{para}"
+
+
+def test_like_sections_stay_together():
+    para = " ".join(PARA.split())
+    section = lambda k: f"<div><h2>H{k}</h2><div><p>{PARA}</p><p>{PARA}</p></div></div>"
+    want = "\n".join(f"H{k}\n{para}\n{para}" for k in range(3))
+    for around in ("{}", "<div id='w'>{}</div>", "<main>{}</main>", "<section><div>{}</div></section>"):
+        html = page("<nav><a href=a>Home</a></nav>" + around.format("".join(map(section, range(3))))
+                    + f"<div class='sidebar'><p>{PARA}</p></div><footer>f</footer>")
+        assert main_text(html) == want
+
+
+def test_an_article_s_own_header_and_sources():
+    para = " ".join(PARA.split())
+    links = "<ul>" + "".join(f"<li><a href=/{i}>Source {i}</a></li>" for i in range(4)) + "</ul>"
+    html = page(f"<header><h2>Site</h2></header><article><header><h1>Title</h1><nav>n</nav></header><p>{PARA}</p>"
+                f"<h2>Sources</h2>{links}<ul class='share'><li><a>x</a></ul><footer>f</footer></article>")
+    assert main_text(html) == f"Title\n{para}\nSources\n" + "\n".join(f"Source {i}" for i in range(4))
+
+
+def test_a_reference_ends_at_a_tag():
+    assert main_text("<article><p>&<i>copy;</i> &amp;copy; &l<!-- -->t; &lt;</article>") == "&copy; &copy; &lt; <"
+
+
+def test_ties_of_scores():
+    para = " ".join(PARA.split())
+    html = page(f"<div><p>{PARA}</p></div><hr><div><p>{PARA}</p></div>")
+    assert main_text(html) == f"{para}\n{para}"
+
+
 def test_linear_in_the_page():
     rnd = random.Random(3)
     tags = ["<p>", "</p>", "<div>", "</div>", "<b>", "</i>", "<li>", "<ul>", "text, ", "<td>", "<table>", "<a href='x'>"]
