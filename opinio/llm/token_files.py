@@ -22,11 +22,13 @@ table gives an empty index. Extra columns are not carried.
 from __future__ import annotations
 
 import hashlib
+import json
 import posixpath
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,30 @@ MEMO_WORD = 48
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+#: Normalisers that leave an NFC, lower-case word of letters as it is, and the split that keeps it whole.
+KEEPS = frozenset({"NFC", "Replace", "Lowercase"})
+LETTERS = r"[\p{L}]+"
+
+
+def bare_config(config: str) -> str | None:
+    """The configuration without what does nothing to lower-case words of
+    letters in NFC; none where it is not known to do nothing."""
+    c = json.loads(config)
+    before, split = c.get("normalizer") or {}, c.get("pre_tokenizer") or {}
+    steps = split.get("pretokenizers", [])
+    known = (before.get("type") == "Sequence" and {n["type"] for n in before["normalizers"]} <= KEEPS
+             and all(n["type"] != "Replace" or n["pattern"] == {"Regex": r"\s+"} for n in before["normalizers"])
+             and [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
+             and LETTERS in steps[0]["pattern"].get("Regex", "").split("|")
+             and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"])
+    return json.dumps({**c, "normalizer": None, "pre_tokenizer": steps[1], "added_tokens": []}) if known else None
+
+
+def _is_plain(word: str) -> bool:
+    """Letters alone (of scripts whose letters all Unicode versions agree on), lower-case, in NFC."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0530" and is_normalized("NFC", word)) and word == word.lower()
+
+
 class WordEncoder:
     """A tokenizer of the ``tokenizers`` library with a memo of its words.
 
@@ -60,6 +86,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(config)
         self.tokenizer.encode_special_tokens = plain
+        bare = bare_config(config)
+        #: The same merges without normaliser and split, for words that neither changes.
+        self.bare = None if bare is None else Tokenizer.from_str(bare)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [] if plain else [t.content.lower() for t in added]
         self.kind = np.dtype(f"<u{id_bytes}")
@@ -74,8 +103,13 @@ class WordEncoder:
         new = set().union(*found).difference(memo)
         made = {word: self._parts(word) for word in new}
         parts = list({p for pair in made.values() for p in pair}.difference(memo))
-        ids = {p: array(self.code, enc.ids).tobytes()
-               for p, enc in zip(parts, self.tokenizer.encode_batch_fast(parts, add_special_tokens=False))}
+        ids = {}
+        plain = [p for p in parts if self.bare is not None and _is_plain(p)]
+        rest = parts if not plain else list(set(parts).difference(plain))
+        for tokenizer, own in ((self.bare, plain), (self.tokenizer, rest)):
+            if own:
+                ids.update((p, array(self.code, enc.ids).tobytes())
+                           for p, enc in zip(own, tokenizer.encode_batch_fast(own, add_special_tokens=False)))
         for word, (stem, tail) in made.items():
             memo[word] = (ids.get(stem) or memo.get(stem, b"")) + (ids.get(tail) or memo.get(tail, b""))
         memo.update(ids)

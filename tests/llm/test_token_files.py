@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -7,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from opinio.llm.token_files import SequenceReader, WordEncoder, read_index, read_tokens, write_tokens
+from opinio.llm.token_files import SequenceReader, WordEncoder, bare_config, read_index, read_tokens, write_tokens
 from opinio.session import scratch_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +32,23 @@ def test_words_match_the_library(library):
         assert np.frombuffer(ids, "<u2").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_words_of_letters_match_the_library():
+    library = Tokenizer.from_file(PATH)
+    rnd = random.Random(9)
+    with open(PATH, encoding="utf-8") as f:
+        config = f.read()
+    enc = WordEncoder(config, 2, plain=False)
+    assert enc.bare is not None
+    words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 14)))
+             for letters in ("etaoinshrdlu", "aeéèêßñü", "abcABC", "ας σΣ", "жизнь", "a\u0301eı", "ſﬁªºǅŉ", "日本語ア") for _ in range(800)]
+    words += [chr(c) * 2 for c in range(0x41, 0x530) if chr(c).isalpha()]
+    for w, ids in zip(words, enc.encode_all(words)):
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(w, add_special_tokens=False).ids, ascii(w)
+    other = json.loads(config)
+    other["normalizer"]["normalizers"].append({"type": "StripAccents"})
+    assert bare_config(json.dumps(other)) is None
+
+
 def test_round_trip(spark, library):
     rnd = random.Random(4)
     rows = [(i, " ".join(rnd.choice(["alpha", "beta,", "Gamma", "é", "12"]) for _ in range(rnd.randint(0, 40))), 1)
