@@ -127,6 +127,7 @@ class Pair:
             import tiktoken
 
             self.ranked = tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+            self.a = None  # two copies of the vocabulary would only take memory
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
                         else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())]
