@@ -53,6 +53,16 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def distinct_names(*names: str) -> list[str]:
+    """The names, each with as many ``_`` as it takes to differ from those before it."""
+    out: list[str] = []
+    for name in names:
+        while name.lower() in {n.lower() for n in out}:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def row_key(id_col: str, text_col: str) -> Column:
     """A hash that names a row by its id and text (equal rows share it)."""
     return F.xxhash64(F.col(id_col), text_of(text_col))

@@ -49,7 +49,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import arrow_map, materialise, text_of
+from opinio.llm.common import arrow_map, distinct_names, materialise, text_of
 from opinio.session import scratch_path
 
 #: Pairs that a segment of the hash holds on average.
@@ -560,5 +560,5 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = arrow_map(ids, run, f"id {kind}, {', '.join(f'{n} bigint' for n in NUMBERS)}, groups string")
-    named = [F.col(n).alias(n if n != id_col.lower() else f"{n}_") for n in (*NUMBERS, "groups")]
-    return rows.select(F.col("id").alias(id_col), *named), index
+    names = distinct_names(id_col, *NUMBERS, "groups")
+    return rows.toDF(*names), index

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import arrow_map, text_of, unused
+from opinio.llm.common import arrow_map, distinct_names, text_of, unused
 
 #: Most places between the two words of a pair.
 REACH = 2
@@ -272,9 +272,11 @@ def seeded(docs: DataFrame, items: list[tuple[object, list[str]]], text_col: str
 def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """A row for each contaminated document and item: both ids, ``similarity``,
-    and the passage's window in words (``first_word``, ``end_word``)."""
+    and the passage's window in words (``first_word``, ``end_word``). A name that
+    repeats one before it gets a ``_``."""
     kinds = [t.schema[c].dataType.simpleString() for t, c in ((docs, id_col), (items, item_col))]
-    schema = f"`{id_col}` {kinds[0]}, `{item_col}` {kinds[1]}, similarity double, first_word bigint, end_word bigint"
+    names = distinct_names(id_col, item_col, "similarity", "first_word", "end_word")
+    schema = ", ".join(f"`{n}` {k}" for n, k in zip(names, (*kinds, "double", "bigint", "bigint")))
     out = docs.sparkSession.createDataFrame([], schema)
     for part in item_blocks(items, item_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(seeded(docs, part, text_col))
@@ -289,10 +291,9 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
                 if found:
                     items, share, first, end = (pa.array(x) for x in zip(*found))
                     ids = batch.column(0).take(pa.array(rows, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([ids, items, share, first, end],
-                                                     [id_col, item_col, "similarity", "first_word", "end_word"])
+                    yield pa.RecordBatch.from_arrays([ids, items, share, first, end], names)
 
-        out = out.unionByName(arrow_map(docs.select(id_col, text_of(text_col).alias("_text")), run, schema))
+        out = out.unionByName(arrow_map(docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text")), run, schema))
     return out
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import arrow_map
+from opinio.llm.common import arrow_map, distinct_names
 
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary
@@ -446,15 +446,17 @@ def main_text(html: str | None) -> str:
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                  html_col: str = "html") -> DataFrame:
-    """One row per page: id, url, ``text``, ``n_chars`` (code points)."""
-    rows = pages.select(id_col, url_col, F.col(html_col).alias("_html"))
+    """One row per page: id, url, ``text``, ``n_chars`` (code points); an output
+    that has the id's or the url's name gets a ``_``."""
+    names = distinct_names(id_col, url_col, "text", "n_chars")
+    rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [main_text(h) for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())], [id_col, url_col, "text", "n_chars"])
+                 pa.array([len(t) for t in texts], pa.int64())], names)
 
-    kinds = [f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in (id_col, url_col)]
-    return arrow_map(rows, run, ", ".join([*kinds, "text string", "n_chars bigint"]))
+    kinds = [*(pages.schema[c].dataType.simpleString() for c in (id_col, url_col)), "string", "bigint"]
+    return arrow_map(rows, run, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))

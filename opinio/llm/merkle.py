@@ -44,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from opinio.llm.common import arrow_map, materialise
+from opinio.llm.common import arrow_map, distinct_names, materialise
 
 FANOUT = 16
 #: Levels inside a block (4,096 leaves at a fanout of 16).
@@ -241,8 +241,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "source",
     whole = blocks.join(ends, F.col("grp").eqNullSafe(F.col("_g")) & (F.col("block") == F.col("_b")))
     rows = _expand(whole.drop("_g", "_b"), "id", docs.schema[id_col].dataType.simpleString(), tuple(outputs),
                    fanout, depth)
-    named = {x: x if x != id_col.lower() else f"{x}_" for x in outputs}
-    return rows.select(F.col("id").alias(id_col), *(F.col(x).alias(y) for x, y in named.items()))
+    return rows.toDF(*distinct_names(id_col, *outputs))
 
 
 def _expand(blocks: DataFrame, id_col: str, kind: str, outputs: Sequence[str], fanout: int, depth: int) -> DataFrame:

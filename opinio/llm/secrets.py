@@ -29,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import text_of
+from opinio.llm.common import distinct_names, text_of
 
 
 @dataclass(frozen=True)
@@ -196,12 +196,10 @@ def joined(found: Column) -> Column:
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document: id and ``spans``, an array of (start, number,
-    end, kind) ordered by start, then kind as listed."""
-    keyed = (docs.select(F.col(id_col), text_of(text_col).alias("text"))
-             .withColumn("key", F.xxhash64(F.col(id_col), F.col("text"))))
-    if id_col == "key" or id_col == "text":
-        raise ValueError("the id column must not be named key or text")
+    """One row per document: id and ``spans`` (``spans_`` beside an id of that
+    name), an array of (start, number, end, kind) ordered by start, then kind as listed."""
+    keyed = (docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+             .withColumn("key", F.xxhash64("id", "text")))
     indexed = _indexed(rules)
     hits = candidates(keyed, rules).withColumnRenamed("key", "_key")
     both = keyed.join(hits, F.col("key") == F.col("_key"), "left")
@@ -212,4 +210,6 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
             own = F.when(F.array_contains("kinds", rule.kind), own).otherwise(none)
         found.append(own)
-    return both.select(id_col, F.array_sort(reduce(lambda a, b: F.concat(a, b), found)).alias("spans"))
+    names = distinct_names(id_col, "spans")
+    return both.select(F.col("id").alias(names[0]),
+                       F.array_sort(reduce(lambda a, b: F.concat(a, b), found)).alias(names[1]))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opinio.llm.common import arrow_map, materialise
+from opinio.llm.common import arrow_map, distinct_names, materialise
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -98,11 +98,13 @@ class OpenRules:
 
 def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
                default: str = "allow") -> DataFrame:
-    """One row per page: id, ``host``, ``path``, ``rule`` (or null), ``verdict``.
+    """One row per page: id, ``host``, ``path``, ``rule`` (or null), ``verdict``
+    (with a ``_`` where that is the id's name).
 
     ``rules`` has ``host``, ``path`` and ``verdict``.
     """
     kind = pages.schema[id_col].dataType.simpleString()
+    names = distinct_names(id_col, "host", "path", "rule", "verdict")
     urls = (pages.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"),
                          path_of(F.col(url_col)).alias("path"))
             .select(host_key(F.col("host")).alias("key"), F.lit(1).alias("kind"), "host", "path",
@@ -138,7 +140,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
             rows = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [rows.column(6), rows.column(3), rows.column(4), pa.array([r for r, _ in found], pa.string()),
-                 pa.array([v for _, v in found], pa.string())], [id_col, "host", "path", "rule", "verdict"])
+                 pa.array([v for _, v in found], pa.string())], names)
 
     return arrow_map(swept.select("part", "key", "kind", "host", "path", "verdict", "id"), run,
-                     f"`{id_col}` {kind}, host string, path string, rule string, verdict string")
+                     ", ".join(f"`{n}` {k}" for n, k in zip(names, (kind, *["string"] * 4))))
