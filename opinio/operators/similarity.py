@@ -189,6 +189,8 @@ def bound_pairs(reps: DataFrame, group: str, id_col: str) -> DataFrame:
     return found.groupBy(group, "a").agg(F.min_by("b", "place").alias("b"))
 
 
+#: Candidates of a document that are verified without raising the bound first.
+FEW = 8
 #: Entries that one step of a running sum adds up.
 _BLOCK = 64
 
@@ -255,15 +257,19 @@ def candidate_pairs(posts: DataFrame, group: str, id_col: str) -> DataFrame:
 
 
 def raised_bounds(cand: DataFrame, reps: DataFrame, lower: DataFrame, group: str, id_col: str) -> DataFrame:
-    """``(group, lb)``: the bounds after each document's two most promising
-    candidates (by what is known and by what is possible) are verified."""
+    """``(group, lb)``: the bounds after the two most promising candidates (by
+    what is known and by what is possible) of each document with more than
+    ``FEW`` are verified. Where all have few, these are verified outright later."""
     both = cand.select(group, "a", "b", "part", "most").union(cand.select(group, "b", "a", "part", "most"))
-    picked = both.groupBy(group, "a").agg(F.max_by("b", F.struct("part", "b")).alias("p"),
-                                          F.max_by("b", F.struct("most", "b")).alias("m"))
+    picked = (both.groupBy(group, "a").agg(F.count(F.lit(1)).alias("n"), F.max_by("b", F.struct("part", "b")).alias("p"),
+                                           F.max_by("b", F.struct("most", "b")).alias("m")).where(F.col("n") > FEW))
     first = (picked.select(group, "a", F.explode(F.array("p", "m")).alias("b"))
              .select(group, F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    first = materialise(first, "first")
+    if first.isEmpty():
+        return lower
     seen = verify_pairs(first, reps, group, id_col).groupBy(group).agg(F.max("cosine").alias("lb"))
-    return lower.select(group, "lb").unionByName(seen).groupBy(group).agg(F.max("lb").alias("lb"))
+    return materialise(lower.select(group, "lb").unionByName(seen).groupBy(group).agg(F.max("lb").alias("lb")), "bounds")
 
 
 def open_pairs(cand: DataFrame, lower: DataFrame, group: str) -> DataFrame:
@@ -289,7 +295,7 @@ def max_cosine(vecs: DataFrame, group: str = "reviewer_id", id_col: str = "revie
     open_groups = lower.where(F.col("lb") < F.lit(1.0 - _EPS)).select(
         group, F.greatest(F.col("lb") - F.lit(_EPS), F.lit(0.0)).alias("t"))
     cand = materialise(candidate_pairs(postings(reps, open_groups, group, id_col), group, id_col), "candidates")
-    lower = materialise(raised_bounds(cand, reps, lower, group, id_col), "bounds")
+    lower = raised_bounds(cand, reps, lower, group, id_col)
     exact = verify_pairs(open_pairs(cand, lower, group), reps, group, id_col).groupBy(group).agg(
         F.max("cosine").alias("m2"))
     return (groups.join(lower, group, "left").join(exact, group, "left")
