@@ -11,8 +11,7 @@ replayed after its manifest was published changes nothing.
 Rows are inserted by an :class:`Inserter` (files by default, or a caller's
 client of another store). A part of the rows that it rejects is halved and
 each half inserted, until the rows that cannot be written are alone; those
-become dead letters with the error as their message, as the reference of a
-row's failed insert. A dead letter that cannot be written is replaced by one
+become dead letters with the error as their message. A dead letter that cannot be written is replaced by one
 with that message. Errors that are :class:`TransientError` are retried a
 bounded number of times with growing pauses, then fail the task (and so the
 batch, which is replayed), as good rows are not to be dead-lettered.
