@@ -218,3 +218,56 @@ def test_texts_are_read_once(spark):
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert "documents.parquet" not in out._jdf.queryExecution().executedPlan().toString()
         assert "text#" not in plan
+
+
+def dense_pairs(rows, threshold):
+    """Brute-force cosines at or above the threshold, by ids."""
+    out = {}
+    for g in {r[0] for r in rows}:
+        own = [r for r in rows if r[0] == g]
+        texts = [Counter(t.split()) for _, _, t in own]
+        n, df = len(texts), Counter(w for t in texts for w in t)
+        vecs = []
+        for t in texts:
+            v = {w: c * (math.log((1 + n) / (1 + df[w])) + 1) for w, c in t.items()}
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            vecs.append({w: x / norm for w, x in v.items()})
+        for i in range(n):
+            for j in range(n):
+                cos = sum(x * vecs[j].get(w, 0.0) for w, x in vecs[i].items())
+                if own[i][1] < own[j][1] and cos >= threshold - 1e-9:
+                    out[own[i][1], own[j][1]] = min(cos, 1.0)
+    return out
+
+
+@pytest.mark.parametrize("block,share", [(1 << 21, 1 / 8), (300, 0.0), (300, 1.1)])
+def test_blocks_meet_each_pair_once(spark, monkeypatch, block, share):
+    """Groups of one and of several blocks, tokens as dense columns and as postings."""
+    monkeypatch.setattr(sim, "BLOCK_ENTRIES", block)
+    monkeypatch.setattr(sim, "DENSE_SHARE", share)
+    monkeypatch.setattr(sim, "_CELLS", 500)
+    rows = [(g, f"{i}{g}", t) for g, n in (("u", 60), ("v", 9), ("w", 1)) for i, (_, _, t) in enumerate(edited_templates(n))]
+    df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
+    vecs = sim.materialise(sim.doc_vectors(df))
+    for threshold in (0.1, 0.35):
+        pairs = sim.similarity_pairs(vecs, threshold).collect()
+        want = dense_pairs(rows, threshold)
+        assert {(r.review_id_a, r.review_id_b): r.cosine for r in pairs} == pytest.approx(want, abs=1e-9)
+        assert len(pairs) == len(want) > 1
+    best = {g: max(c for (a, _), c in dense_pairs(rows, 0.0).items() if a.endswith(g)) for g in "uv"}
+    assert {r.reviewer_id: r.cos_sim for r in sim.max_cosine(vecs).collect()} == pytest.approx({**best, "w": 0.0}, abs=1e-9)
+
+
+def test_alike_reviews_make_no_rows_per_pair(spark, monkeypatch):
+    """No row per candidate pair and no vector per pair is made, whatever the texts have in common."""
+    def never(*_):
+        raise AssertionError("rows by pair")
+
+    monkeypatch.setattr(sim, "verify_pairs", never)
+    monkeypatch.setattr(sim, "candidate_pairs", never)
+    rows = edited_templates(400)
+    df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
+    vecs = sim.materialise(sim.doc_vectors(df))
+    got = {(r.review_id_a, r.review_id_b): r.cosine for r in sim.similarity_pairs(vecs, 0.5).collect()}
+    assert got == pytest.approx(dense_pairs(rows, 0.5), abs=1e-9)
+    assert sim.max_cosine(vecs).first().cos_sim == pytest.approx(dense_max_cosine(rows), abs=1e-9)
