@@ -271,3 +271,16 @@ def test_alike_reviews_make_no_rows_per_pair(spark, monkeypatch):
     got = {(r.review_id_a, r.review_id_b): r.cosine for r in sim.similarity_pairs(vecs, 0.5).collect()}
     assert got == pytest.approx(dense_pairs(rows, 0.5), abs=1e-9)
     assert sim.max_cosine(vecs).first().cos_sim == pytest.approx(dense_max_cosine(rows), abs=1e-9)
+
+
+def test_norms_shuffle_no_weights(spark):
+    """The weights' norms need no window over all token rows: they are grouped per document, without raw weights."""
+    df = spark.createDataFrame([("u", "1", "aa aa bb"), ("u", "2", "aa cc"), ("u", None, "aa"), (None, "3", "aa")],
+                               "reviewer_id string, review_id string, review_content string")
+    out = sim.tfidf_weights(df)
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = {(r.review_id, r.token): r for r in out.collect()}
+    assert set(rows) == {("1", "aa"), ("1", "bb"), ("2", "aa"), ("2", "cc"), (None, "aa")}
+    raw = [2 * 1.0, math.log(4 / 2) + 1]
+    assert rows["1", "aa"].weight == pytest.approx(raw[0] / math.hypot(*raw)) and rows["1", "aa"].tf == 2
+    assert rows["1", "aa"].df == 3 and rows[None, "aa"].weight == pytest.approx(1.0)
