@@ -2,9 +2,10 @@
 
 Training data stays distributed; only fitted models and metrics reach the
 driver. The loop is a driver loop of at most ``iterations`` Spark jobs;
-each round's training set is checkpointed to the shared checkpoint folder
+each round's training set is written to the shared checkpoint folder
 (reliable storage), so lineage stays short and a lost executor only costs
-recomputation of the current round.
+recomputation of the current round. It is written by ``materialise``: an eager
+``checkpoint()`` works its rows out twice.
 """
 
 from __future__ import annotations
@@ -21,7 +22,6 @@ from pyspark.sql import functions as F
 
 from opinio.operators.sampling import train_test_split
 from opinio.operators.similarity import materialise
-from opinio.session import checkpoint_root
 
 # The numeric model inputs left after dropping ids, time,
 # text, label and restaurant rating.
@@ -91,22 +91,21 @@ def self_training(df: DataFrame, estimator, threshold: float = 0.8, iterations:
     training with their predicted label, repeat until the pool is empty or the
     round cap; then score all original test rows with the last model.
     """
-    checkpoint_root(df.sparkSession)
-    data = assemble(df, label).checkpoint()
+    data = materialise(assemble(df, label), "rows")
     train, test = train_test_split(data, "review_id", test_size, seed)
-    train = train.select("review_id", "features", "label").checkpoint()
-    pool = test.select("review_id", "features").checkpoint()
+    train = materialise(train.select("review_id", "features", "label"), "train")
+    pool = materialise(test.select("review_id", "features"), "pool")
     model, rounds, promoted = None, 0, 0
     while rounds < iterations:
         rounds += 1
         model = estimator.fit(train)
-        scored = _predicted(model.transform(pool)).select(
-            "review_id", "features", F.col("prediction").alias("label"), "p_max").checkpoint()
+        scored = materialise(_predicted(model.transform(pool)).select(
+            "review_id", "features", F.col("prediction").alias("label"), "p_max"), "scored")
         confident = scored.where(F.col("p_max") > F.lit(threshold)).drop("p_max")
         n_conf = confident.count()
         promoted += n_conf
         if n_conf:
-            train = train.unionByName(confident).checkpoint()
+            train = materialise(train.unionByName(confident), "train")
             pool = scored.where(F.col("p_max") <= F.lit(threshold)).select("review_id", "features")
         if pool.isEmpty():
             break

@@ -92,3 +92,21 @@ def test_self_training_loop_ends(spark):
     assert res.scores.count() == 20
     m = summ.classification_metrics(res.scores).first()
     assert m.accuracy > 0.9
+
+
+def test_features_are_worked_out_once(spark, monkeypatch):
+    """Neither the reviewers' similarity nor the model's rows are left as a plan that each reader works out anew."""
+    from opinio.operators import similarity as sim
+    from opinio.plans import queries
+    df = spark.createDataFrame([("u", "1", "aa bb"), ("u", "2", "aa cc")],
+                               "reviewer_id string, review_id string, review_content string")
+    plan = sim.reviewer_similarity(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "entries" not in plan and plan.count("Join") == 1
+    made = []
+    real = sim.materialise
+    monkeypatch.setattr(sim, "materialise", lambda df, name="vectors": made.append(name) or real(df, name))
+    monkeypatch.setattr(queries, "_model_frame", lambda *_: spark.createDataFrame(
+        [(f"{i}", "YN"[i % 2], *[float(i * k % 7) for k in range(1, 11)]) for i in range(20)],
+        ["review_id", "flagged", *queries.mdl.FEATURES]))
+    assert queries.QUERIES["gaussian_nb_stats"](spark, "").count() == 2
+    assert "model" in made
