@@ -284,3 +284,10 @@ def test_norms_shuffle_no_weights(spark):
     raw = [2 * 1.0, math.log(4 / 2) + 1]
     assert rows["1", "aa"].weight == pytest.approx(raw[0] / math.hypot(*raw)) and rows["1", "aa"].tf == 2
     assert rows["1", "aa"].df == 3 and rows[None, "aa"].weight == pytest.approx(1.0)
+
+
+def test_one_id_for_two_documents_is_an_error(spark):
+    df = spark.createDataFrame([("u", "1", "aa bb"), ("u", "1", "aa cc"), ("u", "2", "bb aa cc")],
+                               "reviewer_id string, review_id string, review_content string")
+    with pytest.raises(Exception, match="have one id"):
+        sim.similarity_pairs(sim.materialise(sim.doc_vectors(df)), 0.1).collect()
