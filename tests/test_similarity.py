@@ -291,3 +291,40 @@ def test_one_id_for_two_documents_is_an_error(spark):
                                "reviewer_id string, review_id string, review_content string")
     with pytest.raises(Exception, match="have one id"):
         sim.similarity_pairs(sim.materialise(sim.doc_vectors(df)), 0.1).collect()
+
+
+def test_vectors_have_no_row_per_word(spark):
+    df = spark.createDataFrame([("g", str(i), f"alpha beta w{i}") for i in range(20)],
+                               "reviewer_id string, review_id string, review_content string")
+    plan = sim.doc_vectors(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "FlatMapGroupsInArrow" in plan
+
+
+def test_vectors_of_blocks_equal_those_of_whole_groups(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(f"g{i % 2}", str(i // 2), " ".join(rng.choices([f"t{k}" for k in range(60)] + ["é", "zz", "x"], k=rng.randint(0, 30))))
+            for i in range(120)]
+    rows += [("g0", "1", "t1 t2 t1 own"), ("g0", None, "t3 t4"), ("g0", None, "t3"), ("g1", "900", None), (None, "5", "t1 t2")]
+    df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
+
+    def found():
+        out = {}
+        for r in sim.doc_vectors(df).collect():
+            out[r.reviewer_id, r.review_id] = (
+                [(e.df, e.token, round(e.w, 9)) for e in r.entries], round(r.norm, 9), round(r.shared, 9), r.whole)
+        return out
+
+    whole = found()
+    raw = {}
+    for r in sim.raw_weights(df, "reviewer_id", "review_id", "review_content").collect():
+        raw.setdefault((r.reviewer_id, r.review_id), []).append(r)
+    assert whole.keys() == raw.keys()
+    for key, terms in raw.items():
+        norm = math.sqrt(sum(t.raw ** 2 for t in terms))
+        shared = sorted((t.df, t.token, t.tf, round(t.raw / norm, 9)) for t in terms if t.df >= 2)
+        assert whole[key][0] == [(d, t, w) for d, t, _, w in shared]
+        assert whole[key][1:] == (round(norm, 9), round(sum(t.raw ** 2 for t in terms if t.df >= 2), 9),
+                                  all(t.df >= 2 for t in terms))
+    monkeypatch.setattr(sim, "VECTOR_WORDS", 300)
+    monkeypatch.setattr(sim, "BIN_WORDS", 100)
+    assert found() == whole
