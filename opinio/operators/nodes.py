@@ -148,6 +148,10 @@ _COLUMNS = ["row", "key", "name", "start", "end", "depth", "attrs", "text"]
 _KINDS = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.string()]
 
 
+#: Nodes, and characters of their text, from which on a task hands on what it has (a page's nodes stay together).
+PIECE_NODES, PIECE_TEXT = 1 << 12, 1 << 22
+
+
 def page_nodes(pages: DataFrame, selectors: Mapping[str, Selector], html: str = "html",
                keep: Sequence[str] = ("page_id",)) -> DataFrame:
     """The node table: ``row`` (a number for each page row), ``key`` (struct of the
@@ -159,20 +163,27 @@ def page_nodes(pages: DataFrame, selectors: Mapping[str, Selector], html: str =
     """
     wanted = list(selectors.items())
 
+    def made(batch: pa.RecordBatch, seen: int, rows: list, source: list) -> pa.RecordBatch:
+        values = list(zip(*rows))
+        values[4] = [list(v.items()) for v in values[4]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([seen + i for i in source], pa.int64()), batch.column(0).take(pa.array(source, pa.int64())),
+             *(pa.array(list(v), t) for v, t in zip(values, _KINDS))], _COLUMNS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = TaskContext.get().partitionId() << 40
         for batch in batches:
-            rows, source = [], []
+            rows, source, held = [], [], 0
             for i, page in enumerate(batch.column(1)):
                 found = _Nodes(wanted).nodes(page.as_py() or "")
                 rows += [[PAGE, 0, found[-1][2] + 1 if found else 1, -1, {}, ""], *found]
                 source += [i] * (1 + len(found))
-            values = list(zip(*rows)) or [()] * len(_KINDS)
-            values[4] = [list(v.items()) for v in values[4]]
-            at = pa.array(source, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([seen + i for i in source], pa.int64()), batch.column(0).take(at),
-                 *(pa.array(list(v), t) for v, t in zip(values, _KINDS))], _COLUMNS)
+                held += sum(len(x[5]) for x in found)
+                if len(rows) >= PIECE_NODES or held >= PIECE_TEXT:
+                    yield made(batch, seen, rows, source)
+                    rows, source, held = [], [], 0
+            if rows:
+                yield made(batch, seen, rows, source)
             seen += batch.num_rows
 
     key = F.struct(*keep)

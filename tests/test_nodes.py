@@ -110,3 +110,15 @@ def test_a_large_page(spark):
     html = "<div class=c><b>x</b></div>" * 30_000 + "<i>" * 20_000
     rows = nd.card_fields(spark.createDataFrame([(1, html)], P), nd.Selector("div", ("c",)), {"b": nd.Field(nd.Selector("b"))})
     assert rows.where("b = 'x'").count() == 30_000
+
+
+def test_a_batch_is_handed_on_in_pieces(spark, monkeypatch):
+    from opinio.operators import nodes
+
+    pages = spark.createDataFrame([(i, f"<p>a{i} <b>b{i}</b></p><p>c{i}</p>") for i in range(200)] + [(200, None)],
+                                  "page_id bigint, html string").coalesce(1)
+    fields = {"bold": nodes.Field(nodes.Selector("b"))}
+    want = sorted(map(tuple, nodes.card_fields(pages, nodes.Selector("p"), fields).collect()))
+    monkeypatch.setattr(nodes, "PIECE_NODES", 7)
+    assert sorted(map(tuple, nodes.card_fields(pages, nodes.Selector("p"), fields).collect())) == want
+    assert want[:2] == [(0, 0, "b0"), (0, 1, None)] and len(want) == 400
