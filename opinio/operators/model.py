@@ -52,9 +52,13 @@ def incomplete(df: DataFrame) -> DataFrame:
 
 
 def random_forest(num_trees: int = 500, max_depth: int = 14, seed: int = 42):
-    """M5: entropy forest, sqrt feature subsets."""
+    """M5: entropy forest, sqrt feature subsets.
+
+    Rows keep the node that they have reached in each tree, so that the trees
+    are not sent anew with each pass.
+    """
     return RandomForestClassifier(impurity="entropy", maxDepth=max_depth, numTrees=num_trees,
-                                  featureSubsetStrategy="sqrt", seed=seed)
+                                  featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True)
 
 
 def gaussian_nb():
@@ -72,6 +76,22 @@ def gaussian_nb_stats(df: DataFrame, label: str = "flagged") -> DataFrame:
     return df.where(F.col(label).isNotNull()).groupBy(label).agg(*aggs)
 
 
+#: Rows that a task of a fit has at least, as far as there are cores, and at most.
+FIT_ROWS_LEAST, FIT_ROWS_MOST = 1 << 11, 1 << 16
+
+
+def fit_tasks(rows: int, cores: int) -> int:
+    """Tasks of a fit over ``rows``. A task of a tree model holds and sends the
+    statistics of all open nodes, however few its rows, so that many small tasks
+    multiply what is shuffled; no task has more than ``FIT_ROWS_MOST`` rows."""
+    return max(1, min(-(-rows // FIT_ROWS_LEAST), cores), -(-rows // FIT_ROWS_MOST))
+
+
+def _for_fit(train: DataFrame, rows: int) -> DataFrame:
+    """All rows of ``train``, dealt by id."""
+    return train.repartition(fit_tasks(rows, train.sparkSession.sparkContext.defaultParallelism), "review_id")
+
+
 @dataclass
 class SelfTrainingResult:
     model: object
@@ -94,16 +114,18 @@ def self_training(df: DataFrame, estimator, threshold: float = 0.8, iterations:
     data = materialise(assemble(df, label), "rows")
     train, test = train_test_split(data, "review_id", test_size, seed)
     train = materialise(train.select("review_id", "features", "label"), "train")
+    n_train = train.count()
     pool = materialise(test.select("review_id", "features"), "pool")
     model, rounds, promoted = None, 0, 0
     while rounds < iterations:
         rounds += 1
-        model = estimator.fit(train)
+        model = estimator.fit(_for_fit(train, n_train))
         scored = materialise(_predicted(model.transform(pool)).select(
             "review_id", "features", F.col("prediction").alias("label"), "p_max"), "scored")
         confident = scored.where(F.col("p_max") > F.lit(threshold)).drop("p_max")
         n_conf = confident.count()
         promoted += n_conf
+        n_train += n_conf
         if n_conf:
             train = materialise(train.unionByName(confident), "train")
             pool = scored.where(F.col("p_max") <= F.lit(threshold)).select("review_id", "features")
