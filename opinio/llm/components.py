@@ -2,7 +2,8 @@
 
 First each task replaces its own edges by stars around the least node of what
 they connect, twice with a shuffle between; small components are mostly whole
-after that, and the rounds that follow are few.
+after that, and the rounds that follow are few. The shuffle is by the larger
+node, which has at most a row from each task, not by the centre of a star.
 Each step is an aggregation and a join on node ids, so no component is ever
 gathered in one task; edges are written to the shared folder after each round.
 The number of rounds grows with the logarithm of the graph's diameter.
@@ -66,8 +67,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.where("u <> v").distinct()
 
 
-def _print(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour or none, which itself has none."""
+    none = F.lit(None).cast("long")
+    ends = (edges.select(F.col("u").alias("node"), F.col("v").alias("up"), F.lit(False).alias("centre"))
+            .unionByName(edges.select(F.col("v").alias("node"), none.alias("up"), F.lit(True).alias("centre"))))
+    nodes = ends.groupBy("node").agg(F.min("up").alias("low"), F.max("up").alias("high"), F.max("centre").alias("centre"))
+    return nodes.where("low <> high or (centre and high is not null)").isEmpty()
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -77,13 +83,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     themselves are not in the result.
     """
     edges = arrow_map(edges.select("u", "v").where("u <> v"), _stars, "u bigint, v bigint")
-    edges = materialise(arrow_map(edges.repartition("v"), _stars, "u bigint, v bigint"), name)
-    seen = _print(edges)
-    while seen[0]:
+    edges = materialise(arrow_map(edges.repartition("u"), _stars, "u bigint, v bigint"), name)
+    while not _are_stars(edges):
         edges = materialise(_small_star(_large_star(edges)), name)
-        now = _print(edges)
-        if now == seen:
-            break
-        seen = now
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -15,8 +15,10 @@ import numpy as np
 
 #: Words in a shingle.
 SHINGLE = 5
-#: Bytes hashed at a time; a longer text is handled alone.
+#: Bytes of texts handled at a time; a longer text is handled alone.
 RUN_BYTES = 1 << 21
+#: Bytes whose words are hashed at a time; a longer word is hashed alone.
+PIECE_BYTES = 1 << 18
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -51,10 +53,19 @@ def _word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[raw]
     edges = np.flatnonzero(np.diff(space, prepend=True, append=True))
     starts, ends = edges[::2], edges[1::2]
-    power, inverse = _power(len(raw))
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_LOWER[raw] * power[:len(raw)], out=total[1:])
-    return starts, mix((total[ends] - total[starts]) * inverse[starts])
+    words = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        at = starts[i]
+        j = max(i + 1, int(np.searchsorted(ends, at + PIECE_BYTES, "right")))
+        piece = raw[at:ends[j - 1]]
+        power, inverse = _power(len(piece))
+        total = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(_LOWER[piece] * power[:len(piece)], out=total[1:])
+        first = starts[i:j] - at
+        words[i:j] = mix((total[ends[i:j] - at] - total[first]) * inverse[first])
+        i = j
+    return starts, words
 
 
 def _runs(texts: list[str]) -> Iterator[list[bytes]]:

@@ -1,9 +1,11 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
 
+from opinio.llm import components, shingles
 from opinio.llm import jaccard_tree as jt
 from opinio.llm.components import connected_components
 from opinio.llm.shingles import shingle_sets
@@ -83,6 +85,17 @@ def test_shingle_sets():
     assert len(set(names.values())) == len(names)
 
 
+def test_memory_of_long_texts(monkeypatch):
+    monkeypatch.setattr(shingles, "_powers", [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    text = " ".join(f"word{i:08d}" for i in range(230_000))  # 3 MB
+    tracemalloc.start()
+    [found] = shingle_sets([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 230_000 - 4
+    assert peak < 50e6
+
+
 def test_tree_finds_all_links():
     rnd = random.Random(9)
     for _ in range(40):
@@ -137,5 +150,24 @@ def test_components(spark):
     assert got == {x: find(x) for x in linked}
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "materialise", lambda df, name: written.append(name) or df.localCheckpoint())
+    edges = [(i, i % 3) for i in range(10, 3000)] + [(i % 3, i) for i in range(10, 3000)]
+    got = dict(connected_components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect())
+    assert got == {0: 0, 1: 1, 2: 2} | {i: i % 3 for i in range(10, 3000)}
+    assert len(written) == 1
+
+
+def test_other_texts_are_left_out_before_the_shuffle(spark):
+    rows = [(f"text {i}", hash((i, "key"))) for i in range(20_000)]
+    keyed = spark.createDataFrame(rows, "text string, __key long").repartition(3)
+    held = spark.createDataFrame([(k,) for _, k in rows[:4000]], "key long")
+    left = {tuple(r) for r in jt._maybe_among(keyed, held).collect()}
+    assert set(rows[:4000]) <= left <= set(rows)
+    assert len(left) < 6500
+    assert jt._maybe_among(keyed, held.where("false")).count() == 0
+
+
 def test_empty_table(spark):
     assert jt.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
