@@ -21,9 +21,13 @@ repeated entries count once (largest shift and valence).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opinio.operators.similarity import materialise
+
 # The published weights of the rule.
 CAPITALS = 0.733
 NEGATION = -0.74
@@ -50,18 +54,30 @@ def shifter_table(lexicon: DataFrame, boosters: DataFrame, negations: DataFrame)
                                     F.max("negates").alias("negates"))
 
 
-def _shifted(x: Column, i: Column, line: Column) -> Column:
-    """The valence of word ``i`` of a review after all shifts (0 for a neutral word)."""
-    caps = F.when(x.getField("loud"), F.lit(CAPITALS)).otherwise(0.0)
-    v = x.getField("valence") + caps * F.signum(x.getField("valence"))
-    for back, damping in enumerate(DAMPING, 1):
-        p = F.get(line, i - back)
-        free = F.coalesce(p.getField("valence"), F.lit(0.0)) == 0
-        loud = F.when(p.getField("loud"), F.lit(CAPITALS)).otherwise(0.0)
-        by = (p.getField("shift") + loud) * F.signum(v)
-        v = v + F.when(free, F.coalesce(by, F.lit(0.0))).otherwise(0.0) * damping
-        v = v * F.when(free & F.coalesce(p.getField("negates"), F.lit(False)), F.lit(NEGATION)).otherwise(1.0)
-    return F.when(F.coalesce(x.getField("valence"), F.lit(0.0)) == 0, F.lit(0.0)).otherwise(v)
+def _loud(x: Column) -> Column:
+    # Capitals mean something only beside other words.
+    return F.when(x.getField("loud") & F.col("mixed"), F.lit(CAPITALS)).otherwise(0.0)
+
+
+def _neutral(x: Column) -> Column:
+    return F.coalesce(x.getField("valence"), F.lit(0.0)) == 0
+
+
+def _shifted(v: Column, p: Column, damping: float) -> Column:
+    """The valence ``v`` of a word after the shift by an earlier word ``p``."""
+    by = (p.getField("shift") + _loud(p)) * F.signum(v)
+    v = v + F.coalesce(by, F.lit(0.0)) * damping
+    return v * F.when(F.coalesce(p.getField("negates"), F.lit(False)), F.lit(NEGATION)).otherwise(1.0)
+
+
+def _moved(back: int, damping: float) -> Callable[[Column, Column], Column]:
+    """What the word ``back`` places before makes of the valence of word ``i`` of ``line``."""
+    def moved(v: Column, i: Column) -> Column:
+        p = F.get("line", i - back)
+        idle = _neutral(F.get("line", i)) | p.isNull() | ~_neutral(p)
+        return F.when(idle, v).otherwise(_shifted(v, p, damping))
+
+    return moved
 
 
 def shifted_valences(df: DataFrame, shifters: DataFrame, text: str = "review_content",
@@ -72,12 +88,15 @@ def shifted_valences(df: DataFrame, shifters: DataFrame, text: str = "review_con
     met = found.join(shifters, "word", "left").withColumn("loud", loud)
     lines = met.groupBy(id_col).agg(
         F.sort_array(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct(
-            "pos", "valence", "shift", "negates", "loud")))).alias("all"),
+            "pos", "valence", "shift", "negates", "loud")))).alias("line"),
         (F.max("loud") & ~F.min("loud")).alias("mixed"))
-    # Capitals mean something only beside other words.
-    line = F.transform("all", lambda x: x.withField("loud", x.getField("loud") & F.col("mixed")))
-    lines = lines.select(id_col, line.alias("line"))
-    return lines.select(id_col, F.transform("line", lambda x, i: _shifted(x, i, F.col("line"))).alias("values"))
+    own = F.transform("line", lambda x: F.when(_neutral(x), F.lit(0.0)).otherwise(
+        x.getField("valence") + _loud(x) * F.signum(x.getField("valence"))))
+    lines = lines.select(id_col, "line", "mixed", own.alias("values"))
+    # One array for each place back: a word's valence is a variable, not an ever longer expression.
+    for back, damping in enumerate(DAMPING, 1):
+        lines = lines.select(id_col, "line", "mixed", F.transform("values", _moved(back, damping)).alias("values"))
+    return lines.select(id_col, "values")
 
 
 def score_valences(valued: DataFrame, id_col: str = "review_id", values: str = "values") -> DataFrame:
@@ -85,7 +104,7 @@ def score_valences(valued: DataFrame, id_col: str = "review_id", values: str = "
     v = F.col(values)
 
     def total(of) -> Column:
-        return F.aggregate(F.transform(v, of), F.lit(0.0), lambda acc, x: acc + x)
+        return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + of(x))
 
     sums = valued.select(
         id_col, total(lambda x: F.when(x > 0, x + 1).otherwise(0.0)).alias("ps"),
@@ -113,6 +132,7 @@ def class_lexicon(df: DataFrame, label: str, good, bad, least: int = 20, text: s
         (F.col(label) == F.lit(good)).alias("good"), F.explode(words(text)).alias("token"))
     counts = found.groupBy(F.lower("token").alias("token")).agg(
         F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b"))
+    counts = materialise(counts, "class_words")  # read three times; the texts once
     all_g, all_b = (counts.agg(F.greatest(F.sum(c), F.lit(1))).scalar() for c in ("g", "b"))
     rate_g, rate_b = F.col("g") / all_g, F.col("b") / all_b
     return (counts.where(F.col("g") + F.col("b") >= least)

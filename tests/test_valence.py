@@ -84,3 +84,17 @@ def test_class_lexicon(spark):
 def test_no_rows(spark):
     df = spark.createDataFrame([], "review_id string, review_content string")
     assert val.shifted_sentiment(df, *tables(spark)).count() == 0
+
+
+def _plan(df):
+    return df._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_lexicon_reads_texts_once(spark):
+    df = spark.createDataFrame([("N", "good food"), ("Y", "bad food")], "c string, review_content string")
+    assert "regexp_extract_all" not in _plan(val.class_lexicon(df, "c", "N", "Y", least=1))
+
+
+def test_shifts_do_not_repeat_the_valence(spark):
+    df = spark.createDataFrame([("a", "not very good")], "review_id string, review_content string")
+    assert _plan(val.shifted_sentiment(df, *tables(spark))).count("signum(") <= 1 + len(val.DAMPING)
