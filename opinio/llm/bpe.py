@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from opinio.llm.common import arrow_map, text_of
+from opinio.llm.common import arrow_map, text_of, worker_memo
 
 #: Entries that one worker's memo may hold, and the longest piece kept there.
 MEMO_ENTRIES = 400_000
@@ -291,7 +291,7 @@ def by_size(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[list[str]]:
         yield run
 
 
-_CODERS: dict[str, Coder] = {}  # per Python worker
+_CODERS: dict[str, Coder] = worker_memo(__name__, {})  # per Python worker
 
 
 def _coder(key: str, ranks, pattern: str) -> Coder:

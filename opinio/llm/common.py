@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,11 +39,48 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_MEMOS: dict[str, list[dict]] = {}  # per Python worker: what each module has it remember
+_LAST: list[str] = []  # per Python worker: the module of its last task
+
+
+def worker_memo(module: str, memo: dict) -> dict:
+    """``memo``, emptied when the worker goes on with tasks of another module."""
+    _MEMOS.setdefault(module, []).append(memo)
+    return memo
+
+
+def free_memory() -> None:
+    """Give memory that is no longer used back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def begin_task(module: str) -> None:
+    """Drop what tasks of other modules left in this worker, which is used again
+    for task after task, of all steps of a job."""
+    if _LAST != [module]:
+        for other, memos in _MEMOS.items():
+            if other != module:
+                for memo in memos:
+                    memo.clear()
+        _LAST[:] = [module]
+    free_memory()
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` with small batches."""
+    """``mapInArrow`` with small batches, in workers that hold no other step's memos."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    return df.mapInArrow(fn, schema)
+    module = fn.__module__
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task(module)
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def unused(df: DataFrame, name: str) -> str:

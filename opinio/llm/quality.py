@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from opinio.llm.common import arrow_map, materialise, row_key, text_of, unused
+from opinio.llm.common import arrow_map, materialise, row_key, text_of, unused, worker_memo
 
 BUCKETS = 1 << 14
 #: Labelled rows that the target model is fitted on, at most.
@@ -66,7 +66,7 @@ class WordHashes(dict):
         return h
 
 
-_hashes = WordHashes()  # per Python worker
+_hashes = worker_memo(__name__, WordHashes())  # per Python worker
 
 
 def ngram_buckets(text: str) -> np.ndarray:
