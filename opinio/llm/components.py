@@ -2,10 +2,12 @@
 
 First each task replaces its own edges by stars around the least node of what
 they connect, twice with a shuffle between; small components are mostly whole
-after that, and the rounds that follow are few. The shuffle is by the larger
+after that. The shuffle is by the larger
 node, which has at most a row from each task, not by the centre of a star.
-Each step is an aggregation and a join on node ids, so no component is ever
-gathered in one task; edges are written to the shared folder after each round.
+What is left is at most an edge for each node and task; if that is no more than
+``LAST`` edges, one task connects them (a bound of memory that holds at every
+size). Else rounds follow, few, of an aggregation and a join on node ids each, so
+no larger graph is ever gathered in one task; edges are written to the shared folder after each round.
 The number of rounds grows with the logarithm of the graph's diameter.
 """
 
@@ -21,10 +23,13 @@ from opinio.llm.common import arrow_map, materialise
 
 #: Edges that a task contracts at a time.
 CONTRACT = 1 << 20
+#: Edges that one task may connect to the end.
+LAST = 1 << 17
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stars around the least nodes of what a task's edges connect."""
+def _stars(batches: Iterator[pa.RecordBatch], most: int = CONTRACT, centres: bool = False) -> Iterator[pa.RecordBatch]:
+    """Stars around the least nodes of what a task's edges connect, ``most`` or so
+    at a time; with ``centres`` these too, as linked with themselves."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -33,7 +38,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return x
 
     def stars() -> pa.RecordBatch:
-        pairs = [(x, r) for x in root if (r := find(x)) != x]
+        pairs = [(x, r) for x in root if (r := find(x)) != x or centres]
         return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"])
 
     seen = 0
@@ -43,13 +48,18 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if u != v:
                 root[max(u, v)] = min(u, v)
         seen += batch.num_rows
-        if seen >= CONTRACT:
+        if seen >= most:
             yield stars()
             root.clear()
             seen = 0
     yield stars()
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node of one task's edges with the least that it is connected with."""
+    return _stars(batches, LAST + 1, centres=True)
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link each larger neighbour of a node to the least of its neighbourhood."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -84,6 +94,8 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     """
     edges = arrow_map(edges.select("u", "v").where("u <> v"), _stars, "u bigint, v bigint")
     edges = materialise(arrow_map(edges.repartition("u"), _stars, "u bigint, v bigint"), name)
+    if edges.count() <= LAST:
+        return arrow_map(edges.coalesce(1), _whole, "u bigint, v bigint").toDF("node", "component")
     while not _are_stars(edges):
         edges = materialise(_small_star(_large_star(edges)), name)
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

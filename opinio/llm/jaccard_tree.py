@@ -7,7 +7,9 @@ inside what is already one component are not looked at.
 
 1. Equal sets are one set, named by a digest. All shingles of all documents
    are counted in ``2^28`` hash buckets; one alone in its bucket is certain to
-   be held by one set only. In the global order of shingles those come first.
+   be held by one set only. In the global order of shingles those come first,
+   then the others by their bucket's count in three steps, so that sets meet by
+   their rare shingles and common ones do not chain unlike sets to one block.
 2. Two sets that link share one of the first ``n - ceil(0.8 n) + 1`` shingles
    of each in that order, and not one that is alone. Sets that share such a shingle and are near in size
    are put in one coarse block. Each task first combines its own rows of a
@@ -35,7 +37,7 @@ result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +50,7 @@ from opinio.llm.shingles import set_id, shingle_sets
 
 #: Link when PART * intersection >= SHARE * union.
 SHARE, PART = 80, 100
-#: Buckets of the shingle counts: slices of 2^16, a bit for each on the driver (32 MB).
+#: Buckets of the shingle counts: slices of 2^16, two bits for each on the driver (64 MB).
 SLICES = 1 << 12
 #: Shingles that a task holds (four bytes each) before it deals them to slices. Prefix
 #: rows take many times the memory, so a task combines an eighth as many at a time.
@@ -56,9 +58,11 @@ COMBINE = 1 << 21
 #: Bits for each member's key in the filter of texts, and the most of all (32 MB).
 KEY_BITS, MOST_BITS = 16, 1 << 28
 #: Sets and shingles of the largest block that one tree is built on.
-SETS, TOKENS = 512, 4_000_000
+SETS, TOKENS = 4096, 4_000_000
 #: Children of a tree node.
 FAN = 8
+#: Node pairs of a tree that are followed down at a time.
+PAIRS = 1 << 10
 
 
 def _needed(n: int) -> int:
@@ -123,8 +127,16 @@ def _bucket(found: np.ndarray) -> np.ndarray:
     return found >> np.uint64(64 - 16 - SLICES.bit_length() + 1)
 
 
-def shared_buckets(table: DataFrame) -> np.ndarray:
-    """A bit for each bucket: whether more than one shingle occurrence is in it."""
+def bucket_levels(table: DataFrame) -> np.ndarray:
+    """Two bits for each bucket: 0 if at most one shingle occurrence is in it, else 1
+    to 3 for few to many, measured against the mean of all buckets."""
+    total = table.where("slice is not null").agg(F.sum(F.length("buckets"))).first()[0] or 0
+    mean = total / 2 / (SLICES << 16)
+    steps = np.array([2, 3 + mean, 5 + 2 * mean])
+
+    def packed(counts: np.ndarray) -> bytes:
+        level = np.digitize(counts, steps).astype(np.uint8).reshape(-1, 4)
+        return (level << np.array([6, 4, 2, 0], np.uint8)).sum(1, dtype=np.uint8).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, counts = None, np.zeros(1 << 16, np.int64)
@@ -133,33 +145,34 @@ def shared_buckets(table: DataFrame) -> np.ndarray:
             for k, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if k != now:
                     if now is not None:
-                        done.append((now, np.packbits(counts > 1).tobytes()))
+                        done.append((now, packed(counts)))
                     now, counts = k, np.zeros(1 << 16, np.int64)
                 counts += np.bincount(np.frombuffer(raw, "<u2"), minlength=1 << 16)
             yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int32()),
-                                              pa.array([d[1] for d in done], pa.binary())], ["slice", "bits"])
+                                              pa.array([d[1] for d in done], pa.binary())], ["slice", "levels"])
         if now is not None:
             yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()),
-                                              pa.array([np.packbits(counts > 1).tobytes()], pa.binary())], ["slice", "bits"])
+                                              pa.array([packed(counts)], pa.binary())], ["slice", "levels"])
 
     rows = table.where("slice is not null").select("slice", "buckets")
-    bits = arrow_map(rows.repartition("slice").sortWithinPartitions("slice"), run, "slice int, bits binary")
-    out = np.zeros((SLICES, 1 << 13), np.uint8)
-    for r in bits.collect():
-        out[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
+    levels = arrow_map(rows.repartition("slice").sortWithinPartitions("slice"), run, "slice int, levels binary")
+    out = np.zeros((SLICES, 1 << 14), np.uint8)
+    for r in levels.collect():
+        out[r["slice"]] = np.frombuffer(r["levels"], np.uint8)
     return out.ravel()
 
 
 # Coarse blocks
 
-def _prefix(found: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    """Those of the first shingles in the global order (alone ones, then by hash)
-    that other sets may hold."""
+def _prefix(found: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """Those of the first shingles in the global order (by their bucket's level,
+    then by hash) that other sets may hold."""
     bucket = _bucket(found)
-    shared = (bits[bucket >> np.uint64(3)] >> (np.uint64(7) - (bucket & np.uint64(7))).astype(np.uint8)) & 1
-    other = found[shared.astype(bool)]
+    level = (levels[bucket >> np.uint64(2)] >> (np.uint64(6) - np.uint64(2) * (bucket & np.uint64(3))).astype(np.uint8)) & 3
+    shared = level > 0
+    other, level = found[shared], level[shared]
     alone = len(found) - len(other)
-    return other[:max(0, len(found) - _needed(len(found)) + 1 - alone)]
+    return other[np.argsort(level, kind="stable")[:max(0, len(found) - _needed(len(found)) + 1 - alone)]]
 
 
 def _runs_of(token: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -177,9 +190,9 @@ def _runs_of(token: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray
 PREFIX_SCHEMA = "token bigint, low int, high int, sid bigint, other bigint"
 
 
-def prefix_rows(docs: DataFrame, bits: np.ndarray, text_col: str) -> DataFrame:
+def prefix_rows(docs: DataFrame, levels: np.ndarray, text_col: str) -> DataFrame:
     """The runs of every shingle that is among a set's first, combined per task."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
     schema = PREFIX_SCHEMA
     names = ["token", "low", "high", "sid", "other"]
 
@@ -346,11 +359,12 @@ class SignatureTree:
             keep[some] = (SHARE + PART) * common >= need[some]
         return keep
 
-    def candidates(self, one: list | np.ndarray) -> Iterator[tuple[int, int]]:
+    def candidates(self, one: list | np.ndarray, now: Callable[[], np.ndarray] | None = None) -> Iterator[tuple[int, int]]:
         """Pairs of sets that the dual traversal from the root does not prune.
 
         ``one`` gives each set's component so far; node pairs within a single
-        one are pruned.
+        one are pruned, and pairs of leaves by what ``now`` gives at that time.
+        A few node pairs are followed down at a time, so memory is bounded.
         """
         own = np.asarray(one)[self.order]
         single = [own]
@@ -360,9 +374,18 @@ class SignatureTree:
             lo, hi = np.minimum.reduceat(single[-1], cut), np.maximum.reduceat(single[-1], cut)
             single.append(np.where(lo == hi, lo, -1 - np.arange(len(cut))))
             marks = cut
-        a = b = np.zeros(1, np.int64)
-        for level in range(len(self.levels) - 1, -1, -1):
-            same = single[level][a] == single[level][b]
+        step = np.arange(FAN)
+        todo = [(len(self.levels), np.zeros(1, np.int64), np.zeros(1, np.int64))]
+        while todo:
+            above, p, q = todo.pop()
+            level = above - 1
+            n = len(self.levels[level][0])
+            left = np.repeat((p[:, None] * FAN + step), FAN, axis=1).ravel()
+            right = np.tile((q[:, None] * FAN + step), (1, FAN)).ravel()
+            fit = (left < n) & (right < n) & ((left <= right) | np.repeat(p != q, FAN * FAN))
+            a, b = left[fit], right[fit]
+            names = single[level] if level or now is None else np.asarray(now())[self.order]
+            same = names[a] == names[b]
             if level:
                 same &= (a != b) | (single[level][a] >= 0)
             else:
@@ -370,15 +393,11 @@ class SignatureTree:
             a, b = a[~same], b[~same]
             keep = self._may_link(level, a, b) | (a == b)
             a, b = a[keep], b[keep]
-            if level:
-                n = len(self.levels[level - 1][0])
-                step = np.arange(FAN)
-                left = np.repeat((a[:, None] * FAN + step), FAN, axis=1).ravel()
-                right = np.tile((b[:, None] * FAN + step), (1, FAN)).ravel()
-                fit = (left < n) & (right < n) & ((left <= right) | np.repeat(a != b, FAN * FAN))
-                a, b = left[fit], right[fit]
-        for i, j in zip(a.tolist(), b.tolist()):
-            yield self.order[i], self.order[j]
+            if not level:
+                for i, j in zip(a.tolist(), b.tolist()):
+                    yield self.order[i], self.order[j]
+                continue
+            todo += [(level, a[at:at + PAIRS], b[at:at + PAIRS]) for at in range(0, len(a), PAIRS)]
 
 
 def links(sets: list[np.ndarray], classes: list[int]) -> list[tuple[int, int]]:
@@ -398,7 +417,7 @@ def links(sets: list[np.ndarray], classes: list[int]) -> list[tuple[int, int]]:
 
     out = []
     if len(set(root)) > 1:
-        for i, j in SignatureTree(sets).candidates(np.array(root)):
+        for i, j in SignatureTree(sets).candidates(np.array(root), lambda: [find(i) for i in range(len(sets))]):
             p, q = find(i), find(j)
             if p == q:
                 continue
@@ -547,7 +566,7 @@ def judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     keyed = docs.select(F.col(text_col), row_key(id_col, text_col).alias("__key"))
     table = set_table(docs, id_col, text_col)
     rows = table.where("slice is null").select("id", "key", "sid", "n")
-    coarse = connected_components(link_runs(prefix_rows(docs, shared_buckets(table), text_col)), "coarse")
+    coarse = connected_components(link_runs(prefix_rows(docs, bucket_levels(table), text_col)), "coarse")
     shown = rows.groupBy("sid").agg(F.min("key").alias("key"), F.first("n").alias("n"))
     members = materialise(coarse.withColumnRenamed("component", "coarse").join(shown, F.col("node") == F.col("sid"))
                           .select("coarse", "sid", "key", "n"), "members")

@@ -171,3 +171,52 @@ def test_other_texts_are_left_out_before_the_shuffle(spark):
 
 def test_empty_table(spark):
     assert jt.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_common_passage_does_not_chain_unlike_sets(spark):
+    rnd = random.Random(7)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(40))
+    rows = []
+    for _ in range(30):
+        own = " ".join(word() for _ in range(60))
+        rows += [(len(rows), f"{own} {passage} {word()}"), (len(rows) + 1, f"{own} {passage} {word()}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    levels = jt.bucket_levels(jt.set_table(docs, "doc_id", "text"))
+    blocks = connected_components(jt.link_runs(jt.prefix_rows(docs, levels, "text")))
+    assert {r["count"] for r in blocks.groupBy("component").count().collect()} == {2}
+    found = jt.jaccard_components(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, found)) == sorted(brute(rows))
+
+
+@pytest.mark.parametrize("last", [0, 1 << 17])
+def test_components_by_rounds_or_at_once(spark, monkeypatch, last):
+    monkeypatch.setattr(components, "LAST", last)
+    if last:  # a small graph needs no rounds
+        monkeypatch.setattr(components, "_large_star", None)
+        monkeypatch.setattr(components, "_are_stars", None)
+    rnd = random.Random(last)
+    order = rnd.sample(range(-500, 500), 600)
+    pairs = [(order[i], order[i + 1]) for i in range(299)] + [(order[300], x) for x in order[301:400]]
+    pairs += [(order[400 + i], order[400 + i // 2]) for i in range(1, 200)]
+    rnd.shuffle(pairs)
+    edges = spark.createDataFrame(pairs, "u long, v long").repartition(7)
+    want = {x: min(part) for part in (order[:300], order[300:400], order[400:]) for x in part}
+    assert {r.node: r.component for r in connected_components(edges).collect()} == want
+
+
+def test_a_cluster_of_near_copies_is_one_block(monkeypatch):
+    """All pairs pass the tree; those that are one component by then are not looked at."""
+    looked = []
+    real = jt.np.intersect1d
+    monkeypatch.setattr(jt.np, "intersect1d", lambda *a, **k: looked.append(1) or real(*a, **k))
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base, rng.integers(0, 2**63, 4, dtype=np.uint64)])) for _ in range(2000)]
+    assert len(sets) <= jt.SETS
+    tracemalloc.start()
+    found = jt.links(sets, list(range(len(sets))))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == len(looked) == 1999
+    assert most < 20 << 20
