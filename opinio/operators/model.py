@@ -89,18 +89,19 @@ def _predicted(df: DataFrame) -> DataFrame:
               .withColumn("pred_label", F.when(F.col("prediction") == 1.0, "Y").otherwise("N")))
 
 
-def self_training(df: DataFrame, estimator, threshold: float = 0.8, iterations: int = 40,
+def self_training(df: DataFrame, estimator, threshold: float = 0.8, iterations: int | None = 40,
                   test_size: float = 0.25, seed: int = 42, label: str = "flagged") -> SelfTrainingResult:
     """M4: fit, move confident pool rows (any class probability > threshold) into
-    training with their predicted label, repeat until the pool is empty or the
-    round cap; then score all original test rows with the last model.
+    training with their predicted label, repeat until the pool is empty, a round
+    moves no row (the next fit would be the same) or the round cap (``None``: no
+    cap); then score all original test rows with the last model.
     """
     data = materialise(assemble(df, label), "rows")
     train, test = train_test_split(data, "review_id", test_size, seed)
     train = materialise(train.select("review_id", "features", "label"), "train")
     pool = materialise(test.select("review_id", "features"), "pool")
     model, rounds, promoted = None, 0, 0
-    while rounds < iterations:
+    while iterations is None or rounds < iterations:
         rounds += 1
         model = estimator.fit(train)
         scored = materialise(_predicted(model.transform(pool)).select(
@@ -111,7 +112,7 @@ def self_training(df: DataFrame, estimator, threshold: float = 0.8, iterations:
         if n_conf:
             train = materialise(train.unionByName(confident), "train")
             pool = scored.where(F.col("p_max") <= F.lit(threshold)).select("review_id", "features")
-        if pool.isEmpty():
+        if not n_conf or pool.isEmpty():
             break
     scores = _predicted(model.transform(test)).select(
         "review_id",

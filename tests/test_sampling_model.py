@@ -116,3 +116,30 @@ def test_a_forest_does_not_send_its_trees_with_each_pass(spark):
     from opinio.operators import model as mdl
 
     assert mdl.random_forest().getCacheNodeIds()
+
+
+class _SureOf:
+    """A model that is sure of the pool's first row (``some``) or of none."""
+
+    def __init__(self, some):
+        self.some = some
+
+    def fit(self, train):
+        return self
+
+    def transform(self, rows):
+        from pyspark.ml.functions import array_to_vector
+        first = F.col("review_id") == rows.agg(F.min("review_id")).scalar() if self.some else F.lit(False)
+        p = F.when(first, 0.9).otherwise(0.6)
+        return rows.withColumn("probability", array_to_vector(F.array(1 - p, p))).withColumn("prediction", F.lit(1.0))
+
+
+def test_self_training_goes_on_until_no_row_moves(spark, monkeypatch):
+    from opinio.plans import queries
+    monkeypatch.setattr(queries, "_model_frame", lambda *_: spark.createDataFrame(
+        [(f"{i:02d}", "YN"[i % 2], *[float(i * k % 7) for k in range(1, 11)]) for i in range(20)],
+        ["review_id", "flagged", *queries.mdl.FEATURES]))
+    res = queries._self_train(spark, "", _SureOf(True))
+    assert (res.rounds, res.promoted, res.scores.count()) == (5, 5, 5)
+    res = queries._self_train(spark, "", _SureOf(False))
+    assert (res.rounds, res.promoted, res.scores.count()) == (1, 0, 5)
