@@ -328,3 +328,30 @@ def test_vectors_of_blocks_equal_those_of_whole_groups(spark, monkeypatch):
     monkeypatch.setattr(sim, "VECTOR_WORDS", 300)
     monkeypatch.setattr(sim, "BIN_WORDS", 100)
     assert found() == whole
+
+
+def test_weights_have_no_row_per_word_in_a_shuffle(spark, monkeypatch):
+    """Whole groups and blocks of them give the weights that follow from the counts, also for repeated and missing ids."""
+    rng = random.Random(5)
+    rows = [(f"g{i % 2}", str(i // 2), " ".join(rng.choices([f"t{k}" for k in range(60)] + ["é", "zz", "x"], k=rng.randint(0, 30))))
+            for i in range(120)]
+    rows += [("g0", "1", "t1 t2 t1 own"), ("g0", None, "t3 t4"), ("g0", None, "t3"), ("g1", "900", None), (None, "5", "t1 t2")]
+    df = spark.createDataFrame(rows, "reviewer_id string, review_id string, review_content string")
+    plan = sim.tfidf_weights(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "FlatMapGroupsInArrow" in plan
+    terms = sim.raw_weights(df, "reviewer_id", "review_id", "review_content").collect()
+    norms = Counter()
+    for r in terms:
+        norms[r.reviewer_id, r.review_id] += r.raw ** 2
+    want = Counter((r.reviewer_id, r.review_id, r.token, r.tf, r.df, round(r.raw / math.sqrt(norms[r.reviewer_id, r.review_id]), 9))
+                   for r in terms)
+
+    def found():
+        out = sim.tfidf_weights(df)
+        assert out.columns == ["reviewer_id", "review_id", "token", "tf", "df", "weight"]
+        return Counter((*r[:5], round(r.weight, 9)) for r in out.collect())
+
+    assert found() == want
+    monkeypatch.setattr(sim, "VECTOR_WORDS", 300)
+    monkeypatch.setattr(sim, "BIN_WORDS", 100)
+    assert found() == want
