@@ -143,3 +143,67 @@ def test_self_training_goes_on_until_no_row_moves(spark, monkeypatch):
     assert (res.rounds, res.promoted, res.scores.count()) == (5, 5, 5)
     res = queries._self_train(spark, "", _SureOf(False))
     assert (res.rounds, res.promoted, res.scores.count()) == (1, 0, 5)
+
+
+def _made_rows(spark, n, seed=7):
+    from opinio.operators import model as mdl
+    import random
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        x = [float(rnd.randint(0, 4)), *[float(rnd.randint(0, 50)) for _ in range(5)], *[rnd.random() for _ in range(4)]]
+        y = x[0] + 3 * x[7] + rnd.random() > 4
+        rows.append((str(i), *x, "Y" if y else "N"))
+    return mdl.assemble(spark.createDataFrame(rows, ["review_id", *mdl.FEATURES, "flagged"]))
+
+
+def _shares(model, rows):
+    from pyspark.ml.functions import vector_to_array
+    return {r[0]: (r[1], r[2]) for r in model.transform(rows).select(
+        "review_id", F.get(vector_to_array("probability"), 1), "prediction").collect()}
+
+
+def test_a_forest_grows_without_passes_over_its_rows(spark):
+    """The jobs of a fit do not follow the trees' depth, and its draws not the rows' partitions."""
+    from opinio.operators import model as mdl
+    rows = _made_rows(spark, 300).cache()
+    found = []
+    for parts in (1, 5):
+        dealt, jobs = mdl.materialise(rows.repartition(parts), "rows"), []
+        for depth in (2, 12):
+            spark.sparkContext.setJobGroup(f"forest-{parts}-{depth}", "fit")
+            model = mdl.random_forest(num_trees=20, max_depth=depth).fit(dealt)
+            jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"forest-{parts}-{depth}")))
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert 0 < jobs[0] == jobs[1]
+        found.append(_shares(model, rows))
+    assert found[0] == found[1] and len(found[0]) == 300
+
+
+def test_a_forest_is_that_of_the_library(spark, monkeypatch):
+    from opinio.operators import forest, model as mdl
+    rows, new = _made_rows(spark, 400).cache(), _made_rows(spark, 200, seed=8).cache()
+    own = _shares(mdl.random_forest(num_trees=150, max_depth=6).fit(rows), new)
+    monkeypatch.setattr(forest, "FOREST_ROWS", 399)
+    model = mdl.random_forest(num_trees=150, max_depth=6).fit(rows)
+    assert model.getNumTrees == 150  # the library's own fit, above the bound
+    library = _shares(model, new)
+    assert own.keys() == library.keys()
+    assert sum(abs(own[k][0] - library[k][0]) for k in own) / 200 < 0.04
+    assert sum(own[k][1] == library[k][1] for k in own) > 185
+
+
+def test_a_tree_splits_where_the_classes_part():
+    import numpy as np
+    import pyarrow as pa
+    from opinio.operators import forest
+    assert list(forest.split_points(np.array([3.0, 1.0, 1.0, 2.0]), 32)) == [1.5, 2.5]
+    assert len(forest.split_points(np.arange(1000.0), 32)) == 31
+    table = pa.table({"x": [[float(i), 1.0] for i in range(40)], "label": [float(i >= 25) for i in range(40)]})
+    rows = forest._Rows(table, 32)
+    tree = forest.grow(rows, 42, 0, 5, 2)
+    assert tree["feature"].tolist() == [0, -1, -1] and 20 < tree["threshold"][0] < 30
+    x = np.array([[0.0, 1.0], [39.0, 1.0]])
+    assert forest.shares([tree, tree], x).tolist() == [0.0, 1.0]
+    bags = {tuple(forest.grow(rows, 42, k, 5, 2)["threshold"]) for k in range(30)}
+    assert len(bags) > 1  # every tree has its own sample
